@@ -1,6 +1,8 @@
 """Queries of this subpackage and their SQL."""
 
 from .exact_dedup import SQL6, op6
+from .langid import op2
+from .mixing import op1
 
-QUERIES = {"op6_exact_dedup": op6}
+QUERIES = {"op1_mixing": op1, "op2_language_id": op2, "op6_exact_dedup": op6}
 SQL = {"op6_exact_dedup": SQL6}
