@@ -1,10 +1,11 @@
 """Queries of this subpackage and their SQL."""
 
 from .bpe import op4
+from .dartminhash import op7
 from .exact_dedup import SQL6, op6
 from .fingerprint import op9
 from .langid import op2
 from .mixing import op1
 
-QUERIES = {"op1_mixing": op1, "op2_language_id": op2, "op4_byte_bpe": op4, "op6_exact_dedup": op6, "op9_fingerprints": op9}
+QUERIES = {"op1_mixing": op1, "op2_language_id": op2, "op4_byte_bpe": op4, "op6_exact_dedup": op6, "op7_dartminhash": op7, "op9_fingerprints": op9}
 SQL = {"op6_exact_dedup": SQL6}
