@@ -6,9 +6,10 @@ none has a rank. Ranks are looked up in a literal: an array of small maps, dealt
 as a map's entries are searched one by one.
 
 Pieces are counted over all texts. The most frequent ones, up to a documented bound, are encoded
-once and broadcast; of each document the distinct pieces beyond them are encoded in its own row.
-So texts are never shuffled, and nothing that is broadcast grows with the corpus. Decoding joins
-the ids' byte strings.
+once and broadcast as sorted hashes and ids (a hit is checked: its ids must decode to the piece);
+the distinct pieces of a document beyond them are encoded in its own row. So texts are never
+shuffled, and nothing that is broadcast grows with the corpus. Decoding joins the ids' byte
+strings, as hexadecimal, from a literal table.
 
 Defined results: a null text counts as empty; an empty text has no ids; pieces of more than
 ``LONG`` bytes are merged by a heap in Python, as the fold is quadratic in a piece's length;
@@ -18,7 +19,6 @@ repeated rows are encoded each; other columns are not read.
 from __future__ import annotations
 
 import base64
-import hashlib
 import heapq
 import json
 import zlib
@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from .common import arrow_bounds, text_or_empty, written
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-DICTIONARY = 400_000  # pieces that are broadcast, at most
+DICTIONARY = 2_000_000  # pieces that are broadcast, at most
 DICTIONARY_BYTES = 64  # of a broadcast piece, at most
+MEMO = 150_000  # words that a task remembers, at most
 LONG = 256
 _MAPS = 1 << 14
 _NONE = 2**31 - 1
@@ -131,6 +132,49 @@ def encode_piece(piece: Column, literal: Column) -> Column:
     return _bind(literal, whole)
 
 
+class Splitter:
+    """Splits texts into pieces; most texts by spaces first, as a word is met again and again.
+
+    Where no space stands beside other white space, no piece reaches over a space but with the one
+    before it: the pieces of `` word`` are the same in any text."""
+
+    def __init__(self, pat: str):
+        import regex
+
+        self.find, self.mixed = regex.compile(pat).findall, regex.compile(r" \s|\s ").search
+
+    def words(self, text: str) -> tuple[list[str], list[str]]:
+        """Pieces of the text's start, and the words that follow, each of which has a space before it."""
+        if self.mixed(text):
+            return self.find(text), []
+        first, *words = text.split(" ")
+        return self.find(first), words
+
+
+class Dictionary:
+    """Ids of known pieces: sorted hashes, and for each where its ids lie."""
+
+    def __init__(self, hashes: bytes, at: bytes, ids: bytes, token: dict[str, bytes]):
+        from array import array
+
+        self.hashes, self.at, self.ids, self.token = array("Q"), array("I"), ids, token
+        self.hashes.frombytes(hashes)
+        self.at.frombytes(at)
+
+    def get(self, piece: bytes) -> str | None:
+        """The piece's ids, if it is known."""
+        from bisect import bisect_left
+
+        import xxhash
+
+        h = xxhash.xxh64_intdigest(piece, 42)
+        i = bisect_left(self.hashes, h)
+        if i == len(self.hashes) or self.hashes[i] != h:
+            return None
+        ids = self.ids[self.at[i] : self.at[i + 1]].decode()
+        return ids if b"".join(map(self.token.__getitem__, ids.split(","))) == piece else None
+
+
 def count_pieces(docs: DataFrame, pat: str) -> DataFrame:
     """(piece, n) over all texts; each task sums what it has before it deals it out."""
     arrow_bounds(docs.sparkSession)
@@ -139,27 +183,34 @@ def count_pieces(docs: DataFrame, pat: str) -> DataFrame:
         from collections import Counter
 
         import pyarrow as pa
-        import regex
 
-        find, n = regex.compile(pat).findall, Counter()
+        split, words, n = Splitter(pat), Counter(), Counter()
 
         def out():
+            for word, k in words.items():
+                for x in split.find(" " + word):
+                    n[x] += k
+            words.clear()
             yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], ["piece", "n"])
+            n.clear()
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                n.update(find(text))
-                if len(n) > 300_000:
+                first, rest = split.words(text)
+                n.update(first)
+                words.update(rest)
+                if len(words) + len(n) > 2 * MEMO:
                     yield from out()
-                    n.clear()
         yield from out()
 
     counts = docs.select(text_or_empty().alias("text")).mapInArrow(count, "piece string, n bigint")
     return counts.groupBy("piece").agg(F.sum("n").alias("n"))
 
 
-def dictionary(docs: DataFrame, literal: Column, pat: str, most: int = DICTIONARY) -> dict[str, str]:
-    """The ids of the most frequent pieces: those of at least the least count that stays within the bound."""
+def dictionary(docs: DataFrame, literal: Column, pat: str, most: int = DICTIONARY) -> tuple[bytes, bytes, bytes]:
+    """Of the most frequent pieces (those of at least the least count that stays within the bound): hashes, places, ids."""
+    import numpy as np
+
     pieces = written(count_pieces(docs, pat).where(F.octet_length("piece") <= DICTIONARY_BYTES), "pieces")
     level = F.floor(F.log2("n") * 16).cast("int")
     least, seen = None, 0
@@ -169,66 +220,79 @@ def dictionary(docs: DataFrame, literal: Column, pat: str, most: int = DICTIONAR
             break
         least = row["level"]
     if least is None:
-        return {}
+        return b"", np.zeros(1, np.uint32).tobytes(), b""
     cores = docs.sparkSession.sparkContext.defaultParallelism
-    found = pieces.where(level >= least).select("piece").repartition(4 * cores).select("piece", encode_piece(F.col("piece"), literal).alias("ids")).toArrow()
-    return dict(zip(found.column(0).to_pylist(), found.column(1).to_pylist(), strict=True))
+    # at most the bound's number of short pieces: their hashes and ids fit in the driver
+    found = pieces.where(level >= least).select("piece").repartition(4 * cores).select(F.xxhash64("piece").alias("h"), encode_piece(F.col("piece"), literal).alias("ids")).toArrow()
+    h = found.column(0).to_numpy().astype(np.int64).view(np.uint64)
+    found = found.take(np.argsort(h, kind="stable"))
+    ids = found.column(1).combine_chunks()
+    at = np.concatenate(([0], np.cumsum([len(x) for x in ids.to_pylist()]))).astype(np.uint32)
+    return np.sort(h).tobytes(), at.tobytes(), "".join(ids.to_pylist()).encode()
 
 
 def encode(docs: DataFrame, path: str | None = None, pat: str | None = None, most: int = DICTIONARY, key: str = "doc_id") -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256, ids): ids as decimal numbers joined by commas."""
+    """(key, ids, decoded): ids as decimal numbers joined by commas, and the bytes that they decode to."""
     path, pat = path or vocabulary_path(), pat or pattern()
     ranks = load_ranks(path)
     spark, literal = docs.sparkSession, rank_literal(ranks)
-    known = spark.sparkContext.broadcast(dictionary(docs, literal, pat, most))
-    pieces = spark.sparkContext.broadcast({str(r): t for t, r in ranks.items()})
+    known = spark.sparkContext.broadcast((*dictionary(docs, literal, pat, most), {str(r): t for t, r in ranks.items()}))
     arrow_bounds(spark)
     kind = dict(docs.dtypes)[key]
 
     def look_up(batches):
         """Ids of the known pieces; ``#`` and a number stand for one of the row's other pieces."""
         import pyarrow as pa
-        import regex
 
-        find, get = regex.compile(pat).findall, known.value.get
-        by_bytes = {t: int(r) for r, t in pieces.value.items()}
+        split, pieces = Splitter(pat), Dictionary(*known.value)
+        memo: dict[str, str] = {}
+        by_bytes: dict[bytes, int] = {}
+
+        def of(found: list[str], other: dict[str, str]) -> str:
+            ids = []
+            for x in found:
+                raw = x.encode()
+                if (got := pieces.get(raw)) is None:
+                    if len(raw) > LONG:
+                        by_bytes.update({t: int(r) for r, t in pieces.token.items()} if not by_bytes else {})
+                        got = ",".join(map(str, heap_merge(raw, by_bytes)))
+                    else:
+                        got = other.setdefault(x, f"#{len(other)}")
+                ids.append(got)
+            return ",".join(ids)
+
         for batch in batches:
             stream, rest = [], []
             for text in batch.column(1).to_pylist():
-                found = find(text)
-                ids = [get(x) for x in found]
                 other: dict[str, str] = {}
-                if None in ids:
-                    for i, x in enumerate(ids):
+                first, words = split.words(text)
+                out = [memo.get(w) for w in words]
+                if None in out:
+                    for i, x in enumerate(out):
                         if x is None:
-                            w = found[i]
-                            if len(w) > LONG // 4 and len(raw := w.encode()) > LONG:
-                                ids[i] = ",".join(map(str, heap_merge(raw, by_bytes)))
-                            else:
-                                ids[i] = other.setdefault(w, f"#{len(other)}")
-                stream.append(",".join(ids))
+                            w, n = words[i], len(other)
+                            out[i] = got = of(split.find(" " + w), other)
+                            if len(other) == n and "#" not in got:
+                                if len(memo) >= MEMO:
+                                    memo.clear()
+                                memo[w] = got
+                if first:
+                    out.insert(0, of(first, other))
+                stream.append(",".join(out))
                 rest.append(list(other))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(stream, pa.string()), pa.array(rest, pa.list_(pa.string()))], [key, "stream", "rest"])
 
-    def finish(batches):
-        import pyarrow as pa
+    rows = docs.select(key, text_or_empty().alias("text")).mapInArrow(look_up, f"`{key}` {kind}, stream string, rest array<string>")
+    rows = rows.withColumn("rest", F.transform("rest", lambda w: encode_piece(w, literal)))
+    filled = F.array_join(F.transform(F.split("stream", ","), lambda x: F.when(F.substring(x, 1, 1) == "#", F.get(F.col("rest"), F.substring(x, F.lit(2), F.lit(9)).cast("int"))).otherwise(x)), ",")
+    rows = rows.select(key, F.when(F.size("rest") == 0, F.col("stream")).otherwise(filled).alias("ids"))
+    return rows.withColumn("decoded", decode(F.col("ids"), path))
 
-        token = pieces.value.__getitem__
-        for batch in batches:
-            n, ids_hash, text_hash, all_ids = [], [], [], []
-            for ids, rest in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                if rest:
-                    ids = ",".join([rest[int(x[1:])] if x[0] == "#" else x for x in ids.split(",")])
-                tokens = ids.split(",") if ids else []
-                n.append(len(tokens))
-                ids_hash.append(hashlib.sha256(ids.encode()).hexdigest())
-                text_hash.append(hashlib.sha256(b"".join(map(token, tokens))).hexdigest())
-                all_ids.append(ids)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string()), pa.array(all_ids, pa.string())], [key, "n_tokens", "ids_sha256", "decoded_sha256", "ids"])
 
-    rows = docs.select(key, text_or_empty().alias("text")).mapInArrow(look_up, f"`{key}` {kind}, stream string, rest array<string>")
-    rows = rows.select(key, "stream", F.when(F.size("rest") > 0, F.transform("rest", lambda w: encode_piece(w, literal))).otherwise(F.col("rest")).alias("rest"))
-    return rows.mapInArrow(finish, f"`{key}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string, ids string")
+def digests(rows: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, n_tokens, ids_sha256, decoded_sha256) of encoded rows."""
+    n = F.when(F.col("ids") == "", F.lit(0)).otherwise(F.length("ids") - F.length(F.replace("ids", F.lit(","), F.lit(""))) + 1)
+    return rows.select(key, n.cast("bigint").alias("n_tokens"), F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def decode(ids: Column, path: str | None = None) -> Column:
@@ -244,4 +308,4 @@ def decode(ids: Column, path: str | None = None) -> Column:
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of ``documents``."""
-    return encode(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("ids")
+    return digests(encode(spark.read.parquet(f"{sf_dir}/documents.parquet")))
