@@ -2,6 +2,7 @@
 
 from .bpe import op4
 from .compaction import op10
+from .cotraining import op3
 from .dartminhash import op7
 from .exact_dedup import SQL6, op6
 from .fingerprint import op9
@@ -13,6 +14,7 @@ from .revisits import SQL8, op8
 QUERIES = {
     "op1_mixing": op1,
     "op2_language_id": op2,
+    "op3_quality": op3,
     "op4_byte_bpe": op4,
     "op5_personal_data": op5,
     "op6_exact_dedup": op6,

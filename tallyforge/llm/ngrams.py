@@ -12,20 +12,23 @@ _LETTER = np.full(256, 32, np.uint8)
 _LETTER[97:123] = np.arange(97, 123)
 _LETTER[65:91] = np.arange(97, 123)
 _LETTER[128:] = np.arange(128, 256)
+#: All bytes as they are, but digits, which count as one.
+ALL = np.arange(256).astype(np.uint8)
+ALL[48:58] = 48
 
 
 def _hashed(x: np.ndarray) -> np.ndarray:
     return ((x * np.uint32(2654435761)) >> np.uint32(32 - BITS)).astype(np.int64)
 
 
-def counts(data: np.ndarray, at: np.ndarray):
-    """For each text (bytes and offsets) the counts of its n-grams, as an array of DIM that is used again."""
+def counts(data: np.ndarray, at: np.ndarray, table: np.ndarray = _LETTER):
+    """For each text (bytes and offsets) the counts of its n-grams, an array of DIM; table: what a byte counts as."""
     chunk = 4 << 20
     n, first = len(at) - 1, 0
     while first < n:
         last = max(first + 1, int(np.searchsorted(at, at[first] + chunk, "right")) - 1)
         base = at[first]
-        b = _LETTER[data[base : at[last]]].astype(np.uint32)
+        b = table[data[base : at[last]]].astype(np.uint32)
         two = (b[:-1] << np.uint32(8)) | b[1:]
         bi, tri = _hashed(two), _hashed((two[:-1] << np.uint32(8)) | b[2:]) + (1 << BITS)
         for k in range(first, last):
@@ -37,10 +40,10 @@ def counts(data: np.ndarray, at: np.ndarray):
         first = last
 
 
-def features(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+def features(data: np.ndarray, at: np.ndarray, table: np.ndarray = _LETTER) -> np.ndarray:
     """Unit vectors of the square roots of the counts, a row a text."""
     out = np.zeros((len(at) - 1, DIM), np.float32)
-    for k, c in enumerate(counts(data, at)):
+    for k, c in enumerate(counts(data, at, table)):
         x = np.sqrt(c)
         norm = np.sqrt((x * x).sum())
         out[k] = x / norm if norm else 0
