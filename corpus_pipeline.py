@@ -1,7 +1,58 @@
-"""The corpus pipeline (stages follow)."""
-STAGES = []
+"""The corpus pipeline: documents to token counts, by five of the text operators.
+
+Each stage is a function of (spark, docs, sf_dir); what it returns is written as Parquet and read
+again as the next one's docs. All but the last return the columns of documents."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tallyforge.llm import bpe, dartminhash, exact_dedup, langid, mixing
+from tallyforge.llm.common import written
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a known language; those without a letter, or of no clear language, go."""
+    return langid.accepted_documents(docs)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the one with the largest doc_id."""
+    return exact_dedup.kept_documents(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near-duplicates the document with the least doc_id."""
+    return dartminhash.kept_documents(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of sources: a document as often as it is taken, and the words of its partial take."""
+    return mixing.mixed_documents(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and decoded texts."""
+    return bpe.digests(bpe.encode(docs))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language),
+    ("exact_dedup", exact),
+    ("near_dedup", near),
+    ("mixing", mix),
+    ("byte_bpe", encode),
+]
+
+#: SQL can't express the classifier, the signatures or the merges.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

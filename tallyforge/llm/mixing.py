@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import text_or_empty, written
+from .exact_dedup import located
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
@@ -83,10 +84,10 @@ def targets(sizes: list[int], weights: list[float], most: float = MOST) -> list[
             return out
 
 
-def sized(docs: DataFrame) -> DataFrame:
+def sized(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, source, words and a digest of each row; written, as all that follows works on it."""
     text = text_or_empty()
-    return written(docs.select("doc_id", F.col("source").cast("string").alias("source"), F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("size"), F.xxhash64(text).alias("digest")), "sizes")
+    return written(docs.select(*carry, "doc_id", F.col("source").cast("string").alias("source"), F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("size"), F.xxhash64(text).alias("digest")), "sizes")
 
 
 def plan_sources(rows: DataFrame, weights=WEIGHTS, docs_per_shard: int = DOCS_PER_SHARD, block: int | None = None) -> tuple[list[dict], int]:
@@ -145,16 +146,16 @@ def _overlaps(block: int, seed: int) -> tuple[Column, Column, Column]:
     return passes, blocks, picked
 
 
-def mix(docs: DataFrame, seed: int = 17, weights=WEIGHTS, docs_per_shard: int = DOCS_PER_SHARD, block: int | None = None) -> DataFrame:
-    """A row for each row of docs: doc_id, digest, size, source_size, target, taken, passes, and ranges.
+def mix(docs: DataFrame, seed: int = 17, weights=WEIGHTS, docs_per_shard: int = DOCS_PER_SHARD, block: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """A row for each row of docs: the columns to carry, doc_id, digest, size, source_size, target, taken, passes, and ranges.
 
     ``ranges`` holds first and end (exclusive) of the runs of the row's words that the last, partial
     pass takes; ``taken`` is ``passes`` times the size and those. The same input and seed give the
     same rows."""
-    rows = sized(docs)
+    rows = sized(docs, carry)
     plan, block = plan_sources(rows, weights, docs_per_shard, block)
     passes, _, picked = _overlaps(block, seed)
-    rows = placed(rows, plan, block, seed).select("doc_id", "digest", "source", "size", "source_size", "target", "start", passes.alias("passes"), picked.alias("picked"))
+    rows = placed(rows, plan, block, seed).select(*carry, "doc_id", "digest", "source", "size", "source_size", "target", "start", passes.alias("passes"), picked.alias("picked"))
     first, end = lambda i: F.greatest(i * block - F.col("start"), F.lit(0)), lambda i: F.least((i + 1) * block - F.col("start"), F.col("size"))
     rows = rows.withColumn("ranges", F.transform("picked", lambda i: F.struct(first(i).alias("first"), end(i).alias("end"))))
     part = F.aggregate("ranges", F.lit(0).cast("bigint"), lambda a, r: a + r["end"] - r["first"])
@@ -165,10 +166,10 @@ def mixed_documents(docs: DataFrame, seed: int = 17, weights=WEIGHTS) -> DataFra
     """The mix as documents: a row as often as it is taken whole, and one with the words of its partial take.
 
     Rows of which the mix takes no word go. Columns are those of docs; n_chars is counted anew."""
-    keys = {"__digest": F.xxhash64(text_or_empty())}
-    take = mix(docs, seed, weights).select(F.col("doc_id").alias("__id"), F.col("digest").alias("__d"), "passes", "ranges", "taken").where("taken > 0")
-    take = take.groupBy("__id", "__d").agg(F.sum("passes").alias("__passes"), F.flatten(F.collect_list("ranges")).alias("__ranges"))  # repeated rows are few: of one doc_id
-    rows = docs.withColumns(keys).dropDuplicates(["doc_id", "__digest"]).join(take, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__d")))
+    docs = located(docs)
+    at = {"__file": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index")}
+    take = mix(docs.withColumns(at), seed, weights, carry=tuple(at)).where("taken > 0").select(*at, F.col("passes").alias("__passes"), F.col("ranges").alias("__ranges"))
+    rows = docs.withColumns(at).join(take, list(at))
     words = F.regexp_extract_all(text_or_empty(), F.lit(WORD), F.lit(0))
     part = F.expr("array_join(flatten(transform(__ranges, r -> slice(__words, int(r.first + 1), int(r.end - r.first)))), ' ')")
     rows = rows.withColumn("__words", F.when(F.size("__ranges") > 0, words)).withColumn("__part", F.when(F.size("__ranges") > 0, F.array(part)).otherwise(F.expr("array()").cast("array<string>")))
