@@ -12,6 +12,7 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 from pyspark.sql.window import Window
 
 from ..functions.text import clean_label
@@ -49,12 +50,12 @@ def partial(a: str, b: str) -> float:
     return max(_ratio(short, long[s : s + len(short)]) for s in starts)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def token_set_score(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([token_set(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def partial_score(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([partial(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="float64")
 

@@ -133,7 +133,7 @@ def extract_patterns(rows: DataFrame, patterns: DataFrame, by: list[str], text:
     if patterns.count() > MOST_PATTERNS:
         raise ValueError(f"more than {MOST_PATTERNS} patterns")
     hit = rows.crossJoin(F.broadcast(patterns)).where(F.rlike(F.col(text), F.col("pattern")))
-    value = lambda k: F.regexp_extract(F.col(text), F.col("pattern"), F.lit(k))
+    value = lambda k: F.expr(f"regexp_extract(`{text}`, pattern, {k})")
     first = F.min(F.struct("ord", *order, value(1).alias("first"), value(2).alias("second")))
     return hit.groupBy(*by, "sl_no").agg(first.alias("x")).select(*by, "sl_no", "x.first", "x.second")
 

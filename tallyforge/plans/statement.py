@@ -38,7 +38,7 @@ def extract_cells(page_text: DataFrame, patterns: DataFrame | None = None) -> Da
     routed = page_text.where(~F.array_contains(pages.page_tags(F.col("text")), "skip")).withColumn("unit", numbers.unit_of(F.col("text")))
     rows = pages.lines(routed)
     hit = rows.crossJoin(F.broadcast(patterns)).where(F.rlike("line", F.col("pattern")))  # a table of some dozen patterns
-    at = lambda k: F.regexp_extract("line", F.col("pattern"), F.lit(k))
+    at = lambda k: F.expr(f"regexp_extract(line, pattern, {k})")
     amount = lambda x: numbers.token_to_rupees(x, F.col("unit"))
     first = F.min(F.struct("ord", "page_no", "line_no", amount(at(1)).alias("closing"), amount(at(2)).alias("opening")))
     found = hit.groupBy("doc_id", "block", "sl_no").agg(first.alias("x")).select("doc_id", "block", "sl_no", F.lit(0).alias("prio"), "x.opening", "x.closing")
