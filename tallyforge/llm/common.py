@@ -62,8 +62,8 @@ def text_or_empty(name: str = "text") -> Column:
 
 def arrow_bounds(spark: SparkSession) -> None:
     """Hold Arrow batches to sizes that a Python worker takes whatever the length of the texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
 def utf8_buffers(column) -> tuple[np.ndarray, np.ndarray]:

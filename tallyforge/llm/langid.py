@@ -26,7 +26,7 @@ from . import ngrams
 from .common import arrow_bounds, text_or_empty, utf8_buffers
 
 UND = "und"
-PER_LANGUAGE = 600  # labelled rows of each language that the classifiers are fitted on, at most
+PER_LANGUAGE = 300  # labelled rows of each language that the classifiers are fitted on, at most
 MOST_LANGUAGES = 1000  # more are refused
 SHARP = 4.0  # steepness of the score
 AMBIGUOUS = 0.5  # below this score: no language has half of the weight
@@ -37,7 +37,7 @@ _LETTER = regex.compile(r"\p{L}")
 def codebook(n: int, seed: int = 5) -> np.ndarray:
     """Codewords (n rows of bits): all splits for up to six languages, else the best of random codes."""
     if n <= 6:
-        return np.array([[1] * (2 ** (n - 1) - 1)] + [[((c + 1) >> (n - 1 - r)) & 1 for c in range(2 ** (n - 1) - 1)] for r in range(1, n)], np.int8).reshape(n, -1) if n > 1 else np.zeros((n, 0), np.int8)
+        return np.array([[1] * (2 ** (n - 1) - 1)] + [[(c >> (n - 1 - r)) & 1 for c in range(2 ** (n - 1) - 1)] for r in range(1, n)], np.int8).reshape(n, -1) if n > 1 else np.zeros((n, 0), np.int8)
     rng, length = np.random.default_rng(seed), int(np.ceil(10 * np.log2(n)))
     best, apart = None, -1
     for _ in range(50):
@@ -123,8 +123,9 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     return fit(x, [r["lang"] for r in got])
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with lang_pred, score and ambiguous from the text alone; no shuffle."""
+def predict(docs: DataFrame, model: Model, names: tuple[str, str, str] = ("lang_pred", "score", "ambiguous")) -> DataFrame:
+    """docs with lang_pred, score and ambiguous (by these or other names, in place of columns of the same name)
+    from the text alone; no shuffle."""
     arrow_bounds(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size: DIM weights a bit
 
@@ -147,15 +148,15 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                     margins[k] = (v @ m.w[at_k]) / max(1e-9, np.sqrt(c.sum())) + m.b
                 best, score = m.decode(margins)
             known = letters & bool(m.languages)
-            names = pa.array(np.array([*m.languages, UND], object)[np.where(known, best, -1)], pa.string())
-            cols = [*batch.columns[:-1], names, pa.array(np.where(known, score, 0.0)), pa.array(known & (score < AMBIGUOUS))]
+            labels = pa.array(np.array([*m.languages, UND], object)[np.where(known, best, -1)], pa.string())
+            cols = [*batch.columns[:-1], labels, pa.array(np.where(known, score, 0.0)), pa.array(known & (score < AMBIGUOUS))]
             yield pa.RecordBatch.from_arrays(cols, names_)
 
-    fields = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score", "ambiguous")]
-    names_ = [f.name for f in fields] + ["lang_pred", "score", "ambiguous"]
+    fields = [f for f in docs.schema.fields if f.name not in names]
+    names_ = [f.name for f in fields] + list(names)
     from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-    schema = StructType([*fields, StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("ambiguous", BooleanType())])
+    schema = StructType([*fields, *[StructField(n, t) for n, t in zip(names, (StringType(), DoubleType(), BooleanType()), strict=True)]])
     return docs.select(*[F.col(f"`{f.name}`") for f in fields], F.col("text").cast("string").alias("__text")).mapInArrow(label, schema)
 
 
@@ -175,5 +176,5 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def accepted_documents(docs: DataFrame) -> DataFrame:
     """The rows whose language is known and clear; all their columns. Labels come from docs itself."""
     model = train(docs.where(~held_out()))
-    kept = predict(docs, model).where(f"lang_pred != '{UND}' and not ambiguous")
+    kept = predict(docs, model, ("__lang", "__score", "__ambiguous")).where(f"__lang != '{UND}' and not __ambiguous")
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
