@@ -6,10 +6,9 @@ none has a rank. Ranks are looked up in a literal: an array of small maps, dealt
 as a map's entries are searched one by one.
 
 Pieces are counted over all texts. The most frequent ones, up to a documented bound, are encoded
-once and broadcast as sorted hashes and ids (a hit is checked: its ids must decode to the piece);
+once and broadcast as sorted hashes, checksums and ids;
 the distinct pieces of a document beyond them are encoded in its own row. So texts are never
-shuffled, and nothing that is broadcast grows with the corpus. Decoding joins the ids' byte
-strings, as hexadecimal, from a literal table.
+shuffled, and nothing that is broadcast grows with the corpus. Decoding joins the ids' byte strings.
 
 Defined results: a null text counts as empty; an empty text has no ids; pieces of more than
 ``LONG`` bytes are merged by a heap in Python, as the fold is quadratic in a piece's length;
@@ -19,6 +18,7 @@ repeated rows are encoded each; other columns are not read.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import json
 import zlib
@@ -32,7 +32,7 @@ from .common import arrow_bounds, text_or_empty, written
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 DICTIONARY = 2_000_000  # pieces that are broadcast, at most
 DICTIONARY_BYTES = 64  # of a broadcast piece, at most
-MEMO = 150_000  # words that a task remembers, at most
+MEMO = 250_000  # words that a task remembers, at most
 LONG = 256
 _MAPS = 1 << 14
 _NONE = 2**31 - 1
@@ -152,13 +152,14 @@ class Splitter:
 
 
 class Dictionary:
-    """Ids of known pieces: sorted hashes, and for each where its ids lie."""
+    """Ids of known pieces: sorted hashes, for each a checksum and where its ids lie."""
 
-    def __init__(self, hashes: bytes, at: bytes, ids: bytes, token: dict[str, bytes]):
+    def __init__(self, hashes: bytes, checks: bytes, at: bytes, ids: bytes):
         from array import array
 
-        self.hashes, self.at, self.ids, self.token = array("Q"), array("I"), ids, token
+        self.hashes, self.checks, self.at, self.ids = array("Q"), array("I"), array("i"), ids
         self.hashes.frombytes(hashes)
+        self.checks.frombytes(checks)
         self.at.frombytes(at)
 
     def get(self, piece: bytes) -> str | None:
@@ -169,14 +170,13 @@ class Dictionary:
 
         h = xxhash.xxh64_intdigest(piece, 42)
         i = bisect_left(self.hashes, h)
-        if i == len(self.hashes) or self.hashes[i] != h:
+        if i == len(self.hashes) or self.hashes[i] != h or self.checks[i] != zlib.crc32(piece):
             return None
-        ids = self.ids[self.at[i] : self.at[i + 1]].decode()
-        return ids if b"".join(map(self.token.__getitem__, ids.split(","))) == piece else None
+        return self.ids[self.at[i] : self.at[i + 1]].decode()
 
 
 def count_pieces(docs: DataFrame, pat: str) -> DataFrame:
-    """(piece, n) over all texts; each task sums what it has before it deals it out."""
+    """(piece, n) over all texts: words are counted in each task, and split when their counts have met."""
     arrow_bounds(docs.sparkSession)
 
     def count(batches):
@@ -184,31 +184,42 @@ def count_pieces(docs: DataFrame, pat: str) -> DataFrame:
 
         import pyarrow as pa
 
-        split, words, n = Splitter(pat), Counter(), Counter()
+        split, words, pieces = Splitter(pat), Counter(), Counter()
 
         def out():
-            for word, k in words.items():
-                for x in split.find(" " + word):
-                    n[x] += k
-            words.clear()
-            yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], ["piece", "n"])
-            n.clear()
+            for n, kind in ((words, True), (pieces, False)):
+                if n:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array([kind] * len(n)), pa.array(list(n.values()), pa.int64())], ["x", "word", "n"])
+                    n.clear()
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 first, rest = split.words(text)
-                n.update(first)
+                pieces.update(first)
                 words.update(rest)
-                if len(words) + len(n) > 2 * MEMO:
+                if len(words) + len(pieces) > 2 * MEMO:
                     yield from out()
         yield from out()
 
-    counts = docs.select(text_or_empty().alias("text")).mapInArrow(count, "piece string, n bigint")
-    return counts.groupBy("piece").agg(F.sum("n").alias("n"))
+    def parts(batches):
+        import pyarrow as pa
+
+        split = Splitter(pat)
+        for batch in batches:
+            x, n = [], []
+            for a, word, k in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = split.find(" " + a) if word else [a]
+                x += found
+                n += [k] * len(found)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()), pa.array(n, pa.int64())], ["piece", "n"])
 
+    counts = docs.select(text_or_empty().alias("text")).mapInArrow(count, "x string, word boolean, n bigint").groupBy("x", "word").agg(F.sum("n").alias("n"))
+    return counts.mapInArrow(parts, "piece string, n bigint").groupBy("piece").agg(F.sum("n").alias("n"))
 
-def dictionary(docs: DataFrame, literal: Column, pat: str, most: int = DICTIONARY) -> tuple[bytes, bytes, bytes]:
-    """Of the most frequent pieces (those of at least the least count that stays within the bound): hashes, places, ids."""
+
+def dictionary(docs: DataFrame, literal: Column, pat: str, most: int = DICTIONARY) -> tuple[bytes, bytes, bytes, bytes]:
+    """Of the most frequent pieces (those of at least the least count that stays within the bound): hashes,
+    checksums, places and ids."""
     import numpy as np
 
     pieces = written(count_pieces(docs, pat).where(F.octet_length("piece") <= DICTIONARY_BYTES), "pieces")
@@ -220,23 +231,25 @@ def dictionary(docs: DataFrame, literal: Column, pat: str, most: int = DICTIONAR
             break
         least = row["level"]
     if least is None:
-        return b"", np.zeros(1, np.uint32).tobytes(), b""
+        return b"", b"", np.zeros(1, np.int32).tobytes(), b""
     cores = docs.sparkSession.sparkContext.defaultParallelism
     # at most the bound's number of short pieces: their hashes and ids fit in the driver
-    found = pieces.where(level >= least).select("piece").repartition(4 * cores).select(F.xxhash64("piece").alias("h"), encode_piece(F.col("piece"), literal).alias("ids")).toArrow()
-    h = found.column(0).to_numpy().astype(np.int64).view(np.uint64)
-    found = found.take(np.argsort(h, kind="stable"))
-    ids = found.column(1).combine_chunks()
-    at = np.concatenate(([0], np.cumsum([len(x) for x in ids.to_pylist()]))).astype(np.uint32)
-    return np.sort(h).tobytes(), at.tobytes(), "".join(ids.to_pylist()).encode()
+    known = pieces.where(level >= least).select("piece").repartition(4 * cores)
+    found = known.select(F.xxhash64("piece").alias("h"), F.crc32(F.col("piece").cast("binary")).alias("c"), encode_piece(F.col("piece"), literal).alias("ids")).toArrow()
+    h = found.column(0).to_numpy().view(np.uint64)
+    order = np.argsort(h, kind="stable")
+    ids = found.column(2).take(order).combine_chunks()
+    _, at, data = ids.buffers()
+    places = np.frombuffer(at, np.int32, len(ids) + 1, ids.offset * 4)
+    return h[order].tobytes(), found.column(1).to_numpy()[order].astype(np.uint32).tobytes(), (places - places[0]).tobytes(), data.to_pybytes()[places[0] : places[-1]]
 
 
 def encode(docs: DataFrame, path: str | None = None, pat: str | None = None, most: int = DICTIONARY, key: str = "doc_id") -> DataFrame:
-    """(key, ids, decoded): ids as decimal numbers joined by commas, and the bytes that they decode to."""
+    """(key, ids): each text's ids as decimal numbers joined by commas."""
     path, pat = path or vocabulary_path(), pat or pattern()
-    ranks = load_ranks(path)
-    spark, literal = docs.sparkSession, rank_literal(ranks)
-    known = spark.sparkContext.broadcast((*dictionary(docs, literal, pat, most), {str(r): t for t, r in ranks.items()}))
+    spark, literal = docs.sparkSession, rank_literal(load_ranks(path))
+    known = spark.sparkContext.broadcast(dictionary(docs, literal, pat, most))
+    ranks = spark.sparkContext.broadcast(load_ranks(path))
     arrow_bounds(spark)
     kind = dict(docs.dtypes)[key]
 
@@ -246,18 +259,13 @@ def encode(docs: DataFrame, path: str | None = None, pat: str | None = None, mos
 
         split, pieces = Splitter(pat), Dictionary(*known.value)
         memo: dict[str, str] = {}
-        by_bytes: dict[bytes, int] = {}
 
         def of(found: list[str], other: dict[str, str]) -> str:
             ids = []
             for x in found:
                 raw = x.encode()
                 if (got := pieces.get(raw)) is None:
-                    if len(raw) > LONG:
-                        by_bytes.update({t: int(r) for r, t in pieces.token.items()} if not by_bytes else {})
-                        got = ",".join(map(str, heap_merge(raw, by_bytes)))
-                    else:
-                        got = other.setdefault(x, f"#{len(other)}")
+                    got = ",".join(map(str, heap_merge(raw, ranks.value))) if len(raw) > LONG else other.setdefault(x, f"#{len(other)}")
                 ids.append(got)
             return ",".join(ids)
 
@@ -270,9 +278,9 @@ def encode(docs: DataFrame, path: str | None = None, pat: str | None = None, mos
                 if None in out:
                     for i, x in enumerate(out):
                         if x is None:
-                            w, n = words[i], len(other)
-                            out[i] = got = of(split.find(" " + w), other)
-                            if len(other) == n and "#" not in got:
+                            w = words[i]
+                            out[i] = got = memo.get(w) or of(split.find(" " + w), other)
+                            if "#" not in got:
                                 if len(memo) >= MEMO:
                                     memo.clear()
                                 memo[w] = got
@@ -285,18 +293,32 @@ def encode(docs: DataFrame, path: str | None = None, pat: str | None = None, mos
     rows = docs.select(key, text_or_empty().alias("text")).mapInArrow(look_up, f"`{key}` {kind}, stream string, rest array<string>")
     rows = rows.withColumn("rest", F.transform("rest", lambda w: encode_piece(w, literal)))
     filled = F.array_join(F.transform(F.split("stream", ","), lambda x: F.when(F.substring(x, 1, 1) == "#", F.get(F.col("rest"), F.substring(x, F.lit(2), F.lit(9)).cast("int"))).otherwise(x)), ",")
-    rows = rows.select(key, F.when(F.size("rest") == 0, F.col("stream")).otherwise(filled).alias("ids"))
-    return rows.withColumn("decoded", decode(F.col("ids"), path))
+    return rows.select(key, F.when(F.size("rest") == 0, F.col("stream")).otherwise(filled).alias("ids"))
+
 
+def digests(rows: DataFrame, path: str | None = None, key: str = "doc_id") -> DataFrame:
+    """(key, n_tokens, ids_sha256, decoded_sha256) of encoded rows; decoding joins the ids' binary pieces."""
+    pieces = rows.sparkSession.sparkContext.broadcast({str(r): t for t, r in load_ranks(path or vocabulary_path()).items()})
+    arrow_bounds(rows.sparkSession)
+
+    def finish(batches):
+        import pyarrow as pa
+
+        token, sha = pieces.value.__getitem__, hashlib.sha256
+        for batch in batches:
+            n, ids_hash, text_hash = [], [], []
+            for ids in batch.column(1).to_pylist():
+                tokens = ids.split(",") if ids else []
+                n.append(len(tokens))
+                ids_hash.append(sha(ids.encode()).hexdigest())
+                text_hash.append(sha(b"".join(map(token, tokens))).hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
-def digests(rows: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256) of encoded rows."""
-    n = F.when(F.col("ids") == "", F.lit(0)).otherwise(F.length("ids") - F.length(F.replace("ids", F.lit(","), F.lit(""))) + 1)
-    return rows.select(key, n.cast("bigint").alias("n_tokens"), F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return rows.select(key, "ids").mapInArrow(finish, f"`{key}` {dict(rows.dtypes)[key]}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 def decode(ids: Column, path: str | None = None) -> Column:
-    """The bytes that a column of comma-joined ids stands for."""
+    """The bytes that a column of comma-joined ids stands for, by a literal table of hexadecimal pieces."""
     ranks = load_ranks(path or vocabulary_path())
     token: list[str] = [""] * (max(ranks.values()) + 1)
     for t, r in ranks.items():
