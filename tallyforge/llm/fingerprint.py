@@ -108,31 +108,32 @@ def _bucketed(df: DataFrame, ids: DataFrame) -> DataFrame:
     return df.withColumn("__bucket", F.coalesce(-(F.col("__k").cast("bigint") * parts + F.least(part, _long(parts - 1))), _long(1))).drop("__k")
 
 
-def with_next(df: DataFrame, ids: DataFrame, carry: list[str], out: str) -> DataFrame:
-    """df with a struct ``out`` of the next row's ``carry`` columns: by descending doc_id, after the last the first.
+def with_next(docs: DataFrame, finish, carry: list[str], out: str) -> DataFrame:
+    """finish(docs) with a struct ``out`` of the next row's ``carry`` columns: by descending doc_id, after the last the first.
 
-    Rows are dealt out by ranges of doc_id and sorted within; the first row of each range is looked
+    docs is (doc_id, text); ``finish`` adds columns to rows, each by itself. Rows are dealt out by ranges of doc_id and sorted within; the first row of each range is looked
     up for the range before it. Null identifiers come last; ties go by a hash of the text."""
-    df = _bucketed(df.withColumn("__tie", F.xxhash64("text")), ids)
+    ids = docs.select("doc_id")
+    docs = docs.withColumn("__tie", F.xxhash64("text"))
+    df = _bucketed(docs, ids)
     heads = df.groupBy("__bucket").agg(F.max(F.struct("doc_id", "__tie")).alias("h"))
     # a row for each range of some thousand documents: few enough for one task
     line = Window.orderBy("__bucket")
     heads = heads.select("__bucket", F.coalesce(F.lead("h").over(line), F.first("h").over(line.rowsBetween(Window.unboundedPreceding, 0))).alias("n"))
     heads = heads.select(F.col("__bucket").alias("__b"), F.col("n.doc_id").alias("__id"), F.col("n.__tie").alias("__t"))
-    rows = df.select(F.col("doc_id"), F.col("__tie"), F.struct(*carry).alias("__edge"))
     small = heads.count() <= 10_000  # three numbers a row
-    edge = rows.join(F.broadcast(heads) if small else heads, rows["doc_id"].eqNullSafe(heads["__id"]) & (rows["__tie"] == heads["__t"])).groupBy(F.col("__b").alias("__bucket")).agg(F.any_value("__edge").alias("__edge"))
+    edge = docs.join(F.broadcast(heads) if small else heads, docs["doc_id"].eqNullSafe(heads["__id"]) & (docs["__tie"] == heads["__t"]))
+    edge = edge.groupBy(F.col("__b").alias("__bucket")).agg(F.any_value("doc_id").alias("doc_id"), F.any_value("text").alias("text"))
+    edge = finish(edge).select("__bucket", F.struct(*carry).alias("__edge"))
     order = Window.partitionBy("__bucket").orderBy(F.col("doc_id").desc_nulls_last(), F.col("__tie").desc())
-    df = df.withColumn("__lead", F.lead(F.struct(*carry)).over(order)).join(edge, "__bucket", "left")
+    df = finish(df).withColumn("__lead", F.lead(F.struct(*carry)).over(order)).join(edge, "__bucket", "left")
     return df.withColumn(out, F.coalesce("__lead", "__edge")).drop("__lead", "__edge", "__bucket", "__tie")
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """Each text's fingerprint, that of its edited text, and its likeness to this and the next document."""
-    ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
     df = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
-    df = with_fingerprint(df, "text", "fp")
-    df = with_next(df, ids, ["text", "fp"], "next")
+    df = with_next(df, lambda rows: with_fingerprint(rows, "text", "fp"), ["text", "fp"], "next")
     n, cut = F.length("text").cast("bigint"), F.expr("cast(length(text) div 3 as int)")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - cut), F.substring(F.col("next.text"), F.lit(1), cut))
     df = df.select("doc_id", n.alias("n_chars"), edited.alias("edited"), "fp", F.col("next.fp").alias("next_fp"))
