@@ -24,7 +24,8 @@ def derived_cells(cells: DataFrame, fields: dict[str, tuple[str, ...]] | None =
 
 def recompute(cells: DataFrame, fields: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """Cells with derived rows computed anew; a block whose leaves are all 0 is left as it is."""
-    live = cells.groupBy("doc_id", "block").agg(F.max(F.col("value") != 0).alias("live")).where("live").select("doc_id", "block")
+    derived = ((F.col("block") == "C") & F.col("sl_no").isin(*schema.DERIVED["C"])) | ((F.col("block") == "D") & F.col("sl_no").isin(*schema.DERIVED["D"]))
+    live = cells.where(~derived & (F.col("value") != 0)).select("doc_id", "block").distinct()
     new = derived_cells(cells, fields).join(live, ["doc_id", "block"], "left_semi")
     return cells.join(new.select(*CELL), CELL, "left_anti").unionByName(new)
 

@@ -105,7 +105,7 @@ def classify_tables(tables: DataFrame, signals: DataFrame, text: str = "text", w
     of = lambda b: F.max(F.when(F.col("block") == b, F.col("s")).otherwise(0.0)).alias(b)
     out = tables.join(score.groupBy("table_id").agg(of("C"), of("D")), "table_id", "left")
     w = F.col(width)
-    kind = F.when((F.col("C") > BLOCK) & (w >= 5), "C").when((F.col("D") > BLOCK) & (w >= 2), "D").when((F.col("C") >= F.col("D")) & (F.col("C") > 0) & (w >= 5), "C").when((F.col("D") > 0) & (w >= 2), "D").otherwise("unknown")
+    kind = F.when((F.col("C") > BLOCK) & (w >= 5), "C").when((F.col("D") > BLOCK) & (w >= 2), "D").when((F.col("C") >= F.col("D")) & (F.col("C") > 0), F.when(w >= 5, "C").otherwise("unknown")).when((F.col("D") > 0) & (w >= 2), "D").otherwise("unknown")
     return out.withColumn("block", kind).drop("C", "D")
 
 

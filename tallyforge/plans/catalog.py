@@ -415,7 +415,7 @@ def fill_guarded(spark, sf):
     return merges.fill_from(cells, cells.withColumn("value", F.col("value") * F.when(F.col("doc_id") % 2 == 0, 30).otherwise(3)))
 
 
-_COMP = "SELECT c_custkey AS doc_id, CASE c_custkey % 3 WHEN 0 THEN 'schedule_8.total' WHEN 1 THEN 'note_20.total' ELSE 'face.x' END AS key, CAST(round(c_acctbal) AS DOUBLE) AS opening, CAST(round(c_acctbal * {0}) AS DOUBLE) AS closing FROM customer WHERE c_custkey % {1} <> 0"
+_COMP = "SELECT c_custkey AS doc_id, CASE c_custkey % 3 WHEN 0 THEN 'schedule_8.total' WHEN 1 THEN 'note_20.total' ELSE 'face.x' END AS key, CAST(CAST(round(c_acctbal) AS BIGINT) AS DOUBLE) AS opening, CAST(CAST(round(c_acctbal * {0}) AS BIGINT) AS DOUBLE) AS closing FROM customer WHERE c_custkey % {1} <> 0"
 
 
 @query("component_merge", f"WITH a AS ({_COMP.format('1.5', '5')}), b AS ({_COMP.format('(c_custkey % 4)', '7')}) SELECT doc_id, key, CASE WHEN pick THEN b.opening ELSE a.opening END AS opening, CASE WHEN pick THEN b.closing ELSE a.closing END AS closing FROM (SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, coalesce(a.key, b.key) AS key, a, b, CASE WHEN a.key IS NULL THEN true WHEN b.key IS NULL THEN false WHEN starts_with(a.key, 'schedule_') THEN true WHEN starts_with(a.key, 'note_') THEN false ELSE b.closing > a.closing END AS pick FROM a FULL JOIN b ON a.doc_id = b.doc_id AND a.key = b.key)")
@@ -442,7 +442,7 @@ def derive_closure(spark, sf):
     return derive.derived_cells(merges.to_cells(d_rows(spark, sf), "D"))
 
 
-@query("recompute_rows", f"{WITH_D}, n AS (SELECT c.doc_id, CAST(target AS INT) AS sl_no, field, CAST(sum(value * weight) AS DOUBLE) AS value FROM cells c JOIN (VALUES {_CLOSURE_D}) t(target, source, weight) ON c.sl_no = t.source WHERE c.doc_id IN (SELECT doc_id FROM cells WHERE value <> 0) GROUP BY c.doc_id, target, field) SELECT doc_id, 'D' AS block, sl_no, field, value FROM n UNION ALL SELECT doc_id, 'D', sl_no, field, value FROM cells c WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.doc_id = c.doc_id AND n.sl_no = c.sl_no AND n.field = c.field)")
+@query("recompute_rows", f"{WITH_D}, n AS (SELECT c.doc_id, CAST(target AS INT) AS sl_no, field, CAST(sum(value * weight) AS DOUBLE) AS value FROM cells c JOIN (VALUES {_CLOSURE_D}) t(target, source, weight) ON c.sl_no = t.source WHERE c.doc_id IN (SELECT doc_id FROM cells WHERE value <> 0 AND sl_no NOT IN (4, 7, 11, 15, 16)) GROUP BY c.doc_id, target, field) SELECT doc_id, 'D' AS block, sl_no, field, value FROM n UNION ALL SELECT doc_id, 'D', sl_no, field, value FROM cells c WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.doc_id = c.doc_id AND n.sl_no = c.sl_no AND n.field = c.field)")
 def recompute_rows(spark, sf):
     return derive.recompute(merges.to_cells(d_rows(spark, sf), "D"))
 
@@ -598,7 +598,7 @@ def cell_status(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", checks.cell_status(v, (k % 100).cast("double"), k % 3 != 0).alias("status"))
 
 
-@query("token_presence", f"{WITH_D}, x AS (SELECT doc_id, count(*) AS total FROM cells WHERE value <> 0 GROUP BY doc_id) SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN total ELSE 0 END AS verified, total, CASE WHEN doc_id % 2 = 0 THEN 1.0 ELSE 0.0 END AS rate, CASE WHEN doc_id % 2 = 0 THEN 'APPROVED' ELSE 'REJECTED' END AS status FROM x")
+@query("token_presence", f"{WITH_D}, x AS (SELECT doc_id, count(*) AS total FROM cells WHERE value <> 0 GROUP BY doc_id) SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN total ELSE 0 END AS verified, total, CAST(CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END AS DOUBLE) AS rate, CASE WHEN doc_id % 2 = 0 THEN 'APPROVED' ELSE 'REJECTED' END AS status FROM x")
 def token_presence(spark, sf):
     cells = merges.to_cells(d_rows(spark, sf), "D")
     texts = cells.where("doc_id % 2 = 0 and value <> 0").groupBy("doc_id").agg(F.concat_ws(" ; ", F.collect_list(F.when(F.col("sl_no") % 2 == 0, numbers.indian_format(F.col("value"))).otherwise(numbers.western_format(F.col("value"))))).alias("text"))
