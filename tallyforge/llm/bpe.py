@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from .common import arrow_bounds, text_or_empty, written
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-DICTIONARY = 2_000_000  # pieces that are broadcast, at most
+DICTIONARY = 1_500_000  # pieces that are broadcast, at most
 DICTIONARY_BYTES = 64  # of a broadcast piece, at most
-MEMO = 250_000  # words that a task remembers, at most
+MEMO = 150_000  # words that a task remembers, at most
 LONG = 256
 _MAPS = 1 << 14
 _NONE = 2**31 - 1
@@ -133,34 +133,29 @@ def encode_piece(piece: Column, literal: Column) -> Column:
 
 
 class Splitter:
-    """Splits texts into pieces; most texts by spaces first, as a word is met again and again.
+    """Splits texts into pieces; most texts by lines and spaces first, as a word is met again and again.
 
-    Where no space stands beside other white space, no piece reaches over a space but with the one
-    before it: the pieces of `` word`` are the same in any text."""
+    Where no space or line feed stands beside other white space, no piece reaches over one of them but
+    with the one space before it, and a line feed is a piece of its own: the pieces of a line's first
+    word, and those of `` word``, are the same in any text."""
 
     def __init__(self, pat: str):
         import regex
 
-        self.find, self.mixed = regex.compile(pat).findall, regex.compile(r" \s|\s ").search
+        self.find, self.mixed = regex.compile(pat).findall, regex.compile(r"[ \n]\s|\s[ \n]").search
 
-    def words(self, text: str) -> tuple[list[str], list[str]]:
-        """Pieces of the text's start, and the words that follow, each of which has a space before it."""
-        if self.mixed(text):
-            return self.find(text), []
-        first, *words = text.split(" ")
-        return self.find(first), words
+    def lines(self, text: str) -> list[list[str]] | None:
+        """Words of the lines; all but a line's first have a space before them. None: split the text whole."""
+        if self.mixed(text) or text[:1] == "\n" or text[-1:] in ("\n", " "):
+            return None
+        return [line.split(" ") for line in text.split("\n")]
 
 
 class Dictionary:
     """Ids of known pieces: sorted hashes, for each a checksum and where its ids lie."""
 
     def __init__(self, hashes: bytes, checks: bytes, at: bytes, ids: bytes):
-        from array import array
-
-        self.hashes, self.checks, self.at, self.ids = array("Q"), array("I"), array("i"), ids
-        self.hashes.frombytes(hashes)
-        self.checks.frombytes(checks)
-        self.at.frombytes(at)
+        self.hashes, self.checks, self.at, self.ids = memoryview(hashes).cast("Q"), memoryview(checks).cast("I"), memoryview(at).cast("i"), ids
 
     def get(self, piece: bytes) -> str | None:
         """The piece's ids, if it is known."""
@@ -188,15 +183,22 @@ def count_pieces(docs: DataFrame, pat: str) -> DataFrame:
 
         def out():
             for n, kind in ((words, True), (pieces, False)):
-                if n:
+                if n:  # words have a space before them, pieces are as they are
                     yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array([kind] * len(n)), pa.array(list(n.values()), pa.int64())], ["x", "word", "n"])
                     n.clear()
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                first, rest = split.words(text)
-                pieces.update(first)
-                words.update(rest)
+                lines = split.lines(text)
+                if lines is None:
+                    pieces.update(split.find(text))
+                else:
+                    if len(lines) > 1:
+                        pieces["\n"] += len(lines) - 1
+                    for line in lines:
+                        for x in split.find(line[0]):
+                            pieces[x] += 1
+                        words.update(line[1:])
                 if len(words) + len(pieces) > 2 * MEMO:
                     yield from out()
         yield from out()
@@ -258,7 +260,8 @@ def encode(docs: DataFrame, path: str | None = None, pat: str | None = None, mos
         import pyarrow as pa
 
         split, pieces = Splitter(pat), Dictionary(*known.value)
-        memo: dict[str, str] = {}
+        memo: dict[str, str] = {}  # of words with a space before them
+        point = {c: pieces.get(c.encode()) for c in ".,"}
 
         def of(found: list[str], other: dict[str, str]) -> str:
             ids = []
@@ -269,24 +272,38 @@ def encode(docs: DataFrame, path: str | None = None, pat: str | None = None, mos
                 ids.append(got)
             return ",".join(ids)
 
+        def word(w: str, other: dict[str, str]) -> str:
+            """Ids of a word that isn't remembered; of one that ends in a point, by the word without it."""
+            if (got := memo.get(w)) is not None:
+                return got
+            if (end := point.get(w[-1:])) and w[-2:-1].isalpha():
+                return f"{word(w[:-1], other)},{end}"
+            got = of(split.find(" " + w), other)
+            if "#" not in got:
+                if len(memo) >= MEMO:
+                    memo.clear()
+                memo[w] = got
+            return got
+
         for batch in batches:
             stream, rest = [], []
             for text in batch.column(1).to_pylist():
                 other: dict[str, str] = {}
-                first, words = split.words(text)
-                out = [memo.get(w) for w in words]
-                if None in out:
-                    for i, x in enumerate(out):
-                        if x is None:
-                            w = words[i]
-                            out[i] = got = memo.get(w) or of(split.find(" " + w), other)
-                            if "#" not in got:
-                                if len(memo) >= MEMO:
-                                    memo.clear()
-                                memo[w] = got
-                if first:
-                    out.insert(0, of(first, other))
-                stream.append(",".join(out))
+                lines = split.lines(text)
+                if lines is None:
+                    stream.append(of(split.find(text), other))
+                else:
+                    out = []
+                    for line in lines:
+                        if out:
+                            out.append(of(["\n"], other))
+                        if line[0]:
+                            out.append(of(split.find(line[0]), other))
+                        ids = [memo.get(w) for w in line[1:]]
+                        if None in ids:
+                            ids = [word(line[i], other) if x is None else x for i, x in enumerate(ids, 1)]
+                        out += ids
+                    stream.append(",".join(out))
                 rest.append(list(other))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(stream, pa.string()), pa.array(rest, pa.list_(pa.string()))], [key, "stream", "rest"])
 
