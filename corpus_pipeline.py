@@ -34,8 +34,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and decoded texts."""
-    return bpe.digests(bpe.encode(docs))
+    """Token counts and digests of ids and decoded texts; the ids are written between, so that a task has one Python worker."""
+    return bpe.digests(written(bpe.encode(docs), "ids"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
