@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 from ..functions import closeness, numbers
 from ..functions import text as T
 from ..operators import checks, derive, fuzzy, merges, pages, rules, scores, spatial
-from ..session import table
+from ..session import shared_path, table
 from ..sources import readers
 from ..streaming import ingest
 from . import schema, statement
@@ -721,3 +721,18 @@ def event_sessions(spark, sf):
 def event_windows(spark, sf):
     w = ingest.windowed(table(spark, sf, "events")).withColumn("total", F.round("total", 4))
     return w.withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+@query(
+    "stream_page_ingest",
+    f"SELECT doc_id, {_TAGS} AS tags, {_UNIT.replace('u,', 'u,')} AS unit, len(list_filter(regexp_extract_all(text, '[0-9,.]+'), lambda x: regexp_matches(x, '[0-9]'))) AS n_tokens FROM (SELECT doc_id, text, lower(text) AS t, replace(lower(text), ' ', '') AS u FROM ({_DOC}))",
+)
+def stream_page_ingest(spark, sf):
+    """``documents`` as a stream of pages, routed as they arrive and written exactly once."""
+    source = f"{sf}/documents.parquet"
+    # a pattern, as the table may be one file or a folder of files
+    stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(f"{sf}/documents.parque[t]")
+    routed = ingest.route(_headed(stream.select("doc_id", "text"), "doc_id")).select("doc_id", F.array_join("tags", ",").alias("tags"), "unit", F.col("n_tokens").cast("bigint").alias("n_tokens"))
+    home = shared_path(spark, "ingest")
+    ingest.write_available(routed, f"{home}/out", f"{home}/state").awaitTermination()
+    return spark.read.schema(routed.schema).parquet(f"{home}/out")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numbers
 from ..operators import checks, derive, merges, pages
+from ..session import shared_path
 from . import schema
 
 PATTERNS = "block string, sl_no int, ord int, pattern string"
@@ -69,11 +70,7 @@ def supervise(cells: DataFrame, candidates: DataFrame, rounds: int = 5) -> tuple
 
     Each round is written by ``checkpoint`` to the folder that executors share; only documents with pending
     cells are worked on again. Returns cells, pending cells and the number of rounds."""
-    spark = cells.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallyforge-"))
+    shared_path(cells.sparkSession, "rounds")  # sets the checkpoint folder
     before, done = None, 0
     cells = cells.checkpoint()
     pending = checks.pending_cells(cells, candidates)
