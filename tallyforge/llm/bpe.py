@@ -27,10 +27,10 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_bounds, text_or_empty, written
+from .common import arrow_bounds, release, text_or_empty, written
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-DICTIONARY = 1_500_000  # pieces that are broadcast, at most
+DICTIONARY = 1_000_000  # pieces that are broadcast, at most
 DICTIONARY_BYTES = 64  # of a broadcast piece, at most
 MEMO = 150_000  # words that a task remembers, at most
 LONG = 256
@@ -202,6 +202,7 @@ def count_pieces(docs: DataFrame, pat: str) -> DataFrame:
                 if len(words) + len(pieces) > 2 * MEMO:
                     yield from out()
         yield from out()
+        release()
 
     def parts(batches):
         import pyarrow as pa
@@ -250,7 +251,10 @@ def encode(docs: DataFrame, path: str | None = None, pat: str | None = None, mos
     """(key, ids): each text's ids as decimal numbers joined by commas."""
     path, pat = path or vocabulary_path(), pat or pattern()
     spark, literal = docs.sparkSession, rank_literal(load_ranks(path))
+    spark.conf.set("spark.sql.maxPlanStringLength", "100000")  # or each plan's description holds the literal
+    release()
     known = spark.sparkContext.broadcast(dictionary(docs, literal, pat, most))
+    release()
     ranks = spark.sparkContext.broadcast(load_ranks(path))
     arrow_bounds(spark)
     kind = dict(docs.dtypes)[key]
@@ -306,6 +310,8 @@ def encode(docs: DataFrame, path: str | None = None, pat: str | None = None, mos
                     stream.append(",".join(out))
                 rest.append(list(other))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(stream, pa.string()), pa.array(rest, pa.list_(pa.string()))], [key, "stream", "rest"])
+        memo.clear()
+        release()
 
     rows = docs.select(key, text_or_empty().alias("text")).mapInArrow(look_up, f"`{key}` {kind}, stream string, rest array<string>")
     rows = rows.withColumn("rest", F.transform("rest", lambda w: encode_piece(w, literal)))

@@ -63,7 +63,7 @@ def text_or_empty(name: str = "text") -> Column:
 def arrow_bounds(spark: SparkSession) -> None:
     """Hold Arrow batches to sizes that a Python worker takes whatever the length of the texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def utf8_buffers(column) -> tuple[np.ndarray, np.ndarray]:
@@ -77,3 +77,16 @@ def utf8_buffers(column) -> tuple[np.ndarray, np.ndarray]:
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64, len(column) + 1, column.offset * 8)
     return np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8), at
+
+
+def release() -> None:
+    """Hand memory that large arrays have left behind back to the system, where the C library can."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import contextlib
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ STATE = f"digest string, n bigint, keep {KEEP}"
 ROCKS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
 }
 
 
@@ -39,7 +40,7 @@ def located(docs: DataFrame) -> DataFrame:
     """The same rows read from files, so that file and row number locate each; lands them if need be."""
     try:
         docs.select("_metadata.file_path", "_metadata.row_index")
-    except Exception:  # not read from files: an analysis error
+    except AnalysisException:  # not read from files
         return written(docs, "landed")
     return docs
 

@@ -23,10 +23,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ngrams
-from .common import arrow_bounds, text_or_empty, utf8_buffers
+from .common import arrow_bounds, release, text_or_empty, utf8_buffers
 
 UND = "und"
-PER_LANGUAGE = 300  # labelled rows of each language that the classifiers are fitted on, at most
+PER_LANGUAGE = 250  # labelled rows of each language that the classifiers are fitted on, at most
 MOST_LANGUAGES = 1000  # more are refused
 SHARP = 4.0  # steepness of the score
 AMBIGUOUS = 0.5  # below this score: no language has half of the weight
@@ -80,9 +80,9 @@ def fit(x: np.ndarray, names: list[str], seed: int = 5) -> Model:
     held = np.arange(len(x)) % 5 == 4
     if held.sum() < 20 or len(set(np.array(names)[~held])) < len(languages):
         held[:] = False
-    w, b = ngrams.logistic(x[~held], y[~held])
+    w, b = ngrams.logistic(x, y, use=~held)
     seen = held if held.any() else ~held
-    loss = np.logaddexp(0, -(x[seen] @ w + b) * (2.0 * y[seen] - 1)).mean(0)
+    loss = np.logaddexp(0, -(x @ w + b) * (2.0 * y - 1))[seen].mean(0)
     return Model(languages, code, w, b, 1 / (0.05 + loss))
 
 
@@ -107,6 +107,7 @@ def _bound(wanted: int, there: int) -> int:
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Fit on a bounded sample of docs; the n-grams are counted on the executors."""
+    release()
     rows = sample(docs, per_language)
     if rows is None:
         return Model([], np.zeros((0, 0), np.int8), np.zeros((ngrams.DIM, 0), np.float32), np.zeros(0, np.float32), np.zeros(0))
@@ -119,8 +120,14 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([r.tobytes() for r in x], pa.binary())], ["lang", "h", "x"])
 
     got = sorted(rows.mapInArrow(vectors, "lang string, h bigint, x binary").collect(), key=lambda r: (r["h"], r["lang"], r["x"]))
-    x = np.stack([np.frombuffer(r["x"], np.float16) for r in got]).astype(np.float32)
-    return fit(x, [r["lang"] for r in got])
+    x, names = np.zeros((len(got), ngrams.DIM), np.float32), [r["lang"] for r in got]
+    for k, r in enumerate(got):
+        x[k] = np.frombuffer(r["x"], np.float16)
+    del got
+    model = fit(x, names)
+    del x
+    release()
+    return model
 
 
 def predict(docs: DataFrame, model: Model, names: tuple[str, str, str] = ("lang_pred", "score", "ambiguous")) -> DataFrame:

@@ -23,7 +23,7 @@ def _hashed(x: np.ndarray) -> np.ndarray:
 
 def counts(data: np.ndarray, at: np.ndarray, table: np.ndarray = _LETTER):
     """For each text (bytes and offsets) the counts of its n-grams, an array of DIM; table: what a byte counts as."""
-    chunk = 4 << 20
+    chunk = 1 << 20
     n, first = len(at) - 1, 0
     while first < n:
         last = max(first + 1, int(np.searchsorted(at, at[first] + chunk, "right")) - 1)
@@ -50,15 +50,19 @@ def features(data: np.ndarray, at: np.ndarray, table: np.ndarray = _LETTER) -> n
     return out
 
 
-def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 300, l2: float = 1e-4, rate: float = 8.0) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and biases of one logistic regression for each column of y (0, 1), by accelerated descent."""
-    n, d = x.shape
+def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 300, l2: float = 1e-4, rate: float = 8.0, use: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and biases of one logistic regression for each column of y (0, 1), by accelerated descent.
+
+    ``use``: which rows count; the others stay where they are, so that x isn't copied."""
+    d = x.shape[1]
+    share = (np.ones(len(x)) if use is None else use.astype(float)).astype(np.float32)[:, None]
+    share /= max(1.0, float(share.sum()))
     y = y.astype(np.float32)
     w, b = np.zeros((d, y.shape[1]), np.float32), np.zeros(y.shape[1], np.float32)
     vw, vb = w.copy(), b.copy()
     for k in range(rounds):
-        g = 1 / (1 + np.exp(-np.clip(x @ vw + vb, -30, 30))) - y
-        gw, gb = x.T @ g / n + l2 * vw, g.mean(0)
+        g = (1 / (1 + np.exp(-np.clip(x @ vw + vb, -30, 30))) - y) * share
+        gw, gb = x.T @ g + l2 * vw, g.sum(0)
         w2, b2 = vw - rate * gw, vb - rate * gb
         m = k / (k + 3)
         vw, vb, w, b = w2 + m * (w2 - w), b2 + m * (b2 - b), w2, b2
