@@ -1,7 +1,8 @@
 """The corpus pipeline: documents to token counts, by five of the text operators.
 
 Each stage is a function of (spark, docs, sf_dir); what it returns is written as Parquet and read
-again as the next one's docs. All but the last return the columns of documents."""
+again as the next one's docs. All but the last return the columns of documents. As a stage's result has
+been written when the next is called, each begins by deleting the work tables of those before it."""
 
 from __future__ import annotations
 
@@ -9,32 +10,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import bpe, dartminhash, exact_dedup, langid, mixing
+from tallyforge.llm import bpe, common, dartminhash, exact_dedup, langid, mixing
 from tallyforge.llm.common import written
 
+#: Where the work folders of this run begin; those of other queries stay.
+_began = 0
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; those without a letter, or of no clear language, go."""
+    global _began
+    _began = common.mark()
     return langid.accepted_documents(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one with the largest doc_id."""
+    common.clear(spark, _began)
     return exact_dedup.kept_documents(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near-duplicates the document with the least doc_id."""
+    common.clear(spark, _began)
     return dartminhash.kept_documents(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of sources: a document as often as it is taken, and the words of its partial take."""
+    common.clear(spark, _began)
     return mixing.mixed_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded texts; the ids are written between, so that a task has one Python worker."""
+    common.clear(spark, _began)
     return bpe.digests(written(bpe.encode(docs), "ids"))
 
 

@@ -90,3 +90,25 @@ def release() -> None:
     pa.default_memory_pool().release_unused()
     if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
         trim(0)
+
+
+def tidy(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans that nothing refers to any more; it does so when the JVM collects garbage."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def mark() -> int:
+    """A point in the row of work folders, for ``clear``."""
+    return len(_made)
+
+
+def clear(spark: SparkSession, since: int, keep: str = "/stage-") -> None:
+    """Delete the work folders made since a point, but those whose path has ``keep``: for callers that have
+    written what they wanted of every table that operators have returned since."""
+    tidy(spark)
+    for item in [x for x in _made[since:] if keep not in x[1]]:
+        remove(spark, item[1])
+        _made.remove(item)
