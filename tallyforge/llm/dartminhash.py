@@ -9,8 +9,9 @@ each coordinate is the signature. A text that lacks a coordinate looks twice as
 
 Texts with the same set of shingles are one node. Nodes that share a band of coordinates are linked
 to the least node of the bucket, if the Jaccard likeness of their shingle sets is at least 0.8.
-Buckets whose nodes are not yet of one component are split by pairs of bands and linked anew, so
-that a bucket's least node isn't its only way to be joined. Pairs of a bucket are never all emitted.
+Buckets whose nodes are not yet of one component are split by pairs of bands and linked anew; in what
+is left of several components every pair of nodes of different components is verified, in blocks of
+nodes, so that each pair that shares a band is of one class or known to be below the likeness.
 
 Defined results: a null text counts as empty; texts without a word are one class; rows with equal
 doc_id are rows of their own; a null doc_id names a class only if no other row is in it; an empty
@@ -22,6 +23,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import shingles
 from .common import arrow_bounds, release, text_or_empty, tidy, utf8_buffers, written
@@ -32,6 +34,7 @@ LIKE = 0.8
 BANDS, ROWS = 20, 4
 COORDINATES = BANDS * ROWS
 DARTS = COORDINATES * (np.log(COORDINATES) + 3)
+BLOCK_NODES, BLOCK_BYTES = 64, 1 << 22  # of a block of a bucket, at most but for one node
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 OWN = "struct<no_id:boolean,doc_id:bigint,file:string,row:bigint>"
 
@@ -187,6 +190,68 @@ def _linked(shared: DataFrame, rows: DataFrame, tested: DataFrame | None) -> tup
     return pairs, written(verified(pairs, needed_texts(rows, needed)), "links")
 
 
+def _rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) of all nodes, written; one without links is its own root."""
+    return written(nodes.select("node").join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root")), "member")
+
+
+def _split(shared: DataFrame, member: DataFrame) -> DataFrame:
+    """(band, h, node, root) of the buckets whose nodes are of several components; written."""
+    placed = written(shared.select("band", "h", "node").join(member, "node"), "placed")
+    split = placed.groupBy("band", "h").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("band", "h")
+    return written(placed.join(written(split, "split"), ["band", "h"]), "open")
+
+
+def _rest(apart: DataFrame, nodes: DataFrame, rows: DataFrame, like: float = LIKE) -> DataFrame:
+    """Links (a, b) among all pairs of nodes of different components in the buckets of ``apart``; written.
+
+    A bucket's nodes are dealt into blocks by component, and two blocks meet unless both are of the same
+    one. A pair is verified in the first band that it shares, and only there."""
+    texts = needed_texts(rows, written(apart.select("node").distinct(), "needed"))
+    weight = F.greatest(F.octet_length("text").cast("bigint"), F.lit(BLOCK_BYTES // BLOCK_NODES))
+    weights = texts.select("node", weight.alias("weight"))
+    line = Window.partitionBy("band", "h").orderBy("root", "node")
+    blocks = written(apart.join(weights, "node").withColumn("block", F.floor((F.sum("weight").over(line) - 1) / F.lit(BLOCK_BYTES))), "blocks")
+    ends = blocks.groupBy("band", "h", "block").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+    meet = ends.select("band", "h", F.col("block").alias("i"), "x").join(ends.select("band", "h", F.col("block").alias("j"), "y"), ["band", "h"]).where("i <= j and x != y").select("band", "h", "i", "j")
+    sides = meet.select("*", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
+    dealt = sides.join(blocks.select("band", "h", "block", "node", "root"), ["band", "h", "block"])
+    dealt = dealt.join(nodes.select("node", "bands"), "node").join(texts, "node").select("band", "h", "i", "j", "block", "node", "root", "bands", "text")
+
+    def compare(table):
+        import pyarrow as pa
+
+        node, root = table["node"].to_pylist(), np.unique(np.array([x.hex() for x in table["root"].to_pylist()]), return_inverse=True)[1]
+        bands = np.array(table["bands"].to_pylist(), np.int64).reshape(len(node), BANDS)
+        band, i, j = (table[c][0].as_py() for c in ("band", "i", "j"))
+        block = table["block"].to_numpy()
+        sets = [shingles.shingle_set((x or "").encode()) for x in table["text"].to_pylist()]
+        size = np.array([len(x) for x in sets])
+        right = np.flatnonzero(block == j)
+        flat, owner = np.concatenate([sets[k] for k in right]), np.repeat(np.arange(len(right)), size[right])
+        out_a, out_b = [], []
+        for k in np.flatnonzero(block == i):
+            first = (bands[right] == bands[k]).argmax(1) == band
+            could = first & (root[right] != root[k]) & (np.minimum(size[right], size[k]) >= like * np.maximum(size[right], size[k]))
+            if i == j:
+                could &= right > k
+            if not could.any():
+                continue
+            if size[k]:
+                some = could[owner]
+                at = np.minimum(np.searchsorted(sets[k], flat[some]), size[k] - 1)
+                both = np.bincount(owner[some][sets[k][at] == flat[some]], minlength=len(right))
+            else:
+                both = np.zeros(len(right), int)
+            union = size[right] + size[k] - both
+            for m in right[could & (both >= like * union)]:
+                out_a.append(node[k])
+                out_b.append(node[m])
+        return pa.table({"a": pa.array(out_a, pa.binary()), "b": pa.array(out_b, pa.binary())})
+
+    return written(dealt.groupBy("band", "h", "i", "j").applyInArrow(compare, "a binary, b binary").distinct(), "links")
+
+
 def near_classes(docs: DataFrame) -> DataFrame:
     """A row for each row of docs: own, doc_id, class_id (its class's least doc_id), class_size, kept."""
     rows = signed(docs)
@@ -194,19 +259,22 @@ def near_classes(docs: DataFrame) -> DataFrame:
     buckets = nodes.select("node", F.posexplode("bands").alias("band", "h"))
     shared = shared_buckets(buckets, ["band", "h"])
     pairs, links = _linked(shared, rows, None)
-    root = components(links)
-    member = nodes.select("node").join(root, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
-    # buckets whose nodes are of several components
-    placed = written(shared.select("band", "h", "node").join(written(member, "member"), "node"), "placed")
-    split = placed.groupBy("band", "h").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("band", "h")
+    member = _rooted(nodes, links)
+    apart = _split(shared, member)
     # a node is in BANDS buckets at most
-    own = placed.join(written(split, "split"), ["band", "h"]).groupBy("node").agg(F.array_sort(F.collect_list(F.struct("band", "h"))).alias("s")).where(F.size("s") > 1)
+    own = apart.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("band", "h"))).alias("s")).where(F.size("s") > 1)
     two = own.select("node", F.explode(F.flatten(F.transform("s", lambda x, i: F.transform(F.slice("s", i + 2, F.size("s")), lambda y: F.struct(x["band"].alias("i"), y["band"].alias("j"), F.xxhash64(x["h"], y["h"]).alias("h")))))).alias("p"))
     two = written(two.select("node", "p.*"), "two")
     if not two.isEmpty():
         _, more = _linked(shared_buckets(two, ["i", "j", "h"]), rows, pairs)
-        root = components(links.union(more))
-        member = nodes.select("node").join(root, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+        if not more.isEmpty():
+            links = links.union(more)
+            member = _rooted(nodes, links)
+            apart = _split(apart, member.select("node", "root"))
+    if not apart.isEmpty():
+        last = _rest(apart, nodes, rows)
+        if not last.isEmpty():
+            member = _rooted(nodes, links.union(last))
     of = nodes.select("node", "least", "n").join(member, "node")
     classes = of.groupBy("root").agg(F.min("least").alias("keep"), F.sum("n").alias("class_size"))
     of = written(of.select("node", "root").join(classes, "root").select("node", "keep", "class_size"), "classes")

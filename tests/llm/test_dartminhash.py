@@ -51,6 +51,17 @@ def test_long_chain_is_one_class(spark, words):
     assert {(r.class_id, r.class_size) for r in out} == {(0, 40)}
 
 
+def test_copies_meet_in_a_bucket_whose_least_node_is_neither(spark):
+    """Texts that share a passage just under the likeness, with near copies among them, and one band for all."""
+    shared = [f"p{k}" for k in range(180)]
+    rows = []
+    for k in range(60):
+        both = [*shared, *(f"b{k}w{j}" for j in range(4))]
+        rows += [(2 * k + e, " ".join([*both, *(f"t{k}e{e}w{j}" for j in range(20))])) for e in (0, 1)]
+    out = dm.near_classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted({(r.class_id, r.class_size) for r in out}) == brute(rows) == [(2 * k, 2) for k in range(60)]
+
+
 def test_signature_estimates_weighted_likeness():
     rng = np.random.default_rng(0)
     pool = rng.integers(0, 2**63, 400, dtype=np.uint64)
