@@ -1,6 +1,8 @@
 """Near-duplicate detection with DartMinHash signatures.
 
-Elements are five-word shingles, weighted 1 + floor(log2(occurrences)). For every element, darts
+Elements are five-word shingles. ``signatures`` weighs them 1 + floor(log2(occurrences)); the bands are
+made of distinct shingles, each of weight 1, as what is verified is the likeness of sets, and so that
+texts with the same set have the same bands. For every element, darts
 fall on the plane of weight and rank: its region is split into dyadic strips of weight, and in a
 strip the darts' ranks are a Poisson process with the strip's width as its rate, made from the
 element's hash alone. A text of total weight W sees the darts with rank below t / W that lie under
@@ -99,7 +101,7 @@ def node_and_bands(data: np.ndarray, at: np.ndarray) -> tuple[list[bytes], np.nd
             np.add.at(one, ds[new], shingles.mix(hs[new] + np.uint64(1)))
             np.add.at(two, ds[new], shingles.mix(hs[new] ^ _GOLD))
             nodes += [x.tobytes() for x in np.stack((one, two), 1)]
-            sig = np.ascontiguousarray(signatures(h, doc, n)).view(np.uint64).reshape(n, BANDS, ROWS)
+            sig = np.ascontiguousarray(signatures(hs[new], ds[new], n)).view(np.uint64).reshape(n, BANDS, ROWS)
             key = np.zeros((n, BANDS), np.uint64)
             for r in range(ROWS):
                 key = shingles.mix(key * np.uint64(31) + sig[:, :, r])

@@ -75,6 +75,19 @@ def test_signature_estimates_weighted_likeness():
     assert abs(many - want) < 0.03
 
 
+def test_bands_are_of_sets_whatever_the_counts():
+    """A text and the same text pasted several times share bands; equal sets have equal ones."""
+    texts = []
+    for k in range(20):
+        one = " ".join(f"t{k}w{j}" for j in range(200))
+        texts += [one, " ".join([one] * 8), f"{one} {one}", f"{one} {one} {one}"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    nodes, bands = dm.node_and_bands(data, np.cumsum([0, *map(len, texts)]))
+    for k in range(0, len(texts), 4):
+        assert (bands[k] == bands[k + 1]).any()
+        assert nodes[k + 1] == nodes[k + 2] == nodes[k + 3] and (bands[k + 1] == bands[k + 2]).all() and (bands[k + 1] == bands[k + 3]).all()
+
+
 def test_shingles_are_as_words_in_python(odd_rows):
     for r in odd_rows:
         t = r[1] or ""
