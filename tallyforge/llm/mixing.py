@@ -1,9 +1,10 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
-The words of the mix are equal blocks. Sources get blocks by highest quotients of their targets
+The seats of the mix are its words. Sources get them by highest quotients of their targets
 (t / 1, t / 3, t / 5, ...), and within a source so do its shards, by their words. In a shard the
-documents lie end to end in a seeded order; the shard's quota takes each of its blocks as often as
-it divides, and the rest by a seeded permutation. Texts are read once, for their sizes; only
+documents lie end to end in a seeded order; the shard's quota takes all its words as often as it
+divides, and the rest by blocks in a seeded permutation, of the last one only the first words that
+are due. Blocks bound the plan, not what is taken. Texts are read once, for their sizes; only
 identifiers and sizes are shuffled. A source has as many shards as its documents need, so a
 source with a third of all rows is dealt out over many tasks.
 
@@ -91,7 +92,7 @@ def sized(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
 
 
 def plan_sources(rows: DataFrame, weights=WEIGHTS, docs_per_shard: int = DOCS_PER_SHARD, block: int | None = None) -> tuple[list[dict], int]:
-    """The mix's sources (by code point, null last) with targets and blocks, and the words in a block."""
+    """The mix's sources (by code point, null last) with targets and seats (words), and the words in a block."""
     found = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).limit(MOST_SOURCES + 1).collect()
     if len(found) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
@@ -99,28 +100,24 @@ def plan_sources(rows: DataFrame, weights=WEIGHTS, docs_per_shard: int = DOCS_PE
     sizes = [r["size"] for r in found]
     want = targets(sizes, [weights[i % len(weights)] for i in range(len(found))]) if found else []
     block = block or max(1, min(MOST_BLOCK, sum(sizes) // (BLOCKS_PER_SOURCE * max(1, len(found)))))
-    blocks = apportion(want, round(math.fsum(want) / block), [MOST * -(-s // block) for s in sizes]) if found else []
+    seats = apportion(want, round(math.fsum(want)), [MOST * s for s in sizes]) if found else []
     return [
-        {"source": r["source"], "idx": i, "source_size": r["size"], "target": want[i], "blocks": blocks[i], "shards": max(1, -(-r["n"] // docs_per_shard))}
+        {"source": r["source"], "idx": i, "source_size": r["size"], "target": want[i], "seats": seats[i], "shards": max(1, -(-r["n"] // docs_per_shard))}
         for i, r in enumerate(found)
     ], block
 
 
-PLAN = "source string, idx int, source_size bigint, target double, blocks bigint, shards bigint"
+PLAN = "source string, idx int, source_size bigint, target double, seats bigint, shards bigint"
 
 
-def _quotas(block: int):
-    def of_source(pdf: pd.DataFrame) -> pd.DataFrame:
-        """The source's blocks among its shards; one row a shard."""
-        pdf = pdf.sort_values("shard")
-        m = [-(-int(w) // block) for w in pdf["words"]]
-        pdf["quota"] = apportion([float(w) for w in pdf["words"]], int(pdf["blocks"].iloc[0]), [MOST * x for x in m])
-        return pdf[["idx", "shard", "words", "quota"]]
+def _quotas(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The source's words among its shards; one row a shard."""
+    pdf = pdf.sort_values("shard")
+    pdf["quota"] = apportion([float(w) for w in pdf["words"]], int(pdf["seats"].iloc[0]), [MOST * int(w) for w in pdf["words"]])
+    return pdf[["idx", "shard", "words", "quota"]]
 
-    return of_source
 
-
-def placed(rows: DataFrame, plan: list[dict], block: int, seed: int) -> DataFrame:
+def placed(rows: DataFrame, plan: list[dict], seed: int) -> DataFrame:
     """Each row with its source's plan, its place in its shard (first word) and the shard's quota."""
     spark = rows.sparkSession
     sources = spark.createDataFrame([tuple(p.values()) for p in plan], PLAN)
@@ -129,21 +126,28 @@ def placed(rows: DataFrame, plan: list[dict], block: int, seed: int) -> DataFram
     rows = rows.join(sources, rows["source"].eqNullSafe(sources["source"])).drop(sources["source"])
     order = F.xxhash64(F.col("doc_id"), F.col("digest"), F.lit(seed))
     rows = rows.withColumns({"order": order, "shard": F.pmod(F.xxhash64(order, F.lit(seed + 1)), F.col("shards"))})
-    shards = rows.groupBy("idx", "shard").agg(F.sum("size").alias("words"), F.first("blocks").alias("blocks"))
-    quotas = shards.groupBy("idx").applyInPandas(_quotas(block), "idx int, shard bigint, words bigint, quota bigint")
+    shards = rows.groupBy("idx", "shard").agg(F.sum("size").alias("words"), F.first("seats").alias("seats"))
+    quotas = shards.groupBy("idx").applyInPandas(_quotas, "idx int, shard bigint, words bigint, quota bigint")
     line = Window.partitionBy("idx", "shard").orderBy("order", "doc_id", "digest")
     rows = rows.withColumn("start", F.sum("size").over(line) - F.col("size"))
     return rows.join(quotas, ["idx", "shard"])
 
 
-def _overlaps(block: int, seed: int) -> tuple[Column, Column, Column]:
-    """Whole passes over the shard, and of the last pass the blocks of a row: their first and the selected ones."""
-    m = F.ceil(F.col("words") / F.lit(block)).cast("bigint")
-    passes, rest = F.expr(f"quota div greatest(1, ceil(words / {block}))"), F.pmod(F.col("quota"), F.greatest(F.lit(1), m))
+def _overlaps(block: int, seed: int) -> tuple[Column, Column]:
+    """Whole passes over the shard, and of the last pass the runs of a row's words that are taken."""
+    words, m = F.col("words"), F.ceil(F.col("words") / F.lit(block)).cast("bigint")
+    passes, rest = F.expr("quota div greatest(1, words)"), F.pmod(F.col("quota"), F.greatest(F.lit(1), words))
     offset = F.pmod(F.xxhash64(F.col("idx"), F.col("shard"), F.lit(seed + 2)), F.greatest(F.lit(1), m))
+    turn = lambda i: F.pmod(i * F.lit(STRIDE) + offset, m)
     blocks = F.when((F.col("size") > 0) & (rest > 0), F.sequence(F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}"))).otherwise(F.expr("array()").cast("array<bigint>"))
-    picked = F.filter(blocks, lambda i: F.pmod(i * F.lit(STRIDE) + offset, m) < rest)
-    return passes, blocks, picked
+
+    def run(i: Column) -> Column:
+        lack = F.when(turn(i) > turn(m - 1), m * block - words).otherwise(0)  # the last block is short
+        there = F.least(F.lit(block), words - i * block)
+        due = F.greatest(F.lit(0), F.least(there, rest - turn(i) * block + lack))
+        return F.struct(F.greatest(i * block - F.col("start"), F.lit(0)).alias("first"), F.least(i * block + due - F.col("start"), F.col("size")).alias("end"))
+
+    return passes, F.filter(F.transform(blocks, run), lambda x: x["end"] > x["first"])
 
 
 def mix(docs: DataFrame, seed: int = 17, weights=WEIGHTS, docs_per_shard: int = DOCS_PER_SHARD, block: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -154,12 +158,10 @@ def mix(docs: DataFrame, seed: int = 17, weights=WEIGHTS, docs_per_shard: int =
     same rows."""
     rows = sized(docs, carry)
     plan, block = plan_sources(rows, weights, docs_per_shard, block)
-    passes, _, picked = _overlaps(block, seed)
-    rows = placed(rows, plan, block, seed).select(*carry, "doc_id", "digest", "source", "size", "source_size", "target", "start", passes.alias("passes"), picked.alias("picked"))
-    first, end = lambda i: F.greatest(i * block - F.col("start"), F.lit(0)), lambda i: F.least((i + 1) * block - F.col("start"), F.col("size"))
-    rows = rows.withColumn("ranges", F.transform("picked", lambda i: F.struct(first(i).alias("first"), end(i).alias("end"))))
+    passes, ranges = _overlaps(block, seed)
+    rows = placed(rows, plan, seed).select(*carry, "doc_id", "digest", "source", "size", "source_size", "target", passes.alias("passes"), ranges.alias("ranges"))
     part = F.aggregate("ranges", F.lit(0).cast("bigint"), lambda a, r: a + r["end"] - r["first"])
-    return rows.withColumn("taken", F.col("passes") * F.col("size") + part).drop("picked", "start")
+    return rows.withColumn("taken", F.col("passes") * F.col("size") + part)
 
 
 def mixed_documents(docs: DataFrame, seed: int = 17, weights=WEIGHTS) -> DataFrame:

@@ -64,6 +64,19 @@ def test_many_shards(odd):
         assert abs(taken[s] - target[s]) <= 5 * (shards[s] + 1)
 
 
+def test_small_sources_meet_their_targets_whatever_the_block(spark):
+    """Sources far below a block, and shards whose last block is short."""
+    rows = [(k, f"w{k} " * 100, f"big{k % 3}") for k in range(300)] + [(1000 + k, "a b c d e f g h i j", "small") for k in range(6)] + [(2000, "x " * 1000, "zmid")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    for shard in (2000, 7):
+        taken, target = defaultdict(int), {}
+        for r in mixing.mix(docs, docs_per_shard=shard, block=4096).collect():
+            taken[r.source] += r.taken
+            target[r.source] = r.target
+            assert r.taken <= 3 * r["size"]
+        assert all(abs(taken[s] - target[s]) <= 1 for s in target), (dict(taken), target)
+
+
 def test_mixed_documents_hold_what_is_taken(odd):
     docs = mixing.mixed_documents(odd)
     assert docs.columns == odd.columns
