@@ -3,22 +3,27 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+FILTER_BYTES = 64 << 20  # of a bitmap that is broadcast, at most
 _made: list[tuple[object, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests on one machine) a temporary folder stands in."""
+    Where the setting is absent a temporary folder stands in, but only if Spark runs on this machine alone."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="tallyforge-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
@@ -60,6 +65,75 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings that hold within a block."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like these that df doesn't have."""
+    there, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in there:
+            name += "_"
+        there.add(name.lower())
+        out.append(name)
+    return out
+
+
+def place(docs: DataFrame) -> tuple[Column, Column]:
+    """File and row number of each row of a table that ``located`` returned, whatever its own columns are called."""
+    meta = docs.metadataColumn("_metadata")
+    return meta["file_path"], meta["row_index"]
+
+
+def located(docs: DataFrame) -> DataFrame:
+    """The same rows read from files, so that file and row number locate each; lands them if need be."""
+    try:
+        docs.select(*place(docs)).schema  # noqa: B018  resolves the columns
+    except AnalysisException:  # not read from files
+        return written(docs, "landed")
+    return docs
+
+
+def flagged(rows: DataFrame, key: Column, keys: DataFrame, flag: str) -> DataFrame:
+    """rows with a boolean ``flag``: false only where no row of keys, hashes in its one column, equals ``key``.
+
+    The keys are a bitmap of about 16 bits each, ``FILTER_BYTES`` at most, which is broadcast: rows are
+    told apart where they are read. A bitmap that is too small flags more rows, never fewer."""
+    bits = 1 << max(15, min((8 * FILTER_BYTES).bit_length() - 1, (16 * keys.count()).bit_length()))
+    of = lambda c: F.pmod(c, F.lit(bits)) + 1
+    at, bucket, bitmap = fresh(rows, "at", "bucket", "bitmap")
+    h = of(F.col(f"`{keys.columns[0]}`"))
+    maps = keys.groupBy(F.bitmap_bucket_number(h).alias(bucket)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(h)).alias(bitmap))
+    spot = F.bitmap_bit_position(F.col(at))
+    octet = F.conv(F.hex(F.substring(F.col(bitmap), (F.shiftright(spot, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = octet.bitwiseAND(F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), (F.pmod(spot, F.lit(8)) + 1).cast("int"))) != 0
+    met = rows.withColumn(at, of(key)).withColumn(bucket, F.bitmap_bucket_number(F.col(at))).join(F.broadcast(maps), bucket, "left")
+    return met.withColumn(flag, F.coalesce(bit, F.lit(False))).drop(at, bucket, bitmap)
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of a located table but those at ``dropped`` (file, row), a written table.
+
+    Only rows whose place may be among them are dealt out; the others stay where they are read."""
+    file, row, flag = fresh(docs, "file", "row", "flag")
+    at_file, at_row = place(docs)
+    rows = docs.withColumns({file: at_file, row: at_row})
+    rows = flagged(rows, F.xxhash64(file, row), dropped.select(F.xxhash64("file", "row")), flag)
+    gone = dropped.select(F.col("file").alias(file), F.col("row").alias(row))
+    stay = rows.where(~F.col(flag)).unionByName(rows.where(F.col(flag)).join(gone, [file, row], "left_anti"))
+    return stay.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def arrow_bounds(spark: SparkSession) -> None:
     """Hold Arrow batches to sizes that a Python worker takes whatever the length of the texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")

@@ -28,9 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import shingles
-from .common import arrow_bounds, release, text_or_empty, tidy, utf8_buffers, written
+from .common import arrow_bounds, flagged, located, place, release, text_or_empty, tidy, utf8_buffers, without, written
 from .components import components
-from .exact_dedup import located
 
 LIKE = 0.8
 BANDS, ROWS = 20, 4
@@ -113,7 +112,8 @@ def signed(docs: DataFrame) -> DataFrame:
     """(own, node, bands, text) for each row; written. own: what tells rows apart and orders them."""
     docs = located(docs)
     arrow_bounds(docs.sparkSession)
-    own = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    file, row = place(docs)
+    own = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").cast("bigint").alias("doc_id"), file.alias("file"), row.alias("row"))
 
     def sign(batches):
         import pyarrow as pa
@@ -134,28 +134,9 @@ def shared_buckets(buckets: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def needed_texts(rows: DataFrame, needed: DataFrame) -> DataFrame:
-    """(node, text) of the needed nodes, written. A bitmap of hashes, of a bounded size, keeps most other
-    texts from being dealt out; what it lets through by chance falls in the join."""
-    bits = 1 << max(16, min(29, (16 * needed.count()).bit_length()))
-    place = F.pmod(F.xxhash64("node"), F.lit(bits)) + 1
-    parts = needed.groupBy(F.bitmap_bucket_number(place).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("x")).collect()
-    bitmap = np.zeros(bits // 8 + 8192, np.uint8)
-    for p in parts:
-        at = (p["k"] - 1) * 4096
-        bitmap[at : at + 4096] = np.frombuffer(p["x"], np.uint8)
-    shared = rows.sparkSession.sparkContext.broadcast(bitmap)  # 64 MB at most
-
-    def keep(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            at = batch.column(2).to_numpy() - 1
-            batch = batch.filter(pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["node", "text"])
-
-    arrow_bounds(rows.sparkSession)
-    some = rows.select("node", "text", place.alias("place")).mapInArrow(keep, "node binary, text string")
-    # copies of a node collapse before they are dealt out
+    """(node, text) of the needed nodes, written. A bitmap of a bounded size keeps most other texts from
+    being dealt out; what it lets through by chance falls in the join. Copies collapse before they are dealt out."""
+    some = flagged(rows.select("node", "text"), F.xxhash64("node"), needed.select(F.xxhash64("node")), "hit").where("hit")
     return written(some.groupBy("node").agg(F.any_value("text").alias("text")).join(needed, "node", "left_semi"), "texts")
 
 
@@ -287,9 +268,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
 def kept_documents(docs: DataFrame) -> DataFrame:
     """One row of each class, with all columns of docs."""
     docs = located(docs)
-    keep = near_classes(docs).where("kept").select(F.col("own.file").alias("__file"), F.col("own.row").alias("__row"))
-    rows = docs.withColumns({"__file": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index")})
-    return rows.join(keep, ["__file", "__row"], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return without(docs, written(near_classes(docs).where("not kept").select("own.file", "own.row"), "dropped"))
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:

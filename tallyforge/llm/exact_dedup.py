@@ -13,21 +13,23 @@ storage stays; an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
-import contextlib
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, work_path, written
+from .common import flagged, located, place, remove, settings, text_or_empty, without, work_path, written
 
 #: Of an arrival's row, in the order that decides which row stays.
 KEEP = "struct<doc_id:bigint,file:string,row:bigint>"
-STATE = f"digest string, n bigint, keep {KEEP}"
+ROWS_PER_STATE = 1_000_000  # keys of a partition of the state, about
+LEAST_PER_STATE = 20_000  # smaller tables take fewer partitions than there are cores
 ROCKS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
+    # commits write what changed; small stores reserve no disk ahead, and closed ones go soon
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.maintenanceInterval": "10s",
 }
 
 
@@ -36,46 +38,36 @@ def sha256_text(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """The same rows read from files, so that file and row number locate each; lands them if need be."""
-    try:
-        docs.select("_metadata.file_path", "_metadata.row_index")
-    except AnalysisException:  # not read from files
-        return written(docs, "landed")
-    return docs
+def sha256_bytes(text: Column) -> Column:
+    """The 32 bytes of the SHA-256 of a text's UTF-8 bytes."""
+    return F.unhex(sha256_text(text))
 
 
-def _own() -> Column:
-    return F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+def _own(docs: DataFrame) -> Column:
+    file, row = place(docs)
+    return F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), file.alias("file"), row.alias("row"))
 
 
-def arrivals(docs: DataFrame, digest=sha256_text) -> DataFrame:
+def arrivals(docs: DataFrame, digest=sha256_bytes) -> DataFrame:
     """(digest, keep) of each row of a table read from files, batch or stream."""
-    return docs.select(digest(text_or_empty()).alias("digest"), _own().alias("keep"))
-
+    return docs.select(digest(text_or_empty()).alias("digest"), _own(docs).alias("keep"))
 
-@contextlib.contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]):
-    before = {k: spark.conf.get(k, None) for k in values}
-    try:
-        for k, v in values.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
-
-def keyed_state(log: DataFrame, to: str, checkpoint: str):
+def keyed_state(log: DataFrame, to: str, checkpoint: str, rows: int, seen: set[int] | None = None):
     """Start the stateful query over a stream of arrivals; it ends when what is there has been read.
 
     ``to`` gets one folder for each batch with the keys that changed in it. A batch that is run
-    again after a failure overwrites its folder, so that each takes effect once."""
+    again after a failure overwrites its folder, so that each takes effect once. ``rows``: how many
+    arrivals to expect, which fixes the state's partitions when it is made."""
 
     def put(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{to}/batch={batch}")
+        if seen is not None:
+            seen.add(batch)
 
-    with _settings(log.sparkSession, ROCKS):
+    spark = log.sparkSession
+    parts = max(min(spark.sparkContext.defaultParallelism, -(-rows // LEAST_PER_STATE)), -(-rows // ROWS_PER_STATE), 1)
+    with settings(spark, ROCKS | {"spark.sql.shuffle.partitions": str(parts)}):
         return (
             log.groupBy("digest")
             .agg(F.count(F.lit(1)).alias("n"), F.max("keep").alias("keep"))
@@ -88,33 +80,42 @@ def keyed_state(log: DataFrame, to: str, checkpoint: str):
 
 
 def dedup_state(log: DataFrame, bytes_per_batch: int = 16 << 30) -> tuple[DataFrame, DataFrame]:
-    """The log as written, and (digest, n, keep) for each of its digests, by the stateful stream."""
+    """The log as written, and (digest, n, keep) for each of its digests, by the stateful stream.
+
+    When the stream has ended, its checkpoint goes."""
     spark, home = log.sparkSession, work_path(log.sparkSession, "dedup")
     log.write.parquet(f"{home}/log")
-    spark.createDataFrame([], STATE).write.parquet(f"{home}/state/batch=-1")
+    arrived = spark.read.schema(log.schema).parquet(f"{home}/log")
+    kind = log.schema["digest"].dataType.simpleString()
+    schema = f"digest {kind}, n bigint, keep {KEEP}"
+    spark.createDataFrame([], schema).coalesce(1).write.parquet(f"{home}/state/batch=-1")
     stream = spark.readStream.schema(log.schema).option("maxBytesPerTrigger", str(bytes_per_batch)).parquet(f"{home}/log")
-    query = keyed_state(stream, f"{home}/state", f"{home}/checkpoint")
+    batches: set[int] = set()
+    query = keyed_state(stream, f"{home}/state", f"{home}/checkpoint", arrived.count(), batches)
     query.awaitTermination()
     if error := query.exception():
         raise error
-    state = spark.read.schema(STATE + ", batch bigint").parquet(f"{home}/state")
-    # counts only grow: of a key's rows the last batch has the largest
-    last = F.max(F.struct("batch", "n", "keep")).alias("x")
-    state = written(state.groupBy("digest").agg(last).select("digest", "x.n", "x.keep"), "dedup-state")
-    return spark.read.schema(log.schema).parquet(f"{home}/log"), state
-
-
-def differing(docs: DataFrame, state: DataFrame, digest=sha256_text) -> DataFrame:
-    """Digests that stand for more than one text: full bytes of all rows of the digests that were hit.
-
-    Equal texts collapse within each task before they are dealt out by text."""
-    hit = state.where("n > 1").select("digest")
-    rows = docs.select(digest(text_or_empty()).alias("digest"), text_or_empty().alias("text")).join(hit, "digest")
-    texts = rows.groupBy("text").agg(F.count(F.lit(1)).alias("n")).select(digest(F.col("text")).alias("digest"))
+    remove(spark, f"{home}/checkpoint")
+    state = spark.read.schema(f"{schema}, batch bigint").parquet(f"{home}/state")
+    if len(batches) > 1:  # counts only grow: of a key's rows the last batch has the largest
+        last = F.max(F.struct("batch", "n", "keep")).alias("x")
+        state = written(state.groupBy("digest").agg(last).select("digest", "x.n", "x.keep"), "dedup-state")
+        remove(spark, f"{home}/state")
+    return arrived, state.select("digest", "n", "keep")
+
+
+def differing(docs: DataFrame, state: DataFrame, digest=sha256_bytes) -> DataFrame:
+    """Digests that stand for more than one text: full bytes of the rows of the digests that were hit.
+
+    A bitmap of those digests tells where rows are read which may be among them (others that it lets
+    through do no harm); equal texts collapse within each task before they are dealt out by text."""
+    hit = state.where("n > 1").select(F.xxhash64("digest"))
+    rows = flagged(docs.select(text_or_empty().alias("text")), F.xxhash64(digest(F.col("text"))), hit, "hit")
+    texts = rows.where("hit").select("text").distinct().select(digest(F.col("text")).alias("digest"))
     return texts.groupBy("digest").count().where("count > 1").select("digest")
 
 
-def exact_dedup(docs: DataFrame, digest=sha256_text, bytes_per_batch: int = 16 << 30) -> DataFrame:
+def exact_dedup(docs: DataFrame, digest=sha256_bytes, bytes_per_batch: int = 16 << 30) -> DataFrame:
     """A row for each row of docs: keep (identifier and locator), keep_id, group_size, kept, digest.
 
     ``digest`` is a function of the text's column; another one serves to test what happens when
@@ -131,23 +132,21 @@ def exact_dedup(docs: DataFrame, digest=sha256_text, bytes_per_batch: int = 16 <
 
 def _clashing(docs: DataFrame, clash: DataFrame, digest) -> DataFrame:
     """Of digests that stand for several texts, the rows grouped by their full text."""
-    rows = docs.select(digest(text_or_empty()).alias("digest"), text_or_empty().alias("text"), _own().alias("own")).join(clash, "digest")
+    rows = docs.select(digest(text_or_empty()).alias("digest"), text_or_empty().alias("text"), _own(docs).alias("own")).join(clash, "digest")
     groups = rows.groupBy("digest", "text").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("keep"))
     return rows.join(groups, ["digest", "text"]).select("digest", "own", "n", "keep")
 
 
-def kept_documents(docs: DataFrame, digest=sha256_text) -> DataFrame:
+def kept_documents(docs: DataFrame, digest=sha256_bytes) -> DataFrame:
     """The rows of docs that stay, with all their columns."""
     docs = located(docs)
-    keep = exact_dedup(docs, digest).where("kept").select(F.col("own.file").alias("__file"), F.col("own.row").alias("__row"))
-    rows = docs.withColumns({"__file": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index")})
-    return rows.join(keep, ["__file", "__row"], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return without(docs, written(exact_dedup(docs, digest).where("not kept").select("own.file", "own.row"), "dropped"))
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of ``documents``: which row of equal texts stays."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+    return exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 #: DuckDB's own words for the same rows.

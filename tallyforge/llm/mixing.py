@@ -23,8 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import text_or_empty, written
-from .exact_dedup import located
+from .common import fresh, located, place, text_or_empty, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
