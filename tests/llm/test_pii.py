@@ -62,20 +62,73 @@ def test_contexts_find_unseen_identifiers_and_nothing_else(spark):
         assert rows[200 + k].spans == []
 
 
-def test_pattern_scores_match_brute_force(spark):
-    links = pii.graph(pii.scanned(context_corpus(spark)))
-    found, patterns = pii.bootstrap(links, rounds=1)
-    edges = links.collect()
-    seeds = {(e.value, e.kind) for e in edges if e.kind}
-    want = {}
-    for side, words in {(e.side, e.words) for e in edges}:
-        values = {e.value for e in edges if (e.side, e.words) == (side, words)}
-        for kind in pii.KINDS:
-            hit = sum((v, kind) in seeds for v in values)
-            if hit >= pii.LEAST_SUPPORT and len(values) >= pii.LEAST_SUPPORT and hit / len(values) >= pii.LEAST_CONFIDENCE:
-                want[side, words, kind] = hit / len(values)
-    assert {(p.side, p.words, p.kind): pytest.approx(p.confidence) for p in patterns.collect()} == want and want
-    assert found.count() == 4
+def brute(edges, rounds):
+    """The same rounds over a list of (side, words, value, kind), in plain Python."""
+    values, seeds = {}, {(v, k) for _, _, v, k in edges if k}
+    for side, words, v, _ in edges:
+        values.setdefault((side, words), set()).add(v)
+    wanted = {(side, words, v) for side, words, v, k in edges if k in (None, pii.SECRET)}
+    known, found, patterns = {x: 1.0 for x in seeds}, {}, {}
+    for _ in range(rounds):
+        patterns = {}
+        for at, there in values.items():
+            for kind in {k for _, k in known}:
+                support = sum(known.get((v, kind), 0.0) for v in there)
+                if len(there) >= pii.LEAST_SUPPORT and support >= pii.LEAST_SUPPORT and support / (len(there) + pii.SMOOTH) >= pii.LEAST_CONFIDENCE:
+                    patterns[*at, kind] = support / (len(there) + pii.SMOOTH)
+        miss = {}
+        for side, words, v in wanted:
+            for (a, b, kind), c in patterns.items():
+                if (a, b) == (side, words):
+                    miss[v, kind] = miss.get((v, kind), 1.0) * (1 - min(c, 0.99))
+        found = {}
+        for (v, kind), m in miss.items():
+            if 1 - m >= pii.LEAST_SCORE:
+                found[v] = max(found.get(v, (0, "")), (1 - m, kind))
+        known = {x: 1.0 for x in seeds} | {(v, k): c for v, (c, k) in found.items() if v not in {x for x, _ in seeds}}
+    return {v: (k, pytest.approx(c)) for v, (c, k) in found.items()}, {k: pytest.approx(c) for k, c in patterns.items()}
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+def test_rounds_match_brute_force(spark, rounds):
+    links = pii.graph(pii.scanned(context_corpus(spark).union(unseen_corpus(spark)))).cache()
+    found, patterns = pii.bootstrap(links, rounds)
+    want = brute([tuple(e) for e in links.select("side", "words", "value", "kind").collect()], rounds)
+    assert {p.value: (p.kind, p.score) for p in found.collect()} == want[0] and want[0]
+    assert {(p.side, p.words, p.kind): p.confidence for p in patterns.collect()} == want[1]
+
+
+def unseen_corpus(spark):
+    """Seeds beside marks, and identifiers of other forms: in groups, under other names, in capitals."""
+    rng = random.Random(9)
+    code = lambda n, of="0123456789abcdef": "".join(rng.choice(of) for _ in range(n))
+    rows = [(1000 + k, f'some lines\nkey{chr(97 + k % 3)} = "{code(40)}" and more') for k in range(30)]
+    rows += [(1100, 'api_key = "AKIA1234XYZ" there'), (1101, 'PASSWORD = "hunter2x9" there')]
+    rows += [(1200 + k, f"please call: +1 555 010 {1000 + k} now") for k in range(30)]
+    rows += [(1300, "please call: (030) 123 4567 now"), (1301, "please call: 030 1 2 now")]
+    rows += [(1400 + k, f"in chapter {k} we saw {k} of {k + 3} rows") for k in range(30)]
+    return spark.createDataFrame(rows, "doc_id bigint, text string")
+
+
+def test_unseen_forms_are_found(spark):
+    rows = {r.doc_id: [(s.kind, s.value) for s in r.spans] for r in pii.personal_data(unseen_corpus(spark)).collect()}
+    assert rows[1100] == [("secret", "AKIA1234XYZ")] and rows[1101] == [("secret", "hunter2x9")]
+    assert rows[1300] == [("phone", "(030) 123 4567")] and rows[1301] == [("phone", "030 1 2")]
+    assert all(len(rows[1000 + k]) == 1 and len(rows[1200 + k]) == 1 and not rows[1400 + k] for k in range(30))
+
+
+def test_planted_secrets(spark):
+    """On the given table, every ``token = "..."`` is found by its context, and nothing else is added."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = {(r.doc_id, m.start(1), m.end(1)) for r in docs.select("doc_id", "text").collect() for m in re.finditer(r'token = "([0-9a-f]{40})"', r.text or "", re.I)}
+    got = {(r.doc_id, s.s, s.e) for r in pii.personal_data(docs).collect() for s in r.spans if s not in r.base}
+    assert got == want and want
+
+
+def test_long_text_with_many_matches(spark):
+    text = " ".join(f"{k} x{k}@y.z" for k in range(20_000))
+    row = pii.personal_data(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    assert [(s.kind, s.s, s.e) for s in row.base] == base(text)
 
 
 def test_plan_is_native(spark, tmp_path):
