@@ -35,7 +35,8 @@ LIKE = 0.8
 BANDS, ROWS = 20, 4
 COORDINATES = BANDS * ROWS
 DARTS = COORDINATES * (np.log(COORDINATES) + 3)
-BLOCK_NODES, BLOCK_BYTES = 64, 1 << 22  # of a block of a bucket, at most but for one node
+BLOCK_NODES, BLOCK_BYTES = 1024, 1 << 22  # of a block of a bucket, at most but for one node
+COLUMNS = 4096  # shingles that are counted at a time
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 OWN = "struct<no_id:boolean,doc_id:bigint,file:string,row:bigint>"
 
@@ -75,14 +76,15 @@ def signatures(h: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     h, doc, weight = h[start], doc[start], 1.0 + np.floor(np.log2(count))
     total = np.bincount(doc, weight, n)
     far = DARTS / np.maximum(total, 1)
-    _throw(h, weight, doc, far, best)
-    while True:
-        lack = np.isinf(best.reshape(n, -1)).any(1) & (total > 0)
-        if not lack.any():
-            return best.reshape(n, -1)
-        far = np.where(lack, far * 2, far)
-        some = lack[doc]
-        _throw(h[some], weight[some], doc[some], far, best)
+    with np.errstate(over="ignore"):
+        _throw(h, weight, doc, far, best)
+        while True:
+            lack = np.isinf(best.reshape(n, -1)).any(1) & (total > 0)
+            if not lack.any():
+                return best.reshape(n, -1)
+            far = np.where(lack, far * 2, far)
+            some = lack[doc]
+            _throw(h[some], weight[some], doc[some], far, best)
 
 
 def node_and_bands(data: np.ndarray, at: np.ndarray) -> tuple[list[bytes], np.ndarray]:
@@ -210,27 +212,15 @@ def _rest(apart: DataFrame, nodes: DataFrame, rows: DataFrame, like: float = LIK
         block = table["block"].to_numpy()
         sets = [shingles.shingle_set((x or "").encode()) for x in table["text"].to_pylist()]
         size = np.array([len(x) for x in sets])
-        right = np.flatnonzero(block == j)
-        flat, owner = np.concatenate([sets[k] for k in right]), np.repeat(np.arange(len(right)), size[right])
-        out_a, out_b = [], []
-        for k in np.flatnonzero(block == i):
-            first = (bands[right] == bands[k]).argmax(1) == band
-            could = first & (root[right] != root[k]) & (np.minimum(size[right], size[k]) >= like * np.maximum(size[right], size[k]))
-            if i == j:
-                could &= right > k
-            if not could.any():
-                continue
-            if size[k]:
-                some = could[owner]
-                at = np.minimum(np.searchsorted(sets[k], flat[some]), size[k] - 1)
-                both = np.bincount(owner[some][sets[k][at] == flat[some]], minlength=len(right))
-            else:
-                both = np.zeros(len(right), int)
-            union = size[right] + size[k] - both
-            for m in right[could & (both >= like * union)]:
-                out_a.append(node[k])
-                out_b.append(node[m])
-        return pa.table({"a": pa.array(out_a, pa.binary()), "b": pa.array(out_b, pa.binary())})
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        could = (root[left][:, None] != root[right][None, :]) & (np.minimum(size[left][:, None], size[right][None, :]) >= like * np.maximum(size[left][:, None], size[right][None, :]))
+        for b in range(band):  # an earlier band that both have: verified there
+            could &= bands[left, b][:, None] != bands[right, b][None, :]
+        if i == j:
+            could &= left[:, None] < right[None, :]
+        both = shingles.shared([sets[k] for k in left], [sets[k] for k in right], COLUMNS)
+        a, b = np.nonzero(could & (both >= like * (size[left][:, None] + size[right][None, :] - both)))
+        return pa.table({"a": pa.array([node[left[k]] for k in a], pa.binary()), "b": pa.array([node[right[k]] for k in b], pa.binary())})
 
     return written(dealt.groupBy("band", "h", "i", "j").applyInArrow(compare, "a binary, b binary").distinct(), "links")
 

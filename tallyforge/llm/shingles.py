@@ -67,6 +67,26 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
+def shared(left: list[np.ndarray], right: list[np.ndarray], columns: int) -> np.ndarray:
+    """How many hashes each set of left has in common with each of right: products of 0-1 matrices over the
+    hashes that more than one set has, ``columns`` at a time."""
+    flat = np.concatenate([*left, *right, np.zeros(0, np.uint64)])
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in (*left, *right)])
+    _, of, times = np.unique(flat, return_inverse=True, return_counts=True)
+    column = np.cumsum(times > 1) - 1
+    some = times[of] > 1
+    owner, at = owner[some], column[of[some]]
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for first in range(0, int(at[-1]) + 1 if len(at) else 0, columns):
+        part = slice(*np.searchsorted(at, (first, first + columns)))
+        ones = np.zeros((len(left) + len(right), columns), np.float32)
+        ones[owner[part], at[part] - first] = 1
+        out += ones[: len(left)] @ ones[len(left) :].T
+    return out
+
+
 def chunks(at: np.ndarray, size: int = 1 << 20):
     """Ranges of texts of about ``size`` bytes."""
     first, n = 0, len(at) - 1

@@ -96,6 +96,13 @@ def test_shingles_are_as_words_in_python(odd_rows):
         assert len(shingles.shingle_set(t.encode())) == n
 
 
+def test_shared_counts_are_those_of_sets():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 400, rng.integers(0, 90)).astype(np.uint64)) for _ in range(30)]
+    got = shingles.shared(sets[:12], sets[12:], 64)
+    assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets[12:]] for a in sets[:12]]
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(50)] + [(100, 101), (102, 101)], "a bigint, b bigint")
     root = {r.node: r.root for r in components(links).collect()}
