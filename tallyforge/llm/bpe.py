@@ -5,9 +5,9 @@ bytes, as hexadecimal octets, are an array, and a fold merges the adjacent pair
 none has a rank. Ranks are looked up in a literal: an array of small maps, dealt out by checksum,
 as a map's entries are searched one by one.
 
-Pieces are counted over all texts. The most frequent ones, up to a documented bound, are encoded
-once and broadcast as sorted hashes, checksums and ids;
-the distinct pieces of a document beyond them are encoded in its own row. So texts are never
+Texts are worked on in chunks, in which each distinct word is split once. Pieces that several chunks
+have in common are encoded once, up to a documented bound (those of most chunks), and broadcast as
+sorted hashes, checksums and ids; the others are encoded once in their chunk. So texts are never
 shuffled, and nothing that is broadcast grows with the corpus. Decoding joins the ids' byte strings.
 
 Defined results: a null text counts as empty; an empty text has no ids; pieces of more than
@@ -32,8 +32,9 @@ from .common import arrow_bounds, release, text_or_empty, written
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 DICTIONARY = 1_000_000  # pieces that are broadcast, at most
 DICTIONARY_BYTES = 64  # of a broadcast piece, at most
-MEMO = 150_000  # words that a task remembers, at most
+CHUNK = 16 << 20  # code points that a task takes at a time, and the rest of an Arrow batch
 LONG = 256
+_KNOWN = 1 << 40
 _MAPS = 1 << 14
 _NONE = 2**31 - 1
 
@@ -151,81 +152,114 @@ class Splitter:
         return [line.split(" ") for line in text.split("\n")]
 
 
+class _Numbers(dict):
+    """Numbers of what is looked up, in order of appearance; ``made`` is called with what is new."""
+
+    def __init__(self, made):
+        self.made = made
+
+    def __missing__(self, x: str) -> int:
+        self[x] = n = self.made(x)
+        return n
+
+
+class Chunk:
+    """Texts as numbers of their words, the words as numbers of their pieces; each word is split once."""
+
+    def __init__(self, split: Splitter):
+        self.split, self.words, self.size = split, [], 0
+        self.pieces: dict[str, int] = {}
+        self.spaced = _Numbers(lambda w: self._word(split.find(" " + w)))
+        self.plain = _Numbers(lambda x: self._word([x]))
+
+    def _word(self, found: list[str]) -> int:
+        n, pieces = len(self.words), self.pieces
+        self.words.append([pieces.setdefault(x, len(pieces)) for x in found])
+        return n
+
+    def add(self, text: str) -> list[int]:
+        """The numbers of a text's words."""
+        self.size += len(text)
+        lines, plain, find = self.split.lines(text), self.plain, self.split.find
+        if lines is None:
+            return [plain[x] for x in find(text)]
+        out: list[int] = []
+        for k, line in enumerate(lines):
+            if k:
+                out.append(plain["\n"])
+            if line[0]:
+                out += [plain[x] for x in find(line[0])]
+            out += map(self.spaced.__getitem__, line[1:])
+        return out
+
+
 class Dictionary:
     """Ids of known pieces: sorted hashes, for each a checksum and where its ids lie."""
 
     def __init__(self, hashes: bytes, checks: bytes, at: bytes, ids: bytes):
-        self.hashes, self.checks, self.at, self.ids = memoryview(hashes).cast("Q"), memoryview(checks).cast("I"), memoryview(at).cast("i"), ids
+        import numpy as np
 
-    def get(self, piece: bytes) -> str | None:
-        """The piece's ids, if it is known."""
-        from bisect import bisect_left
+        self.hashes, self.checks, self.at, self.ids = np.frombuffer(hashes, np.uint64), np.frombuffer(checks, np.uint32), np.frombuffer(at, np.int32), ids
 
+    def find(self, pieces: list[bytes]):
+        """The place of each piece; -1: not known."""
+        import numpy as np
         import xxhash
 
-        h = xxhash.xxh64_intdigest(piece, 42)
-        i = bisect_left(self.hashes, h)
-        if i == len(self.hashes) or self.hashes[i] != h or self.checks[i] != zlib.crc32(piece):
-            return None
-        return self.ids[self.at[i] : self.at[i + 1]].decode()
+        h = np.fromiter((xxhash.xxh64_intdigest(x, 42) for x in pieces), np.uint64, len(pieces))
+        c = np.fromiter(map(zlib.crc32, pieces), np.uint32, len(pieces))
+        if not len(self.hashes):
+            return np.full(len(pieces), -1)
+        k = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        return np.where((self.hashes[k] == h) & (self.checks[k] == c), k, -1)
 
+    def get(self, k: int) -> bytes:
+        return self.ids[self.at[k] : self.at[k + 1]]
 
-def count_pieces(docs: DataFrame, pat: str) -> DataFrame:
-    """(piece, n) over all texts: words are counted in each task, and split when their counts have met."""
-    arrow_bounds(docs.sparkSession)
 
-    def count(batches):
-        from collections import Counter
+def shared_pieces(docs: DataFrame, pat: str, ranks, chunk: int = CHUNK) -> DataFrame:
+    """(piece, n): how many chunks of texts have a piece, for those of several that are no token; ``ranks`` is a broadcast."""
+    arrow_bounds(docs.sparkSession)
 
+    def distinct(batches):
         import pyarrow as pa
 
-        split, words, pieces = Splitter(pat), Counter(), Counter()
+        split, words, pieces, size, known = Splitter(pat), set(), set(), 0, ranks.value
 
         def out():
-            for n, kind in ((words, True), (pieces, False)):
-                if n:  # words have a space before them, pieces are as they are
-                    yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array([kind] * len(n)), pa.array(list(n.values()), pa.int64())], ["x", "word", "n"])
-                    n.clear()
+            for w in words:
+                pieces.update(split.find(" " + w))
+            found = [x for x in pieces if x.encode() not in known]
+            words.clear()
+            pieces.clear()
+            for k in range(0, len(found), 50_000):
+                yield pa.RecordBatch.from_arrays([pa.array(found[k : k + 50_000], pa.string())], ["piece"])
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
+                size += len(text)
                 lines = split.lines(text)
                 if lines is None:
                     pieces.update(split.find(text))
                 else:
-                    if len(lines) > 1:
-                        pieces["\n"] += len(lines) - 1
                     for line in lines:
-                        for x in split.find(line[0]):
-                            pieces[x] += 1
+                        pieces.update(split.find(line[0]))
                         words.update(line[1:])
-                if len(words) + len(pieces) > 2 * MEMO:
+                if size > chunk:
                     yield from out()
+                    size = 0
         yield from out()
         release()
 
-    def parts(batches):
-        import pyarrow as pa
-
-        split = Splitter(pat)
-        for batch in batches:
-            x, n = [], []
-            for a, word, k in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = split.find(" " + a) if word else [a]
-                x += found
-                n += [k] * len(found)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()), pa.array(n, pa.int64())], ["piece", "n"])
-
-    counts = docs.select(text_or_empty().alias("text")).mapInArrow(count, "x string, word boolean, n bigint").groupBy("x", "word").agg(F.sum("n").alias("n"))
-    return counts.mapInArrow(parts, "piece string, n bigint").groupBy("piece").agg(F.sum("n").alias("n"))
+    found = docs.select(text_or_empty().alias("text")).mapInArrow(distinct, "piece string")
+    return found.where(F.octet_length("piece") <= DICTIONARY_BYTES).groupBy("piece").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def dictionary(docs: DataFrame, literal: Column, pat: str, most: int = DICTIONARY) -> tuple[bytes, bytes, bytes, bytes]:
-    """Of the most frequent pieces (those of at least the least count that stays within the bound): hashes,
-    checksums, places and ids."""
+def dictionary(pieces: DataFrame, literal: Column, most: int = DICTIONARY) -> tuple[bytes, bytes, bytes, bytes]:
+    """Of a written table (piece, n) the pieces of the largest n (those of at least the least one that stays
+    within the bound): hashes, checksums, places and ids."""
     import numpy as np
 
-    pieces = written(count_pieces(docs, pat).where(F.octet_length("piece") <= DICTIONARY_BYTES), "pieces")
     level = F.floor(F.log2("n") * 16).cast("int")
     least, seen = None, 0
     for row in sorted(pieces.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
@@ -235,7 +269,7 @@ def dictionary(docs: DataFrame, literal: Column, pat: str, most: int = DICTIONAR
         least = row["level"]
     if least is None:
         return b"", b"", np.zeros(1, np.int32).tobytes(), b""
-    cores = docs.sparkSession.sparkContext.defaultParallelism
+    cores = pieces.sparkSession.sparkContext.defaultParallelism
     # at most the bound's number of short pieces: their hashes and ids fit in the driver
     known = pieces.where(level >= least).select("piece").repartition(4 * cores)
     found = known.select(F.xxhash64("piece").alias("h"), F.crc32(F.col("piece").cast("binary")).alias("c"), encode_piece(F.col("piece"), literal).alias("ids")).toArrow()
@@ -247,76 +281,124 @@ def dictionary(docs: DataFrame, literal: Column, pat: str, most: int = DICTIONAR
     return h[order].tobytes(), found.column(1).to_numpy()[order].astype(np.uint32).tobytes(), (places - places[0]).tobytes(), data.to_pybytes()[places[0] : places[-1]]
 
 
-def encode(docs: DataFrame, path: str | None = None, pat: str | None = None, most: int = DICTIONARY, key: str = "doc_id") -> DataFrame:
-    """(key, ids): each text's ids as decimal numbers joined by commas."""
+def _coded(docs: DataFrame, finish, schema: str, path: str | None, pat: str | None, most: int, key: str, chunk: int) -> DataFrame:
+    """Rows of (key, ...) that ``finish`` makes of the texts' ids: of (keys, words, ids, decoded) an Arrow batch.
+
+    A task goes through its texts in chunks. The texts become numbers of words, and the chunk ends with a row that
+    has its words and the distinct pieces that need merging; Spark merges these, and the words' ids and bytes are
+    put together and then the texts'. Nothing is shuffled."""
     path, pat = path or vocabulary_path(), pat or pattern()
     spark, literal = docs.sparkSession, rank_literal(load_ranks(path))
     spark.conf.set("spark.sql.maxPlanStringLength", "100000")  # or each plan's description holds the literal
+    ranks = spark.sparkContext.broadcast(load_ranks(path))  # a vocabulary
     release()
-    known = spark.sparkContext.broadcast(dictionary(docs, literal, pat, most))
+    known = spark.sparkContext.broadcast(dictionary(written(shared_pieces(docs, pat, ranks, chunk), "pieces"), literal, most))
     release()
-    ranks = spark.sparkContext.broadcast(load_ranks(path))
     arrow_bounds(spark)
     kind = dict(docs.dtypes)[key]
+    columns = ["key", "words", "pieces", "at", "codes"]
+
+    def number(batches):
+        """Texts as numbers of words; codes of pieces: a token's -1 - id, a piece to be merged, ``_KNOWN`` + place in the dictionary."""
+        import numpy as np
+        import pyarrow as pa
 
-    def look_up(batches):
-        """Ids of the known pieces; ``#`` and a number stand for one of the row's other pieces."""
+        split, of, tokens = Splitter(pat), Dictionary(*known.value), ranks.value
+        part = Chunk(split)
+
+        def rows(keys, words) -> pa.RecordBatch:
+            n = len(words)
+            return pa.RecordBatch.from_arrays([keys, pa.array(words, pa.binary()), pa.nulls(n, pa.list_(pa.string())), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], columns)
+
+        def end(keys) -> pa.RecordBatch:
+            texts = list(part.pieces)
+            raw = [x.encode() for x in texts]
+            token = np.fromiter((tokens.get(x, -1) for x in raw), np.int64, len(raw))
+            place = of.find(raw)
+            rest = np.flatnonzero((token < 0) & (place < 0))
+            code = np.where(token >= 0, -1 - token, place + _KNOWN)
+            code[rest] = np.arange(len(rest))
+            size = np.fromiter(map(len, part.words), np.int64, len(part.words))
+            at = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
+            flat = np.fromiter((x for w in part.words for x in w), np.int64, int(at[-1]))
+            one = lambda x, t: pa.array([x], t)
+            return pa.RecordBatch.from_arrays([keys, one(None, pa.binary()), one([texts[k] for k in rest], pa.list_(pa.string())), one(at.tobytes(), pa.binary()), one(code[flat].tobytes(), pa.binary())], columns)
+
+        none = None
+        for batch in batches:
+            none = pa.nulls(1, batch.schema.field(0).type)
+            yield rows(batch.column(0), [np.array(part.add(text), np.int32).tobytes() for text in batch.column(1).to_pylist()])
+            if part.size > chunk:
+                yield end(none)
+                part = Chunk(split)
+        if none is not None:
+            yield end(none)
+        release()
+
+    def join(batches):
+        import numpy as np
         import pyarrow as pa
 
-        split, pieces = Splitter(pat), Dictionary(*known.value)
-        memo: dict[str, str] = {}  # of words with a space before them
-        point = {c: pieces.get(c.encode()) for c in ".,"}
-
-        def of(found: list[str], other: dict[str, str]) -> str:
-            ids = []
-            for x in found:
-                raw = x.encode()
-                if (got := pieces.get(raw)) is None:
-                    got = ",".join(map(str, heap_merge(raw, ranks.value))) if len(raw) > LONG else other.setdefault(x, f"#{len(other)}")
-                ids.append(got)
-            return ",".join(ids)
-
-        def word(w: str, other: dict[str, str]) -> str:
-            """Ids of a word that isn't remembered; of one that ends in a point, by the word without it."""
-            if (got := memo.get(w)) is not None:
-                return got
-            if (end := point.get(w[-1:])) and w[-2:-1].isalpha():
-                return f"{word(w[:-1], other)},{end}"
-            got = of(split.find(" " + w), other)
-            if "#" not in got:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                memo[w] = got
-            return got
+        of, tokens = Dictionary(*known.value), ranks.value
+        token = {r: t for t, r in tokens.items()}
+        waiting: list[tuple[pa.Array, list[bytes]]] = []
+
+        def words(row) -> tuple[list[bytes], list[bytes]]:
+            """Ids and bytes of the chunk's words."""
+            merged, far = row["ids"], iter(row["far"])
+            merged = [",".join(map(str, heap_merge(next(far).encode(), tokens))).encode() if x is None else x.encode() for x in merged]
+            at, codes = np.frombuffer(row["at"], np.int64).tolist(), np.frombuffer(row["codes"], np.int64)
+            piece = {c: str(-1 - c).encode() if c < 0 else of.get(c - _KNOWN) if c >= _KNOWN else merged[c] for c in np.unique(codes).tolist()}
+            plain = {c: token[-1 - c] if c < 0 else b"".join([token[int(x)] for x in ids.split(b",")]) for c, ids in piece.items()}
+            codes = codes.tolist()
+            parts = [codes[i:j] for i, j in zip(at, at[1:], strict=False)]
+            return [b",".join([piece[c] for c in x]) for x in parts], [b"".join([plain[c] for c in x]) for x in parts]
 
         for batch in batches:
-            stream, rest = [], []
-            for text in batch.column(1).to_pylist():
-                other: dict[str, str] = {}
-                lines = split.lines(text)
-                if lines is None:
-                    stream.append(of(split.find(text), other))
-                else:
-                    out = []
-                    for line in lines:
-                        if out:
-                            out.append(of(["\n"], other))
-                        if line[0]:
-                            out.append(of(split.find(line[0]), other))
-                        ids = [memo.get(w) for w in line[1:]]
-                        if None in ids:
-                            ids = [word(line[i], other) if x is None else x for i, x in enumerate(ids, 1)]
-                        out += ids
-                    stream.append(",".join(out))
-                rest.append(list(other))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(stream, pa.string()), pa.array(rest, pa.list_(pa.string()))], [key, "stream", "rest"])
-        memo.clear()
+            ends = [k for k in range(batch.num_rows) if batch.column(4)[k].is_valid]
+            first = 0
+            for k in [*ends, batch.num_rows]:
+                if k > first:
+                    waiting.append((batch.column(0).slice(first, k - first), batch.column(1).slice(first, k - first).to_pylist()))
+                if k < batch.num_rows:
+                    ids, plain = words(dict(zip(["ids", "far", "at", "codes"], (batch.column(c)[k].as_py() for c in (2, 3, 4, 5)), strict=True)))
+                    for keys, texts in waiting:
+                        yield finish(keys, [np.frombuffer(x, np.int32).tolist() for x in texts], ids, plain)
+                    waiting.clear()
+                first = k + 1
         release()
 
-    rows = docs.select(key, text_or_empty().alias("text")).mapInArrow(look_up, f"`{key}` {kind}, stream string, rest array<string>")
-    rows = rows.withColumn("rest", F.transform("rest", lambda w: encode_piece(w, literal)))
-    filled = F.array_join(F.transform(F.split("stream", ","), lambda x: F.when(F.substring(x, 1, 1) == "#", F.get(F.col("rest"), F.substring(x, F.lit(2), F.lit(9)).cast("int"))).otherwise(x)), ",")
-    return rows.select(key, F.when(F.size("rest") == 0, F.col("stream")).otherwise(filled).alias("ids"))
+    rows = docs.select(F.col(f"`{key}`").alias("key"), text_or_empty().alias("text")).mapInArrow(number, f"key {kind}, words binary, pieces array<string>, at binary, codes binary")
+    far = F.filter("pieces", lambda x: F.octet_length(x) > LONG)
+    ids = F.transform("pieces", lambda x: F.when(F.octet_length(x) <= LONG, encode_piece(x, literal)))
+    return rows.select("key", "words", ids.alias("ids"), far.alias("far"), "at", "codes").mapInArrow(join, f"`{key}` {kind}, {schema}")
+
+
+def encode(docs: DataFrame, path: str | None = None, pat: str | None = None, most: int = DICTIONARY, key: str = "doc_id", chunk: int = CHUNK) -> DataFrame:
+    """(key, ids): each text's ids as decimal numbers joined by commas."""
+
+    def finish(keys, texts, ids, plain):
+        import pyarrow as pa
+
+        return pa.RecordBatch.from_arrays([keys, pa.array([b",".join([ids[w] for w in x]).decode() for x in texts], pa.string())], [key, "ids"])
+
+    return _coded(docs, finish, "ids string", path, pat, most, key, chunk)
+
+
+def token_digests(docs: DataFrame, path: str | None = None, pat: str | None = None, most: int = DICTIONARY, key: str = "doc_id", chunk: int = CHUNK) -> DataFrame:
+    """(key, n_tokens, ids_sha256, decoded_sha256) of texts, without a table of ids between; decoding joins the ids' binary pieces."""
+
+    def finish(keys, texts, ids, plain):
+        import numpy as np
+        import pyarrow as pa
+
+        sha, size = hashlib.sha256, np.fromiter((x.count(b",") + 1 for x in ids), np.int64, len(ids))
+        n = [int(size[x].sum()) if x else 0 for x in texts]
+        ids_hash = [sha(b",".join([ids[w] for w in x])).hexdigest() for x in texts]
+        text_hash = [sha(b"".join([plain[w] for w in x])).hexdigest() for x in texts]
+        return pa.RecordBatch.from_arrays([keys, pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return _coded(docs, finish, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", path, pat, most, key, chunk)
 
 
 def digests(rows: DataFrame, path: str | None = None, key: str = "doc_id") -> DataFrame:
@@ -353,4 +435,4 @@ def decode(ids: Column, path: str | None = None) -> Column:
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of ``documents``."""
-    return digests(encode(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    return token_digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import tempfile
+import threading
 import uuid
 
 import numpy as np
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 FILTER_BYTES = 64 << 20  # of a bitmap that is broadcast, at most
 _made: list[tuple[object, str]] = []
+_thread = threading.local()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,17 +38,30 @@ def work_path(spark: SparkSession, name: str) -> str:
     if not _made:
         atexit.register(_clean)
     _made.append((spark, path))
+    if (paths := getattr(_thread, "paths", None)) is not None:
+        paths.append(path)
     return path
 
 
+@contextlib.contextmanager
+def gathering(paths: list[str]):
+    """Within the block, new work paths of this thread are added to ``paths``."""
+    before, _thread.paths = getattr(_thread, "paths", None), paths
+    try:
+        yield
+    finally:
+        _thread.paths = before
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a path through Hadoop's file system, wherever it lies."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+    _made[:] = [x for x in _made if x[1] != path]
 
 
 def _clean() -> None:
-    for spark, path in _made:
+    for spark, path in list(_made):
         try:
             remove(spark, path)
         except Exception:  # the session has gone: its folder is the cluster's to clear
@@ -172,17 +187,3 @@ def tidy(spark: SparkSession) -> None:
 
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-
-
-def mark() -> int:
-    """A point in the row of work folders, for ``clear``."""
-    return len(_made)
-
-
-def clear(spark: SparkSession, since: int, keep: str = "/stage-") -> None:
-    """Delete the work folders made since a point, but those whose path has ``keep``: for callers that have
-    written what they wanted of every table that operators have returned since."""
-    tidy(spark)
-    for item in [x for x in _made[since:] if keep not in x[1]]:
-        remove(spark, item[1])
-        _made.remove(item)
