@@ -2,50 +2,66 @@
 
 Each stage is a function of (spark, docs, sf_dir); what it returns is written as Parquet and read
 again as the next one's docs. All but the last return the columns of documents. As a stage's result has
-been written when the next is called, each begins by deleting the work tables of those before it."""
+been written when the next is called, each begins by deleting the work tables of the one that its thread
+called before.
+
+Defined results, of all stages: null texts count as empty; an empty table gives an empty result; rows with
+equal doc_id are rows of their own; other columns, whatever their names, pass through but for ``text`` and
+``n_chars`` of what the mix takes in part."""
 
 from __future__ import annotations
 
+import functools
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyforge.llm import bpe, common, dartminhash, exact_dedup, langid, mixing
-from tallyforge.llm.common import written
 
-#: Where the work folders of this run begin; those of other queries stay.
-_began = 0
+_before = threading.local()
+
+
+def _stage(f: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    @functools.wraps(f)
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for path in getattr(_before, "paths", ()):
+            common.remove(spark, path)
+        _before.paths = []
+        with common.gathering(_before.paths):
+            return f(docs)
+
+    return stage
 
 
-def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; those without a letter, or of no clear language, go."""
-    global _began
-    _began = common.mark()
+@_stage
+def language(docs: DataFrame) -> DataFrame:
+    """Documents in a known language; those without a letter (null and empty texts, too) or of no clear language go."""
     return langid.accepted_documents(docs)
 
 
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the largest doc_id."""
-    common.clear(spark, _began)
+@_stage
+def exact(docs: DataFrame) -> DataFrame:
+    """Of equal texts the one with the largest doc_id; of repeated rows the last in storage."""
     return exact_dedup.kept_documents(docs)
 
 
-def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates the document with the least doc_id."""
-    common.clear(spark, _began)
+@_stage
+def near(docs: DataFrame) -> DataFrame:
+    """Of each class of near-duplicates the document with the least doc_id; null ids last."""
     return dartminhash.kept_documents(docs)
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of sources: a document as often as it is taken, and the words of its partial take."""
-    common.clear(spark, _began)
+@_stage
+def mix(docs: DataFrame) -> DataFrame:
+    """The mix of sources: a document as often as it is taken, and the words of its partial take; texts without a word go."""
     return mixing.mixed_documents(docs)
 
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and decoded texts; the ids are written between, so that a task has one Python worker."""
-    common.clear(spark, _began)
-    return bpe.digests(written(bpe.encode(docs), "ids"))
+@_stage
+def encode(docs: DataFrame) -> DataFrame:
+    """Token counts and digests of ids and decoded texts."""
+    return bpe.token_digests(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -64,5 +80,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = common.written(stage(spark, docs, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
