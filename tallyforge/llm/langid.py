@@ -3,10 +3,14 @@
 Each language has a codeword of bits. For each bit a binary classifier over hashed character
 n-grams tells on which side a text lies. Decoding sums the bits' logistic losses against each
 codeword, weighted by how well the bit's classifier did on texts held back from its training, and
-takes the language with the least. A text whose two best codewords cost nearly the same is flagged.
+takes the language with the least. A text is flagged as ambiguous where its two best codewords cost
+nearly the same: the second costs less than ``1 + clear`` times the first, where ``clear`` is half
+of the least such margin among the held-back texts that were decoded rightly. So the flag depends on
+two codewords only, however many there are.
 
-The classifiers are fitted on a bounded sample of labelled rows (``per_language`` each, those with
-the smallest hash of doc_id); predictions read whole texts and nothing else.
+The classifiers are fitted on a bounded sample of labelled rows: ``per_language`` of each, fewer where
+more than ``MOST_ROWS`` came together, those with the smallest hash of doc_id and text; rows that are
+equal in both count once. Predictions read whole texts and nothing else.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0 and isn't ambiguous;
 with no labelled row all texts are; with one language all other texts have it, with score 1; rows
@@ -21,15 +25,15 @@ import numpy as np
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import ngrams
-from .common import arrow_bounds, release, text_or_empty, utf8_buffers
+from .common import arrow_bounds, fresh, release, text_or_empty, utf8_buffers, written
 
 UND = "und"
 PER_LANGUAGE = 250  # labelled rows of each language that the classifiers are fitted on, at most
-MOST_LANGUAGES = 1000  # more are refused
+MOST_ROWS = 10_000  # of all languages together
 SHARP = 4.0  # steepness of the score
-AMBIGUOUS = 0.5  # below this score: no language has half of the weight
 
 _LETTER = regex.compile(r"\p{L}")
 
@@ -58,16 +62,18 @@ class Model:
     w: np.ndarray
     b: np.ndarray
     trust: np.ndarray
+    clear: float = 0.0
 
-    def decode(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Index of the nearest codeword and its score for each row of margins."""
+    def decode(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Index of the nearest codeword, its score, and how much more the second one costs, as a share, for each row of margins."""
         if not self.code.shape[1]:
-            return np.zeros(len(margins), int), np.ones(len(margins))
+            return np.zeros(len(margins), int), np.ones(len(margins)), np.full(len(margins), np.inf)
         sign = 2.0 * self.code - 1
         loss = np.stack([(self.trust * np.logaddexp(0, -margins * s)).sum(1) for s in sign], 1) / self.trust.sum()
         p = np.exp(-SHARP * (loss - loss.min(1, keepdims=True)))
         p /= p.sum(1, keepdims=True)
-        return loss.argmin(1), p.max(1)
+        two = np.partition(loss, 1, 1)[:, :2]
+        return loss.argmin(1), p.max(1), two[:, 1] / np.maximum(two[:, 0], 1e-12) - 1
 
 
 def fit(x: np.ndarray, names: list[str], seed: int = 5) -> Model:
@@ -82,35 +88,36 @@ def fit(x: np.ndarray, names: list[str], seed: int = 5) -> Model:
         held[:] = False
     w, b = ngrams.logistic(x, y, use=~held)
     seen = held if held.any() else ~held
-    loss = np.logaddexp(0, -(x @ w + b) * (2.0 * y - 1))[seen].mean(0)
-    return Model(languages, code, w, b, 1 / (0.05 + loss))
+    margins = (x @ w + b)[seen]
+    loss = np.logaddexp(0, -margins * (2.0 * y[seen] - 1)).mean(0)
+    model = Model(languages, code, w, b, 1 / (0.05 + loss))
+    best, _, gap = model.decode(margins)
+    right = gap[np.array(languages)[best] == np.array(names)[seen]]
+    model.clear = float(right.min()) / 2 if len(right) else 0.0
+    return model
 
 
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """Of labelled rows the ones with the smallest hash of doc_id, up to the bound for each language."""
-    rows = docs.where("lang is not null").select("lang", text_or_empty().alias("text"), F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")).alias("h"))
-    counts = rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    parts = [rows.where((F.col("lang") == r["lang"]) & (F.col("h") <= F.lit(_bound(per_language, r["count"])))).orderBy("h", "text").limit(per_language) for r in counts]
-    out = None
-    for p in parts:
-        out = p if out is None else out.unionByName(p)
-    return out
-
-
-def _bound(wanted: int, there: int) -> int:
-    """A hash below which nearly surely the wanted number of rows lies, and not many more."""
-    share = min(1.0, (wanted + 6 * wanted**0.5 + 20) / max(1, there))
-    return min(2**63 - 1, int(-(2**63) + share * 2**64))
+    """(lang, h, text) of labelled rows with the smallest hash of doc_id and text, up to the bound for each language.
+
+    One scan estimates how many different rows a language has, another keeps those below a hash that nearly
+    surely leaves enough; equal rows collapse where they are read, and the few that are left are ranked."""
+    rows = docs.where("lang is not null").select(F.col("lang").cast("string").alias("lang"), text_or_empty().alias("text"), F.col("doc_id").cast("string").alias("id"))
+    rows = rows.select("lang", "text", F.xxhash64("id", "text", F.lit("sample")).alias("h"))
+    counts = written(rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")), "languages")
+    each = max(1, min(per_language, MOST_ROWS // max(1, counts.count())))
+    share = F.least(F.lit(1.0), F.lit(1.25 * (each + 6 * each**0.5 + 20)) / F.greatest("n", F.lit(1)))
+    # a number for each language; a hash may lie below share of the range of 64 bits
+    few = rows.join(counts.select("lang", share.alias("share")), "lang").where((F.col("h") / F.lit(2.0**64) + 0.5) <= F.col("share"))
+    few = few.groupBy("lang", "h").agg(F.min("text").alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
+    return few.withColumn("rank", rank).where(F.col("rank") <= each).drop("rank")
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Fit on a bounded sample of docs; the n-grams are counted on the executors."""
     release()
-    rows = sample(docs, per_language)
-    if rows is None:
-        return Model([], np.zeros((0, 0), np.int8), np.zeros((ngrams.DIM, 0), np.float32), np.zeros(0, np.float32), np.zeros(0))
+    rows = sample(docs, per_language).select("lang", "text", "h")
 
     def vectors(batches):
         import pyarrow as pa
@@ -120,6 +127,8 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([r.tobytes() for r in x], pa.binary())], ["lang", "h", "x"])
 
     got = sorted(rows.mapInArrow(vectors, "lang string, h bigint, x binary").collect(), key=lambda r: (r["h"], r["lang"], r["x"]))
+    if not got:
+        return Model([], np.zeros((0, 0), np.int8), np.zeros((ngrams.DIM, 0), np.float32), np.zeros(0, np.float32), np.zeros(0))
     x, names = np.zeros((len(got), ngrams.DIM), np.float32), [r["lang"] for r in got]
     for k, r in enumerate(got):
         x[k] = np.frombuffer(r["x"], np.float16)
@@ -146,17 +155,17 @@ def predict(docs: DataFrame, model: Model, names: tuple[str, str, str] = ("lang_
             n = batch.num_rows
             data, at = utf8_buffers(text)
             letters = np.array([bool(_LETTER.search(x)) if x else False for x in pc.fill_null(text, "").to_pylist()], bool)
-            best, score = np.zeros(n, int), np.zeros(n)
+            best, score, gap = np.zeros(n, int), np.zeros(n), np.full(n, np.inf)
             if m.languages:
                 margins = np.zeros((n, len(m.b)))
                 for k, c in enumerate(ngrams.counts(data, at)):
                     at_k = c.nonzero()[0]
                     v = np.sqrt(c[at_k])
                     margins[k] = (v @ m.w[at_k]) / max(1e-9, np.sqrt(c.sum())) + m.b
-                best, score = m.decode(margins)
+                best, score, gap = m.decode(margins)
             known = letters & bool(m.languages)
             labels = pa.array(np.array([*m.languages, UND], object)[np.where(known, best, -1)], pa.string())
-            cols = [*batch.columns[:-1], labels, pa.array(np.where(known, score, 0.0)), pa.array(known & (score < AMBIGUOUS))]
+            cols = [*batch.columns[:-1], labels, pa.array(np.where(known, score, 0.0)), pa.array(known & (gap < m.clear))]
             yield pa.RecordBatch.from_arrays(cols, names_)
 
     fields = [f for f in docs.schema.fields if f.name not in names]
@@ -164,7 +173,7 @@ def predict(docs: DataFrame, model: Model, names: tuple[str, str, str] = ("lang_
     from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
     schema = StructType([*fields, *[StructField(n, t) for n, t in zip(names, (StringType(), DoubleType(), BooleanType()), strict=True)]])
-    return docs.select(*[F.col(f"`{f.name}`") for f in fields], F.col("text").cast("string").alias("__text")).mapInArrow(label, schema)
+    return docs.select(*[F.col(f"`{f.name}`") for f in fields], F.col("text").cast("string").alias(fresh(docs, "text")[0])).mapInArrow(label, schema)
 
 
 def held_out() -> Column:
@@ -183,5 +192,6 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def accepted_documents(docs: DataFrame) -> DataFrame:
     """The rows whose language is known and clear; all their columns. Labels come from docs itself."""
     model = train(docs.where(~held_out()))
-    kept = predict(docs, model, ("__lang", "__score", "__ambiguous")).where(f"__lang != '{UND}' and not __ambiguous")
+    lang, _, ambiguous = names = fresh(docs, "lang_pred", "score", "ambiguous")
+    kept = predict(docs, model, tuple(names)).where((F.col(lang) != UND) & ~F.col(ambiguous))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -36,6 +36,53 @@ def test_held_out_accuracy_and_undetermined(spark):
     assert all(0 <= r.score <= 1 for r in out.values())
 
 
+def test_decoding_is_loss_weighted():
+    """The nearest codeword by hand, on given margins."""
+    rng = np.random.default_rng(1)
+    code = langid.codebook(4)
+    model = langid.Model(["a", "b", "c", "d"], code, np.zeros((0, 0)), np.zeros(code.shape[1]), rng.uniform(0.5, 2, code.shape[1]))
+    margins = rng.normal(0, 2, (50, code.shape[1]))
+    best, score, gap = model.decode(margins)
+    for k in range(50):
+        cost = [sum(t * np.log1p(np.exp(-m * (1 if bit else -1))) for t, m, bit in zip(model.trust, margins[k], word, strict=True)) for word in code]
+        order = np.argsort(cost)
+        assert best[k] == order[0] and np.isclose(gap[k], cost[order[1]] / cost[order[0]] - 1)
+        weight = [np.exp(-langid.SHARP * c / model.trust.sum()) for c in cost]
+        assert np.isclose(score[k], max(weight) / sum(weight))
+
+
+def test_texts_between_languages_are_flagged(spark):
+    docs = corpus(spark)
+    model = langid.train(docs.where(~langid.held_out()))
+    rows = docs.where("doc_id < 300").collect()
+    of = lambda lang: " ".join(r.text for r in rows if r.lang == lang)
+    a, b = of("en"), of("de")
+    found = None
+    for share in np.linspace(0.2, 0.8, 61):  # somewhere between the two the margin is nil
+        n = int(1500 * share)
+        text = a[:n] + " " + b[: 1500 - n]
+        out = langid.predict(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), model).first() if found is None else None
+        found = found or (out if out.ambiguous else None)
+    assert found is not None
+    clean = langid.predict(docs.where("doc_id < 300"), model)
+    assert clean.where("ambiguous").count() <= 1
+
+
+def test_sample_is_of_the_smallest_hashes_and_repeated_rows_count_once(spark):
+    same = [(7, "the same row", "en")] * 2000 + [(7, f"text {k}", "de") for k in range(2000)] + [(k, f"un texte {k}", "fr") for k in range(30)]
+    docs = spark.createDataFrame(same, "doc_id bigint, text string, lang string")
+    got = langid.sample(docs, 50).collect()
+    hashes = docs.select("lang", F.xxhash64(F.col("doc_id").cast("string"), "text", F.lit("sample")).alias("h")).distinct().collect()
+    want = {(lang, h) for lang in ("en", "de", "fr") for h in sorted(r.h for r in hashes if r.lang == lang)[:50]}
+    assert {(r.lang, r.h) for r in got} == want and len(got) == 1 + 50 + 30
+
+
+def test_names_that_clash(spark):
+    docs = corpus(spark).withColumns({"lang_pred": F.lit("own"), "ambiguous": F.lit(3), "text_": F.lit("t"), "_metadata": F.lit("m")})
+    kept = langid.accepted_documents(docs)
+    assert kept.columns == docs.columns and {(r.lang_pred, r.ambiguous, r.text_) for r in kept.collect()} == {("own", 3, "t")}
+
+
 def test_stage_keeps_columns_and_clean_rows(spark):
     docs = corpus(spark)
     kept = langid.accepted_documents(docs)
