@@ -1,7 +1,8 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
 The seats of the mix are its words. Sources get them by highest quotients of their targets
-(t / 1, t / 3, t / 5, ...), and within a source so do its shards, by their words. In a shard the
+(t / 1, t / 3, t / 5, ...), within a source so do groups of ``SHARDS_PER_GROUP`` shards, by their words,
+and within a group its shards. In a shard the
 documents lie end to end in a seeded order; the shard's quota takes all its words as often as it
 divides, and the rest by blocks in a seeded permutation, of the last one only the first words that
 are due. Blocks bound the plan, not what is taken. Texts are read once, for their sizes; only
@@ -31,6 +32,7 @@ MOST = 3  # times that the mix may take a word
 BLOCKS_PER_SOURCE = 20_000
 MOST_BLOCK = 4096
 DOCS_PER_SHARD = 2_000
+SHARDS_PER_GROUP = 4_096  # of a source of n documents one task sees n / 8 million groups, another 4,096 shards
 MOST_SOURCES = 1_000_000  # the inventory of sources is planned on the driver; more are refused
 STRIDE = 2_147_483_647  # a prime above any shard's number of blocks
 
@@ -110,10 +112,20 @@ PLAN = "source string, idx int, source_size bigint, target double, seats bigint,
 
 
 def _quotas(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The source's words among its shards; one row a shard."""
-    pdf = pdf.sort_values("shard")
+    """The seats of a row's parent among the rows, by their words."""
+    pdf = pdf.sort_values("part")
     pdf["quota"] = apportion([float(w) for w in pdf["words"]], int(pdf["seats"].iloc[0]), [MOST * int(w) for w in pdf["words"]])
-    return pdf[["idx", "shard", "words", "quota"]]
+    return pdf[["idx", "parent", "part", "words", "quota"]]
+
+
+def shard_quotas(shards: DataFrame, per_group: int = SHARDS_PER_GROUP) -> DataFrame:
+    """(idx, shard, words, quota) of a written table (idx, shard, words, seats): a source's seats among groups of shards, a group's among its shards."""
+    schema = "idx int, parent bigint, part bigint, words bigint, quota bigint"
+    group = F.expr(f"shard div {per_group}")
+    groups = shards.groupBy("idx", F.lit(0).cast("bigint").alias("parent"), group.alias("part")).agg(F.sum("words").alias("words"), F.first("seats").alias("seats"))
+    seats = groups.groupBy("idx", "parent").applyInPandas(_quotas, schema).select("idx", F.col("part").alias("parent"), F.col("quota").alias("seats"))
+    parts = shards.select("idx", group.alias("parent"), F.col("shard").alias("part"), "words").join(seats, ["idx", "parent"])
+    return parts.groupBy("idx", "parent").applyInPandas(_quotas, schema).select("idx", F.col("part").alias("shard"), "words", "quota")
 
 
 def placed(rows: DataFrame, plan: list[dict], seed: int) -> DataFrame:
@@ -125,8 +137,8 @@ def placed(rows: DataFrame, plan: list[dict], seed: int) -> DataFrame:
     rows = rows.join(sources, rows["source"].eqNullSafe(sources["source"])).drop(sources["source"])
     order = F.xxhash64(F.col("doc_id"), F.col("digest"), F.lit(seed))
     rows = rows.withColumns({"order": order, "shard": F.pmod(F.xxhash64(order, F.lit(seed + 1)), F.col("shards"))})
-    shards = rows.groupBy("idx", "shard").agg(F.sum("size").alias("words"), F.first("seats").alias("seats"))
-    quotas = shards.groupBy("idx").applyInPandas(_quotas, "idx int, shard bigint, words bigint, quota bigint")
+    shards = written(rows.groupBy("idx", "shard").agg(F.sum("size").alias("words"), F.first("seats").alias("seats")), "shards")
+    quotas = shard_quotas(shards)
     line = Window.partitionBy("idx", "shard").orderBy("order", "doc_id", "digest")
     rows = rows.withColumn("start", F.sum("size").over(line) - F.col("size"))
     return rows.join(quotas, ["idx", "shard"])
@@ -168,13 +180,15 @@ def mixed_documents(docs: DataFrame, seed: int = 17, weights=WEIGHTS) -> DataFra
 
     Rows of which the mix takes no word go. Columns are those of docs; n_chars is counted anew."""
     docs = located(docs)
-    at = {"__file": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index")}
-    take = mix(docs.withColumns(at), seed, weights, carry=tuple(at)).where("taken > 0").select(*at, F.col("passes").alias("__passes"), F.col("ranges").alias("__ranges"))
-    rows = docs.withColumns(at).join(take, list(at))
-    words = F.regexp_extract_all(text_or_empty(), F.lit(WORD), F.lit(0))
-    part = F.expr("array_join(flatten(transform(__ranges, r -> slice(__words, int(r.first + 1), int(r.end - r.first)))), ' ')")
-    rows = rows.withColumn("__words", F.when(F.size("__ranges") > 0, words)).withColumn("__part", F.when(F.size("__ranges") > 0, F.array(part)).otherwise(F.expr("array()").cast("array<string>")))
-    rows = rows.withColumn("text", F.explode(F.concat(F.array_repeat(text_or_empty(), F.col("__passes").cast("int")), F.col("__part"))))
+    file, row, passes, ranges, words, part = fresh(docs, "at_file", "at_row", "times", "runs", "words", "part")
+    at = dict(zip((file, row), place(docs), strict=True))
+    take = mix(docs.withColumns(at), seed, weights, carry=(file, row)).where("taken > 0").select(file, row, F.col("passes").alias(passes), F.col("ranges").alias(ranges))
+    rows = docs.withColumns(at).join(take, [file, row])
+    some, none = F.size(ranges) > 0, F.expr("cast(array() as array<string>)")
+    rows = rows.withColumn(words, F.when(some, F.regexp_extract_all(text_or_empty(), F.lit(WORD), F.lit(0))))
+    runs = F.flatten(F.transform(ranges, lambda r: F.slice(F.col(words), (r["first"] + 1).cast("int"), (r["end"] - r["first"]).cast("int"))))
+    rows = rows.withColumn(part, F.when(some, F.array(F.array_join(runs, " "))).otherwise(none))
+    rows = rows.withColumn("text", F.explode(F.concat(F.array_repeat(text_or_empty(), F.col(passes).cast("int")), F.col(part))))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns])

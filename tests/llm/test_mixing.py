@@ -17,11 +17,13 @@ def by_quotients(claims, seats, caps):
     return n
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.lists(st.integers(0, 1000), min_size=1, max_size=8), st.integers(0, 200))
-def test_apportion_is_by_highest_quotients(claims, seats):
-    caps = [seats] * len(claims)
-    assert mixing.apportion([float(c) for c in claims], seats) == by_quotients(claims, seats, caps) or sorted(mixing.apportion([float(c) for c in claims], seats)) == sorted(by_quotients(claims, seats, caps))
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 60), st.integers(0, 40)), min_size=1, max_size=8), st.integers(0, 200))
+def test_apportion_is_by_highest_quotients(rows, seats):
+    """With caps and ties: the first of equal quotients gets the seat."""
+    claims, caps = [float(c) for c, _ in rows], [cap for _, cap in rows]
+    assert mixing.apportion(claims, seats, caps) == by_quotients(claims, seats, caps)
+    assert mixing.apportion(claims, seats) == by_quotients(claims, seats, [seats] * len(claims))
 
 
 def test_targets_stop_at_three_times():
