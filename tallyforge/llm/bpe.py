@@ -1,9 +1,9 @@
 """Byte-level BPE encoding and decoding with the ranks of a public vocabulary.
 
-A piece (a match of the vocabulary's pattern) is encoded by Spark's higher-order functions: its
-bytes, as hexadecimal octets, are an array, and a fold merges the adjacent pair of least rank until
-none has a rank. Ranks are looked up in a literal: an array of small maps, dealt out by checksum,
-as a map's entries are searched one by one.
+A piece (a match of the vocabulary's pattern) is encoded by Spark's higher-order functions: the ids of
+its bytes are an array, and a fold merges the adjacent pair of least rank until none has a rank. Ranks
+are looked up in a literal map from pairs of ids to the merged id, its rank: the rows of the map, one for
+each first id, are laid over each other in one array, as a map's entries are searched one by one.
 
 Texts are worked on in chunks, in which each distinct word is split once. Pieces that several chunks
 have in common are encoded once, up to a documented bound (those of most chunks), and broadcast as
@@ -23,6 +23,7 @@ import heapq
 import json
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,11 +33,9 @@ from .common import arrow_bounds, release, text_or_empty, written
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 DICTIONARY = 1_000_000  # pieces that are broadcast, at most
 DICTIONARY_BYTES = 64  # of a broadcast piece, at most
-CHUNK = 16 << 20  # code points that a task takes at a time, and the rest of an Arrow batch
+CHUNK = 8 << 20  # code points that a task takes at a time, and the rest of an Arrow batch
 LONG = 256
 _KNOWN = 1 << 40
-_MAPS = 1 << 14
-_NONE = 2**31 - 1
 
 
 def vocabulary_path() -> str:
@@ -86,13 +85,40 @@ def heap_merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[piece[i : end[i]]] for i in range(n) if live[i]]
 
 
-def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """The ranks as one literal: array<map<hex of the token, rank>>, by checksum of the hex."""
-    maps: list[dict[str, int]] = [{} for _ in range(_MAPS)]
+@lru_cache(2)
+def pair_table(path: str) -> dict[str, list]:
+    """The ranks of pairs of tokens as arrays, rows laid over each other: where ``own[base[a] + b] == a``, a and b
+    merge into ``rank[base[a] + b]``. ``byte``: the ids of single bytes; ``two``: ranks of pairs of bytes."""
+    import numpy as np
+
+    ranks = load_ranks(path)
+    rows: dict[int, dict[int, int]] = {}
     for token, rank in ranks.items():
-        key = token.hex().upper()
-        maps[zlib.crc32(key.encode()) % _MAPS][key] = rank
-    return F.from_json(F.lit(json.dumps(maps, separators=(",", ":"))), "array<map<string,int>>")
+        for k in range(1, len(token)):
+            a, b = ranks.get(token[:k]), ranks.get(token[k:])
+            if a is not None and b is not None:
+                rows.setdefault(a, {})[b] = rank
+    ids = max(ranks.values()) + 1
+    spread = 1 << max(8, (2 * sum(map(len, rows.values()))).bit_length())
+    own, rank_of, base = np.full(spread + ids, -1), np.zeros(spread + ids, int), np.full(ids, -2 * ids)
+    rng = np.random.default_rng(3)
+    for a in sorted(rows, key=lambda a: (-len(rows[a]), a)):
+        columns = np.fromiter(rows[a], int)
+        while True:  # at most half full: a few draws do
+            offsets = rng.integers(0, spread, 32)
+            free = (own[offsets[:, None] + columns] < 0).all(1)
+            if free.any():
+                break
+        base[a] = offsets[free.argmax()]
+        own[base[a] + columns], rank_of[base[a] + columns] = a, list(rows[a].values())
+    byte = [ranks[bytes([i])] for i in range(256)]
+    two = [ranks.get(bytes([i, j])) for i in range(256) for j in range(256)]
+    return {"base": base.tolist(), "own": own.tolist(), "rank": rank_of.tolist(), "byte": byte, "two": two}
+
+
+def rank_literal(path: str) -> dict[str, Column]:
+    """The arrays of ``pair_table`` as literals."""
+    return {k: F.from_json(F.lit(json.dumps(v, separators=(",", ":"))), "array<int>") for k, v in pair_table(path).items()}
 
 
 def _bind(value: Column, f) -> Column:
@@ -100,37 +126,37 @@ def _bind(value: Column, f) -> Column:
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
-def encode_piece(piece: Column, literal: Column) -> Column:
-    """The piece's ids as decimal numbers joined by commas (empty piece: empty string)."""
-
-    def whole(ranks: Column) -> Column:
-        rank = lambda x: F.coalesce(F.element_at(F.get(ranks, F.pmod(F.crc32(x.cast("binary")), F.lit(_MAPS)).cast("int")), x), F.lit(_NONE))
+def encode_piece(piece: Column, table: dict[str, Column]) -> Column:
+    """The ids of a piece of one byte at least that is no token itself, as decimal numbers joined by commas.
 
-        def merged(p: Column, r: Column, k: Column) -> Column:
-            def by(t: Column) -> Column:
-                left = F.when(k > 1, F.concat(F.slice(r, F.lit(1), F.greatest(k - 2, F.lit(0))), F.array(rank(F.concat(F.get(p, k - 2), t))))).otherwise(F.expr("cast(array() as array<int>)"))
-                right = F.when(k + 1 < F.size(p), F.concat(F.array(rank(F.concat(t, F.get(p, k + 1)))), F.slice(r, k + 2, F.size(p)))).otherwise(F.expr("cast(array() as array<int>)"))
-                return F.struct(F.concat(F.slice(p, F.lit(1), k - 1), F.array(t), F.slice(p, k + 2, F.size(p))).alias("p"), F.concat(left, right).alias("r"))
+    The piece's bytes, as ids of tokens, are an array with a mark at either end; beside it are the ranks
+    of its adjacent pairs. Each step of the fold merges the first pair of least rank; the id of a merged
+    token is the pair's rank."""
+    rest = F.lit(1 << 30)
 
-            return _bind(F.concat(F.get(p, k - 1), F.get(p, k)), by)
+    def rank(a: Column, b: Column) -> Column:
+        at = F.get(table["base"], a) + b
+        return F.when(F.get(table["own"], at) == a, F.get(table["rank"], at))
 
-        def step(acc: Column, _: Column) -> Column:
-            p, r = acc["p"], acc["r"]
-            return _bind(F.array_min(r), lambda least: F.when(least.isNull() | (least == _NONE), acc).otherwise(_bind(F.array_position(r, least).cast("int"), lambda k: merged(p, r, k))))
+    def step(acc: Column, _: Column) -> Column:
+        p, r = acc["p"], acc["r"]
 
-        def fold(octets: Column) -> Column:
-            pairs = F.transform(F.slice(octets, F.lit(1), F.size(octets) - 1), lambda x, i: rank(F.concat(x, F.get(octets, i + 1))))
-            first = F.struct(octets.alias("p"), pairs.alias("r"))
-            return F.aggregate(F.sequence(F.lit(2), F.size(octets)), first, step, lambda acc: F.array_join(F.transform(acc["p"], lambda x: rank(x).cast("string")), ","))
+        def merged(t: Column, k: Column) -> Column:
+            ids = F.concat(F.slice(p, F.lit(1), k - 1), F.array(t), F.slice(p, k + 2, rest))
+            ranks = F.concat(F.slice(r, F.lit(1), k - 2), F.array(rank(F.get(p, k - 2), t), rank(t, F.get(p, k + 1))), F.slice(r, k + 2, rest))
+            return F.struct(ids.alias("p"), ranks.alias("r"))
 
-        def ids(hexed: Column) -> Column:
-            octets = F.transform(F.sequence(F.lit(1), F.length(hexed), F.lit(2)), lambda i: F.substring(hexed, i, F.lit(2)))
-            known = _bind(rank(hexed), lambda k: F.when(k != _NONE, k.cast("string")).otherwise(_bind(octets, fold)))
-            return F.when(hexed == "", F.lit("")).otherwise(known)
+        return _bind(F.array_min(r), lambda t: F.when(t.isNull(), acc).otherwise(_bind(F.array_position(r, t).cast("int"), lambda k: merged(t, k))))
 
-        return _bind(F.hex(F.encode(piece, "UTF-8")), ids)
+    def fold(octets: Column) -> Column:
+        edge, none = F.array(F.lit(-1)), F.array(F.lit(None).cast("int"))
+        ids = F.concat(edge, F.transform(octets, lambda x: F.get(table["byte"], x)), edge)
+        ranks = F.concat(none, F.transform(octets, lambda x, i: F.get(table["two"], x * 256 + F.get(octets, i + 1))))
+        start = F.struct(ids.alias("p"), ranks.alias("r"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(octets)), start, step, lambda acc: F.array_join(F.slice(acc["p"], F.lit(2), F.size(acc["p"]) - 2).cast("array<string>"), ","))
 
-    return _bind(literal, whole)
+    octets = F.transform(F.split(F.decode(F.encode(piece, "UTF-8"), "ISO-8859-1"), ""), lambda c: F.ascii(c))
+    return _bind(octets, fold)
 
 
 class Splitter:
@@ -147,50 +173,54 @@ class Splitter:
 
     def lines(self, text: str) -> list[list[str]] | None:
         """Words of the lines; all but a line's first have a space before them. None: split the text whole."""
-        if self.mixed(text) or text[:1] == "\n" or text[-1:] in ("\n", " "):
-            return None
+        one = text.replace("\n", " ")
+        if " ".join(one.split()) != one:  # runs of white space, or other than space and line feed
+            if self.mixed(text) or text[:1] == "\n" or text[-1:] in ("\n", " "):
+                return None
         return [line.split(" ") for line in text.split("\n")]
 
 
-class _Numbers(dict):
-    """Numbers of what is looked up, in order of appearance; ``made`` is called with what is new."""
-
-    def __init__(self, made):
-        self.made = made
-
-    def __missing__(self, x: str) -> int:
-        self[x] = n = self.made(x)
-        return n
-
-
 class Chunk:
-    """Texts as numbers of their words, the words as numbers of their pieces; each word is split once."""
+    """Texts whose words are numbered, and the words' pieces, when the chunk ends: each word is split once."""
 
     def __init__(self, split: Splitter):
-        self.split, self.words, self.size = split, [], 0
-        self.pieces: dict[str, int] = {}
-        self.spaced = _Numbers(lambda w: self._word(split.find(" " + w)))
-        self.plain = _Numbers(lambda x: self._word([x]))
-
-    def _word(self, found: list[str]) -> int:
-        n, pieces = len(self.words), self.pieces
-        self.words.append([pieces.setdefault(x, len(pieces)) for x in found])
-        return n
-
-    def add(self, text: str) -> list[int]:
-        """The numbers of a text's words."""
+        self.split, self.texts, self.spaced, self.plain, self.size = split, [], set(), {"\n"}, 0
+
+    def add(self, text: str) -> None:
         self.size += len(text)
-        lines, plain, find = self.split.lines(text), self.plain, self.split.find
+        lines = self.split.lines(text)
         if lines is None:
-            return [plain[x] for x in find(text)]
-        out: list[int] = []
-        for k, line in enumerate(lines):
-            if k:
-                out.append(plain["\n"])
-            if line[0]:
-                out += [plain[x] for x in find(line[0])]
-            out += map(self.spaced.__getitem__, line[1:])
-        return out
+            lines = self.split.find(text)
+            self.plain.update(lines)
+        else:
+            for line in lines:
+                self.spaced.update(line[1:])
+                line[:1] = [self.split.find(line[0])]
+                self.plain.update(line[0])
+        self.texts.append(lines)
+
+    def pieces(self) -> list[list[str]]:
+        """The pieces of each word; those that are pieces as they stand come first."""
+        find = self.split.find
+        self.order = [*self.plain], [*self.spaced]
+        return [[x] for x in self.order[0]] + [find(" " + x) for x in self.order[1]]
+
+    def numbers(self):
+        """The numbers of each text's words."""
+        plain = dict(zip(self.order[0], range(len(self.order[0])), strict=True)).__getitem__
+        spaced = dict(zip(self.order[1], range(len(self.order[0]), len(self.order[0]) + len(self.order[1])), strict=True)).__getitem__
+        feed = plain("\n")
+        for lines in self.texts:
+            if not lines or isinstance(lines[0], str):
+                yield list(map(plain, lines))
+                continue
+            out: list[int] = []
+            for k, line in enumerate(lines):
+                if k:
+                    out.append(feed)
+                out += map(plain, line[0])
+                out += map(spaced, line[1:])
+            yield out
 
 
 class Dictionary:
@@ -255,7 +285,7 @@ def shared_pieces(docs: DataFrame, pat: str, ranks, chunk: int = CHUNK) -> DataF
     return found.where(F.octet_length("piece") <= DICTIONARY_BYTES).groupBy("piece").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def dictionary(pieces: DataFrame, literal: Column, most: int = DICTIONARY) -> tuple[bytes, bytes, bytes, bytes]:
+def dictionary(pieces: DataFrame, literal: dict[str, Column], most: int = DICTIONARY) -> tuple[bytes, bytes, bytes, bytes]:
     """Of a written table (piece, n) the pieces of the largest n (those of at least the least one that stays
     within the bound): hashes, checksums, places and ids."""
     import numpy as np
@@ -288,7 +318,7 @@ def _coded(docs: DataFrame, finish, schema: str, path: str | None, pat: str | No
     has its words and the distinct pieces that need merging; Spark merges these, and the words' ids and bytes are
     put together and then the texts'. Nothing is shuffled."""
     path, pat = path or vocabulary_path(), pat or pattern()
-    spark, literal = docs.sparkSession, rank_literal(load_ranks(path))
+    spark, literal = docs.sparkSession, rank_literal(path)
     spark.conf.set("spark.sql.maxPlanStringLength", "100000")  # or each plan's description holds the literal
     ranks = spark.sparkContext.broadcast(load_ranks(path))  # a vocabulary
     release()
@@ -304,35 +334,44 @@ def _coded(docs: DataFrame, finish, schema: str, path: str | None, pat: str | No
         import pyarrow as pa
 
         split, of, tokens = Splitter(pat), Dictionary(*known.value), ranks.value
-        part = Chunk(split)
-
-        def rows(keys, words) -> pa.RecordBatch:
-            n = len(words)
-            return pa.RecordBatch.from_arrays([keys, pa.array(words, pa.binary()), pa.nulls(n, pa.list_(pa.string())), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], columns)
 
-        def end(keys) -> pa.RecordBatch:
-            texts = list(part.pieces)
-            raw = [x.encode() for x in texts]
+        def rows(part, keys):
+            """What a chunk comes to: rows of its texts, and one of its words."""
+            words = part.pieces()
+            size = np.fromiter(map(len, words), np.int64, len(words))
+            flat = list(chain.from_iterable(words))
+            del words
+            index: dict[str, int] = {}
+            at = [index.setdefault(x, len(index)) for x in flat]
+            raw = [x.encode() for x in index]
             token = np.fromiter((tokens.get(x, -1) for x in raw), np.int64, len(raw))
             place = of.find(raw)
             rest = np.flatnonzero((token < 0) & (place < 0))
             code = np.where(token >= 0, -1 - token, place + _KNOWN)
             code[rest] = np.arange(len(rest))
-            size = np.fromiter(map(len, part.words), np.int64, len(part.words))
-            at = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
-            flat = np.fromiter((x for w in part.words for x in w), np.int64, int(at[-1]))
-            one = lambda x, t: pa.array([x], t)
-            return pa.RecordBatch.from_arrays([keys, one(None, pa.binary()), one([texts[k] for k in rest], pa.list_(pa.string())), one(at.tobytes(), pa.binary()), one(code[flat].tobytes(), pa.binary())], columns)
-
-        none = None
+            merge = pa.array([raw[k] for k in rest], pa.binary()).cast(pa.string())
+            code = code[at]
+            del flat, index, at, raw, token, place
+            numbers = part.numbers()
+            for key in keys:
+                n = len(key)
+                texts = [np.array(next(numbers), np.int32).tobytes() for _ in range(n)]
+                yield pa.RecordBatch.from_arrays([key, pa.array(texts, pa.binary()), pa.nulls(n, pa.list_(pa.string())), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], columns)
+            starts = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
+            one = pa.ListArray.from_arrays(pa.array([0, len(merge)], pa.int32()), merge)
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, key.type), pa.nulls(1, pa.binary()), one, pa.array([starts.tobytes()], pa.binary()), pa.array([code.tobytes()], pa.binary())], columns)
+
+        part, keys = Chunk(split), []
         for batch in batches:
-            none = pa.nulls(1, batch.schema.field(0).type)
-            yield rows(batch.column(0), [np.array(part.add(text), np.int32).tobytes() for text in batch.column(1).to_pylist()])
+            if batch.num_rows:
+                keys.append(batch.column(0))
+                for text in batch.column(1).to_pylist():
+                    part.add(text)
             if part.size > chunk:
-                yield end(none)
-                part = Chunk(split)
-        if none is not None:
-            yield end(none)
+                yield from rows(part, keys)
+                part, keys = Chunk(split), []
+        if keys:
+            yield from rows(part, keys)
         release()
 
     def join(batches):
@@ -340,19 +379,17 @@ def _coded(docs: DataFrame, finish, schema: str, path: str | None, pat: str | No
         import pyarrow as pa
 
         of, tokens = Dictionary(*known.value), ranks.value
-        token = {r: t for t, r in tokens.items()}
         waiting: list[tuple[pa.Array, list[bytes]]] = []
 
-        def words(row) -> tuple[list[bytes], list[bytes]]:
-            """Ids and bytes of the chunk's words."""
+        def words(row) -> list[bytes]:
+            """Ids of the chunk's words."""
             merged, far = row["ids"], iter(row["far"])
             merged = [",".join(map(str, heap_merge(next(far).encode(), tokens))).encode() if x is None else x.encode() for x in merged]
-            at, codes = np.frombuffer(row["at"], np.int64).tolist(), np.frombuffer(row["codes"], np.int64)
-            piece = {c: str(-1 - c).encode() if c < 0 else of.get(c - _KNOWN) if c >= _KNOWN else merged[c] for c in np.unique(codes).tolist()}
-            plain = {c: token[-1 - c] if c < 0 else b"".join([token[int(x)] for x in ids.split(b",")]) for c, ids in piece.items()}
-            codes = codes.tolist()
-            parts = [codes[i:j] for i, j in zip(at, at[1:], strict=False)]
-            return [b",".join([piece[c] for c in x]) for x in parts], [b"".join([plain[c] for c in x]) for x in parts]
+            at, codes = np.frombuffer(row["at"], np.int64), np.frombuffer(row["codes"], np.int64)
+            some, of_some = np.unique(codes, return_inverse=True)
+            piece = [str(-1 - c).encode() if c < 0 else of.get(c - _KNOWN) if c >= _KNOWN else merged[c] for c in some.tolist()]
+            ids = list(map(piece.__getitem__, of_some.tolist()))
+            return [ids[i] if j == i + 1 else b",".join(ids[i:j]) for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
         for batch in batches:
             ends = [k for k in range(batch.num_rows) if batch.column(4)[k].is_valid]
@@ -361,9 +398,9 @@ def _coded(docs: DataFrame, finish, schema: str, path: str | None, pat: str | No
                 if k > first:
                     waiting.append((batch.column(0).slice(first, k - first), batch.column(1).slice(first, k - first).to_pylist()))
                 if k < batch.num_rows:
-                    ids, plain = words(dict(zip(["ids", "far", "at", "codes"], (batch.column(c)[k].as_py() for c in (2, 3, 4, 5)), strict=True)))
+                    ids = words(dict(zip(["ids", "far", "at", "codes"], (batch.column(c)[k].as_py() for c in (2, 3, 4, 5)), strict=True)))
                     for keys, texts in waiting:
-                        yield finish(keys, [np.frombuffer(x, np.int32).tolist() for x in texts], ids, plain)
+                        yield finish(keys, [np.frombuffer(x, np.int32) for x in texts], ids)
                     waiting.clear()
                 first = k + 1
         release()
@@ -377,10 +414,10 @@ def _coded(docs: DataFrame, finish, schema: str, path: str | None, pat: str | No
 def encode(docs: DataFrame, path: str | None = None, pat: str | None = None, most: int = DICTIONARY, key: str = "doc_id", chunk: int = CHUNK) -> DataFrame:
     """(key, ids): each text's ids as decimal numbers joined by commas."""
 
-    def finish(keys, texts, ids, plain):
+    def finish(keys, texts, ids):
         import pyarrow as pa
 
-        return pa.RecordBatch.from_arrays([keys, pa.array([b",".join([ids[w] for w in x]).decode() for x in texts], pa.string())], [key, "ids"])
+        return pa.RecordBatch.from_arrays([keys, pa.array([b",".join(map(ids.__getitem__, x.tolist())).decode() for x in texts], pa.string())], [key, "ids"])
 
     return _coded(docs, finish, "ids string", path, pat, most, key, chunk)
 
@@ -388,14 +425,23 @@ def encode(docs: DataFrame, path: str | None = None, pat: str | None = None, mos
 def token_digests(docs: DataFrame, path: str | None = None, pat: str | None = None, most: int = DICTIONARY, key: str = "doc_id", chunk: int = CHUNK) -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256) of texts, without a table of ids between; decoding joins the ids' binary pieces."""
 
-    def finish(keys, texts, ids, plain):
+    path = path or vocabulary_path()
+    token = docs.sparkSession.sparkContext.broadcast({str(r).encode(): t for t, r in load_ranks(path).items()})  # a vocabulary
+    last: list = [None, None, None]  # of one chunk's words: ids, how many, bytes
+
+    def finish(keys, texts, ids):
         import numpy as np
         import pyarrow as pa
 
-        sha, size = hashlib.sha256, np.fromiter((x.count(b",") + 1 for x in ids), np.int64, len(ids))
-        n = [int(size[x].sum()) if x else 0 for x in texts]
-        ids_hash = [sha(b",".join([ids[w] for w in x])).hexdigest() for x in texts]
-        text_hash = [sha(b"".join([plain[w] for w in x])).hexdigest() for x in texts]
+        if last[0] is not ids:
+            of = token.value.__getitem__
+            last[:] = ids, np.fromiter((x.count(b",") + 1 for x in ids), np.int64, len(ids)), [b"".join(map(of, x.split(b","))) for x in ids]
+        size, plain, sha = last[1], last[2], hashlib.sha256
+        n, ids_hash, text_hash = [int(size[x].sum()) for x in texts], [], []
+        for x in texts:
+            at = x.tolist()
+            ids_hash.append(sha(b",".join(map(ids.__getitem__, at))).hexdigest())
+            text_hash.append(sha(b"".join(map(plain.__getitem__, at))).hexdigest())
         return pa.RecordBatch.from_arrays([keys, pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return _coded(docs, finish, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", path, pat, most, key, chunk)
