@@ -33,16 +33,17 @@ def recompute(cells: DataFrame, fields: dict[str, tuple[str, ...]] | None = None
 def autocorrect(cells: DataFrame) -> DataFrame:
     """Derived cells filled only where they are 0 and their formula, over what stands in the rows, isn't.
 
-    Formulas of one level are applied in their order, each on what the ones before have filled."""
-    deps = schema.FORMULAS
-    for block, formulas in deps.items():
+    Formulas of one level are applied in their order, each on what the ones before have filled, over one row
+    for each document, block and field; cells that are absent stay so."""
+    most = max(len(schema.C_LABELS), len(schema.D_LABELS))
+    v = lambda k: F.col(f"__v{k}")
+    wide = cells.groupBy("doc_id", "block", "field").agg(*[F.max(F.when(F.col("sl_no") == k, F.col("value"))).alias(f"__v{k}") for k in range(1, most + 1)])
+    for block, formulas in schema.FORMULAS.items():
         for target, sources in formulas.items():
-            part = cells.where((F.col("block") == block) & F.col("sl_no").isin(*sources, target))
-            signs = F.element_at(F.create_map(*[F.lit(x) for kv in sources.items() for x in kv]), F.col("sl_no"))
-            calc = part.groupBy("doc_id", "field").agg(F.sum(F.when(F.col("sl_no") != target, F.col("value") * signs).otherwise(0.0)).alias("__calc"))
-            hit = (F.col("block") == block) & (F.col("sl_no") == target) & (F.col("value") == 0) & (F.coalesce("__calc", F.lit(0.0)) != 0)
-            cells = cells.join(calc, ["doc_id", "field"], "left").withColumn("value", F.when(hit, F.col("__calc")).otherwise(F.col("value"))).drop("__calc")
-    return cells
+            calc = sum((F.coalesce(v(k), F.lit(0.0)) * sign for k, sign in sources.items()), F.lit(0.0))
+            wide = wide.withColumn(f"__v{target}", F.when((F.col("block") == block) & (v(target) == 0) & (calc != 0), calc).otherwise(v(target)))
+    made = F.array(*[F.struct(F.lit(k).alias("sl_no"), v(k).alias("value")) for k in range(1, most + 1)])
+    return wide.select("doc_id", "block", "field", F.inline(made)).where("value is not null").select(*CELL, "value")
 
 
 def cap_depreciation(rows: DataFrame) -> DataFrame:

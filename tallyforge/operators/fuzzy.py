@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 from ..functions.text import clean_label
 
 ACCEPT, ASSIST, HEADER, BLOCK = 80.0, 50.0, 55.0, 70.0
-MOST_ALIASES = 10_000
+MOST_ALIASES = 10_000  # that are broadcast
 
 
 def _ratio(a: str, b: str) -> float:
@@ -60,17 +60,28 @@ def partial_score(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([partial(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
+def _dealt(table: DataFrame) -> DataFrame:
+    """A dictionary as the small side of a comparison: broadcast if it is small, else left to the planner."""
+    return F.broadcast(table) if table.count() <= MOST_ALIASES else table
+
+
 def best_match(labels: DataFrame, aliases: DataFrame, least: float = ASSIST, column: str = "label") -> DataFrame:
     """labels with canonical, score and needs_review: the alias most like each label, the first by ordinal on ties.
 
-    aliases is (canonical, alias, ordinal), a dictionary whose size is checked before it is broadcast;
-    each distinct label is scored once."""
-    if aliases.count() > MOST_ALIASES:
-        raise ValueError(f"more than {MOST_ALIASES} aliases")
-    distinct = labels.select(F.col(column).alias("__l")).where("__l is not null").distinct()
-    scored = distinct.crossJoin(F.broadcast(aliases)).withColumn("score", token_set_score(clean_label(F.col("__l")), clean_label(F.col("alias"))))
+    aliases is (canonical, alias, ordinal). Of each distinct label those aliases come first whose words hold the
+    label's or are held by them (score 100): an equi-join on words, without Python. Only labels without such an
+    alias are scored against all of them."""
+    words = lambda c: F.array_distinct(F.filter(F.split(clean_label(c), " "), lambda w: w != ""))
+    distinct = labels.select(F.col(column).alias("__l")).where("__l is not null").distinct().withColumn("__w", words(F.col("__l")))
+    known = aliases.withColumn("__v", words(F.col("alias")))
+    # a word of the smaller set is a word of the larger one: the pairs meet on any word
+    meet = distinct.withColumn("__t", F.explode("__w")).join(known.withColumn("__t", F.explode("__v")), "__t")
+    held = meet.where((F.size(F.array_except("__w", "__v")) == 0) | (F.size(F.array_except("__v", "__w")) == 0))
+    whole = held.groupBy("__l").agg(F.max(F.struct(F.lit(100.0).alias("score"), (-F.col("ordinal")).alias("o"), "canonical")).alias("b"))
+    rest = distinct.select("__l").join(whole.select("__l"), "__l", "left_anti")
+    scored = rest.crossJoin(_dealt(aliases)).withColumn("score", token_set_score(clean_label(F.col("__l")), clean_label(F.col("alias"))))
     best = scored.groupBy("__l").agg(F.max(F.struct("score", (-F.col("ordinal")).alias("o"), "canonical")).alias("b")).where(F.col("b.score") >= least)
-    out = labels.join(best, labels[column] == best["__l"], "left").drop("__l")
+    out = labels.join(whole.unionByName(best), labels[column] == F.col("__l"), "left").drop("__l")
     return out.withColumns({"canonical": F.col("b.canonical"), "score": F.coalesce("b.score", F.lit(0.0)), "needs_review": F.coalesce(F.col("b.score") < ACCEPT, F.lit(True))}).drop("b")
 
 
@@ -99,9 +110,7 @@ def columns_by_position(tables: DataFrame, fields: list[str], width: str = "n_co
 def classify_tables(tables: DataFrame, signals: DataFrame, text: str = "text", width: str = "n_cols") -> DataFrame:
     """tables (table_id, text of the first rows, number of columns) with block C, D or unknown by their
     likeness to signal phrases (block, phrase)."""
-    if signals.count() > MOST_ALIASES:
-        raise ValueError(f"more than {MOST_ALIASES} phrases")
-    score = tables.select("table_id", clean_label(F.col(text)).alias("t")).crossJoin(F.broadcast(signals)).withColumn("s", partial_score("phrase", "t"))
+    score = tables.select("table_id", clean_label(F.col(text)).alias("t")).crossJoin(_dealt(signals)).withColumn("s", partial_score("phrase", "t"))
     of = lambda b: F.max(F.when(F.col("block") == b, F.col("s")).otherwise(0.0)).alias(b)
     out = tables.join(score.groupBy("table_id").agg(of("C"), of("D")), "table_id", "left")
     w = F.col(width)

@@ -129,10 +129,9 @@ def amounts_or_following(rows: DataFrame, amounts: str, by: list[str], order: st
 
 def extract_patterns(rows: DataFrame, patterns: DataFrame, by: list[str], text: str = "line", order: tuple[str, ...] = ("line_no",)) -> DataFrame:
     """(by, sl_no, first, second, ...): the two groups of the first pattern that matches, by pattern order and then
-    place. patterns is (sl_no, ord, pattern), a table whose size is checked before it is broadcast."""
-    if patterns.count() > MOST_PATTERNS:
-        raise ValueError(f"more than {MOST_PATTERNS} patterns")
-    hit = rows.crossJoin(F.broadcast(patterns)).where(F.rlike(F.col(text), F.col("pattern")))
+    place. patterns is (sl_no, ord, pattern), broadcast if it is small."""
+    few = F.broadcast(patterns) if patterns.count() <= MOST_PATTERNS else patterns
+    hit = rows.crossJoin(few).where(F.rlike(F.col(text), F.col("pattern")))
     value = lambda k: F.expr(f"regexp_extract(`{text}`, pattern, {k})")
     first = F.min(F.struct("ord", *order, value(1).alias("first"), value(2).alias("second")))
     return hit.groupBy(*by, "sl_no").agg(first.alias("x")).select(*by, "sl_no", "x.first", "x.second")

@@ -89,17 +89,26 @@ def extract_components(page_text: DataFrame, specs: tuple = RUPEE_SPECS, unit: s
     A section runs from its header to the next header of any kind. Of several lines the first counts;
     for ``largest_pair`` the one with the largest sum, for ``last_pair`` the last. All-zero pairs are left out."""
     spark: SparkSession = page_text.sparkSession
-    table = spark.createDataFrame([(*x[:5], float(x[5]), float(x[6]), x[7]) for x in specs], SPECS)
+    table = spark.createDataFrame([(k, *x[:5], float(x[5]), float(x[6]), x[7]) for k, x in enumerate(specs)], f"spec int, {SPECS}")
     rows = pages.lines(page_text).withColumn("low_line", F.lower("line"))
     w = Window.partitionBy("doc_id", "page_no").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("head", F.last(F.when(F.rlike("low_line", F.lit(section_end)) | F.contains("low_line", F.lit("balance sheet as at")), F.col("low_line")), ignorenulls=True).over(w))
-    joined = rows.crossJoin(F.broadcast(table))  # some dozen specifications
-    inside = (F.col("section") == "") | (F.coalesce(F.rlike("head", F.col("section")), F.lit(False)) & (F.col("head") != F.col("low_line")))
-    hit = joined.where(inside & F.rlike("low_line", F.col("label")) & ((F.col("skip") == "") | ~F.rlike("low_line", F.col("skip"))))
+
+    def wanted(section: str, label: str, skip: str) -> Column:
+        here = F.rlike("low_line", F.lit(label))
+        if skip:
+            here = here & ~F.rlike("low_line", F.lit(skip))
+        return here & F.coalesce(F.rlike("head", F.lit(section)), F.lit(False)) & (F.col("head") != F.col("low_line")) if section else here
+
+    # literal patterns, compiled once; what a line is wanted for goes on alone
+    of = F.array_compact(F.array(*[F.when(wanted(*x[2:5]), F.lit(k)) for k, x in enumerate(specs)]))
+    hit = rows.select("doc_id", "page_no", "line_no", "low_line", F.explode(of).alias("spec")).join(F.broadcast(table), "spec")  # some dozen specifications
     tail = F.expr("regexp_replace(low_line, concat('^.*?(', label, ')'), '')")
     source = F.when(F.col("label") == "[0-9]", F.col("low_line")).otherwise(tail)
     amounts = F.filter(F.transform(numbers.line_tokens(source), lambda t: numbers.token_to_rupees(t, F.lit(unit))), lambda v: (v >= F.col("low")) & (v <= F.col("high")))
-    hit = hit.withColumn("p", _pick(amounts, F.col("pick"))).where(F.col("p").isNotNull() & ((F.col("p.opening") != 0) | (F.col("p.closing") != 0)))
+    # one value of an array, so that the amounts are read once
+    pair = F.filter(F.transform(F.array(amounts), lambda v: _pick(v, F.col("pick"))), lambda p: p.isNotNull() & ((p["opening"] != 0) | (p["closing"] != 0)))
+    hit = hit.select("doc_id", "key", "ord", "pick", "page_no", "line_no", F.explode(pair).alias("p"))
     rank = F.when(F.col("pick") == "largest_pair", -(F.col("p.opening") + F.col("p.closing"))).when(F.col("pick") == "last_pair", -(F.col("page_no") * 1e6 + F.col("line_no"))).otherwise(0.0)
     best = F.min(F.struct("ord", rank.alias("rank"), "page_no", "line_no", "p"))
     return hit.groupBy("doc_id", "key").agg(best.alias("b")).select("doc_id", "key", "b.p.opening", "b.p.closing")
@@ -257,7 +266,8 @@ def face_net(page_text: DataFrame, pattern: str = r"property[^\d]{0,30}plant[^\d
     flat = F.regexp_replace("text", r"\s+", " ")
     at = lambda k: numbers.token_to_rupees(F.regexp_extract(flat, f"(?i){pattern}", k), unit)
     least = F.when(unit == "lakhs", 1e8).otherwise(5e6)
-    rows = page_text.select("doc_id", "page_no", at(1).alias("closing"), at(2).alias("opening"), least.alias("least")).where("closing >= least and opening >= least")
+    one = F.array(F.struct(at(1).alias("closing"), at(2).alias("opening"), least.alias("least")))  # read once, whatever is asked of it
+    rows = page_text.select("doc_id", "page_no", F.inline(F.filter(one, lambda x: (x["closing"] >= x["least"]) & (x["opening"] >= x["least"]))))
     return rows.groupBy("doc_id").agg(F.min(F.struct("page_no", "opening", "closing")).alias("b")).select("doc_id", "b.opening", "b.closing")
 
 

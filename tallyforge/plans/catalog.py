@@ -503,12 +503,6 @@ def upper_median(spark, sf):
     return o.select("o_custkey", derive.upper_median(F.col("v")).alias("m"), derive.is_inflated(F.col("v"), 1e5, 2.0).alias("inflated"))
 
 
-@query("near_dup_run")
-def near_dup_run(spark, sf):
-    e = table(spark, sf, "events").groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id", "value"))), lambda x: x["value"]).alias("v"))
-    return e.select("user_id", derive.keep_last_kept(F.col("v"), 5.0).alias("kept"))
-
-
 # --- checks and scores
 
 
@@ -684,12 +678,6 @@ def fixpoint_repair(spark, sf):
     return done
 
 
-@query("statement_batch", None)
-def statement_batch(spark, sf):
-    """Statements written as text, read back by patterns, on the template with derived rows."""
-    return statement.run_batch(statement_pages(spark, sf))["cells"]
-
-
 #: Labels under which block D's rows stand in written statements.
 WRITTEN = {1: "Raw materials", 3: "Stores & spares", 5: "Work in progress", 6: "Finished goods", 8: "Cash and bank", 9: "Sundry debtors", 10: "Loans and advances", 12: "Sundry creditors", 13: "Cash credit", 14: "Other current liabilities", 17: "Unsecured loans"}
 

@@ -33,16 +33,19 @@ AGEING = r"(?i)^\s*(?:more|less) than six months[^0-9]*([0-9][0-9,.]+)\s+([0-9][
 def extract_cells(page_text: DataFrame, patterns: DataFrame | None = None) -> DataFrame:
     """Cells of pages (doc_id, page_no, text): of each row the first pattern that matches on the first routed page.
 
-    Pages tagged ``skip`` are left out; amounts are in the unit that their page states."""
-    spark = page_text.sparkSession
-    patterns = patterns if patterns is not None else spark.createDataFrame(list(FACE_PATTERNS), PATTERNS)
+    Pages tagged ``skip`` are left out; amounts are in the unit that their page states. A table of patterns
+    (block, sl_no, ord, pattern) is a dictionary: it is read by the driver, so that each is compiled once."""
+    known = [tuple(r) for r in patterns.select("block", "sl_no", "ord", "pattern").collect()] if patterns is not None else list(FACE_PATTERNS)
     routed = page_text.where(~F.array_contains(pages.page_tags(F.col("text")), "skip")).withColumn("unit", numbers.unit_of(F.col("text")))
     rows = pages.lines(routed)
-    hit = rows.crossJoin(F.broadcast(patterns)).where(F.rlike("line", F.col("pattern")))  # a table of some dozen patterns
-    at = lambda k: F.expr(f"regexp_extract(line, pattern, {k})")
+    pair = lambda p: F.struct(F.regexp_extract("line", p, 1).alias("c"), F.regexp_extract("line", p, 2).alias("o"))
+    found = [F.when(F.rlike("line", F.lit(p)), F.struct(F.lit(b).alias("block"), F.lit(sl).alias("sl_no"), F.lit(k).alias("ord"), pair(p).alias("x"))) for b, sl, k, p in known]
+    some = rows.where(F.rlike("line", F.lit(r"[0-9][0-9,.]+\s+[0-9][0-9,.]+"))) if patterns is None else rows
+    hit = some.select("doc_id", "page_no", "line_no", "unit", F.inline(F.array_compact(F.array(*found))))
     amount = lambda x: numbers.token_to_rupees(x, F.col("unit"))
-    first = F.min(F.struct("ord", "page_no", "line_no", amount(at(1)).alias("closing"), amount(at(2)).alias("opening")))
-    found = hit.groupBy("doc_id", "block", "sl_no").agg(first.alias("x")).select("doc_id", "block", "sl_no", F.lit(0).alias("prio"), "x.opening", "x.closing")
+    first = F.min(F.struct("ord", "page_no", "line_no", "unit", "x"))
+    found = hit.groupBy("doc_id", "block", "sl_no").agg(first.alias("b")).select("doc_id", "block", "sl_no", "b.unit", "b.x")
+    found = found.select("doc_id", "block", "sl_no", F.lit(0).alias("prio"), amount(F.col("x.o")).alias("opening"), amount(F.col("x.c")).alias("closing"))
     ages = rows.where(F.rlike("line", F.lit(AGEING))).select("doc_id", *[amount(F.regexp_extract("line", AGEING, k)).alias(n) for k, n in ((1, "closing"), (2, "opening"))])
     debtors = ages.groupBy("doc_id").agg(F.sum("opening").alias("opening"), F.sum("closing").alias("closing")).select("doc_id", F.lit("D").alias("block"), F.lit(9).alias("sl_no"), F.lit(1).alias("prio"), "opening", "closing")
     both = found.unionByName(debtors).withColumnsRenamed({"opening": "opening_rs", "closing": "closing_rs"}).unpivot(["doc_id", "block", "sl_no", "prio"], ["opening_rs", "closing_rs"], "field", "value")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -18,9 +18,15 @@ def nested_report(checks: DataFrame) -> DataFrame:
     return one.select("doc_id", F.to_json(F.struct("doc_id", "fields", "total_checks", "passed", (F.col("total_checks") - F.col("passed")).alias("failed"))).alias("json"))
 
 
-def write_page_texts(pages: DataFrame, path: str) -> None:
-    """A folder for each document and page with its text."""
-    pages.select("doc_id", "page_no", "text").write.mode("overwrite").partitionBy("doc_id", "page_no").text(path)
+def write_page_texts(pages: DataFrame, path: str, buckets: int = 64) -> None:
+    """Page texts as Parquet in a fixed number of folders by hash of the document; names stay columns."""
+    bucket = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(buckets)).cast("int")
+    pages.select("doc_id", "page_no", "text", bucket.alias("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def read_page_texts(spark: SparkSession, path: str, schema: str = "doc_id string, page_no int, text string") -> DataFrame:
+    """What ``write_page_texts`` wrote."""
+    return spark.read.schema(schema).parquet(path).drop("bucket")
 
 
 def write_workbooks(books: DataFrame, path: str) -> None:
