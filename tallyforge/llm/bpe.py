@@ -5,10 +5,11 @@ its bytes are an array, and a fold merges the adjacent pair of least rank until
 are looked up in a literal map from pairs of ids to the merged id, its rank: the rows of the map, one for
 each first id, are laid over each other in one array, as a map's entries are searched one by one.
 
-Texts are worked on in chunks, in which each distinct word is split once. Pieces that several chunks
-have in common are encoded once, up to a documented bound (those of most chunks), and broadcast as
-sorted hashes, checksums and ids; the others are encoded once in their chunk. So texts are never
-shuffled, and nothing that is broadcast grows with the corpus. Decoding joins the ids' byte strings.
+Texts are worked on in chunks, in which each distinct word is split once, and written as numbers of words.
+Pieces that several chunks have in common are encoded once, up to a documented bound (those of most
+chunks), and broadcast as sorted hashes, checksums and ids; the others are encoded once in their chunk.
+So texts are never shuffled, and nothing that is broadcast grows with the corpus. Decoding joins the
+ids' byte strings.
 
 Defined results: a null text counts as empty; an empty text has no ids; pieces of more than
 ``LONG`` bytes are merged by a heap in Python, as the fold is quadratic in a piece's length;
@@ -31,11 +32,10 @@ from pyspark.sql import functions as F
 from .common import arrow_bounds, release, text_or_empty, written
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-DICTIONARY = 1_000_000  # pieces that are broadcast, at most
+DICTIONARY = 1_500_000  # pieces that are broadcast, at most
 DICTIONARY_BYTES = 64  # of a broadcast piece, at most
 CHUNK = 8 << 20  # code points that a task takes at a time, and the rest of an Arrow batch
 LONG = 256
-_KNOWN = 1 << 40
 
 
 def vocabulary_path() -> str:
@@ -247,42 +247,61 @@ class Dictionary:
         return self.ids[self.at[k] : self.at[k + 1]]
 
 
-def shared_pieces(docs: DataFrame, pat: str, ranks, chunk: int = CHUNK) -> DataFrame:
-    """(piece, n): how many chunks of texts have a piece, for those of several that are no token; ``ranks`` is a broadcast."""
+def numbered(docs: DataFrame, key: str, pat: str, ranks, chunk: int = CHUNK) -> DataFrame:
+    """A row for each chunk of texts, written: (keys, words, pieces, at, codes).
+
+    ``words``: for each text the numbers of its words (four bytes each); ``at`` and ``codes``: for each word where its
+    pieces begin, and what they are (eight bytes each): -1 - id of a token, or a number in ``pieces``, those of the chunk
+    that are no token. ``ranks`` is a broadcast."""
+    kind = dict(docs.dtypes)[key]
     arrow_bounds(docs.sparkSession)
 
-    def distinct(batches):
+    def number(batches):
+        import numpy as np
         import pyarrow as pa
 
-        split, words, pieces, size, known = Splitter(pat), set(), set(), 0, ranks.value
+        split, tokens = Splitter(pat), ranks.value
 
-        def out():
-            for w in words:
-                pieces.update(split.find(" " + w))
-            found = [x for x in pieces if x.encode() not in known]
-            words.clear()
-            pieces.clear()
-            for k in range(0, len(found), 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(found[k : k + 50_000], pa.string())], ["piece"])
+        def row(part, keys) -> pa.RecordBatch:
+            words = part.pieces()
+            at = np.concatenate(([0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words))))).astype(np.int64)
+            flat = list(chain.from_iterable(words))
+            del words
+            index: dict[str, int] = {}
+            of = [index.setdefault(x, len(index)) for x in flat]
+            del flat
+            raw = [x.encode() for x in index]
+            code = np.fromiter((-1 - tokens.get(x, -1) for x in raw), np.int64, len(raw))
+            rest = np.flatnonzero(code == 0)
+            code[rest] = np.arange(len(rest))
+            pieces = pa.array([raw[k] for k in rest], pa.binary()).cast(pa.string())
+            code = code[of]
+            del index, of, raw
+            texts = pa.array([np.array(x, np.int32).tobytes() for x in part.numbers()], pa.binary())
+            one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+            return pa.RecordBatch.from_arrays([one(pa.concat_arrays(keys)), one(texts), one(pieces), pa.array([at.tobytes()], pa.binary()), pa.array([code.tobytes()], pa.binary())], ["keys", "words", "pieces", "at", "codes"])
 
+        part, keys = Chunk(split), []
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                size += len(text)
-                lines = split.lines(text)
-                if lines is None:
-                    pieces.update(split.find(text))
-                else:
-                    for line in lines:
-                        pieces.update(split.find(line[0]))
-                        words.update(line[1:])
-                if size > chunk:
-                    yield from out()
-                    size = 0
-        yield from out()
+            if batch.num_rows:
+                keys.append(batch.column(0))
+                for text in batch.column(1).to_pylist():
+                    part.add(text)
+            if part.size > chunk:
+                yield row(part, keys)
+                part, keys = Chunk(split), []
+        if keys:
+            yield row(part, keys)
         release()
 
-    found = docs.select(text_or_empty().alias("text")).mapInArrow(distinct, "piece string")
-    return found.where(F.octet_length("piece") <= DICTIONARY_BYTES).groupBy("piece").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    rows = docs.select(F.col(f"`{key}`").alias("key"), text_or_empty().alias("text"))
+    return written(rows.mapInArrow(number, f"keys array<{kind}>, words array<binary>, pieces array<string>, at binary, codes binary"), "numbered")
+
+
+def shared_pieces(chunks: DataFrame) -> DataFrame:
+    """(piece, n): how many chunks have a piece, for the short ones that several have."""
+    found = chunks.select(F.explode("pieces").alias("piece")).where(F.octet_length("piece") <= DICTIONARY_BYTES)
+    return found.groupBy("piece").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 def dictionary(pieces: DataFrame, literal: dict[str, Column], most: int = DICTIONARY) -> tuple[bytes, bytes, bytes, bytes]:
@@ -312,66 +331,34 @@ def dictionary(pieces: DataFrame, literal: dict[str, Column], most: int = DICTIO
 
 
 def _coded(docs: DataFrame, finish, schema: str, path: str | None, pat: str | None, most: int, key: str, chunk: int) -> DataFrame:
-    """Rows of (key, ...) that ``finish`` makes of the texts' ids: of (keys, words, ids, decoded) an Arrow batch.
+    """Rows of (key, ...) that ``finish`` makes of (keys, words of each text, ids of each word) of some texts of a chunk.
 
-    A task goes through its texts in chunks. The texts become numbers of words, and the chunk ends with a row that
-    has its words and the distinct pieces that need merging; Spark merges these, and the words' ids and bytes are
-    put together and then the texts'. Nothing is shuffled."""
+    The texts become numbers of words. Of a chunk's distinct pieces Spark merges those that the dictionary of shared
+    pieces lacks; then the words' ids are put together, and the texts'. Nothing but pieces is shuffled."""
     path, pat = path or vocabulary_path(), pat or pattern()
-    spark, literal = docs.sparkSession, rank_literal(path)
+    spark, table = docs.sparkSession, rank_literal(path)
     spark.conf.set("spark.sql.maxPlanStringLength", "100000")  # or each plan's description holds the literal
     ranks = spark.sparkContext.broadcast(load_ranks(path))  # a vocabulary
+    chunks = numbered(docs, key, pat, ranks, chunk)
+    kind = dict(docs.dtypes)[key]
     release()
-    known = spark.sparkContext.broadcast(dictionary(written(shared_pieces(docs, pat, ranks, chunk), "pieces"), literal, most))
+    known = spark.sparkContext.broadcast(dictionary(written(shared_pieces(chunks), "pieces"), table, most))
     release()
-    arrow_bounds(spark)
-    kind = dict(docs.dtypes)[key]
-    columns = ["key", "words", "pieces", "at", "codes"]
 
-    def number(batches):
-        """Texts as numbers of words; codes of pieces: a token's -1 - id, a piece to be merged, ``_KNOWN`` + place in the dictionary."""
+    def decide(batches):
+        """The pieces that are left to merge, and the place of each piece in the dictionary or -1."""
         import numpy as np
         import pyarrow as pa
 
-        split, of, tokens = Splitter(pat), Dictionary(*known.value), ranks.value
-
-        def rows(part, keys):
-            """What a chunk comes to: rows of its texts, and one of its words."""
-            words = part.pieces()
-            size = np.fromiter(map(len, words), np.int64, len(words))
-            flat = list(chain.from_iterable(words))
-            del words
-            index: dict[str, int] = {}
-            at = [index.setdefault(x, len(index)) for x in flat]
-            raw = [x.encode() for x in index]
-            token = np.fromiter((tokens.get(x, -1) for x in raw), np.int64, len(raw))
-            place = of.find(raw)
-            rest = np.flatnonzero((token < 0) & (place < 0))
-            code = np.where(token >= 0, -1 - token, place + _KNOWN)
-            code[rest] = np.arange(len(rest))
-            merge = pa.array([raw[k] for k in rest], pa.binary()).cast(pa.string())
-            code = code[at]
-            del flat, index, at, raw, token, place
-            numbers = part.numbers()
-            for key in keys:
-                n = len(key)
-                texts = [np.array(next(numbers), np.int32).tobytes() for _ in range(n)]
-                yield pa.RecordBatch.from_arrays([key, pa.array(texts, pa.binary()), pa.nulls(n, pa.list_(pa.string())), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], columns)
-            starts = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
-            one = pa.ListArray.from_arrays(pa.array([0, len(merge)], pa.int32()), merge)
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, key.type), pa.nulls(1, pa.binary()), one, pa.array([starts.tobytes()], pa.binary()), pa.array([code.tobytes()], pa.binary())], columns)
-
-        part, keys = Chunk(split), []
+        of = Dictionary(*known.value)
         for batch in batches:
-            if batch.num_rows:
-                keys.append(batch.column(0))
-                for text in batch.column(1).to_pylist():
-                    part.add(text)
-            if part.size > chunk:
-                yield from rows(part, keys)
-                part, keys = Chunk(split), []
-        if keys:
-            yield from rows(part, keys)
+            for k in range(batch.num_rows):
+                pieces = batch.column(2)[k].values
+                place = of.find(pieces.cast(pa.binary()).to_pylist())
+                rest = pieces.take(pa.array(np.flatnonzero(place < 0)))
+                one = pa.ListArray.from_arrays(pa.array([0, len(rest)], pa.int32()), rest)
+                same = batch.slice(k, 1)
+                yield pa.RecordBatch.from_arrays([same.column(0), same.column(1), one, pa.array([place.astype(np.int64).tobytes()], pa.binary()), same.column(3), same.column(4)], ["keys", "words", "pieces", "place", "at", "codes"])
         release()
 
     def join(batches):
@@ -379,36 +366,31 @@ def _coded(docs: DataFrame, finish, schema: str, path: str | None, pat: str | No
         import pyarrow as pa
 
         of, tokens = Dictionary(*known.value), ranks.value
-        waiting: list[tuple[pa.Array, list[bytes]]] = []
 
-        def words(row) -> list[bytes]:
+        def words(merged, far, place, at, codes) -> list[bytes]:
             """Ids of the chunk's words."""
-            merged, far = row["ids"], iter(row["far"])
-            merged = [",".join(map(str, heap_merge(next(far).encode(), tokens))).encode() if x is None else x.encode() for x in merged]
-            at, codes = np.frombuffer(row["at"], np.int64), np.frombuffer(row["codes"], np.int64)
+            far = iter(far)
+            merged = iter([",".join(map(str, heap_merge(next(far).encode(), tokens))).encode() if x is None else x.encode() for x in merged])
+            pieces = [next(merged) if p < 0 else of.get(p) for p in np.frombuffer(place, np.int64).tolist()]
+            at, codes = np.frombuffer(at, np.int64), np.frombuffer(codes, np.int64)
             some, of_some = np.unique(codes, return_inverse=True)
-            piece = [str(-1 - c).encode() if c < 0 else of.get(c - _KNOWN) if c >= _KNOWN else merged[c] for c in some.tolist()]
+            piece = [str(-1 - c).encode() if c < 0 else pieces[c] for c in some.tolist()]
             ids = list(map(piece.__getitem__, of_some.tolist()))
             return [ids[i] if j == i + 1 else b",".join(ids[i:j]) for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
         for batch in batches:
-            ends = [k for k in range(batch.num_rows) if batch.column(4)[k].is_valid]
-            first = 0
-            for k in [*ends, batch.num_rows]:
-                if k > first:
-                    waiting.append((batch.column(0).slice(first, k - first), batch.column(1).slice(first, k - first).to_pylist()))
-                if k < batch.num_rows:
-                    ids = words(dict(zip(["ids", "far", "at", "codes"], (batch.column(c)[k].as_py() for c in (2, 3, 4, 5)), strict=True)))
-                    for keys, texts in waiting:
-                        yield finish(keys, [np.frombuffer(x, np.int32) for x in texts], ids)
-                    waiting.clear()
-                first = k + 1
+            for k in range(batch.num_rows):
+                keys, texts = batch.column(0)[k].values, batch.column(1)[k].values
+                ids = words(*(batch.column(c)[k].as_py() for c in range(2, 7)))
+                for first in range(0, len(keys), 500):
+                    some = texts.slice(first, 500).to_pylist()
+                    yield finish(keys.slice(first, 500), [np.frombuffer(x, np.int32) for x in some], ids)
         release()
 
-    rows = docs.select(F.col(f"`{key}`").alias("key"), text_or_empty().alias("text")).mapInArrow(number, f"key {kind}, words binary, pieces array<string>, at binary, codes binary")
+    left = chunks.mapInArrow(decide, f"keys array<{kind}>, words array<binary>, pieces array<string>, place binary, at binary, codes binary")
     far = F.filter("pieces", lambda x: F.octet_length(x) > LONG)
-    ids = F.transform("pieces", lambda x: F.when(F.octet_length(x) <= LONG, encode_piece(x, literal)))
-    return rows.select("key", "words", ids.alias("ids"), far.alias("far"), "at", "codes").mapInArrow(join, f"`{key}` {kind}, {schema}")
+    ids = F.transform("pieces", lambda x: F.when(F.octet_length(x) <= LONG, encode_piece(x, table)))
+    return left.select("keys", "words", ids.alias("ids"), far.alias("far"), "place", "at", "codes").mapInArrow(join, f"`{key}` {kind}, {schema}")
 
 
 def encode(docs: DataFrame, path: str | None = None, pat: str | None = None, most: int = DICTIONARY, key: str = "doc_id", chunk: int = CHUNK) -> DataFrame:
