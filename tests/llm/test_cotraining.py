@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tallyforge.llm import cotraining as ct
 
@@ -39,6 +40,32 @@ def test_pseudo_labels_help_the_weaker_view():
     assert hit(both) > 0.9 and hit(both) >= max(hit(one), hit(two)) - 0.02
 
 
+def test_the_pool_is_the_whole_table(spark, words):
+    """What a round takes of a table is what it takes of arrays of the same rows."""
+    docs, labels = corpus(spark, words)
+    rows = docs.where("doc_id is not null").select(F.xxhash64(F.col("doc_id").cast("string"), F.coalesce("text", F.lit(""))).alias("h"), "doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text"))
+    labelled = labels.select("doc_id").where("doc_id is not null")
+    vectors = ct._vectors(rows.join(labelled, "doc_id", "left_anti").withColumn("y", F.lit(None).cast("int")))
+    rng = np.random.default_rng(5)
+    models = {"text": (rng.normal(size=len(vectors[0][2])).astype(np.float32) * 9, 0.1), "meta": (rng.normal(size=ct.META).astype(np.float32) * 9, -0.2)}
+    table, arrays = ct.TablePool(rows, labelled), ct.ArrayPool(np.stack([v[2] for v in vectors]), np.stack([v[3] for v in vectors]))
+    for _ in range(2):
+        a, b = table.pick(models, 7, 5), arrays.pick(models, 7, 5)
+        for view in ct.VIEWS:
+            assert a[view][1] == b[view][1] and len(a[view][1]) > 3
+    assert all(len(table.given[v]) == len(arrays.given[v]) for v in ct.VIEWS)
+    seen = {v: {vectors[k][0] for k in arrays.given[v]} for v in ct.VIEWS}
+    assert len(seen["text"] & table.given["text"]) >= 0.8 * len(seen["text"])  # ties of metadata aside
+    assert len(seen["meta"] & table.given["meta"]) >= 0.95 * len(seen["meta"])
+
+
+def test_repeated_rows_count_once(spark, words):
+    docs, labels = corpus(spark, words)
+    many = docs.unionByName(docs.where("doc_id in (0, 4)").withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(300)))).drop("k"))
+    one, two = ct.train(docs, labels), ct.train(many, labels)
+    assert np.allclose(one.text[0], two.text[0]) and np.allclose(one.combine, two.combine)
+
+
 def test_one_class_no_label_and_empty(spark, words, empty):
     docs, labels = corpus(spark, words)
     assert {r.score for r in ct.score(docs, ct.train(docs, labels.where("quality = 1"))).collect()} == {1.0}
