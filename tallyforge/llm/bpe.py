@@ -5,11 +5,10 @@ its bytes are an array, and a fold merges the adjacent pair of least rank until
 are looked up in a literal map from pairs of ids to the merged id, its rank: the rows of the map, one for
 each first id, are laid over each other in one array, as a map's entries are searched one by one.
 
-Texts are worked on in chunks, in which each distinct word is split once, and written as numbers of words.
-Pieces that several chunks have in common are encoded once, up to a documented bound (those of most
-chunks), and broadcast as sorted hashes, checksums and ids; the others are encoded once in their chunk.
-So texts are never shuffled, and nothing that is broadcast grows with the corpus. Decoding joins the
-ids' byte strings.
+Pieces are counted over all texts. The most frequent ones, up to a documented bound, are encoded
+once and broadcast as sorted hashes, checksums and ids;
+the distinct pieces of a document beyond them are encoded in its own row. So texts are never
+shuffled, and nothing that is broadcast grows with the corpus. Decoding joins the ids' byte strings.
 
 Defined results: a null text counts as empty; an empty text has no ids; pieces of more than
 ``LONG`` bytes are merged by a heap in Python, as the fold is quadratic in a piece's length;
@@ -24,7 +23,6 @@ import heapq
 import json
 import zlib
 from functools import lru_cache
-from itertools import chain
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,9 +30,9 @@ from pyspark.sql import functions as F
 from .common import arrow_bounds, release, text_or_empty, written
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-DICTIONARY = 1_500_000  # pieces that are broadcast, at most
+DICTIONARY = 1_000_000  # pieces that are broadcast, at most
 DICTIONARY_BYTES = 64  # of a broadcast piece, at most
-CHUNK = 8 << 20  # code points that a task takes at a time, and the rest of an Arrow batch
+MEMO = 150_000  # words that a task remembers, at most
 LONG = 256
 
 
@@ -180,135 +178,82 @@ class Splitter:
         return [line.split(" ") for line in text.split("\n")]
 
 
-class Chunk:
-    """Texts whose words are numbered, and the words' pieces, when the chunk ends: each word is split once."""
-
-    def __init__(self, split: Splitter):
-        self.split, self.texts, self.spaced, self.plain, self.size = split, [], set(), {"\n"}, 0
-
-    def add(self, text: str) -> None:
-        self.size += len(text)
-        lines = self.split.lines(text)
-        if lines is None:
-            lines = self.split.find(text)
-            self.plain.update(lines)
-        else:
-            for line in lines:
-                self.spaced.update(line[1:])
-                line[:1] = [self.split.find(line[0])]
-                self.plain.update(line[0])
-        self.texts.append(lines)
-
-    def pieces(self) -> list[list[str]]:
-        """The pieces of each word; those that are pieces as they stand come first."""
-        find = self.split.find
-        self.order = [*self.plain], [*self.spaced]
-        return [[x] for x in self.order[0]] + [find(" " + x) for x in self.order[1]]
-
-    def numbers(self):
-        """The numbers of each text's words."""
-        plain = dict(zip(self.order[0], range(len(self.order[0])), strict=True)).__getitem__
-        spaced = dict(zip(self.order[1], range(len(self.order[0]), len(self.order[0]) + len(self.order[1])), strict=True)).__getitem__
-        feed = plain("\n")
-        for lines in self.texts:
-            if not lines or isinstance(lines[0], str):
-                yield list(map(plain, lines))
-                continue
-            out: list[int] = []
-            for k, line in enumerate(lines):
-                if k:
-                    out.append(feed)
-                out += map(plain, line[0])
-                out += map(spaced, line[1:])
-            yield out
-
-
 class Dictionary:
     """Ids of known pieces: sorted hashes, for each a checksum and where its ids lie."""
 
     def __init__(self, hashes: bytes, checks: bytes, at: bytes, ids: bytes):
-        import numpy as np
+        self.hashes, self.checks, self.at, self.ids = memoryview(hashes).cast("Q"), memoryview(checks).cast("I"), memoryview(at).cast("i"), ids
 
-        self.hashes, self.checks, self.at, self.ids = np.frombuffer(hashes, np.uint64), np.frombuffer(checks, np.uint32), np.frombuffer(at, np.int32), ids
+    def get(self, piece: bytes) -> str | None:
+        """The piece's ids, if it is known."""
+        from bisect import bisect_left
 
-    def find(self, pieces: list[bytes]):
-        """The place of each piece; -1: not known."""
-        import numpy as np
         import xxhash
 
-        h = np.fromiter((xxhash.xxh64_intdigest(x, 42) for x in pieces), np.uint64, len(pieces))
-        c = np.fromiter(map(zlib.crc32, pieces), np.uint32, len(pieces))
-        if not len(self.hashes):
-            return np.full(len(pieces), -1)
-        k = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return np.where((self.hashes[k] == h) & (self.checks[k] == c), k, -1)
-
-    def get(self, k: int) -> bytes:
-        return self.ids[self.at[k] : self.at[k + 1]]
+        h = xxhash.xxh64_intdigest(piece, 42)
+        i = bisect_left(self.hashes, h)
+        if i == len(self.hashes) or self.hashes[i] != h or self.checks[i] != zlib.crc32(piece):
+            return None
+        return self.ids[self.at[i] : self.at[i + 1]].decode()
 
 
-def numbered(docs: DataFrame, key: str, pat: str, ranks, chunk: int = CHUNK) -> DataFrame:
-    """A row for each chunk of texts, written: (keys, words, pieces, at, codes).
-
-    ``words``: for each text the numbers of its words (four bytes each); ``at`` and ``codes``: for each word where its
-    pieces begin, and what they are (eight bytes each): -1 - id of a token, or a number in ``pieces``, those of the chunk
-    that are no token. ``ranks`` is a broadcast."""
-    kind = dict(docs.dtypes)[key]
+def count_pieces(docs: DataFrame, pat: str, ranks) -> DataFrame:
+    """(piece, n) over all texts, of pieces that are no token: words are counted in each task, and split when their
+    counts have met. ``ranks`` is a broadcast."""
     arrow_bounds(docs.sparkSession)
 
-    def number(batches):
-        import numpy as np
+    def count(batches):
+        from collections import Counter
+
         import pyarrow as pa
 
-        split, tokens = Splitter(pat), ranks.value
-
-        def row(part, keys) -> pa.RecordBatch:
-            words = part.pieces()
-            at = np.concatenate(([0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words))))).astype(np.int64)
-            flat = list(chain.from_iterable(words))
-            del words
-            index: dict[str, int] = {}
-            of = [index.setdefault(x, len(index)) for x in flat]
-            del flat
-            raw = [x.encode() for x in index]
-            code = np.fromiter((-1 - tokens.get(x, -1) for x in raw), np.int64, len(raw))
-            rest = np.flatnonzero(code == 0)
-            code[rest] = np.arange(len(rest))
-            pieces = pa.array([raw[k] for k in rest], pa.binary()).cast(pa.string())
-            code = code[of]
-            del index, of, raw
-            texts = pa.array([np.array(x, np.int32).tobytes() for x in part.numbers()], pa.binary())
-            one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-            return pa.RecordBatch.from_arrays([one(pa.concat_arrays(keys)), one(texts), one(pieces), pa.array([at.tobytes()], pa.binary()), pa.array([code.tobytes()], pa.binary())], ["keys", "words", "pieces", "at", "codes"])
-
-        part, keys = Chunk(split), []
+        split, words, pieces = Splitter(pat), Counter(), Counter()
+
+        def out():
+            for n, kind in ((words, True), (pieces, False)):
+                if n:  # words have a space before them, pieces are as they are
+                    yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array([kind] * len(n)), pa.array(list(n.values()), pa.int64())], ["x", "word", "n"])
+                    n.clear()
+
         for batch in batches:
-            if batch.num_rows:
-                keys.append(batch.column(0))
-                for text in batch.column(1).to_pylist():
-                    part.add(text)
-            if part.size > chunk:
-                yield row(part, keys)
-                part, keys = Chunk(split), []
-        if keys:
-            yield row(part, keys)
+            for text in batch.column(0).to_pylist():
+                lines = split.lines(text)
+                if lines is None:
+                    pieces.update(split.find(text))
+                else:
+                    if len(lines) > 1:
+                        pieces["\n"] += len(lines) - 1
+                    for line in lines:
+                        for x in split.find(line[0]):
+                            pieces[x] += 1
+                        words.update(line[1:])
+                if len(words) + len(pieces) > 2 * MEMO:
+                    yield from out()
+        yield from out()
         release()
 
-    rows = docs.select(F.col(f"`{key}`").alias("key"), text_or_empty().alias("text"))
-    return written(rows.mapInArrow(number, f"keys array<{kind}>, words array<binary>, pieces array<string>, at binary, codes binary"), "numbered")
+    def parts(batches):
+        import pyarrow as pa
 
+        split, known = Splitter(pat), ranks.value
+        for batch in batches:
+            x, n = [], []
+            for a, word, k in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = [p for p in (split.find(" " + a) if word else [a]) if p.encode() not in known]
+                x += found
+                n += [k] * len(found)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()), pa.array(n, pa.int64())], ["piece", "n"])
 
-def shared_pieces(chunks: DataFrame) -> DataFrame:
-    """(piece, n): how many chunks have a piece, for the short ones that several have."""
-    found = chunks.select(F.explode("pieces").alias("piece")).where(F.octet_length("piece") <= DICTIONARY_BYTES)
-    return found.groupBy("piece").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    counts = docs.select(text_or_empty().alias("text")).mapInArrow(count, "x string, word boolean, n bigint").groupBy("x", "word").agg(F.sum("n").alias("n"))
+    return counts.mapInArrow(parts, "piece string, n bigint").groupBy("piece").agg(F.sum("n").alias("n"))
 
 
-def dictionary(pieces: DataFrame, literal: dict[str, Column], most: int = DICTIONARY) -> tuple[bytes, bytes, bytes, bytes]:
-    """Of a written table (piece, n) the pieces of the largest n (those of at least the least one that stays
-    within the bound): hashes, checksums, places and ids."""
+def dictionary(docs: DataFrame, literal: dict[str, Column], pat: str, ranks, most: int = DICTIONARY) -> tuple[bytes, bytes, bytes, bytes]:
+    """Of the most frequent pieces (those of at least the least count that stays within the bound): hashes,
+    checksums, places and ids."""
     import numpy as np
 
+    pieces = written(count_pieces(docs, pat, ranks).where(F.octet_length("piece") <= DICTIONARY_BYTES), "pieces")
     level = F.floor(F.log2("n") * 16).cast("int")
     least, seen = None, 0
     for row in sorted(pieces.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
@@ -318,7 +263,7 @@ def dictionary(pieces: DataFrame, literal: dict[str, Column], most: int = DICTIO
         least = row["level"]
     if least is None:
         return b"", b"", np.zeros(1, np.int32).tobytes(), b""
-    cores = pieces.sparkSession.sparkContext.defaultParallelism
+    cores = docs.sparkSession.sparkContext.defaultParallelism
     # at most the bound's number of short pieces: their hashes and ids fit in the driver
     known = pieces.where(level >= least).select("piece").repartition(4 * cores)
     found = known.select(F.xxhash64("piece").alias("h"), F.crc32(F.col("piece").cast("binary")).alias("c"), encode_piece(F.col("piece"), literal).alias("ids")).toArrow()
@@ -330,103 +275,78 @@ def dictionary(pieces: DataFrame, literal: dict[str, Column], most: int = DICTIO
     return h[order].tobytes(), found.column(1).to_numpy()[order].astype(np.uint32).tobytes(), (places - places[0]).tobytes(), data.to_pybytes()[places[0] : places[-1]]
 
 
-def _coded(docs: DataFrame, finish, schema: str, path: str | None, pat: str | None, most: int, key: str, chunk: int) -> DataFrame:
-    """Rows of (key, ...) that ``finish`` makes of (keys, words of each text, ids of each word) of some texts of a chunk.
-
-    The texts become numbers of words. Of a chunk's distinct pieces Spark merges those that the dictionary of shared
-    pieces lacks; then the words' ids are put together, and the texts'. Nothing but pieces is shuffled."""
+def encode(docs: DataFrame, path: str | None = None, pat: str | None = None, most: int = DICTIONARY, key: str = "doc_id") -> DataFrame:
+    """(key, ids): each text's ids as decimal numbers joined by commas."""
     path, pat = path or vocabulary_path(), pat or pattern()
-    spark, table = docs.sparkSession, rank_literal(path)
+    spark, literal = docs.sparkSession, rank_literal(path)
     spark.conf.set("spark.sql.maxPlanStringLength", "100000")  # or each plan's description holds the literal
-    ranks = spark.sparkContext.broadcast(load_ranks(path))  # a vocabulary
-    chunks = numbered(docs, key, pat, ranks, chunk)
-    kind = dict(docs.dtypes)[key]
     release()
-    known = spark.sparkContext.broadcast(dictionary(written(shared_pieces(chunks), "pieces"), table, most))
+    ranks = spark.sparkContext.broadcast(load_ranks(path))  # a vocabulary
+    known = spark.sparkContext.broadcast(dictionary(docs, literal, pat, ranks, most))
     release()
+    arrow_bounds(spark)
+    kind = dict(docs.dtypes)[key]
 
-    def decide(batches):
-        """The pieces that are left to merge, and the place of each piece in the dictionary or -1."""
-        import numpy as np
-        import pyarrow as pa
-
-        of = Dictionary(*known.value)
-        for batch in batches:
-            for k in range(batch.num_rows):
-                pieces = batch.column(2)[k].values
-                place = of.find(pieces.cast(pa.binary()).to_pylist())
-                rest = pieces.take(pa.array(np.flatnonzero(place < 0)))
-                one = pa.ListArray.from_arrays(pa.array([0, len(rest)], pa.int32()), rest)
-                same = batch.slice(k, 1)
-                yield pa.RecordBatch.from_arrays([same.column(0), same.column(1), one, pa.array([place.astype(np.int64).tobytes()], pa.binary()), same.column(3), same.column(4)], ["keys", "words", "pieces", "place", "at", "codes"])
-        release()
-
-    def join(batches):
-        import numpy as np
+    def look_up(batches):
+        """Ids of the known pieces; ``#`` and a number stand for one of the row's other pieces."""
         import pyarrow as pa
 
-        of, tokens = Dictionary(*known.value), ranks.value
-
-        def words(merged, far, place, at, codes) -> list[bytes]:
-            """Ids of the chunk's words."""
-            far = iter(far)
-            merged = iter([",".join(map(str, heap_merge(next(far).encode(), tokens))).encode() if x is None else x.encode() for x in merged])
-            pieces = [next(merged) if p < 0 else of.get(p) for p in np.frombuffer(place, np.int64).tolist()]
-            at, codes = np.frombuffer(at, np.int64), np.frombuffer(codes, np.int64)
-            some, of_some = np.unique(codes, return_inverse=True)
-            piece = [str(-1 - c).encode() if c < 0 else pieces[c] for c in some.tolist()]
-            ids = list(map(piece.__getitem__, of_some.tolist()))
-            return [ids[i] if j == i + 1 else b",".join(ids[i:j]) for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        split, pieces, tokens = Splitter(pat), Dictionary(*known.value), ranks.value
+        memo: dict[str, str] = {}  # of words with a space before them
+        point = {c: str(tokens[c.encode()]) for c in ".," if c.encode() in tokens}
+
+        def of(found: list[str], other: dict[str, str]) -> str:
+            ids = []
+            for x in found:
+                raw = x.encode()
+                if (rank := tokens.get(raw)) is not None:
+                    got = str(rank)
+                elif (got := pieces.get(raw)) is None:
+                    got = ",".join(map(str, heap_merge(raw, tokens))) if len(raw) > LONG else other.setdefault(x, f"#{len(other)}")
+                ids.append(got)
+            return ",".join(ids)
+
+        def word(w: str, other: dict[str, str]) -> str:
+            """Ids of a word that isn't remembered; of one that ends in a point, by the word without it."""
+            if (got := memo.get(w)) is not None:
+                return got
+            if (end := point.get(w[-1:])) and w[-2:-1].isalpha():
+                return f"{word(w[:-1], other)},{end}"
+            got = of(split.find(" " + w), other)
+            if "#" not in got:
+                if len(memo) >= MEMO:
+                    memo.clear()
+                memo[w] = got
+            return got
 
         for batch in batches:
-            for k in range(batch.num_rows):
-                keys, texts = batch.column(0)[k].values, batch.column(1)[k].values
-                ids = words(*(batch.column(c)[k].as_py() for c in range(2, 7)))
-                for first in range(0, len(keys), 500):
-                    some = texts.slice(first, 500).to_pylist()
-                    yield finish(keys.slice(first, 500), [np.frombuffer(x, np.int32) for x in some], ids)
+            stream, rest = [], []
+            for text in batch.column(1).to_pylist():
+                other: dict[str, str] = {}
+                lines = split.lines(text)
+                if lines is None:
+                    stream.append(of(split.find(text), other))
+                else:
+                    out = []
+                    for line in lines:
+                        if out:
+                            out.append(of(["\n"], other))
+                        if line[0]:
+                            out.append(of(split.find(line[0]), other))
+                        ids = list(map(memo.get, line[1:]))
+                        if None in ids:
+                            ids = [word(line[i], other) if x is None else x for i, x in enumerate(ids, 1)]
+                        out += ids
+                    stream.append(",".join(out))
+                rest.append(list(other))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(stream, pa.string()), pa.array(rest, pa.list_(pa.string()))], [key, "stream", "rest"])
+        memo.clear()
         release()
 
-    left = chunks.mapInArrow(decide, f"keys array<{kind}>, words array<binary>, pieces array<string>, place binary, at binary, codes binary")
-    far = F.filter("pieces", lambda x: F.octet_length(x) > LONG)
-    ids = F.transform("pieces", lambda x: F.when(F.octet_length(x) <= LONG, encode_piece(x, table)))
-    return left.select("keys", "words", ids.alias("ids"), far.alias("far"), "place", "at", "codes").mapInArrow(join, f"`{key}` {kind}, {schema}")
-
-
-def encode(docs: DataFrame, path: str | None = None, pat: str | None = None, most: int = DICTIONARY, key: str = "doc_id", chunk: int = CHUNK) -> DataFrame:
-    """(key, ids): each text's ids as decimal numbers joined by commas."""
-
-    def finish(keys, texts, ids):
-        import pyarrow as pa
-
-        return pa.RecordBatch.from_arrays([keys, pa.array([b",".join(map(ids.__getitem__, x.tolist())).decode() for x in texts], pa.string())], [key, "ids"])
-
-    return _coded(docs, finish, "ids string", path, pat, most, key, chunk)
-
-
-def token_digests(docs: DataFrame, path: str | None = None, pat: str | None = None, most: int = DICTIONARY, key: str = "doc_id", chunk: int = CHUNK) -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256) of texts, without a table of ids between; decoding joins the ids' binary pieces."""
-
-    path = path or vocabulary_path()
-    token = docs.sparkSession.sparkContext.broadcast({str(r).encode(): t for t, r in load_ranks(path).items()})  # a vocabulary
-    last: list = [None, None, None]  # of one chunk's words: ids, how many, bytes
-
-    def finish(keys, texts, ids):
-        import numpy as np
-        import pyarrow as pa
-
-        if last[0] is not ids:
-            of = token.value.__getitem__
-            last[:] = ids, np.fromiter((x.count(b",") + 1 for x in ids), np.int64, len(ids)), [b"".join(map(of, x.split(b","))) for x in ids]
-        size, plain, sha = last[1], last[2], hashlib.sha256
-        n, ids_hash, text_hash = [int(size[x].sum()) for x in texts], [], []
-        for x in texts:
-            at = x.tolist()
-            ids_hash.append(sha(b",".join(map(ids.__getitem__, at))).hexdigest())
-            text_hash.append(sha(b"".join(map(plain.__getitem__, at))).hexdigest())
-        return pa.RecordBatch.from_arrays([keys, pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return _coded(docs, finish, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", path, pat, most, key, chunk)
+    rows = docs.select(key, text_or_empty().alias("text")).mapInArrow(look_up, f"`{key}` {kind}, stream string, rest array<string>")
+    rows = rows.withColumn("rest", F.transform("rest", lambda w: encode_piece(w, literal)))
+    filled = F.array_join(F.transform(F.split("stream", ","), lambda x: F.when(F.substring(x, 1, 1) == "#", F.get(F.col("rest"), F.substring(x, F.lit(2), F.lit(9)).cast("int"))).otherwise(x)), ",")
+    return rows.select(key, F.when(F.size("rest") == 0, F.col("stream")).otherwise(filled).alias("ids"))
 
 
 def digests(rows: DataFrame, path: str | None = None, key: str = "doc_id") -> DataFrame:
@@ -450,6 +370,11 @@ def digests(rows: DataFrame, path: str | None = None, key: str = "doc_id") -> Da
     return rows.select(key, "ids").mapInArrow(finish, f"`{key}` {dict(rows.dtypes)[key]}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
+def token_digests(docs: DataFrame) -> DataFrame:
+    """``digests`` of docs; the ids are written between, so that a task has one Python worker."""
+    return digests(written(encode(docs), "ids"))
+
+
 def decode(ids: Column, path: str | None = None) -> Column:
     """The bytes that a column of comma-joined ids stands for, by a literal table of hexadecimal pieces."""
     ranks = load_ranks(path or vocabulary_path())

@@ -26,20 +26,6 @@ def test_ids_are_those_of_the_library(odd, odd_rows, encoding, most):
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
 
 
-@pytest.mark.parametrize(("most", "chunk"), [(2_000_000, 500), (0, 500), (50, 1 << 20)])
-def test_digests_without_a_table_of_ids(odd, encoding, most, chunk):
-    """In small chunks and one large one, with all shared pieces in the dictionary, some, and none."""
-    rows = odd.dropDuplicates(["text"]).repartition(3)
-    texts = {r.doc_id: r.text or "" for r in rows.collect()}
-    got = bpe.token_digests(rows, most=most, chunk=chunk).collect()
-    assert len(got) == len(texts)
-    for r in got:
-        ids = encoding.encode_ordinary(texts[r.doc_id])
-        assert r.n_tokens == len(ids)
-        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
-        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
-
-
 def test_odd_white_space(spark, encoding):
     rng = random.Random(5)
     alphabet = ["a", "Bc", " ", "  ", "\n", "\t", " ", "　", "'s", "'ll", "1", "12", ".", "é", "日本", "🙂", "<|endoftext|>"]
@@ -65,4 +51,3 @@ def test_heap_merge_of_long_pieces(encoding):
 
 def test_empty(empty):
     assert bpe.digests(bpe.encode(empty)).count() == 0
-    assert bpe.token_digests(empty).count() == 0
