@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import text_or_empty
+from .common import text_or_empty, written
 from .exact_dedup import sha256_text
 
 WORDS = 5
@@ -30,6 +30,7 @@ _SHIFT = 63 - (BINS.bit_length() - 1)
 _EMPTY = (1 << _SHIFT) - 1
 ROWS_PER_BUCKET = 2_000
 QUANTILES = 1_024
+BUCKETS_PER_GROUP = 1_024  # ranges whose first rows one task sees
 
 
 def _long(x: int) -> Column:
@@ -108,6 +109,19 @@ def _bucketed(df: DataFrame, ids: DataFrame) -> DataFrame:
     return df.withColumn("__bucket", F.coalesce(-(F.col("__k").cast("bigint") * parts + F.least(part, _long(parts - 1))), _long(1))).drop("__k")
 
 
+def _next_heads(heads: DataFrame) -> DataFrame:
+    """heads (__bucket, h) with ``n``, the h of the next bucket, after the last of the first.
+
+    In two steps: within groups of buckets, and from group to group, a row each: at 50 billion documents
+    some thousand."""
+    heads = written(heads.withColumn("__g", F.floor(F.col("__bucket") / BUCKETS_PER_GROUP).cast("bigint")), "heads")
+    line = Window.orderBy("__g")
+    first = heads.groupBy("__g").agg(F.min(F.struct("__bucket", "h")).alias("f")).select("__g", F.col("f.h").alias("h"))
+    ends = first.select("__g", F.coalesce(F.lead("h").over(line), F.first("h").over(line.rowsBetween(Window.unboundedPreceding, 0))).alias("__end"))
+    within = F.lead("h").over(Window.partitionBy("__g").orderBy("__bucket"))
+    return heads.withColumn("__lead", within).join(ends, "__g").select("__bucket", "h", F.coalesce("__lead", "__end").alias("n"))
+
+
 def with_next(docs: DataFrame, finish, carry: list[str], out: str) -> DataFrame:
     """finish(docs) with a struct ``out`` of the next row's ``carry`` columns: by descending doc_id, after the last the first.
 
@@ -116,11 +130,8 @@ def with_next(docs: DataFrame, finish, carry: list[str], out: str) -> DataFrame:
     ids = docs.select("doc_id")
     docs = docs.withColumn("__tie", F.xxhash64("text"))
     df = _bucketed(docs, ids)
-    heads = df.groupBy("__bucket").agg(F.max(F.struct("doc_id", "__tie")).alias("h"))
-    # a row for each range of some thousand documents: few enough for one task
-    line = Window.orderBy("__bucket")
-    heads = heads.select("__bucket", F.coalesce(F.lead("h").over(line), F.first("h").over(line.rowsBetween(Window.unboundedPreceding, 0))).alias("n"))
-    heads = heads.select(F.col("__bucket").alias("__b"), F.col("n.doc_id").alias("__id"), F.col("n.__tie").alias("__t"))
+    heads = _next_heads(df.groupBy("__bucket").agg(F.max(F.struct("doc_id", "__tie")).alias("h")))
+    heads = written(heads.select(F.col("__bucket").alias("__b"), F.col("n.doc_id").alias("__id"), F.col("n.__tie").alias("__t")), "heads")
     small = heads.count() <= 10_000  # three numbers a row
     edge = docs.join(F.broadcast(heads) if small else heads, docs["doc_id"].eqNullSafe(heads["__id"]) & (docs["__tie"] == heads["__t"]))
     edge = edge.groupBy(F.col("__b").alias("__bucket")).agg(F.any_value("doc_id").alias("doc_id"), F.any_value("text").alias("text"))

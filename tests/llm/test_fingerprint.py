@@ -1,6 +1,10 @@
 import hashlib
+import random
+import struct
 
 import numpy as np
+import pytest
+import xxhash
 
 from tallyforge.llm import fingerprint as fp
 
@@ -35,8 +39,41 @@ def test_edits_next_document_and_likeness(spark, words):
     assert out[501].near_next == 1.0 and out[502].fingerprint != ""
 
 
-def test_ranges_are_stitched(spark, monkeypatch):
+def brute(text):
+    """The fingerprint in plain Python: least hash of each bin, empty bins by their walks, the low bits as hex digits."""
+    h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in text.split()]
+    if not h:
+        return ""
+    start, stride = (list(x) for x in _walks())
+    bins = {}
+    for i in range(max(1, len(h) - 4)):
+        x = 42
+        for v in h[i : i + 5]:
+            x = xxhash.xxh64_intdigest(struct.pack("<Q", v), x)
+        x >>= 1
+        j, low = x >> 55, x & ((1 << 55) - 1)
+        bins[j] = min(bins.get(j, low), low)
+    full = [bins.get(j, next((bins[k] for k in ((start[j] + r * stride[j]) & 255 for r in range(257)) if k in bins), None)) for j in range(256)]
+    return "".join(f"{x & 15:x}" for x in full)
+
+
+def _walks(seed=11):
+    rng = random.Random(seed)
+    return [rng.randrange(256) for _ in range(256)], [rng.randrange(1, 256, 2) for _ in range(256)]
+
+
+def test_fingerprints_are_those_of_brute_force(spark, words):
+    rng = random.Random(3)
+    rows = [(k, " ".join(rng.choice(words) for _ in range(n))) for k, n in enumerate((0, 1, 3, 5, 6, 9, 40, 200, 256, 700, 4000))]
+    out = {r.doc_id: r for r in fp.edited_fingerprints(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for k, t in rows:
+        assert out[k].fingerprint == brute(t), k
+
+
+@pytest.mark.parametrize("group", [1024, 3, 1])
+def test_ranges_are_stitched(spark, monkeypatch, group):
     monkeypatch.setattr(fp, "ROWS_PER_BUCKET", 7)
+    monkeypatch.setattr(fp, "BUCKETS_PER_GROUP", group)
     rows = [(k * k, f"doc {k} " + "word " * k) for k in range(100)] + [(None, "null id")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     out = fp.with_next(df, lambda x: x, ["text"], "next").collect()

@@ -89,3 +89,57 @@ def test_mixed_documents_hold_what_is_taken(odd):
 def test_empty(empty):
     assert mixing.mix(empty).count() == 0
     assert mixing.mixed_documents(empty).count() == 0
+
+
+def test_quotas_and_blocks_are_those_of_brute_force(spark, odd):
+    """Shards, their quotas, and which words the blocks take, word by word."""
+    import struct
+
+    import xxhash
+
+    block, seed = 5, 17
+    rows = mixing.sized(odd)
+    plan, _ = mixing.plan_sources(rows, docs_per_shard=4, block=block)
+    placed = mixing.placed(rows, plan, seed).collect()
+    of, shards = {p["idx"]: p for p in plan}, defaultdict(list)
+    for r in placed:
+        shards[r.idx, r.shard].append(r)
+    words = {at: sum(r["size"] for r in part) for at, part in shards.items()}
+    want = {}
+    for idx in of:
+        own = sorted(k for i, k in shards if i == idx)
+        quota = by_quotients([words[idx, k] for k in own], of[idx]["seats"], [3 * words[idx, k] for k in own])
+        for shard, q in zip(own, quota, strict=True):
+            part = sorted(shards[idx, shard], key=lambda r: (r.order, r.doc_id is not None, r.doc_id or 0, r.digest))
+            assert {r.quota for r in part} == {q}
+            line = [k for k, r in enumerate(part) for _ in range(r["size"])]
+            taken = [r["size"] * (q // max(1, len(line))) for r in part]
+            m, rest = -(-len(line) // block), q % max(1, len(line))
+            h = 42
+            for v, form in ((idx, "<i"), (shard, "<q"), (seed + 2, "<i")):
+                h = xxhash.xxh64_intdigest(struct.pack(form, v), h)
+            offset = (h - 2**64 if h >= 2**63 else h) % max(1, m)
+            for b in sorted(range(m), key=lambda i: (i * mixing.STRIDE + offset) % m):
+                for k in line[b * block : (b + 1) * block][:rest]:
+                    taken[k] += 1
+                rest -= min(rest, len(line[b * block : (b + 1) * block]))
+            for r, n in zip(part, taken, strict=True):
+                want.setdefault((str(r.doc_id), r.digest), []).append(n)
+    got = {}
+    for r in mixing.mix(odd, docs_per_shard=4, block=block).collect():
+        got.setdefault((str(r.doc_id), r.digest), []).append(r.taken)
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+
+
+def test_names_that_clash(odd):
+    from pyspark.sql import functions as F
+
+    docs = odd.withColumns({"words": F.lit("own"), "at_file": F.lit(5), "_metadata": F.lit("m")})
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns and {(r.words, r.at_file, r._metadata) for r in out.collect()} == {("own", 5, "m")}
+
+
+def test_groups_of_shards_share_a_source(spark):
+    rows = [(0, k, 10 + k % 7, 900) for k in range(50)]
+    out = mixing.shard_quotas(spark.createDataFrame(rows, "idx int, shard bigint, words bigint, seats bigint"), per_group=8).collect()
+    assert sum(r.quota for r in out) == 900 and all(abs(r.quota - 900 * r.words / sum(x[2] for x in rows)) <= 1.5 for r in out)
