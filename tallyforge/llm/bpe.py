@@ -32,7 +32,7 @@ from .common import arrow_bounds, release, text_or_empty, written
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 DICTIONARY = 1_000_000  # pieces that are broadcast, at most
 DICTIONARY_BYTES = 64  # of a broadcast piece, at most
-MEMO = 150_000  # words that a task remembers, at most
+MEMO = 150_000  # words that a task remembers, at most; more where it has the memory
 LONG = 256
 
 
@@ -197,7 +197,7 @@ class Dictionary:
         return self.ids[self.at[i] : self.at[i + 1]].decode()
 
 
-def count_pieces(docs: DataFrame, pat: str, ranks) -> DataFrame:
+def count_pieces(docs: DataFrame, pat: str, ranks, memo: int = MEMO) -> DataFrame:
     """(piece, n) over all texts, of pieces that are no token: words are counted in each task, and split when their
     counts have met. ``ranks`` is a broadcast."""
     arrow_bounds(docs.sparkSession)
@@ -227,7 +227,7 @@ def count_pieces(docs: DataFrame, pat: str, ranks) -> DataFrame:
                         for x in split.find(line[0]):
                             pieces[x] += 1
                         words.update(line[1:])
-                if len(words) + len(pieces) > 2 * MEMO:
+                if len(words) + len(pieces) > 2 * memo:
                     yield from out()
         yield from out()
         release()
@@ -248,12 +248,12 @@ def count_pieces(docs: DataFrame, pat: str, ranks) -> DataFrame:
     return counts.mapInArrow(parts, "piece string, n bigint").groupBy("piece").agg(F.sum("n").alias("n"))
 
 
-def dictionary(docs: DataFrame, literal: dict[str, Column], pat: str, ranks, most: int = DICTIONARY) -> tuple[bytes, bytes, bytes, bytes]:
+def dictionary(docs: DataFrame, literal: dict[str, Column], pat: str, ranks, most: int = DICTIONARY, memo: int = MEMO) -> tuple[bytes, bytes, bytes, bytes]:
     """Of the most frequent pieces (those of at least the least count that stays within the bound): hashes,
     checksums, places and ids."""
     import numpy as np
 
-    pieces = written(count_pieces(docs, pat, ranks).where(F.octet_length("piece") <= DICTIONARY_BYTES), "pieces")
+    pieces = written(count_pieces(docs, pat, ranks, memo).where(F.octet_length("piece") <= DICTIONARY_BYTES), "pieces")
     level = F.floor(F.log2("n") * 16).cast("int")
     least, seen = None, 0
     for row in sorted(pieces.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
@@ -275,14 +275,15 @@ def dictionary(docs: DataFrame, literal: dict[str, Column], pat: str, ranks, mos
     return h[order].tobytes(), found.column(1).to_numpy()[order].astype(np.uint32).tobytes(), (places - places[0]).tobytes(), data.to_pybytes()[places[0] : places[-1]]
 
 
-def encode(docs: DataFrame, path: str | None = None, pat: str | None = None, most: int = DICTIONARY, key: str = "doc_id") -> DataFrame:
-    """(key, ids): each text's ids as decimal numbers joined by commas."""
+def looked_up(docs: DataFrame, path: str | None, pat: str | None, most: int, key: str, memo_size: int) -> DataFrame:
+    """(key, stream, rest): each text's ids joined by commas, and the ids of its pieces beyond the dictionary, for which
+    ``#`` and their number stand in the stream."""
     path, pat = path or vocabulary_path(), pat or pattern()
     spark, literal = docs.sparkSession, rank_literal(path)
     spark.conf.set("spark.sql.maxPlanStringLength", "100000")  # or each plan's description holds the literal
     release()
     ranks = spark.sparkContext.broadcast(load_ranks(path))  # a vocabulary
-    known = spark.sparkContext.broadcast(dictionary(docs, literal, pat, ranks, most))
+    known = spark.sparkContext.broadcast(dictionary(docs, literal, pat, ranks, most, memo_size))
     release()
     arrow_bounds(spark)
     kind = dict(docs.dtypes)[key]
@@ -314,7 +315,7 @@ def encode(docs: DataFrame, path: str | None = None, pat: str | None = None, mos
                 return f"{word(w[:-1], other)},{end}"
             got = of(split.find(" " + w), other)
             if "#" not in got:
-                if len(memo) >= MEMO:
+                if len(memo) >= memo_size:
                     memo.clear()
                 memo[w] = got
             return got
@@ -344,35 +345,48 @@ def encode(docs: DataFrame, path: str | None = None, pat: str | None = None, mos
         release()
 
     rows = docs.select(key, text_or_empty().alias("text")).mapInArrow(look_up, f"`{key}` {kind}, stream string, rest array<string>")
-    rows = rows.withColumn("rest", F.transform("rest", lambda w: encode_piece(w, literal)))
+    return rows.withColumn("rest", F.transform("rest", lambda w: encode_piece(w, literal)))
+
+
+def encode(docs: DataFrame, path: str | None = None, pat: str | None = None, most: int = DICTIONARY, key: str = "doc_id", memo: int = MEMO) -> DataFrame:
+    """(key, ids): each text's ids as decimal numbers joined by commas."""
+    rows = looked_up(docs, path, pat, most, key, memo)
     filled = F.array_join(F.transform(F.split("stream", ","), lambda x: F.when(F.substring(x, 1, 1) == "#", F.get(F.col("rest"), F.substring(x, F.lit(2), F.lit(9)).cast("int"))).otherwise(x)), ",")
     return rows.select(key, F.when(F.size("rest") == 0, F.col("stream")).otherwise(filled).alias("ids"))
 
 
 def digests(rows: DataFrame, path: str | None = None, key: str = "doc_id") -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256) of encoded rows; decoding joins the ids' binary pieces."""
+    """(key, n_tokens, ids_sha256, decoded_sha256) of rows (key, ids), or (key, stream, rest) as ``looked_up`` returns
+    them; decoding joins the ids' binary pieces."""
     pieces = rows.sparkSession.sparkContext.broadcast({str(r): t for t, r in load_ranks(path or vocabulary_path()).items()})
     arrow_bounds(rows.sparkSession)
 
     def finish(batches):
+        import re
+
         import pyarrow as pa
 
-        token, sha = pieces.value.__getitem__, hashlib.sha256
+        token, sha, mark = pieces.value.__getitem__, hashlib.sha256, re.compile(r"#(\d+)").sub
         for batch in batches:
             n, ids_hash, text_hash = [], [], []
-            for ids in batch.column(1).to_pylist():
+            rest = batch.column(2).to_pylist() if batch.num_columns > 2 else [()] * batch.num_rows
+            for ids, more in zip(batch.column(1).to_pylist(), rest, strict=True):
+                if more:
+                    ids = mark(lambda m, more=more: more[int(m[1])], ids)
                 tokens = ids.split(",") if ids else []
                 n.append(len(tokens))
                 ids_hash.append(sha(ids.encode()).hexdigest())
                 text_hash.append(sha(b"".join(map(token, tokens))).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return rows.select(key, "ids").mapInArrow(finish, f"`{key}` {dict(rows.dtypes)[key]}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    columns = [key, "ids"] if "ids" in rows.columns else [key, "stream", "rest"]
+    return rows.select(*columns).mapInArrow(finish, f"`{key}` {dict(rows.dtypes)[key]}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
-def token_digests(docs: DataFrame) -> DataFrame:
-    """``digests`` of docs; the ids are written between, so that a task has one Python worker."""
-    return digests(written(encode(docs), "ids"))
+def token_digests(docs: DataFrame, memo: int = MEMO, apart: bool = False, most: int = DICTIONARY, key: str = "doc_id") -> DataFrame:
+    """``digests`` of docs. ``apart``: the ids are written between, which takes disk and leaves a task one Python worker."""
+    rows = looked_up(docs, None, None, most, key, memo)
+    return digests(written(rows, "ids") if apart else rows, key=key)
 
 
 def decode(ids: Column, path: str | None = None) -> Column:
@@ -388,4 +402,4 @@ def decode(ids: Column, path: str | None = None) -> Column:
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of ``documents``."""
-    return token_digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return token_digests(spark.read.parquet(f"{sf_dir}/documents.parquet"), memo=600_000)

@@ -26,6 +26,16 @@ def test_ids_are_those_of_the_library(odd, odd_rows, encoding, most):
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
 
 
+@pytest.mark.parametrize(("most", "apart", "memo"), [(2_000_000, False, 100), (0, True, 1000)])
+def test_digests_of_texts(odd, encoding, most, apart, memo):
+    rows = odd.dropDuplicates(["text"])
+    texts = {r.doc_id: r.text or "" for r in rows.collect()}
+    for r in bpe.token_digests(rows, memo, apart, most).collect():
+        ids = encoding.encode_ordinary(texts[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
 def test_odd_white_space(spark, encoding):
     rng = random.Random(5)
     alphabet = ["a", "Bc", " ", "  ", "\n", "\t", " ", "　", "'s", "'ll", "1", "12", ".", "é", "日本", "🙂", "<|endoftext|>"]
