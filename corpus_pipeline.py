@@ -61,7 +61,7 @@ def mix(docs: DataFrame) -> DataFrame:
 @_stage
 def encode(docs: DataFrame) -> DataFrame:
     """Token counts and digests of ids and decoded texts."""
-    return bpe.token_digests(docs)
+    return bpe.token_digests(docs, apart=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

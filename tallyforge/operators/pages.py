@@ -55,6 +55,11 @@ def page_tags(text: Column) -> Column:
     return F.when(_any(t, SKIP), F.array(F.lit("skip"))).when(face, F.array(F.lit("summary"))).otherwise(detail)
 
 
+def is_skipped(text: Column) -> Column:
+    """Whether ``page_tags`` would be ``skip``, without looking for the others."""
+    return _any(F.lower(F.coalesce(text, F.lit(""))), SKIP)
+
+
 def quality_ok(text: Column) -> Column:
     """Three keywords at least, or five numbers of four digits."""
     t = F.lower(F.coalesce(text, F.lit("")))

@@ -317,11 +317,13 @@ def form_rows_c(page_text: DataFrame) -> DataFrame:
 
 
 def cascade(*parsers: DataFrame) -> DataFrame:
-    """Of each document the rows of the first reading that has any."""
+    """Of each document the rows of the first reading that has any; every reading is made once."""
     out = None
-    for part in parsers:
-        out = part if out is None else out.unionByName(part.join(out.select("doc_id").distinct(), "doc_id", "left_anti"), allowMissingColumns=True)
-    return out
+    for k, part in enumerate(parsers):
+        part = part.withColumn("__k", F.lit(k))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    first = F.min("__k").over(Window.partitionBy("doc_id"))  # a document has some dozen rows
+    return out.withColumn("__first", first).where("__k = __first").drop("__k", "__first")
 
 
 def split_decimal_sum(v: Column, skip: tuple[float, float] = (43.0, 47.0)) -> Column:

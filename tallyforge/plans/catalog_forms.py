@@ -12,7 +12,7 @@ from ..functions import numbers
 from ..functions import text as T
 from ..operators import checks, derive, fuzzy, merges, pages, rules, schedules, scores, spatial
 from ..session import shared_path, table
-from ..sources import readers, sinks, xlsx
+from ..sources import models, readers, sinks, xlsx
 from . import dictionaries, schema
 from .catalog import C_ROWS, D_ROWS, SQL, WITH_D, _D_WIDE, _sql, c_rows, d_rows, query, statement_pages
 
@@ -642,3 +642,62 @@ def workbook_round_trip(spark, sf):
     path = shared_path(spark, "books")
     sinks.write_workbooks(books, path)
     return xlsx.read_statement_workbooks(spark.read.schema("doc_id bigint, content binary").parquet(path)).where("value <> 0")
+
+
+# --- both blocks, attempts and models
+
+
+@query("block_c_cascade", f"""{WITH_N} SELECT doc_id, CAST(2 AS INT) AS sl_no, CAST(a AS DOUBLE) AS gross_opening, CAST(a + b AS DOUBLE) AS net_closing FROM n WHERE k < 2
+UNION ALL SELECT doc_id, 3, CAST(2 * a AS DOUBLE), CAST(CASE WHEN c > 2 * a AND b < 2 * a THEN b ELSE c END AS DOUBLE) FROM n WHERE k IN (2, 3) UNION ALL SELECT doc_id, 1, 0, CAST(a * 1000 AS DOUBLE) FROM n WHERE k >= 4""")
+def block_c_cascade(spark, sf):
+    """Assets by the first reading that has any: a form, lines by letter, or a lakh note; a skipped page doesn't count."""
+    from . import statement
+
+    k = F.col("k")
+    form = F.concat_ws(" ", F.lit("Block C: Fixed Assets\n2 Building"), inr("a"), *[inr("c")] * 8, inr("b"), inr("a + b"))
+    letter = F.concat_ws(" ", F.lit('Block "D" asset'), inr("2 * a"), inr("2 * a"), inr("b"), inr("c"), inr("b + c"), inr("c"), inr("b"))
+    note = F.concat_ws(" ", F.lit("Amounts in Lacs Property, Plant note\nLand"), lakh("a"), lakh("a"))
+    text = page(spark, sf, F.when(k < 2, form), F.when(k < 4, letter).otherwise(note))
+    out = statement.extract_assets(text).where("net_closing != 0")
+    return out.select("doc_id", "sl_no", "gross_opening", F.round("net_closing", 2).alias("net_closing"))
+
+
+@query("batch_of_both_blocks", f"{WITH_N} SELECT doc_id, 'C' AS block, CAST(s AS INT) AS sl_no, CAST(CASE WHEN s = 3 OR s = 8 OR s = 10 THEN CASE WHEN c > 2 * a AND b < 2 * a THEN b ELSE c END ELSE 0 END AS DOUBLE) AS closing FROM n CROSS JOIN (SELECT unnest(range(1, 11)) AS s) UNION ALL SELECT doc_id, 'D', CAST(s AS INT), CAST(CASE WHEN s IN (12, 15) THEN a WHEN s = 16 THEN -a ELSE 0 END AS DOUBLE) FROM n CROSS JOIN (SELECT unnest(range(1, 18)) AS s)")
+def batch_of_both_blocks(spark, sf):
+    """The batch plan over pages that have a line of either block."""
+    from . import statement
+
+    text = page(spark, sf, "SCHEDULE 6 inventories", ["Sundry creditors", inr("a"), inr("b")], ['Block "D" asset', inr("2 * a"), inr("2 * a"), inr("b"), inr("c"), inr("b + c"), inr("c"), inr("b")])
+    cells = statement.run_batch(text)["cells"].where("field in ('net_closing', 'closing_rs')")
+    return cells.select("doc_id", "block", "sl_no", F.col("value").alias("closing"))
+
+
+@query("audit_logs", f"{WITH_N} SELECT doc_id, CAST(t AS INT) AS attempt, CAST(a % 100 AS DOUBLE) AS rate, CAST(k AS INT) AS failures, CASE WHEN k <= 2 THEN 'APPROVED' ELSE 'REJECTED' END AS status, CAST(t * 1.5 AS DOUBLE) AS seconds, CASE WHEN k = 0 THEN '' ELSE 'row ' || k END AS issues FROM n CROSS JOIN (VALUES (1), (2)) v(t)")
+def audit_logs(spark, sf):
+    """The log of attempts in each document's workbook, read back."""
+    n = made(spark, sf)
+    tries = n.select("doc_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("attempt"), (F.col("a") % 100).cast("double").alias("rate"), F.col("k").alias("failures"), F.when(F.col("k") <= 2, "APPROVED").otherwise("REJECTED").alias("status"), F.when(F.col("k") > 0, F.concat(F.lit("row "), F.col("k").cast("string"))).alias("issues"))
+    d = n.select("doc_id", F.lit(1).alias("sl_no"), F.lit("Raw").alias("label"), F.col("a").cast("double").alias("opening_rs"), F.col("b").cast("double").alias("closing_rs"))
+    c = n.select("doc_id", F.lit(1).alias("sl_no"), F.lit("Land").alias("label"), *[F.lit(0.0).alias(f) for f in schema.C_FIELDS])
+    return xlsx.read_audit_logs(xlsx.statement_workbooks(c, d, attempts=tries.withColumn("seconds", F.col("attempt") * 1.5)))
+
+
+def _echo(payload: dict, timeout: float) -> str:
+    """A stand-in for a model: answers, falls silent, fails or isn't there, as the statement's number says."""
+    number = int(payload["prompt"].rsplit(" ", 1)[1])
+    if number % 6 == 1:
+        return ""
+    if number % 6 == 2:
+        raise TimeoutError("late")
+    if number % 6 == 3:
+        raise ConnectionError("nobody")
+    return f'Here: [{{"sl_no": 1, "opening_rs": {number}, "closing_rs": 0}}]'
+
+
+@query("model_answers", f"{WITH_N} SELECT doc_id, CAST(CASE WHEN k IN (1, 2, 3) THEN NULL ELSE doc_id END AS DOUBLE) AS opening_rs, CAST(CASE WHEN k IN (1, 2) THEN 3 ELSE 1 END AS INT) AS tries, CASE k WHEN 1 THEN 'empty answer' WHEN 2 THEN 'TimeoutError: late' WHEN 3 THEN 'not reachable: nobody' END AS error FROM n")
+def model_answers(spark, sf):
+    """Prompts for a block, answered with retries; rows are read from what a model says."""
+    prompts = made(spark, sf).select("doc_id", models.block_prompt(F.concat(F.lit("document "), F.col("doc_id").cast("string")), schema.D_LABELS, schema.D_FIELDS).alias("ask"))
+    got = models.ask(prompts, "ask", _echo, "any", delays=(0.0, 0.0, 0.0))
+    rows = T.json_rows(F.col("answer"), "struct<sl_no:int,opening_rs:double,closing_rs:double>")
+    return got.select("doc_id", F.get(rows, F.lit(0))["opening_rs"].alias("opening_rs"), "tries", "error")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import numbers
-from ..operators import checks, derive, merges, pages
+from ..operators import checks, derive, merges, pages, schedules
 from ..session import shared_path
 from . import schema
 
@@ -36,7 +36,7 @@ def extract_cells(page_text: DataFrame, patterns: DataFrame | None = None) -> Da
     Pages tagged ``skip`` are left out; amounts are in the unit that their page states. A table of patterns
     (block, sl_no, ord, pattern) is a dictionary: it is read by the driver, so that each is compiled once."""
     known = [tuple(r) for r in patterns.select("block", "sl_no", "ord", "pattern").collect()] if patterns is not None else list(FACE_PATTERNS)
-    routed = page_text.where(~F.array_contains(pages.page_tags(F.col("text")), "skip")).withColumn("unit", numbers.unit_of(F.col("text")))
+    routed = page_text.where(~pages.is_skipped(F.col("text"))).withColumn("unit", numbers.unit_of(F.col("text")))
     rows = pages.lines(routed)
     pair = lambda p: F.struct(F.regexp_extract("line", p, 1).alias("c"), F.regexp_extract("line", p, 2).alias("o"))
     found = [F.when(F.rlike("line", F.lit(p)), F.struct(F.lit(b).alias("block"), F.lit(sl).alias("sl_no"), F.lit(k).alias("ord"), pair(p).alias("x"))) for b, sl, k, p in known]
@@ -52,6 +52,15 @@ def extract_cells(page_text: DataFrame, patterns: DataFrame | None = None) -> Da
     return merges.first_nonzero(both, merges.CELL, ["prio"]).where("value != 0")
 
 
+def extract_assets(page_text: DataFrame) -> DataFrame:
+    """Block C rows of pages (doc_id, page_no, text): of each document those of the first reading that has any, in
+    the order filled form, lines by block letter, grid with eight columns, lakh note."""
+    kept = page_text.where(~pages.is_skipped(F.col("text")))
+    read = (schedules.form_rows_c, schedules.asset_letter_rows, schedules.asset_grid_rows, schedules.asset_note_rows)
+    rows = schedules.cascade(*[f(kept) for f in read])
+    return rows.select("doc_id", "sl_no", *[F.coalesce(F.col(f), F.lit(0.0)).alias(f) for f in schema.C_FIELDS])
+
+
 def reconcile(c_rows: DataFrame, cells_d: DataFrame, face: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Block C rows and block D cells made consistent: row identities, face anchors (doc_id, opening, closing),
     derived rows, identities and derived rows once more."""
@@ -90,11 +99,15 @@ def supervise(cells: DataFrame, candidates: DataFrame, rounds: int = 5) -> tuple
 
 
 def run_batch(page_text: DataFrame, least_rate: float = 0.85) -> dict[str, DataFrame]:
-    """All documents of page_text in one plan: cells on the whole template, checks, scores and verification."""
-    found = extract_cells(page_text)
+    """All documents of page_text in one plan: cells of both blocks on the whole template, checks, scores and verification."""
+    shared_path(page_text.sparkSession, "batch")  # sets the checkpoint folder
+    # read once: what follows uses them several times, and they are few cells a document
+    found = extract_cells(page_text).unionByName(merges.to_cells(extract_assets(page_text), "C").where("value != 0")).checkpoint()
+    assets = found.where("block = 'C'")
     form = schema.empty_cells(page_text.sparkSession, page_text)
     cells = derive.recompute(merges.patch_cells(form, found))
-    table = checks.checks_d(merges.to_rows(cells, "D"))
+    has_assets = cells.join(assets.select("doc_id").distinct(), "doc_id", "left_semi")
+    table = checks.checks_d(merges.to_rows(cells, "D")).unionByName(checks.checks_c(merges.to_rows(has_assets, "C")))
     from ..operators.scores import verified_in_text
 
     texts = page_text.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_no", "text"))), lambda x: x["text"]), "\n").alias("text"))  # a document's pages

@@ -23,6 +23,17 @@ _PKG = "http://schemas.openxmlformats.org/package/2006"
 FILLS = {"none": None, "green": "FFC6EFCE", "yellow": "FFFFEB9C", "red": "FFFFC7CE", "header": "FFD9E1F2"}
 
 
+#: What the colours of cells stand for. Fixed values.
+LEGEND = (
+    ("green", "Green: value extracted and verified against the source text"),
+    ("yellow", "Yellow: value extracted with low confidence, to be reviewed"),
+    ("red", "Red: value that could not be verified against the source text"),
+    ("none", "White: zero or not found"),
+    ("header", "Blue: computed total or sub-total row"),
+)
+AUDIT_LOG = ("attempt", "rate", "failures", "status", "seconds", "issues")
+
+
 def _letters(col: int) -> str:
     out = ""
     while True:
@@ -98,8 +109,10 @@ def read_workbook(content: bytes) -> dict[str, list[list]]:
     return out
 
 
-def statement_workbooks(c_rows: DataFrame, d_rows: DataFrame, unit: float = 1.0) -> DataFrame:
-    """(doc_id, content): a workbook for each document with a sheet for each block; zeros are blank, totals marked."""
+def statement_workbooks(c_rows: DataFrame, d_rows: DataFrame, unit: float = 1.0, attempts: DataFrame | None = None) -> DataFrame:
+    """(doc_id, content): a workbook for each document with a sheet for each block; zeros are blank, totals marked.
+
+    With attempts (doc_id and the columns of ``AUDIT_LOG``) it has their log and a legend of the colours, too."""
     from ..plans import schema
 
     kind = dict(c_rows.dtypes)["doc_id"]
@@ -114,9 +127,32 @@ def statement_workbooks(c_rows: DataFrame, d_rows: DataFrame, unit: float = 1.0)
             name = f"Block {block}"
             sheets[name] = [["Sl. No.", "Item", *fields], *([int(n), label, *[None if v is None or v != v else float(v) for v in vs]] for n, label, vs in zip(part.sl_no, part.label, part.v, strict=True))]
             states[name] = {(r, c): "green" for r, n in enumerate(part.sl_no, 1) if n in schema.DERIVED[block] for c in range(len(fields) + 2)}
+        log = pdf[pdf.block == "log"].sort_values("sl_no")
+        if len(log):
+            sheets["Audit Log"] = [list(AUDIT_LOG), *([int(n), *[None if v is None or v != v else float(v) for v in vs], *text.split("\t")] for n, vs, text in zip(log.sl_no, log.v, log.label, strict=True))]
+            sheets["Audit Log"] = [[r[0], r[1], r[2], r[4], r[3], r[5]] if k else r for k, r in enumerate(sheets["Audit Log"])]
+            sheets["Legend"] = [["Colour", "Meaning"], *(["", text] for _, text in LEGEND)]
+            states["Legend"] = {(r, 0): state for r, (state, _) in enumerate(LEGEND, 1)}
         return pd.DataFrame({"doc_id": [pdf.doc_id.iloc[0]], "content": [workbook(sheets, states)]})
 
-    return c.unionByName(d).groupBy("doc_id").applyInPandas(make, f"doc_id {kind}, content binary")
+    rows = c.unionByName(d)
+    if attempts is not None:
+        number = F.array(*[F.col(x).cast("double") for x in ("rate", "failures", "seconds")])
+        label = F.concat_ws("\t", "status", F.coalesce("issues", F.lit("")))
+        rows = rows.unionByName(attempts.select("doc_id", F.lit("log").alias("block"), F.col("attempt").cast("int").alias("sl_no"), label.alias("label"), number.alias("v")))
+    return rows.groupBy("doc_id").applyInPandas(make, f"doc_id {kind}, content binary")
+
+
+def read_audit_logs(files: DataFrame) -> DataFrame:
+    """The attempts of workbooks (doc_id, content) that have their log."""
+    kind = dict(files.dtypes)["doc_id"]
+
+    def take(batches):
+        for batch in batches:
+            out = [(doc_id, int(r[0]), r[1], int(r[2]), r[3], r[4], r[5] or "") for doc_id, content in zip(batch["doc_id"], batch["content"], strict=True) for r in read_workbook(content).get("Audit Log", [])[1:]]
+            yield pd.DataFrame(out, columns=["doc_id", *AUDIT_LOG])
+
+    return files.select("doc_id", "content").mapInPandas(take, f"doc_id {kind}, attempt int, rate double, failures int, status string, seconds double, issues string")
 
 
 def read_statement_workbooks(files: DataFrame) -> DataFrame:

@@ -3,12 +3,17 @@
 import glob
 import json
 import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallyforge.logs import RunLogs
 from tallyforge.plans import catalog, catalog_forms, schema  # noqa: F401
-from tallyforge.sources import readers, sinks, xlsx
+from tallyforge.sources import models, readers, sinks, xlsx
 from tallyforge.streaming import ingest
 
 SF = "/root/testdata/sf0.001"
@@ -109,7 +114,33 @@ def test_queries_match_their_sql(spark, name):
     assert rows([tuple(r) for r in got.select(*columns).collect()]) == rows(want.fetchall())
 
 
-def test_entry_works_without_the_text_operators():
-    import __spark_entry__ as entry
-
-    assert set(catalog.QUERIES) <= set(entry.queries()) and set(catalog.SQL) <= set(entry.oracle_sql())
+def test_entry_works_without_the_text_operators(tmp_path):
+    """In a copy without the subpackage, its pipeline and its tests, and where a dependency of it can't be imported."""
+    root = Path(__file__).resolve().parent.parent
+    show = "import sys, __spark_entry__ as e; print(len(e.queries()), 'pipeline' in e.queries(), set(e.oracle_sql()) <= set(e.queries()))"
+    shutil.copytree(root, tmp_path / "r", ignore=shutil.ignore_patterns("llm", "corpus_pipeline.py", ".git", "__pycache__"))
+    run = lambda code, at: subprocess.run([sys.executable, "-B", "-c", code], cwd=at, capture_output=True, text=True, check=True).stdout.split()
+    assert run(show, tmp_path / "r") == [str(len(catalog.QUERIES)), "False", "True"]
+    assert run("import sys; sys.modules['regex'] = None\n" + show, root)[2] == "True"
+
+
+def test_run_logs(tmp_path, capsys):
+    logs = RunLogs("some file.pdf", str(tmp_path))
+    logs.mapping.warning("row %d is off", 3)
+    logs.ocr.debug("only in the file")
+    logs.close()
+    assert "WARNING  | tallyforge.some_file.mapping | row 3 is off" in (tmp_path / "some_file/mapping.log").read_text()
+    assert "only in the file" in (tmp_path / "some_file/ocr.log").read_text()
+    shown = capsys.readouterr().err
+    assert "\033[33mWARNING" in shown and "only in" not in shown
+
+
+def test_legend_and_models(spark):
+    c = spark.createDataFrame([(1, 1, "Land", *[0.0] * 11)], "doc_id bigint, sl_no int, label string, " + ", ".join(f"{f} double" for f in schema.C_FIELDS))
+    d = spark.createDataFrame([(1, 1, "Raw", 3.0, 0.0)], "doc_id bigint, sl_no int, label string, opening_rs double, closing_rs double")
+    tries = spark.createDataFrame([(1, 1, 80.0, 2, "APPROVED", 1.5, "x")], "doc_id bigint, attempt int, rate double, failures int, status string, seconds double, issues string")
+    book = xlsx.read_workbook(bytes(xlsx.statement_workbooks(c, d, attempts=tries).first().content))
+    assert [r[1] for r in book["Legend"][1:]] == [text for _, text in xlsx.LEGEND] and book["Audit Log"][1] == [1.0, 80.0, 2.0, "APPROVED", 1.5, "x"]
+    answers = iter(["", "fine"])
+    assert models.with_retry(lambda payload, timeout: next(answers), {}, 1.0, (0.0, 0.0)) == ("fine", 2, None)
+    assert not models.is_alive("http://127.0.0.1:9/", 0.2)
