@@ -51,6 +51,8 @@ def gathering(paths: list[str]):
         yield
     finally:
         _thread.paths = before
+        if before is not None:
+            before += paths
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import gathering, remove, written
 
 
 def _mark(links: DataFrame) -> tuple:
@@ -30,18 +30,21 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(node, root) for each node of links (a, b) but the roots: the least node that links lead to."""
+def components(links: DataFrame) -> DataFrame:
+    """(node, root) for each node of links (a, b) but the roots: the least node that links lead to.
+
+    A round at least halves what is between a node and its root; it ends when a round changes nothing."""
+    spark = links.sparkSession
     links = written(links.where("a != b").select("a", "b").distinct(), "links")
     before = _mark(links)
-    for _ in range(most_rounds):
-        if not before[0]:
-            break
-        links = written(_small_star(written(_large_star(links), "links")), "links")
-        now = _mark(links)
-        if now == before:
+    while before[0]:
+        paths: list[str] = []
+        with gathering(paths):
+            now = written(_small_star(written(_large_star(links), "links")), "links")
+        for path in paths[:-1]:  # of the round's tables the last one goes on
+            remove(spark, path)
+        links, mark = now, _mark(now)
+        if mark == before:
             break
-        before = now
-    else:
-        raise RuntimeError(f"links have not settled in {most_rounds} rounds")
+        before = mark
     return links.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -62,6 +62,16 @@ def test_copies_meet_in_a_bucket_whose_least_node_is_neither(spark):
     assert sorted({(r.class_id, r.class_size) for r in out}) == brute(rows) == [(2 * k, 2) for k in range(60)]
 
 
+def test_look_alikes_lose_no_link(spark):
+    """Two hundred pairs (0.82) that all share a passage just under the likeness (0.79): every pair is found, nothing else."""
+    shared, rows = [f"p{k}" for k in range(176)], []
+    for k in range(200):
+        both = [*shared, *(f"b{k}w{j}" for j in range(4))]
+        rows += [(2 * k + e, " ".join([*both, *(f"t{k}e{e}w{j}" for j in range(20))])) for e in (0, 1)]
+    out = dm.near_classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {(r.class_id, r.class_size) for r in out} == {(2 * k, 2) for k in range(200)}
+
+
 def test_signature_estimates_weighted_likeness():
     rng = np.random.default_rng(0)
     pool = rng.integers(0, 2**63, 400, dtype=np.uint64)
