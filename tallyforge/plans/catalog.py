@@ -671,13 +671,6 @@ def header_map_patch(spark, sf):
     return fuzzy.map_headers(cells, aliases)
 
 
-@query("fixpoint_repair")
-def fixpoint_repair(spark, sf):
-    cells = merges.to_cells(merges.template_merge(d_rows(spark, sf), "D"), "D")
-    done, _, _ = statement.supervise(cells, cells.where("sl_no % 2 = 0").withColumn("value", F.col("value") + 5000), rounds=3)
-    return done
-
-
 #: Labels under which block D's rows stand in written statements.
 WRITTEN = {1: "Raw materials", 3: "Stores & spares", 5: "Work in progress", 6: "Finished goods", 8: "Cash and bank", 9: "Sundry debtors", 10: "Loans and advances", 12: "Sundry creditors", 13: "Cash credit", 14: "Other current liabilities", 17: "Unsecured loans"}
 
