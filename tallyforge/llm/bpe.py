@@ -84,9 +84,9 @@ def heap_merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 @lru_cache(2)
-def pair_table(path: str) -> dict[str, list]:
+def pair_table(path: str) -> dict:
     """The ranks of pairs of tokens as arrays, rows laid over each other: where ``own[base[a] + b] == a``, a and b
-    merge into ``rank[base[a] + b]``. ``byte``: the ids of single bytes; ``two``: ranks of pairs of bytes."""
+    merge into ``rank[base[a] + b]``. ``byte``: the ids of single bytes; ``two``: ranks of pairs of bytes, -1 for none."""
     import numpy as np
 
     ranks = load_ranks(path)
@@ -98,7 +98,7 @@ def pair_table(path: str) -> dict[str, list]:
                 rows.setdefault(a, {})[b] = rank
     ids = max(ranks.values()) + 1
     spread = 1 << max(8, (2 * sum(map(len, rows.values()))).bit_length())
-    own, rank_of, base = np.full(spread + ids, -1), np.zeros(spread + ids, int), np.full(ids, -2 * ids)
+    own, rank_of, base = np.full(spread + ids, -1, np.int32), np.zeros(spread + ids, np.int32), np.full(ids, -2 * ids, np.int32)
     rng = np.random.default_rng(3)
     for a in sorted(rows, key=lambda a: (-len(rows[a]), a)):
         columns = np.fromiter(rows[a], int)
@@ -109,14 +109,15 @@ def pair_table(path: str) -> dict[str, list]:
                 break
         base[a] = offsets[free.argmax()]
         own[base[a] + columns], rank_of[base[a] + columns] = a, list(rows[a].values())
-    byte = [ranks[bytes([i])] for i in range(256)]
-    two = [ranks.get(bytes([i, j])) for i in range(256) for j in range(256)]
-    return {"base": base.tolist(), "own": own.tolist(), "rank": rank_of.tolist(), "byte": byte, "two": two}
+    byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
+    two = np.array([ranks.get(bytes([i, j]), -1) for i in range(256) for j in range(256)], np.int32)
+    return {"base": base, "own": own, "rank": rank_of, "byte": byte, "two": two}
 
 
-def rank_literal(path: str) -> dict[str, Column]:
-    """The arrays of ``pair_table`` as literals."""
-    return {k: F.from_json(F.lit(json.dumps(v, separators=(",", ":"))), "array<int>") for k, v in pair_table(path).items()}
+def rank_literal(path: str) -> Column:
+    """The arrays of ``pair_table`` as a literal struct."""
+    text = ",".join(f'"{k}":[{",".join(map(str, v.tolist()))}]' for k, v in pair_table(path).items())
+    return F.from_json(F.lit(f"{{{text}}}"), "struct<base:array<int>,own:array<int>,rank:array<int>,byte:array<int>,two:array<int>>")
 
 
 def _bind(value: Column, f) -> Column:
@@ -124,12 +125,16 @@ def _bind(value: Column, f) -> Column:
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
-def encode_piece(piece: Column, table: dict[str, Column]) -> Column:
+def encode_piece(piece: Column, literal: Column) -> Column:
     """The ids of a piece of one byte at least that is no token itself, as decimal numbers joined by commas.
 
     The piece's bytes, as ids of tokens, are an array with a mark at either end; beside it are the ranks
     of its adjacent pairs. Each step of the fold merges the first pair of least rank; the id of a merged
     token is the pair's rank."""
+    return _bind(literal, lambda table: _encoded(piece, table))
+
+
+def _encoded(piece: Column, table: Column) -> Column:
     rest = F.lit(1 << 30)
 
     def rank(a: Column, b: Column) -> Column:
@@ -149,7 +154,7 @@ def encode_piece(piece: Column, table: dict[str, Column]) -> Column:
     def fold(octets: Column) -> Column:
         edge, none = F.array(F.lit(-1)), F.array(F.lit(None).cast("int"))
         ids = F.concat(edge, F.transform(octets, lambda x: F.get(table["byte"], x)), edge)
-        ranks = F.concat(none, F.transform(octets, lambda x, i: F.get(table["two"], x * 256 + F.get(octets, i + 1))))
+        ranks = F.concat(none, F.transform(octets, lambda x, i: F.nullif(F.get(table["two"], x * 256 + F.get(octets, i + 1)), F.lit(-1))))
         start = F.struct(ids.alias("p"), ranks.alias("r"))
         return F.aggregate(F.sequence(F.lit(1), F.size(octets)), start, step, lambda acc: F.array_join(F.slice(acc["p"], F.lit(2), F.size(acc["p"]) - 2).cast("array<string>"), ","))
 
@@ -248,7 +253,7 @@ def count_pieces(docs: DataFrame, pat: str, ranks, memo: int = MEMO) -> DataFram
     return counts.mapInArrow(parts, "piece string, n bigint").groupBy("piece").agg(F.sum("n").alias("n"))
 
 
-def dictionary(docs: DataFrame, literal: dict[str, Column], pat: str, ranks, most: int = DICTIONARY, memo: int = MEMO) -> tuple[bytes, bytes, bytes, bytes]:
+def dictionary(docs: DataFrame, literal: Column, pat: str, ranks, most: int = DICTIONARY, memo: int = MEMO) -> tuple[bytes, bytes, bytes, bytes]:
     """Of the most frequent pieces (those of at least the least count that stays within the bound): hashes,
     checksums, places and ids."""
     import numpy as np
