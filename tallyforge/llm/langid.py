@@ -4,7 +4,7 @@ Each language has a codeword of bits. For each bit a binary classifier over hash
 n-grams tells on which side a text lies. Decoding sums the bits' logistic losses against each
 codeword, weighted by how well the bit's classifier did on texts held back from its training, and
 takes the language with the least. A text is flagged as ambiguous where its two best codewords cost
-nearly the same: the second costs less than ``1 + clear`` times the first, where ``clear`` is half
+nearly the same: the second costs less than ``1 + clear`` times the first, where ``clear`` is a quarter
 of the least such margin among the held-back texts that were decoded rightly. So the flag depends on
 two codewords only, however many there are.
 
@@ -93,7 +93,7 @@ def fit(x: np.ndarray, names: list[str], seed: int = 5) -> Model:
     model = Model(languages, code, w, b, 1 / (0.05 + loss))
     best, _, gap = model.decode(margins)
     right = gap[np.array(languages)[best] == np.array(names)[seen]]
-    model.clear = float(right.min()) / 2 if len(right) else 0.0
+    model.clear = float(right.min()) / 4 if len(right) else 0.0
     return model
 
 
