@@ -722,3 +722,69 @@ def fixpoint_repair(spark, sf):
     cells = merges.to_cells(merges.template_merge(d_rows(spark, sf), "D"), "D")
     done, _, _ = statement.supervise(cells, cells.where("sl_no % 2 = 0").withColumn("value", F.col("value") + 5000), rounds=3)
     return done
+
+
+# --- files
+
+
+def _put(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, wherever the path lies."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).create(jpath, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def _pdfs(batches):
+    from ..sources import pdf
+
+    for batch in batches:
+        made_ = [b"broken" if k == 0 else pdf.make([[f"Sundry creditors {a}", f"(of which {b})"], [], [f"Page {c}"]], bool(k % 2)) for k, a, b, c in zip(batch["k"], batch["a"], batch["b"], batch["c"], strict=True)]
+        yield batch[["doc_id"]].assign(content=made_)
+
+
+@query("pdf_pages", f"{WITH_N} SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(p AS INT) AS page_no, 'text' AS engine, CASE p WHEN 1 THEN 'Sundry creditors ' || a || chr(10) || '(of which ' || b || ')' WHEN 2 THEN '' ELSE 'Page ' || c END AS text FROM n CROSS JOIN (VALUES (1), (2), (3)) v(p) WHERE k <> 0")
+def pdf_pages(spark, sf):
+    """The text layer of a PDF file for each document, deflated or plain; some files are none."""
+    files = made(spark, sf).withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(_pdfs, "doc_id string, content binary")
+    return readers.pages_of(files, {"text": readers.text_layer})[0]
+
+
+@query("pdf_errors", f"{WITH_N} SELECT CAST(doc_id AS VARCHAR) AS doc_id, 'text' AS engine, 'ValueError: not a PDF file' AS error FROM n WHERE k = 0")
+def pdf_errors(spark, sf):
+    files = made(spark, sf).withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(_pdfs, "doc_id string, content binary")
+    return readers.pages_of(files, {"text": readers.text_layer})[1]
+
+
+@query("rules_from_json", "SELECT profile, CAST(sl_no AS INT) AS sl_no, side, key, CAST(sign AS INT) AS sign FROM (VALUES " + ", ".join(f"('{p}', {sl}, '{side}', {'NULL' if key is None else repr(key)}, {sign})" for p, sl, side, key, sign in dictionaries.rule_rows()) + ") t(profile, sl_no, side, key, sign)")
+def rules_from_json(spark, sf):
+    """The shipped rules written as a rule file, and read again."""
+    import json
+
+    def terms(text: str) -> dict:
+        return {"zero": True} if text == "0" else {n: part for n, mark in (("add", "+"), ("subtract", "-")) if (part := [t[1:] for t in text.split() if t[0] == mark])}
+
+    rows = {p: {str(sl): terms(x) if isinstance(x, str) else {"opening": terms(x[0]), "closing": terms(x[1])} for sl, x in of.items()} for p, of in dictionaries.PROFILES.items()}
+    path = shared_path(spark, "rules")
+    _put(spark, f"{path}/rules.json", json.dumps({"profiles": {p: {"detect_patterns": list(dictionaries.PROFILE_PHRASES[p]), "block_d": of} for p, of in rows.items()}}))
+    return readers.read_rules(spark, path)
+
+
+@query("golden_from_json", "SELECT doc_id, block, CAST(sl_no AS INT) AS sl_no, field, CAST(value AS DOUBLE) AS value FROM (VALUES ('one', 'C', 2, 'net_closing', 7), ('one', 'D', 1, 'opening_rs', 3), ('one', 'D', 1, 'closing_rs', 4), ('two', 'D', 17, 'closing_rs', 0)) t(doc_id, block, sl_no, field, value)")
+def golden_from_json(spark, sf):
+    """Golden statements from files named by their documents; what they don't state is no cell."""
+    import json
+
+    path = shared_path(spark, "golden")
+    _put(spark, f"{path}/one.json", json.dumps({"company": "x", "block_c": [{"sl_no": 2, "asset_type": "Building", "net_closing": 7}], "block_d": [{"sl_no": 1, "opening_rs": 3, "closing_rs": 4.0}]}))
+    _put(spark, f"{path}/two.json", json.dumps({"company": "y", "block_d": [{"sl_no": 17, "closing_rs": 0}]}))
+    return readers.read_golden(spark, path)
+
+
+@query("page_files", "SELECT doc_id, CAST(page_no AS INT) AS page_no, 'page' AS engine, text FROM (VALUES ('first', 1, 'one'), ('first', 12, 'two' || chr(10) || 'lines'), ('second', 3, '')) t(doc_id, page_no, text) WHERE text <> ''")
+def page_files(spark, sf):
+    """Text files of pages in a folder for each document; an empty file has no page."""
+    path = shared_path(spark, "page-files")
+    for name, text in (("first/page_01.txt", "one"), ("first/page_012.txt", "two\nlines"), ("second/page_3.txt", "")):
+        _put(spark, f"{path}/{name}", text)
+    return readers.read_page_files(spark, f"{path}/*/*.txt").where("text <> ''")

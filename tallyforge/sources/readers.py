@@ -51,10 +51,22 @@ def _engine(name: str, load: Callable[[], Callable[[bytes], list[str]]]) -> Call
 
 
 def read_documents(spark: SparkSession, path: str, engines: dict[str, Callable[[], Callable[[bytes], list[str]]]]) -> tuple[DataFrame, DataFrame]:
-    """(page_text, errors) of binary documents, each engine turning a file's bytes into a list of page texts.
+    """(page_text, errors) of the binary documents below a path, named by their files; see ``pages_of``."""
+    files = spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", r"([^/]+?)(\.[^./]*)?$", 1).alias("doc_id"), "content")
+    return pages_of(files, engines)
+
+
+def text_layer() -> Callable[[bytes], list[str]]:
+    """The engine that reads the text layer of PDF files."""
+    from .pdf import page_texts
+
+    return page_texts
+
+
+def pages_of(files: DataFrame, engines: dict[str, Callable[[], Callable[[bytes], list[str]]]]) -> tuple[DataFrame, DataFrame]:
+    """(page_text, errors) of documents (doc_id string, content), each engine turning a file's bytes into a list of page texts.
 
     A file that an engine can't read is a row of errors (doc_id, engine, error); other files go on."""
-    files = spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", r"([^/]+?)(\.[^./]*)?$", 1).alias("doc_id"), "content")
 
     def pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
