@@ -33,6 +33,7 @@ LAKH_SPECS = (
 RUPEE_SPECS = (
     ("schedule_3.cash_credit", 0, "", r"cash\s+credit", "", 1_000.0, 1e13, "first_two"),
     ("schedule_3.unsecured_loan", 0, "", r"from\s+others", "", 1_000.0, 1e13, "first_two"),
+    ("schedule_6.goods_in_transit", 0, "", r"goods\s+in\s+transit", "", 1.0, 1e13, "first_two"),
     ("schedule_8.cash_on_hand", 0, "", r"cash\s+at\s+hand", "", 1_000.0, 1e13, "first_two"),
     ("schedule_8.bank", 0, "", r"balances\s+at\s+schedule\s+banks", "", 1_000.0, 1e13, "first_two"),
     ("schedule_8.total", 0, r"schedule\s*:?\s*8\b", r"[0-9]", "", 1e6, 1e8, "largest_pair"),

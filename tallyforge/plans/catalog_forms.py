@@ -58,6 +58,7 @@ def _rounded(df: DataFrame) -> DataFrame:
 # --- schedules and notes
 
 _RUPEES = [
+    ("schedule_6.goods_in_transit", "c", "b"),
     ("schedule_8.cash_on_hand", "b", "a"),
     ("schedule_8.bank", "a", "c"),
     ("schedule_8.total", "10 * b", "10 * a"),
@@ -80,7 +81,7 @@ def schedule_components(spark, sf):
     """Rupee schedules by line specifications; some documents lack a line."""
     k = F.col("k")
     text = page(
-        spark, sf, "SCHEDULE 8 CASH & BANK", ["Cash at hand", inr("a"), inr("b")], ["Balances at schedule banks", inr("c"), inr("a")], ["Sum of it", inr("10 * a"), inr("10 * b")],
+        spark, sf, "SCHEDULE 6 INVENTORIES", ["Goods in transit", inr("b"), inr("c")], "SCHEDULE 8 CASH & BANK", ["Cash at hand", inr("a"), inr("b")], ["Balances at schedule banks", inr("c"), inr("a")], ["Sum of it", inr("10 * a"), inr("10 * b")],
         "SCHEDULE 9 LOANS & ADVANCES", ["Subsidy receivable", inr("a"), inr("c")], ["Budgetary support receivable", inr("b"), inr("c")], ["Sum", inr("1000 * a"), inr("1000 * a")], ["End", inr("1000 * c"), inr("1000 * b")],
         "SCHEDULE 10 CURRENT LIABILITIES", ["For raw material", inr("b"), inr("a")], ["For expenses", inr("b"), inr("c")], ["Advance from customers", inr("c"), inr("b")],
         F.when(k != 1, F.concat_ws(" ", F.lit("Statutory dues"), inr("c"), inr("a"))), F.when(k != 2, F.concat_ws(" ", F.lit("Excise duty refund"), inr("a"), inr("c"))),
@@ -312,6 +313,13 @@ def token_repairs(spark, sf):
     )
 
 
+@query("group_repairs", f"{WITH_N} SELECT doc_id, CAST(190000000 + a * 10 AS DOUBLE) AS below, CAST(200000000 + a AS DOUBLE) AS within, CAST(a AS DOUBLE) AS few, CAST(CASE WHEN k = 0 THEN 500000000 ELSE 550000000 END + a * 10 AS DOUBLE) AS beyond FROM n")
+def group_repairs(spark, sf):
+    """Amounts of four groups: below the band with a digit misread, within it, of fewer groups, beyond it."""
+    amount = lambda x: numbers.repair_groups(inr(x))
+    return made(spark, sf).select("doc_id", amount("140000000 + a * 10").alias("below"), amount("200000000 + a").alias("within"), amount("a").alias("few"), amount("CASE WHEN k = 0 THEN 500000000 ELSE 550000000 END + a * 10").alias("beyond"))
+
+
 @query("tab_amounts", f"{WITH_N} SELECT doc_id, CAST(8 AS INT) AS n_cells, CAST(8 * a + 28000 AS DOUBLE) AS total, CAST(1 AS INT) AS n_short FROM n")
 def tab_amounts(spark, sf):
     """Amounts of a row of cells, and of a line with too few of them."""
