@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.logs import RunLogs
 from tallyforge.plans import catalog, catalog_forms, schema  # noqa: F401
-from tallyforge.sources import models, readers, sinks, xlsx
+from tallyforge.sources import models, pdf, readers, sinks, xlsx
 from tallyforge.streaming import ingest
 
 SF = "/root/testdata/sf0.001"
@@ -144,3 +144,10 @@ def test_legend_and_models(spark):
     answers = iter(["", "fine"])
     assert models.with_retry(lambda payload, timeout: next(answers), {}, 1.0, (0.0, 0.0)) == ("fine", 2, None)
     assert not models.is_alive("http://127.0.0.1:9/", 0.2)
+
+
+def test_pdf_text_layer():
+    assert pdf.content_text(b"BT (a\\(b\\)\\101) Tj T* [(He) -300 (llo)] TJ 0 -12 Td <FEFF00E9> Tj 5 0 Td (x) Tj ET") == "a(b)A\nHe llo\n\u00e9\tx"
+    assert pdf.page_texts(pdf.make([["one", "two (2)"], [], ["\u00e9"]], deflate=False)) == ["one\ntwo (2)", "", "\u00e9"]
+    with pytest.raises(ValueError):
+        pdf.page_texts(b"%PDF-1.4 nothing")
