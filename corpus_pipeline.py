@@ -29,6 +29,7 @@ def _stage(f: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, DataF
             common.remove(spark, path)
         _before.paths = []
         common.tidy(spark)  # what finished stages left in memory and as shuffle files
+        common.release()
         with common.gathering(_before.paths):
             return f(docs)
 
@@ -62,7 +63,7 @@ def mix(docs: DataFrame) -> DataFrame:
 @_stage
 def encode(docs: DataFrame) -> DataFrame:
     """Token counts and digests of ids and decoded texts."""
-    return bpe.token_digests(docs, apart=True, most=500_000)
+    return bpe.token_digests(docs, apart=True, most=300_000)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
