@@ -10,6 +10,7 @@ from .langid import op2
 from .mixing import op1
 from .pii import op5
 from .revisits import SQL8, op8
+from .urlfilter import SQL13, op13
 
 QUERIES = {
     "op1_mixing": op1,
@@ -22,5 +23,6 @@ QUERIES = {
     "op8_revisits": op8,
     "op9_fingerprints": op9,
     "op10_compaction": op10,
+    "op13_url_filters": op13,
 }
-SQL = {"op6_exact_dedup": SQL6, "op8_revisits": SQL8}
+SQL = {"op6_exact_dedup": SQL6, "op8_revisits": SQL8, "op13_url_filters": SQL13}
