@@ -9,6 +9,7 @@ from .fingerprint import op9
 from .langid import op2
 from .mixing import op1
 from .pii import op5
+from .resampling import SQL11, op11
 from .revisits import SQL8, op8
 from .urlfilter import SQL13, op13
 
@@ -23,6 +24,7 @@ QUERIES = {
     "op8_revisits": op8,
     "op9_fingerprints": op9,
     "op10_compaction": op10,
+    "op11_resampling": op11,
     "op13_url_filters": op13,
 }
-SQL = {"op6_exact_dedup": SQL6, "op8_revisits": SQL8, "op13_url_filters": SQL13}
+SQL = {"op6_exact_dedup": SQL6, "op8_revisits": SQL8, "op11_resampling": SQL11, "op13_url_filters": SQL13}
