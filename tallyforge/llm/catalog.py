@@ -6,6 +6,7 @@ from .cotraining import op3
 from .dartminhash import op7
 from .exact_dedup import SQL6, op6
 from .fingerprint import op9
+from .hardnegatives import SQL12, op12
 from .langid import op2
 from .mixing import op1
 from .pii import op5
@@ -25,6 +26,7 @@ QUERIES = {
     "op9_fingerprints": op9,
     "op10_compaction": op10,
     "op11_resampling": op11,
+    "op12_hard_negatives": op12,
     "op13_url_filters": op13,
 }
-SQL = {"op6_exact_dedup": SQL6, "op8_revisits": SQL8, "op11_resampling": SQL11, "op13_url_filters": SQL13}
+SQL = {"op6_exact_dedup": SQL6, "op8_revisits": SQL8, "op11_resampling": SQL11, "op12_hard_negatives": SQL12, "op13_url_filters": SQL13}
