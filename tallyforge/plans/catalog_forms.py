@@ -600,7 +600,7 @@ def grid_rows(spark, sf):
     return n.join(columns, "doc_id").select("doc_id", fuzzy.header_row(F.col("grid")).alias("header_at"), F.element_at(v, "opening").alias("opening"), F.element_at(v, "closing").alias("closing"), F.size("columns").alias("n_fields"))
 
 
-_KEYS = sorted({r[3] for r in dictionaries.rule_rows() if r[3]})
+_KEYS = sorted({r[3] for r in dictionaries.RULE_ROWS if r[3]})
 _VALUE = "CAST(({x} * {i}) % 100000 + 1000 AS DOUBLE)"
 
 
@@ -608,7 +608,7 @@ def _component_rows() -> str:
     return " UNION ALL ".join(f"SELECT doc_id, '{key}' AS key, {_VALUE.format(x='a', i=i)} AS opening, {_VALUE.format(x='b', i=i)} AS closing, k FROM n WHERE {'k < 3' if key.startswith('note_') else 'k >= 3' if key.startswith('schedule_') else 'true'}" for i, key in enumerate(_KEYS, 1))
 
 
-_RULE_VALUES = ", ".join(f"('{p}', {sl}, '{side}', '{key}', {sign})" for p, sl, side, key, sign in dictionaries.rule_rows() if key)
+_RULE_VALUES = ", ".join(f"('{p}', {sl}, '{side}', '{key}', {sign})" for p, sl, side, key, sign in dictionaries.RULE_ROWS if key)
 _MAPPED = f"""{WITH_N}, k AS ({_component_rows()}), u AS (SELECT * FROM (VALUES {_RULE_VALUES}) t(profile, sl_no, side, key, sign)),
 x AS (SELECT doc_id, profile, sl_no, sum(CASE WHEN side = 'opening' THEN opening * sign ELSE 0 END) AS o, sum(CASE WHEN side = 'closing' THEN closing * sign ELSE 0 END) AS c FROM k JOIN u USING (key) GROUP BY ALL HAVING o <> 0 OR c <> 0),
 best AS (SELECT doc_id, arg_max(profile, n * 10 + CASE WHEN profile = 'lacs_corporate' THEN 1 ELSE 0 END) AS profile FROM (SELECT doc_id, profile, count(*) AS n FROM x GROUP BY ALL) GROUP BY doc_id)"""
@@ -764,15 +764,18 @@ def pdf_errors(spark, sf):
     return readers.pages_of(files, {"text": readers.text_layer})[1]
 
 
-@query("rules_from_json", "SELECT profile, CAST(sl_no AS INT) AS sl_no, side, key, CAST(sign AS INT) AS sign FROM (VALUES " + ", ".join(f"('{p}', {sl}, '{side}', {'NULL' if key is None else repr(key)}, {sign})" for p, sl, side, key, sign in dictionaries.rule_rows()) + ") t(profile, sl_no, side, key, sign)")
+@query("rules_from_json", "SELECT profile, CAST(sl_no AS INT) AS sl_no, side, key, CAST(sign AS INT) AS sign FROM (VALUES " + ", ".join(f"('{p}', {sl}, '{side}', {'NULL' if key is None else repr(key)}, {sign})" for p, sl, side, key, sign in dictionaries.RULE_ROWS) + ") t(profile, sl_no, side, key, sign)")
 def rules_from_json(spark, sf):
     """The shipped rules written as a rule file, and read again."""
     import json
 
-    def terms(text: str) -> dict:
-        return {"zero": True} if text == "0" else {n: part for n, mark in (("add", "+"), ("subtract", "-")) if (part := [t[1:] for t in text.split() if t[0] == mark])}
-
-    rows = {p: {str(sl): terms(x) if isinstance(x, str) else {"opening": terms(x[0]), "closing": terms(x[1])} for sl, x in of.items()} for p, of in dictionaries.PROFILES.items()}
+    rows: dict = {p: {} for p in dictionaries.PROFILE_PHRASES}
+    for p, sl, side, key, sign in dictionaries.RULE_ROWS:
+        at = rows[p].setdefault(str(sl), {})
+        if key is None:
+            at["zero"] = True
+        else:
+            at.setdefault(side, {}).setdefault("add" if sign > 0 else "subtract", []).append(key)
     path = shared_path(spark, "rules")
     _put(spark, f"{path}/rules.json", json.dumps({"profiles": {p: {"detect_patterns": list(dictionaries.PROFILE_PHRASES[p]), "block_d": of} for p, of in rows.items()}}))
     return readers.read_rules(spark, path)

@@ -180,7 +180,7 @@ SELECT doc_id, key, CAST(opening AS DOUBLE) AS opening, CAST(closing AS DOUBLE)
 def face_by_place(spark, sf):
     """Components of a tabular face row by their places, with empty cells, missing notes and too few amounts; else by lines."""
     k, when = F.col("k"), F.when
-    whole = lambda x: numbers.indian_format(F.expr(x))
+    whole = lambda x: F.expr(x).cast("string")
     cells = lambda *parts: F.concat_ws("\t", *[F.lit(x) if isinstance(x, str) else x for x in parts])
     notes_ = when(k == 1, cells("6", "", "7", "8", "", "9")).when(k == 3, cells("6", "7", "8")).otherwise(cells("6", "7", "8", "9"))
     amounts = [whole(x) for x in ("150000 + a", "160000 + b", _TR, _LO, "170000 + c", "180000 + a", "190000 + b", _TRO, _LOO, "210000 + c")]

@@ -65,38 +65,68 @@ SIGNALS = {
     "C": ("fixed assets", "gross block", "net block", "depreciation", "land", "building", "plant", "machinery", "capital work", "cwip", "schedule of fixed assets", "fixed asset schedule"),
     "D": ("working capital", "current assets", "current liabilities", "inventory", "sundry debtors", "sundry creditors", "cash in hand", "raw material", "finished goods", "debtors", "creditors", "overdraft"),
 }
-# Phrases that tell a profile, and its rows (both sides alike, or opening and closing) in signed components.
+# Phrases that tell a profile, and its rules: profile, row, side, component, sign (no component: the row is zero).
 PROFILE_PHRASES = {"lacs_corporate": ("amounts in lacs", "amounts m lacs"), "rupees_schedule": ("schedule 8", "schedule 9", "schedule 10")}
-PROFILES = {
-    "lacs_corporate": {
-        1: "+note_8.raw_materials",
-        2: "0",
-        3: "+note_8.stores_spares",
-        5: "+note_8.wip",
-        6: "+note_8.finished",
-        8: "+note_10.cash_and_bank",
-        9: "+face.trade_receivables",
-        10: "+face.other_current_assets",
-        12: ("+note_17.micro_creditors +note_17.other_creditors", "+note_17.other_creditors +note_18.salary_wages_payable"),
-        13: "+note_16.cash_credit",
-        14: ("+note_20.total +note_18.salary_wages_payable -note_16.current_maturities", "+note_20.total +note_18.salary_wages_payable +note_16.current_maturities -note_16.cash_credit -note_20.advance_from_customers"),
-        17: "+face.borrowings_non_current",
-    },
-    "rupees_schedule": {
-        1: "+schedule_6.stock_in_hand",
-        2: "0",
-        3: "0",
-        5: "+schedule_6.wip",
-        6: "+schedule_6.finished",
-        8: "+schedule_8.total",
-        9: "+face.trade_receivables",
-        10: "+face.loans_and_advances",
-        12: "+schedule_10.creditors_raw_material +schedule_10.creditors_expenses",
-        13: "+schedule_3.cash_credit",
-        14: "+schedule_10.other_liabilities_total",
-        17: "+schedule_3.unsecured_loan",
-    },
-}
+RULE_ROWS = (
+    ("lacs_corporate", 1, "opening", "note_8.raw_materials", 1),
+    ("lacs_corporate", 1, "closing", "note_8.raw_materials", 1),
+    ("lacs_corporate", 2, "opening", None, 0),
+    ("lacs_corporate", 2, "closing", None, 0),
+    ("lacs_corporate", 3, "opening", "note_8.stores_spares", 1),
+    ("lacs_corporate", 3, "closing", "note_8.stores_spares", 1),
+    ("lacs_corporate", 5, "opening", "note_8.wip", 1),
+    ("lacs_corporate", 5, "closing", "note_8.wip", 1),
+    ("lacs_corporate", 6, "opening", "note_8.finished", 1),
+    ("lacs_corporate", 6, "closing", "note_8.finished", 1),
+    ("lacs_corporate", 8, "opening", "note_10.cash_and_bank", 1),
+    ("lacs_corporate", 8, "closing", "note_10.cash_and_bank", 1),
+    ("lacs_corporate", 9, "opening", "face.trade_receivables", 1),
+    ("lacs_corporate", 9, "closing", "face.trade_receivables", 1),
+    ("lacs_corporate", 10, "opening", "face.other_current_assets", 1),
+    ("lacs_corporate", 10, "closing", "face.other_current_assets", 1),
+    ("lacs_corporate", 12, "opening", "note_17.micro_creditors", 1),
+    ("lacs_corporate", 12, "opening", "note_17.other_creditors", 1),
+    ("lacs_corporate", 12, "closing", "note_17.other_creditors", 1),
+    ("lacs_corporate", 12, "closing", "note_18.salary_wages_payable", 1),
+    ("lacs_corporate", 13, "opening", "note_16.cash_credit", 1),
+    ("lacs_corporate", 13, "closing", "note_16.cash_credit", 1),
+    ("lacs_corporate", 14, "opening", "note_20.total", 1),
+    ("lacs_corporate", 14, "opening", "note_18.salary_wages_payable", 1),
+    ("lacs_corporate", 14, "opening", "note_16.current_maturities", -1),
+    ("lacs_corporate", 14, "closing", "note_20.total", 1),
+    ("lacs_corporate", 14, "closing", "note_18.salary_wages_payable", 1),
+    ("lacs_corporate", 14, "closing", "note_16.current_maturities", 1),
+    ("lacs_corporate", 14, "closing", "note_16.cash_credit", -1),
+    ("lacs_corporate", 14, "closing", "note_20.advance_from_customers", -1),
+    ("lacs_corporate", 17, "opening", "face.borrowings_non_current", 1),
+    ("lacs_corporate", 17, "closing", "face.borrowings_non_current", 1),
+    ("rupees_schedule", 1, "opening", "schedule_6.stock_in_hand", 1),
+    ("rupees_schedule", 1, "closing", "schedule_6.stock_in_hand", 1),
+    ("rupees_schedule", 2, "opening", None, 0),
+    ("rupees_schedule", 2, "closing", None, 0),
+    ("rupees_schedule", 3, "opening", None, 0),
+    ("rupees_schedule", 3, "closing", None, 0),
+    ("rupees_schedule", 5, "opening", "schedule_6.wip", 1),
+    ("rupees_schedule", 5, "closing", "schedule_6.wip", 1),
+    ("rupees_schedule", 6, "opening", "schedule_6.finished", 1),
+    ("rupees_schedule", 6, "closing", "schedule_6.finished", 1),
+    ("rupees_schedule", 8, "opening", "schedule_8.total", 1),
+    ("rupees_schedule", 8, "closing", "schedule_8.total", 1),
+    ("rupees_schedule", 9, "opening", "face.trade_receivables", 1),
+    ("rupees_schedule", 9, "closing", "face.trade_receivables", 1),
+    ("rupees_schedule", 10, "opening", "face.loans_and_advances", 1),
+    ("rupees_schedule", 10, "closing", "face.loans_and_advances", 1),
+    ("rupees_schedule", 12, "opening", "schedule_10.creditors_raw_material", 1),
+    ("rupees_schedule", 12, "opening", "schedule_10.creditors_expenses", 1),
+    ("rupees_schedule", 12, "closing", "schedule_10.creditors_raw_material", 1),
+    ("rupees_schedule", 12, "closing", "schedule_10.creditors_expenses", 1),
+    ("rupees_schedule", 13, "opening", "schedule_3.cash_credit", 1),
+    ("rupees_schedule", 13, "closing", "schedule_3.cash_credit", 1),
+    ("rupees_schedule", 14, "opening", "schedule_10.other_liabilities_total", 1),
+    ("rupees_schedule", 14, "closing", "schedule_10.other_liabilities_total", 1),
+    ("rupees_schedule", 17, "opening", "schedule_3.unsecured_loan", 1),
+    ("rupees_schedule", 17, "closing", "schedule_3.unsecured_loan", 1),
+)
 #: Which profile comes first where both yield as many rows.
 PROFILE_ORDER = {"lacs_corporate": 0, "rupees_schedule": 1}
 
@@ -123,16 +153,6 @@ def signals(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(b, p) for b, phrases in SIGNALS.items() for p in phrases], "block string, phrase string")
 
 
-def rule_rows() -> list[tuple[str, int, str, str | None, int]]:
-    """The profiles as rows of (profile, sl_no, side, key, sign)."""
-    out: list[tuple[str, int, str, str | None, int]] = []
-    for profile, rows in PROFILES.items():
-        for sl, terms in rows.items():
-            for side, text in zip(("opening", "closing"), terms if isinstance(terms, tuple) else (terms, terms), strict=True):
-                out += [(profile, sl, side, None, 0)] if text == "0" else [(profile, sl, side, t[1:], 1 if t[0] == "+" else -1) for t in text.split()]
-    return out
-
-
 def mapping_rules(spark: SparkSession) -> DataFrame:
     """The rules for ``rules.evaluate`` and ``apply_mapping``."""
-    return spark.createDataFrame(rule_rows(), RULES)
+    return spark.createDataFrame(RULE_ROWS, RULES)

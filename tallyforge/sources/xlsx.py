@@ -25,11 +25,11 @@ FILLS = {"none": None, "green": "FFC6EFCE", "yellow": "FFFFEB9C", "red": "FFFFC7
 
 #: What the colours of cells stand for. Fixed values.
 LEGEND = (
-    ("green", "Green: value extracted and verified against the source text"),
-    ("yellow", "Yellow: value extracted with low confidence, to be reviewed"),
-    ("red", "Red: value that could not be verified against the source text"),
-    ("none", "White: zero or not found"),
-    ("header", "Blue: computed total or sub-total row"),
+    ("green", "read from the pages, and found there once more"),
+    ("yellow", "read with doubts: look at it"),
+    ("red", "not to be found in the pages"),
+    ("none", "nothing there"),
+    ("header", "a sum of other rows"),
 )
 AUDIT_LOG = ("attempt", "rate", "failures", "status", "seconds", "issues")
 
