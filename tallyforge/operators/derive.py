@@ -23,11 +23,30 @@ def derived_cells(cells: DataFrame, fields: dict[str, tuple[str, ...]] | None =
 
 
 def recompute(cells: DataFrame, fields: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
-    """Cells with derived rows computed anew; a block whose leaves are all 0 is left as it is."""
+    """Cells with derived rows computed anew; a block whose leaves are all 0 is left as it is.
+
+    Each cell goes on as itself and as its part in the rows that derive from it, from a literal table; the cells are
+    read once and dealt out once, by document and block."""
+    parts = {(b, s): [(t, float(w)) for t in schema.closure(b) for s2, w in schema.closure(b)[t].items() if s2 == s] for b in schema.FORMULAS for s in {x for of in schema.closure(b).values() for x in of}}
+    entry = lambda ts: F.array(*[F.struct(F.lit(t).alias("sl_no"), F.lit(w).alias("weight")) for t, w in ts])
+    targets = F.create_map(*[x for (b, s), ts in sorted(parts.items()) for x in (F.lit(f"{b}{s}"), entry(ts))])
+    mine = F.coalesce(F.try_element_at(targets, F.concat("block", F.col("sl_no").cast("string"))), F.array().cast("array<struct<sl_no:int,weight:double>>"))
+    if fields:
+        wanted = F.lit(False)
+        for block, names in fields.items():
+            wanted = wanted | ((F.col("block") == block) & F.col("field").isin(*names))
+        mine = F.when(wanted, mine).otherwise(F.array().cast("array<struct<sl_no:int,weight:double>>"))
     derived = ((F.col("block") == "C") & F.col("sl_no").isin(*schema.DERIVED["C"])) | ((F.col("block") == "D") & F.col("sl_no").isin(*schema.DERIVED["D"]))
-    live = cells.where(~derived & (F.col("value") != 0)).select("doc_id", "block").distinct()
-    new = derived_cells(cells, fields).join(live, ["doc_id", "block"], "left_semi")
-    return cells.join(new.select(*CELL), CELL, "left_anti").unionByName(new)
+    own = F.struct(F.col("sl_no").cast("int").alias("sl_no"), F.lit(True).alias("own"), F.col("value").alias("v"))
+    others = F.transform(mine, lambda t: F.struct(t["sl_no"].alias("sl_no"), F.lit(False).alias("own"), (F.col("value") * t["weight"]).alias("v")))
+    rows = cells.select("doc_id", "block", "field", (~derived & (F.col("value") != 0)).alias("leaf"), F.explode(F.concat(F.array(own), others)).alias("x"))
+    rows = rows.repartition("doc_id", "block")
+    sums = rows.groupBy("doc_id", "block", F.col("x.sl_no").alias("sl_no"), "field").agg(
+        F.max(F.when(F.col("x.own"), F.col("x.v"))).alias("own"), F.bool_or(F.col("x.own")).alias("there"), F.sum(F.when(~F.col("x.own"), F.col("x.v"))).alias("derived"), F.count_if(~F.col("x.own")).alias("n"), F.bool_or("leaf").alias("leaf")
+    )
+    live = F.coalesce(F.bool_or("leaf").over(Window.partitionBy("doc_id", "block")), F.lit(False))  # a form's cells
+    sums = sums.withColumn("new", live & (F.col("n") > 0))
+    return sums.where("there or new").select(*CELL, F.when(F.col("new"), F.col("derived")).otherwise(F.col("own")).alias("value"))
 
 
 def autocorrect(cells: DataFrame) -> DataFrame:
