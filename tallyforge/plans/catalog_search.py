@@ -126,3 +126,29 @@ def text_columns(spark, sf):
     sql = _TEXT_BOX.format(0, 1).replace("vec_id // 8 % 5", "vec_id div 8 % 5").replace("vec_id // 40", "vec_id div 40").replace("FROM embeddings", "FROM {v}")
     boxes = spark.sql(sql, v=table(spark, sf, "embeddings"))
     return raster.text_columns(boxes, least_gap=5.0).select("box_id", "col", "col_left", "col_right")
+
+
+# --- the functions of SQL
+
+
+@query(
+    "sql_functions",
+    """WITH n AS (SELECT doc_id, coalesce(text, '') AS text, doc_id * 7919 % 900000 + 100000 AS a, doc_id * 104729 % 900000 + 100000 AS b FROM documents)
+SELECT doc_id, CAST(0 AS INT) AS line_no, CAST(a AS DOUBLE) AS closing, CAST(b AS DOUBLE) AS opening, CAST(-a AS DOUBLE) AS signed, CASE WHEN doc_id % 2 = 0 THEN 'lakhs' ELSE 'rupees' END AS unit,
+       len(list_filter(regexp_extract_all(text, '[0-9,.]+'), lambda x: regexp_matches(x, '[0-9]'))) AS tokens FROM n
+UNION ALL SELECT doc_id, CAST(len(string_split(text, chr(10))) + 3 AS INT), CAST(b AS DOUBLE), CAST(a AS DOUBLE), CAST(-a AS DOUBLE), CASE WHEN doc_id % 2 = 0 THEN 'lakhs' ELSE 'rupees' END,
+       len(list_filter(regexp_extract_all(text, '[0-9,.]+'), lambda x: regexp_matches(x, '[0-9]'))) FROM n""",
+)
+def sql_functions(spark, sf):
+    """Pages by SQL alone: candidates of a label, units, signed amounts and tokens by the registered functions."""
+    from ..functions.sql import register_functions
+
+    register_functions(spark, "tallyforge_")
+    docs = table(spark, sf, "documents").selectExpr("doc_id", "coalesce(text, '') AS text", "cast(doc_id * 7919 % 900000 + 100000 AS double) AS a", "cast(doc_id * 104729 % 900000 + 100000 AS double) AS b")
+    return spark.sql(
+        """WITH p AS (SELECT doc_id, text, '(' || tallyforge_indian_format(a) || ')' AS negative, CASE WHEN doc_id % 2 = 0 THEN 'Amounts in Lacs' ELSE 'Rs.' END AS head,
+                 concat_ws('\n', 'Sundry Creditors ' || tallyforge_indian_format(a) || ' 12 ' || tallyforge_indian_format(b), text, 'sundry creditors 17', 'creditors 5,000 6,000', 'of sundry creditors 1 ' || tallyforge_indian_format(b) || ' 2.5 ' || tallyforge_indian_format(a)) AS page FROM {docs})
+           SELECT doc_id, t.line_no, t.closing, t.opening, tallyforge_signed_amount(negative) AS signed, tallyforge_unit_of(head) AS unit, cast(size(tallyforge_line_tokens(text)) AS bigint) AS tokens
+           FROM p, LATERAL tallyforge_page_candidates(p.page, 'sundry creditors') t""",
+        docs=docs,
+    )
