@@ -1,11 +1,13 @@
-"""Queries of the loop of attempts, over a statement for each of ``documents``."""
+"""Queries of loops: attempts over a statement for each of ``documents``, and pages that arrive in a stream."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..operators import merges
-from ..session import table
+from ..session import shared_path, table
+from ..streaming import assemble, ingest
 from . import attempts, dictionaries, schema
 from .catalog import query
 
@@ -69,3 +71,38 @@ def attempt_loop(spark, sf):
     sums = done.groupBy("doc_id").agg(at("D", 16, "opening_rs").alias("capital_opening"), at("D", 16, "closing_rs").alias("capital_closing"), F.nullif(at("C", 10, "net_closing"), F.lit(0.0)).alias("assets_closing"))
     out = log.join(sums.withColumn("kept", F.lit(True)), ["doc_id", "kept"], "left").withColumn("rate", F.round("rate", 6))
     return out.select("doc_id", "attempt", "rate", "passed", "kept", "capital_opening", "capital_closing", "assets_closing")
+
+
+# --- pages as they arrive
+
+
+@query(
+    "pages_assembled",
+    """WITH p AS (SELECT conv_id AS doc_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS INT) AS page_no, CAST(count(*) OVER (PARTITION BY conv_id) AS INT) AS n_pages, coalesce(text, '') AS text FROM conversations),
+k AS (SELECT * FROM p WHERE NOT (doc_id % 7 = 3 AND page_no = n_pages))
+SELECT doc_id, any_value(n_pages) AS n_pages, CAST(count(*) AS INT) AS found, count(*) = any_value(n_pages) AS complete, string_agg(text, chr(10) ORDER BY page_no) AS text FROM k GROUP BY doc_id""",
+)
+def pages_assembled(spark, sf):
+    """Conversations as documents whose turns arrive shuffled, some twice, some too late, over restarts of the stream."""
+    number = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")).cast("int")  # of one conversation
+    pages = table(spark, sf, "conversations").select("conv_id", "text", number.alias("page_no"), F.count("*").over(Window.partitionBy("conv_id")).cast("int").alias("n_pages"))
+    begin = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    after = lambda seconds: F.timestamp_seconds(F.unix_timestamp(begin) + seconds)
+    pages = pages.select(F.col("conv_id").alias("doc_id"), "page_no", "n_pages", "text", after(F.col("page_no")).alias("ts"))
+    missing = (F.col("doc_id") % 7 == 3) & (F.col("page_no") == F.col("n_pages"))
+    first = F.pmod(F.xxhash64("doc_id", "page_no"), F.lit(2)) == 0
+    again = pages.where(~missing & first & (F.col("doc_id") % 3 == 0)).withColumn("text", F.concat(F.lit("again "), F.coalesce("text", F.lit(""))))
+    end = spark.range(1).select(F.lit(-1).cast("bigint").alias("doc_id"), F.lit(1).alias("page_no"), F.lit(2).alias("n_pages"), F.lit("").alias("text"), after(F.lit(86_400)).alias("ts"))
+    arrivals = (pages.where(~missing & first), pages.where(~missing & ~first).unionByName(again), end, pages.where(missing))
+    inbox, out, checkpoint = (shared_path(spark, x) for x in ("inbox", "assembled", "assembled-state"))
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider, None)
+    spark.conf.set(provider, assemble.ROCKSDB)
+    try:
+        for batch in arrivals:  # each ends the stream, and the next goes on from the checkpoint
+            batch.write.mode("append").parquet(inbox)
+            stream = assemble.assembled(spark.readStream.schema(pages.schema).parquet(inbox), wait=60, late="1 minute")
+            ingest.write_available(stream, out, checkpoint).awaitTermination()
+    finally:
+        spark.conf.unset(provider) if before is None else spark.conf.set(provider, before)
+    return spark.read.schema(assemble.OUT).parquet(out)
