@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import numbers
-from ..operators import notes
+from ..operators import faces, notes, schedules
 from ..session import table
 from .catalog import query
 
@@ -193,3 +193,92 @@ def face_by_place(spark, sf):
         amid=1,
     )
     return notes.face_components(text).select("doc_id", "key", "opening", "closing")
+
+
+# --- the face of the balance sheet
+
+
+def _plain(x: str) -> Column:
+    return F.expr(x).cast("string")
+
+
+@query(
+    "property_net",
+    f"""{N} SELECT doc_id, CAST(CASE k WHEN 0 THEN 1000 * (200000 + b) WHEN 1 THEN 6000000 + b WHEN 2 THEN 1000 * (300000 + b) WHEN 3 THEN 7000000 + b ELSE 8000000 + b END AS DOUBLE) AS opening,
+  CAST(CASE k WHEN 0 THEN 1000 * (200000 + a) WHEN 1 THEN 6000000 + a WHEN 2 THEN 1000 * (300000 + a) WHEN 3 THEN 7000000 + a ELSE 8000000 + a END AS DOUBLE) AS closing FROM n WHERE k < 5""",
+)
+def property_net(spark, sf):
+    """Property on the face: misread labels, both units, rows of cells, and amounts too small to be it."""
+    k, when = F.col("k"), F.when
+    cells = lambda *parts: F.concat_ws("\t", *[F.lit(x) if isinstance(x, str) else x for x in parts])
+    text = noisy(
+        spark, sf, when(k.isin(0, 2), "Balance sheet, Amounts in Lacs").otherwise("Balance sheet"),
+        when(k == 0, row("Propeny, planl & equipments 4", lac("200000 + a"), lac("200000 + b"))).when(k == 1, row("Property, plant and equipment 5", _plain("6000000 + a"), _plain("6000000 + b")))
+        .when(k == 2, cells("Property", "Plant", "note 3", lac("300000 + a"), "1.50", lac("300000 + b"), "9,000.00")).when(k == 3, cells("Prope rty and plani", "x9", _plain("7000000 + a"), "4,999,999", _plain("7000000 + b")))
+        .when(k == 4, row("Property, plant and equipment 4", _plain("8000000 + a"), _plain("8000000 + b"))).otherwise("Property, plant and equipment 4 4000000 3000000"),
+        cells("Properties of plants", "12", "13"), when(k == 4, row("Property, plant and equipment 5 9000000 9000001")),
+    )
+    return faces.property_net(text)
+
+
+@query(
+    "tax_provision",
+    f"""{N} SELECT doc_id, CAST(CASE WHEN k IN (0, 1) THEN b + 10000 ELSE 0 END AS DOUBLE) AS opening, CAST(CASE k WHEN 2 THEN a + 30000 ELSE a + 20000 END AS DOUBLE) AS closing FROM n WHERE k <> 4 AND k <> 5""",
+)
+def tax_provision(spark, sf):
+    """The provision for income tax: on its line, on one of the next three, alone, beyond a total, or too large."""
+    k, when = F.col("k"), F.when
+    text = noisy(
+        spark, sf, "Schedule 10", "Provision for taxes 99,000 98,000", "Income tax refund 97,000",
+        when(k == 0, row("Provision for income tax", _plain("a + 20000"), _plain("b + 10000"), "7")).when(k == 5, "Provision for income tax 5,00,00,000 60000000").otherwise("Provision for Income Tax"),
+        when(k == 1, row("of both years", "55,555,555,555", _plain("a + 20000"), _plain("b + 10000"))).when(k == 2, "no amount here").when(k == 4, "Total 88,000 77,000").when(k == 5, "Grand total").otherwise("pending"),
+        when(k == 2, _plain("a + 30000")).when(k == 3, "nor here"), when(k == 3, row("at last", _plain("a + 20000"))), when(k < 3, "96,000 95,000"),
+    )
+    return faces.tax_provision(text)
+
+
+_D10 = {8: ("500000 + a", "600000 + b"), 9: ("700000 + b", "800000 + c"), 10: ("900000 + c", "950000 + a")}
+_FACE_CHECK = f"""{N},
+r AS ({" UNION ALL ".join(f"SELECT doc_id, k, a, b, c, {sl} AS sl, {o} AS o, {cl} AS cl FROM n" + (" WHERE k <> 4" if sl == 9 else "") for sl, (o, cl) in _D10.items())}),
+f AS (
+  SELECT doc_id, 8 AS sl, CASE k WHEN 1 THEN 2000000 + b ELSE 550000 + b END AS fo, 900000 + a AS fc FROM n WHERE k IN (0, 1)
+  UNION ALL SELECT doc_id, 9, 710000 + b, 810000 + c FROM n WHERE k = 0 UNION ALL SELECT doc_id, 9, 900000 + a, 800000 + c FROM n WHERE k = 1)
+SELECT r.doc_id, CAST(r.sl AS INT) AS sl_no,
+  CAST(CASE WHEN k = 0 AND r.sl = 8 THEN f.fo WHEN k = 1 AND r.sl = 9 THEN f.fo WHEN k IN (3, 4) AND r.sl = 9 THEN 1000 * (20000 + r.a) ELSE r.o END AS DOUBLE) AS opening_rs,
+  CAST(CASE WHEN k = 0 AND r.sl = 8 THEN f.fc WHEN k = 1 AND r.sl = 9 THEN f.fc WHEN k IN (3, 4) AND r.sl = 9 THEN 1000 * (30000 + r.b) WHEN k IN (3, 4) AND r.sl = 10 THEN 1000 * (40000 + r.c) ELSE r.cl END AS DOUBLE) AS closing_rs
+FROM r LEFT JOIN f ON f.doc_id = r.doc_id AND f.sl = r.sl
+UNION ALL SELECT doc_id, 9, 1000 * (20000 + a), 1000 * (30000 + b) FROM n WHERE k = 4
+UNION ALL SELECT doc_id, 17, 1000 * (60000 + b), 1000 * (50000 + a) FROM n WHERE k IN (3, 4)"""
+
+
+@query("face_crosscheck", _FACE_CHECK)
+def face_crosscheck(spark, sf):
+    """Block D held against faces in rupees and lakhs: near and far amounts, wild openings, missing rows, pages without a face."""
+    k, when = F.col("k"), F.when
+    lakh = k.isin(3, 4)
+    text = noisy(
+        spark, sf, when(lakh, "Balance sheet (Amounts in Lacs)").otherwise("Balance sheet"), "Trade receivables beyond six months 12 13",
+        when(k.isin(0, 1), row("Cash & Bank Balances 8", _plain("900000 + a"), _plain("CASE k WHEN 1 THEN 2000000 + b ELSE 550000 + b END"))),
+        when(k == 0, row("Trade Receivable 7", _plain("810000 + c"), _plain("710000 + b"))).when(k == 1, row("Trade Receivable 7", _plain("800000 + c"), _plain("900000 + a"))),
+        when(k.isin(0, 1), "Loans & Advances 9 111111 222222"), when(lakh, row("Trade receivables 9", lac("30000 + b"), lac("20000 + a"))),
+        when(lakh, row("Other current assets 7", lac("40000 + c"), "9.00")), when(lakh, row("Borrowings 13", lac("50000 + a"), lac("60000 + b"))), when(lakh, "Borrowings 16 -"),
+    )
+    rows = F.array(*[F.struct(F.lit(sl).alias("sl_no"), F.expr(o).cast("double").alias("opening_rs"), F.expr(c).cast("double").alias("closing_rs")) for sl, (o, c) in _D10.items()])
+    n = spark.sql(f"SELECT doc_id, a, b, c, k FROM ({NUMBERS.replace('FROM documents', 'FROM {docs}')})", docs=table(spark, sf, "documents"))
+    mine = n.select("doc_id", "k", F.inline(rows)).where("not (k = 4 and sl_no = 9)").drop("k")
+    out = faces.crosscheck_with_face(mine, text.drop("page_no"))
+    return out.select("doc_id", "sl_no", F.round("opening_rs", 2).alias("opening_rs"), F.round("closing_rs", 2).alias("closing_rs"))
+
+
+@query(
+    "total_row",
+    f"""{N} SELECT doc_id, CAST(sl AS INT) AS sl_no, CAST(CASE WHEN sl = 10 AND k < 3 THEN 60000000 + b ELSE a + sl END AS DOUBLE) AS net_opening, CAST(CASE WHEN sl = 10 AND k < 3 THEN 70000000 + a ELSE b + sl END AS DOUBLE) AS net_closing
+FROM n CROSS JOIN (VALUES (2), (8), (10)) v(sl)""",
+)
+def total_row(spark, sf):
+    """Row 10 of block C by the total line, where it is large enough to be one."""
+    k = F.col("k")
+    text = noisy(spark, sf, "Fixed assets", "Total (b) 80000000 90000000", F.when(k < 3, row("Total (a)", _plain("70000000 + a"), _plain("60000000 + b"))).when(k == 3, "Total (a) 7000 6000"), "Total (a+b) 99999999 99999998")
+    n = spark.sql(f"SELECT doc_id, a, b FROM ({NUMBERS.replace('FROM documents', 'FROM {docs}')})", docs=table(spark, sf, "documents"))
+    rows = n.select("doc_id", "a", "b", F.explode(F.array(F.lit(2), F.lit(8), F.lit(10))).alias("sl_no")).select("doc_id", "sl_no", (F.col("a") + F.col("sl_no")).cast("double").alias("net_opening"), (F.col("b") + F.col("sl_no")).cast("double").alias("net_closing"))
+    return faces.with_total_row(rows, schedules.total_nets(text))
