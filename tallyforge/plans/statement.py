@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import numbers
-from ..operators import checks, derive, merges, pages, schedules
+from ..operators import checks, derive, merges, notes, pages, schedules
 from ..session import shared_path
 from . import schema
 
@@ -56,11 +56,17 @@ def extract_assets(page_text: DataFrame) -> DataFrame:
     """Block C rows of pages (doc_id, page_no, text): of each document those of the first reading that has any, in
     the order filled form, lines by block letter, grid with eight columns, lakh note."""
     kept = page_text.where(~pages.is_skipped(F.col("text")))
-    read = (schedules.form_rows_c, schedules.asset_letter_rows, schedules.asset_grid_rows, schedules.asset_note_rows)
+    read = (schedules.form_rows_c, schedules.asset_letter_rows, schedules.asset_grid_rows, _note_rows)
     rows = schedules.cascade(*[f(kept) for f in read])
     return rows.select("doc_id", "sl_no", *[F.coalesce(F.col(f), F.lit(0.0)).alias(f) for f in schema.C_FIELDS])
 
 
+def _note_rows(page_text: DataFrame) -> DataFrame:
+    """Rows of the lakh note, of each number those of the first page that has it."""
+    first = F.min(F.struct("page_no", *notes.FIELDS)).alias("b")
+    return notes.asset_note(page_text).groupBy("doc_id", "sl_no").agg(first).select("doc_id", "sl_no", *[f"b.{f}" for f in notes.FIELDS])
+
+
 def reconcile(c_rows: DataFrame, cells_d: DataFrame, face: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Block C rows and block D cells made consistent: row identities, face anchors (doc_id, opening, closing),
     derived rows, identities and derived rows once more."""
