@@ -6,7 +6,7 @@ from itertools import product
 import pytest
 from pyspark.sql import functions as F
 
-from tallyforge.operators import notes
+from tallyforge.operators import faces, notes
 
 PAGE = "doc_id bigint, page_no int, text string"
 
@@ -160,3 +160,22 @@ def test_opening_sums_match_plain_python(spark):
     df = spark.createDataFrame([(k, r) for k, r in enumerate(rows)], "k int, v array<double>")
     for r in df.select("k", notes.opening_sum(F.col("v")).alias("s")).collect():
         assert r.s == pytest.approx(opening_sum(rows[r.k])), rows[r.k]
+
+
+@pytest.mark.parametrize("read", [faces.property_net, faces.tax_provision, lambda p: faces.face_rows(p.drop("page_no"))])
+def test_faces_without_text_have_no_rows(spark, read):
+    assert read(page(spark, None, "", "provision income tax property prope", "x" * 50_000)).collect() == []
+    assert read(page(spark, "x").limit(0)).collect() == []
+
+
+def test_provision_stops_at_totals_and_takes_the_first_page(spark):
+    rows = [(1, 2, "Provision for income tax 9 8"), (1, 1, "x\nProvision for income tax\n\nTotal 5\nProvision for Income-tax, total\n7"), (2, 1, "Provision for income tax\na\nb\nc\n5")]
+    got = faces.tax_provision(spark.createDataFrame(rows, PAGE))
+    assert [tuple(r) for r in got.collect()] == [(1, 0.0, 7.0)]
+
+
+def test_faces_replace_and_add(spark):
+    rows = spark.createDataFrame([(1, 8, 100.0, None), (1, 9, 200000.0, 300000.0), (2, 9, 5.0, 6.0), (3, 1, 1.0, 2.0)], "doc_id bigint, sl_no int, opening_rs double, closing_rs double")
+    text = spark.createDataFrame([(1, "Cash & Bank 8 500000 400000\nTrade receivables 7 310000 210000"), (2, "in lacs Trade receivables 9 12.50 3.00 Inventories 8 7.00 6.00"), (4, None)], "doc_id bigint, text string")
+    got = {(r.doc_id, r.sl_no): (r.opening_rs, r.closing_rs) for r in faces.crosscheck_with_face(rows, text).collect()}
+    assert got == {(1, 8): (100.0, 0.0), (1, 9): (200000.0, 300000.0), (2, 9): (5.0, 12.5e5), (2, 7): (6e5, 7e5), (3, 1): (1.0, 2.0)}
