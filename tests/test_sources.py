@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.logs import RunLogs
-from tallyforge.plans import catalog, catalog_forms, schema  # noqa: F401
+from tallyforge.plans import catalog, catalog_forms, catalog_loops, catalog_notes, catalog_search, schema  # noqa: F401
 from tallyforge.sources import models, pdf, readers, sinks, xlsx
 from tallyforge.streaming import ingest
 
