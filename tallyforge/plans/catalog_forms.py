@@ -609,8 +609,9 @@ def _component_rows() -> str:
 
 
 _RULE_VALUES = ", ".join(f"('{p}', {sl}, '{side}', '{key}', {sign})" for p, sl, side, key, sign in dictionaries.RULE_ROWS if key)
-_MAPPED = f"""{WITH_N}, k AS ({_component_rows()}), u AS (SELECT * FROM (VALUES {_RULE_VALUES}) t(profile, sl_no, side, key, sign)),
-x AS (SELECT doc_id, profile, sl_no, sum(CASE WHEN side = 'opening' THEN opening * sign ELSE 0 END) AS o, sum(CASE WHEN side = 'closing' THEN closing * sign ELSE 0 END) AS c FROM k JOIN u USING (key) GROUP BY ALL HAVING o <> 0 OR c <> 0),
+_EVALUATED = f"""k AS ({_component_rows()}), u AS (SELECT * FROM (VALUES {_RULE_VALUES}) t(profile, sl_no, side, key, sign)),
+x AS (SELECT doc_id, profile, sl_no, sum(CASE WHEN side = 'opening' THEN opening * sign ELSE 0 END) AS o, sum(CASE WHEN side = 'closing' THEN closing * sign ELSE 0 END) AS c FROM k JOIN u USING (key) GROUP BY ALL HAVING o <> 0 OR c <> 0)"""
+_MAPPED = f"""{WITH_N}, {_EVALUATED},
 best AS (SELECT doc_id, arg_max(profile, n * 10 + CASE WHEN profile = 'lacs_corporate' THEN 1 ELSE 0 END) AS profile FROM (SELECT doc_id, profile, count(*) AS n FROM x GROUP BY ALL) GROUP BY doc_id)"""
 
 
@@ -764,9 +765,13 @@ def pdf_errors(spark, sf):
     return readers.pages_of(files, {"text": readers.text_layer})[1]
 
 
-@query("rules_from_json", "SELECT profile, CAST(sl_no AS INT) AS sl_no, side, key, CAST(sign AS INT) AS sign FROM (VALUES " + ", ".join(f"('{p}', {sl}, '{side}', {'NULL' if key is None else repr(key)}, {sign})" for p, sl, side, key, sign in dictionaries.RULE_ROWS) + ") t(profile, sl_no, side, key, sign)")
+#: Numbers of six digits for each of ``documents``.
+OF_DOCUMENTS = "SELECT doc_id, doc_id * 7919 % 900000 + 100000 AS a, doc_id * 104729 % 900000 + 100000 AS b, doc_id % 6 AS k FROM {documents}"
+
+
+@query("rules_from_json", f"WITH n AS ({OF_DOCUMENTS.format(documents='documents')}), {_EVALUATED} SELECT doc_id, profile, CAST(sl_no AS INT) AS sl_no, CAST(o AS DOUBLE) AS opening, CAST(c AS DOUBLE) AS closing FROM x")
 def rules_from_json(spark, sf):
-    """The shipped rules written as a rule file, and read again."""
+    """The shipped rules, read from a rule file, over the components of every document."""
     import json
 
     rows: dict = {p: {} for p in dictionaries.PROFILE_PHRASES}
@@ -778,18 +783,27 @@ def rules_from_json(spark, sf):
             at.setdefault(side, {}).setdefault("add" if sign > 0 else "subtract", []).append(key)
     path = shared_path(spark, "rules")
     _put(spark, f"{path}/rules.json", json.dumps({"profiles": {p: {"detect_patterns": list(dictionaries.PROFILE_PHRASES[p]), "block_d": of} for p, of in rows.items()}}))
-    return readers.read_rules(spark, path)
+    n = spark.sql(OF_DOCUMENTS, documents=table(spark, sf, "documents"))
+    parts = spark.sql(_component_rows().replace("FROM n", "FROM {n}"), n=n).drop("k")
+    return rules.evaluate(parts, readers.read_rules(spark, path))
+
+
+_GOLDEN_ROWS = "(VALUES (0, 'C', 2, 'net_closing', 700000), (0, 'D', 1, 'opening_rs', 300000), (0, 'D', 1, 'closing_rs', 400000), (1, 'D', 17, 'opening_rs', 900000)) t(odd, block, sl_no, field, expected)"
+_GOT = "CASE WHEN sl_no = 1 AND field = 'closing_rs' AND doc_id % 4 = 2 THEN 0 WHEN doc_id % 3 = 0 THEN expected + doc_id % 7000 ELSE expected * 3 END"
 
 
-@query("golden_from_json", "SELECT doc_id, block, CAST(sl_no AS INT) AS sl_no, field, CAST(value AS DOUBLE) AS value FROM (VALUES ('one', 'C', 2, 'net_closing', 7), ('one', 'D', 1, 'opening_rs', 3), ('one', 'D', 1, 'closing_rs', 4), ('two', 'D', 17, 'closing_rs', 0)) t(doc_id, block, sl_no, field, value)")
+@query("golden_from_json", f"SELECT doc_id, block, CAST(sl_no AS INT) AS sl_no, field, CAST(expected AS DOUBLE) AS expected, CAST({_GOT} AS DOUBLE) AS got, abs({_GOT} - expected) <= 0.02 * expected AS ok FROM documents JOIN {_GOLDEN_ROWS} ON odd = doc_id % 2")
 def golden_from_json(spark, sf):
-    """Golden statements from files named by their documents; what they don't state is no cell."""
+    """Every document against the golden statement of its kind, from files named by them; what they don't state is no cell."""
     import json
 
     path = shared_path(spark, "golden")
-    _put(spark, f"{path}/one.json", json.dumps({"company": "x", "block_c": [{"sl_no": 2, "asset_type": "Building", "net_closing": 7}], "block_d": [{"sl_no": 1, "opening_rs": 3, "closing_rs": 4.0}]}))
-    _put(spark, f"{path}/two.json", json.dumps({"company": "y", "block_d": [{"sl_no": 17, "closing_rs": 0}]}))
-    return readers.read_golden(spark, path)
+    _put(spark, f"{path}/even.json", json.dumps({"company": "x", "block_c": [{"sl_no": 2, "asset_type": "Building", "net_closing": 700000}], "block_d": [{"sl_no": 1, "opening_rs": 300000, "closing_rs": 400000.0}]}))
+    _put(spark, f"{path}/odd.json", json.dumps({"company": "y", "block_d": [{"sl_no": 17, "opening_rs": 900000, "closing_rs": 0}]}))
+    docs = table(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 2 == 0, "even").otherwise("odd").alias("name"))
+    golden = docs.join(F.broadcast(readers.read_golden(spark, path).withColumnRenamed("doc_id", "name")), "name").drop("name")  # the files' few cells
+    got = golden.withColumn("value", F.expr(_GOT.replace("expected", "value")).cast("double")).where("value != 0")
+    return scores.against_golden(got, golden).select("doc_id", "block", "sl_no", "field", "expected", "got", "ok")
 
 
 @query("page_files", "SELECT doc_id, CAST(page_no AS INT) AS page_no, 'page' AS engine, text FROM (VALUES ('first', 1, 'one'), ('first', 12, 'two' || chr(10) || 'lines'), ('second', 3, '')) t(doc_id, page_no, text) WHERE text <> ''")
