@@ -169,7 +169,8 @@ def asset_letter_rows(page_text: DataFrame) -> DataFrame:
 def trailing_subtotal(amounts: Column, least: float = 5e7) -> Column:
     """The total that a row of nine amounts or more repeats at its end; null if it doesn't."""
     n = F.size(amounts)
-    return F.when((n >= 9) & (F.element_at(amounts, -1) == F.element_at(amounts, -2)) & (F.element_at(amounts, -1) >= least), F.element_at(amounts, -1))
+    last, before = F.try_element_at(amounts, F.lit(-1)), F.try_element_at(amounts, F.lit(-2))
+    return F.when((n >= 9) & (last == before) & (last >= least), last)
 
 
 def gross_subtotals(page_text: DataFrame, opening_label: str = r"1st?apr.*2023|aprl.*2023", closing_label: str = "2024", least: float = 1e8) -> DataFrame:
@@ -294,7 +295,7 @@ def other_liabilities(page_text: DataFrame) -> DataFrame:
 def total_nets(page_text: DataFrame, least: float = 5e7) -> DataFrame:
     """(doc_id, opening, closing) of the fixed assets' line ``Total (a)``: its last two amounts, closing first."""
     rows = pages.lines(page_text).where(F.rlike(F.lower("line"), F.lit(r"total\s*\(a\)")))
-    rows = rows.withColumn("v", F.transform(numbers.line_tokens(F.col("line")), numbers.clean_number)).where((F.size("v") >= 2) & (F.element_at("v", -1) > least))
+    rows = rows.withColumn("v", F.transform(numbers.line_tokens(F.col("line")), numbers.clean_number)).where((F.size("v") >= 2) & (F.try_element_at("v", F.lit(-1)) > least))
     return rows.groupBy("doc_id").agg(F.min(F.struct("page_no", "line_no", "v"))["v"].alias("v")).select("doc_id", F.element_at("v", -1).alias("opening"), F.element_at("v", -2).alias("closing"))
 
 

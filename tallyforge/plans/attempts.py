@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import checks, derive, merges, rules, scores
+from ..operators import checks, merges, rules, scores
 from ..session import shared_path
 from .statement import reconcile
 

@@ -14,7 +14,7 @@ from ..operators import checks, derive, fuzzy, merges, pages, rules, schedules,
 from ..session import shared_path, table
 from ..sources import models, readers, sinks, xlsx
 from . import dictionaries, schema
-from .catalog import C_ROWS, D_ROWS, SQL, WITH_D, _D_WIDE, _sql, c_rows, d_rows, query, statement_pages
+from .catalog import C_ROWS, SQL, WITH_D, _D_WIDE, _sql, c_rows, d_rows, query, statement_pages
 
 #: Three numbers of six digits for each document, and a number from 0 to 5.
 NUMBERS = """SELECT CAST(c_custkey AS BIGINT) AS doc_id, CAST(c_custkey AS BIGINT) * 7919 % 900000 + 100000 AS a, CAST(c_custkey AS BIGINT) * 104729 % 900000 + 100000 AS b,
@@ -36,10 +36,17 @@ def lakh(x: str) -> Column:
     return F.format_number(F.expr(x) / 100.0, 2)
 
 
-def page(spark: SparkSession, sf: str, *lines) -> DataFrame:
-    """One page for each document; a line is a text or a list of texts and columns joined by spaces."""
+def page(spark: SparkSession, sf: str, *lines, noise: bool = True) -> DataFrame:
+    """One page for each document; a line is a text or a list of texts and columns joined by spaces.
+
+    After these lines the page goes on with the whole text of one of ``documents``."""
     parts = [F.concat_ws(" ", *[F.lit(x) if isinstance(x, str) else x for x in line]) if isinstance(line, list) else F.lit(line) if isinstance(line, str) else line for line in lines]
-    return made(spark, sf).select("doc_id", F.lit(1).alias("page_no"), F.concat_ws("\n", *parts).alias("text"))
+    n = made(spark, sf)
+    if noise:
+        docs = table(spark, sf, "documents").select(F.col("doc_id").alias("__k"), F.coalesce("text", F.lit("")).alias("__noise"))
+        n = n.withColumn("__k", F.col("doc_id") % F.lit(docs.count())).join(docs, "__k", "left")
+        parts.append(F.col("__noise"))
+    return n.select("doc_id", F.lit(1).alias("page_no"), F.concat_ws("\n", *parts).alias("text"))
 
 
 def _pairs(rows: list[tuple[str, str, str]], scale: int = 1, where: dict[str, str] | None = None) -> str:
@@ -213,7 +220,7 @@ def form_rows_d(spark, sf):
 def form_rows_c(spark, sf):
     """A row of eleven amounts over two lines, a short one and a total."""
     full = [inr("a"), inr("c"), inr("c"), inr("c"), inr("b"), inr("a"), inr("a")], [inr("a"), inr("b + c"), inr("c"), inr("a + b")]
-    text = page(spark, sf, "Block C: Fixed Assets", ["2 Building", *full[0]], [*full[1]], ["3 Plant and Machinery", inr("a"), inr("b"), inr("a"), inr("c"), inr("c")], ["10 Total(1+8+9)", inr("a"), inr("b"), inr("c"), inr("b")])
+    text = page(spark, sf, "Block C: Fixed Assets", ["2 Building", *full[0]], [*full[1]], ["3 Plant and Machinery", inr("a"), inr("b"), inr("a"), inr("c"), inr("c")], ["10 Total(1+8+9)", inr("a"), inr("b"), inr("c"), inr("b")], noise=False)  # a form's last row goes on to the end of its page
     return schedules.form_rows_c(text).select("doc_id", "sl_no", "gross_opening", "gross_closing", "net_opening", "net_closing", "dep_up_to_end")
 
 

@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import numbers
 from ..operators import faces, notes, schedules
 from ..session import table
 from .catalog import query
