@@ -102,13 +102,18 @@ RUPEE_FACE = ((8, r"cash\s*&\s*bank"), (9, r"trade\s*receivable"), (10, r"loans?
 
 def face_rows(summary: DataFrame) -> DataFrame:
     """(doc_id, sl_no, lakhs, opening, closing) of block D rows that summary pages (doc_id, text) state, in rupees."""
-    one = summary.select("doc_id", F.regexp_replace("text", "\n", " ").alias("flat"), F.lower("text").alias("low"), F.rlike(F.lower("text"), F.lit(r"amounts?\s+.{0,6}lacs?|in\s+lacs?")).alias("lakhs"))
-    lakh = lambda p, k: numbers.lakhs_to_rupees(F.regexp_extract("flat", f"(?i){p}", k))
-    rupee = lambda p, k: numbers.clean_number(F.regexp_extract("low", rf"{p}.*?(\d[\d,]{{5,}})\s+(\d[\d,]{{5,}})", k))
-    made = lambda sl, c, o: F.struct(F.lit(sl).alias("sl_no"), o.alias("opening"), c.alias("closing"))
-    in_lakhs = F.array(*[made(sl, lakh(note_pattern(label, note), 1), lakh(note_pattern(label, note), 2)) for sl, label, note in LAKH_FACE])
-    in_rupees = F.array(*[made(sl, rupee(label, 1), rupee(label, 2)) for sl, label in RUPEE_FACE])
-    rows = one.select("doc_id", "lakhs", F.inline(F.when(F.col("lakhs"), in_lakhs).otherwise(in_rupees)))
+    low = F.lower("text")
+    in_lacs = F.contains(low, F.lit("lac")) & F.rlike(low, F.lit(r"amounts?\s+.{0,6}lacs?|in\s+lacs?"))
+    one = summary.select("doc_id", low.alias("low"), in_lacs.alias("lakhs")).withColumn("flat", F.when(F.col("lakhs"), F.regexp_replace("low", "\n", " ")))
+
+    def stated(sl: int, text: str, pattern: str, amount) -> Column:
+        """A row by the whole match, found once, of which both amounts are read."""
+        pair = lambda m: F.struct(F.lit(sl).alias("sl_no"), amount(F.regexp_extract(m, pattern, 2)).alias("opening"), amount(F.regexp_extract(m, pattern, 1)).alias("closing"))
+        return let(F.regexp_extract(text, pattern, 0), lambda m: F.when(m != "", pair(m)))
+
+    in_lakhs = F.array(*[stated(sl, "flat", note_pattern(label, note), numbers.lakhs_to_rupees) for sl, label, note in LAKH_FACE])
+    in_rupees = F.array(*[stated(sl, "low", rf"{label}.*?(\d[\d,]{{5,}})\s+(\d[\d,]{{5,}})", numbers.clean_number) for sl, label in RUPEE_FACE])
+    rows = one.select("doc_id", "lakhs", F.inline(F.array_compact(F.when(F.col("lakhs"), in_lakhs).otherwise(in_rupees))))
     return rows.where("opening != 0 or closing != 0").select("doc_id", "sl_no", "lakhs", "opening", "closing")
 
 
