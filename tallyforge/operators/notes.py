@@ -79,6 +79,11 @@ FIELDS = ("gross_opening", "gross_addition_reval", "gross_addition_actual", "gro
 ROW = "struct<sl_no:int," + ",".join(f"{f}:double" for f in FIELDS) + ">"
 
 
+def rupees(x: Column) -> Column:
+    """Lakhs as rupees, to the paisa: 633.84 lakhs are 63,384,000 and no part of a paisa more, so that what amounts are compared with is met exactly."""
+    return F.round(x * L, 2)
+
+
 def lakh_figures(line: Column) -> Column:
     """The positive lakh figures of a line, misread separators repaired."""
     tokens = F.filter(F.regexp_extract_all(line, F.lit(r"[\d,.\-]+"), F.lit(0)), lambda t: F.rlike(t, F.lit(r"\d")))
@@ -160,12 +165,12 @@ def asset_fields(sl: Column, raw: Column, v: Column) -> Column:
         big = F.reverse(F.array_sort(F.filter(t, lambda x: x >= 50)))
         moves = F.filter(t, lambda x: x < 200)
         return _row(
-            sl, net_closing=at(0) * L, net_opening=at(1) * L, dep_provided_during_year=charge * L, gross_closing=F.get(big, F.lit(0)) * L, gross_opening=F.get(big, F.lit(1)) * L,
-            gross_addition_actual=F.array_max(moves) * L, gross_deduction=F.when(F.size(moves) >= 2, F.array_min(moves) * L),
+            sl, net_closing=rupees(at(0)), net_opening=rupees(at(1)), dep_provided_during_year=rupees(charge), gross_closing=rupees(F.get(big, F.lit(0))), gross_opening=rupees(F.get(big, F.lit(1))),
+            gross_addition_actual=rupees(F.array_max(moves)), gross_deduction=F.when(F.size(moves) >= 2, rupees(F.array_min(moves))),
         )
 
     def net_only(p: Column) -> Column:
-        return F.when((p["opening"] > 0) | (p["closing"] > 0), _row(sl, net_opening=p["opening"] * L, net_closing=p["closing"] * L))
+        return F.when((p["opening"] > 0) | (p["closing"] > 0), _row(sl, net_opening=rupees(p["opening"]), net_closing=rupees(p["closing"])))
 
     return F.when(F.size(v) >= 2, let(tail, row)).otherwise(let(picked_net_pair(raw), net_only))
 
@@ -301,14 +306,14 @@ def asset_note(page_text: DataFrame) -> DataFrame:
     rows = rows.withColumn("total", F.coalesce(figures_of("total"), figures_of("total_held")))
     rows = rows.withColumn("total", F.when(F.col("total").isNotNull(), F.slice("total", 1, 2)).otherwise(F.filter(F.array(property_at(1), property_at(2)), lambda v: v > 0)))
     first_total = F.filter(F.get(F.filter("lines", lambda x: x["total"]), F.lit(0))["figures"], lambda v: v >= 500)
-    rows = rows.withColumn("gross", F.when(F.size(first_total) >= 2, F.struct((F.get(first_total, F.lit(0)) * L).alias("opening"), (F.element_at(first_total, -1) * L).alias("closing"))))
+    rows = rows.withColumn("gross", F.when(F.size(first_total) >= 2, F.struct(rupees(F.get(first_total, F.lit(0))).alias("opening"), rupees(F.element_at(first_total, -1)).alias("closing"))))
     for field, side in (("gross_opening", "opening"), ("gross_closing", "closing")):
         rows = rows.withColumn("rows", _imputed(F.col("rows"), field, F.col(f"gross.{side}")))
     work = line(F.get("worked", F.lit(0))["at"])["pair"]
     extra = F.array_compact(
         F.array(
-            F.when(F.size(work) >= 2, _row(F.lit(9), net_opening=F.element_at(work, -2) * L, net_closing=F.element_at(work, -1) * L)),
-            F.when(F.size("total") == 2, _row(F.lit(10), net_opening=F.get("total", F.lit(1)) * L, net_closing=F.get("total", F.lit(0)) * L)),
+            F.when(F.size(work) >= 2, _row(F.lit(9), net_opening=rupees(F.element_at(work, -2)), net_closing=rupees(F.element_at(work, -1)))),
+            F.when(F.size("total") == 2, _row(F.lit(10), net_opening=rupees(F.get("total", F.lit(1))), net_closing=rupees(F.get("total", F.lit(0))))),
         )
     )
     return rows.select("doc_id", "page_no", F.inline(F.concat("rows", extra)))
