@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import numbers
@@ -13,12 +15,14 @@ from .merges import CELL
 GOLDEN_FIELDS = ("gross_closing", "dep_up_to_end", "net_opening", "net_closing", "opening_rs", "closing_rs")
 
 
-def against_golden(cells: DataFrame, golden: DataFrame, tol: float = 0.02, fields: tuple[str, ...] = GOLDEN_FIELDS) -> DataFrame:
-    """A row for each golden source cell that isn't 0: got (0 where missing), expected, ok, pct_error."""
+def against_golden(cells: DataFrame, golden: DataFrame, tol: float = 0.02, fields: tuple[str, ...] = GOLDEN_FIELDS, close: Callable[[Column, Column, float], Column] = close_quality) -> DataFrame:
+    """A row for each golden source cell that isn't 0: got (0 where missing), expected, ok, pct_error.
+
+    close: when (expected, got, tol) are close enough; by default within a share of the larger, with ``close_target`` of the expected amount."""
     form = F.broadcast(schema.template(golden.sparkSession).where("not is_derived").select("block", "sl_no"))
     want = golden.where((F.col("value") != 0) & F.col("field").isin(*fields)).join(form, ["block", "sl_no"], "left_semi").select(*CELL, F.col("value").alias("expected"))
     out = want.join(cells.select(*CELL, F.col("value").alias("got")), CELL, "left").withColumn("got", F.coalesce("got", F.lit(0.0)))
-    return out.withColumns({"ok": close_quality(F.col("got"), F.col("expected"), tol), "pct_error": percent_error(F.col("got"), F.col("expected"))})
+    return out.withColumns({"ok": close(F.col("expected"), F.col("got"), tol), "pct_error": percent_error(F.col("got"), F.col("expected"))})
 
 
 def accuracy(matches: DataFrame) -> DataFrame:

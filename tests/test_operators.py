@@ -225,3 +225,11 @@ def test_reconcile_runs_to_consistent_rows(spark):
     got = {r.sl_no: r for r in rows.collect()}
     assert sum(got[k].net_opening for k in range(2, 8)) == 2754 and got[8].net_opening == pytest.approx(2754) and got[10].net_closing == pytest.approx(got[8].net_closing)
     assert as_dict(cells)[16] == 145
+
+
+def test_golden_amounts_are_met_within_a_share_of_them(spark, tmp_path):
+    from tallyforge.plans import catalog_forms
+
+    spark.createDataFrame([(6000,), (6006,), (6126,)], "doc_id bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    got = catalog_forms.golden_from_json(spark, str(tmp_path)).where("field = 'opening_rs'")
+    assert {(r.doc_id, r.got, r.ok) for r in got.collect()} == {(6000, 306000.0, True), (6006, 306006.0, False), (6126, 306126.0, False)}
