@@ -48,9 +48,19 @@ def pair_after_label(text: Column, pattern: str, least: float = 1_000.0) -> Colu
 
 def lakhs_pair(text: Column, pattern: str) -> Column:
     """struct(opening, closing) in rupees of a pattern's two groups (closing, then opening), in lakhs."""
-    flat = F.regexp_replace(F.coalesce(text, F.lit("")), r"\n", " ")
+    return numbers.let(one_line(text), lambda flat: pair_in(flat, pattern))
+
+
+def one_line(text: Column) -> Column:
+    """A text with spaces for line feeds; null is empty."""
+    return F.replace(F.coalesce(text, F.lit("")), F.lit("\n"), F.lit(" "))
+
+
+def pair_in(flat: Column, pattern: str) -> Column:
+    """As ``lakhs_pair``, of a text without line feeds; one that lacks the pattern is searched once."""
     at = lambda k: numbers.lakhs_to_rupees(F.regexp_extract(flat, f"(?i){pattern}", k))
-    return F.struct(at(2).alias("opening"), at(1).alias("closing"))
+    pair = lambda o, c: F.struct(o.alias("opening"), c.alias("closing"))
+    return F.when(F.regexp_extract(flat, f"(?i){pattern}", 0) != "", pair(at(2), at(1))).otherwise(pair(F.lit(0.0), F.lit(0.0)))
 
 
 def json_block(text: Column) -> Column:

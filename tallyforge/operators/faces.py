@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import numbers
-from .notes import let
+from ..functions.numbers import let
 from .schedules import note_pattern
 
 PAIR = "struct<closing:double,opening:double>"

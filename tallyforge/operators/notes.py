@@ -13,17 +13,13 @@ from pyspark.sql import functions as F
 
 from ..functions import numbers
 from ..functions import text as T
+from ..functions.numbers import let
 from .schedules import NOTE_LABELS
 
 L = numbers.LAKH
 EMITTED = "array<struct<action:string,held:int,at:int>>"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """An expression over a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def transduce(events: Column, table: Sequence[tuple[str, str, str, str]], start: str = "open") -> Column:
     """What a table of transitions emits over an array of events, as (action, held, at) in order.
 

@@ -128,10 +128,12 @@ def extract_components(page_text: DataFrame, specs: tuple = RUPEE_SPECS, unit: s
 
 def extract_page_pairs(page_text: DataFrame, patterns: tuple = PAGE_PATTERNS) -> DataFrame:
     """(doc_id, key, opening, closing) in rupees of patterns over whole pages in lakhs, the first page that has each."""
-    from ..functions.text import lakhs_pair
+    from ..functions.text import one_line, pair_in
 
-    found = F.array(*[F.struct(F.lit(k).alias("key"), lakhs_pair(F.col("text"), p).alias("p")) for k, p in patterns])
-    rows = page_text.select("doc_id", "page_no", F.explode(found).alias("x")).where("x.p.opening != 0 or x.p.closing != 0")
+    # a page is flattened once, and searched once for each pattern
+    found = numbers.let(one_line(F.col("text")), lambda flat: F.array(*[F.struct(F.lit(k).alias("key"), pair_in(flat, p).alias("p")) for k, p in patterns]))
+    some = F.filter(found, lambda x: (x["p"]["opening"] != 0) | (x["p"]["closing"] != 0))
+    rows = page_text.select("doc_id", "page_no", F.explode(some).alias("x"))
     return rows.groupBy("doc_id", "x.key").agg(F.min(F.struct("page_no", "x.p")).alias("b")).select("doc_id", "key", "b.p.opening", "b.p.closing")
 
 
@@ -275,12 +277,15 @@ def inventory_note(page_text: DataFrame) -> DataFrame:
 
 def face_net(page_text: DataFrame, pattern: str = r"property[^\d]{0,30}plant[^\d]{0,30}equipment[^\d]*\b[45]\b[^\d]*([\d,.\-]+)\s+([\d,.\-]+)") -> DataFrame:
     """(doc_id, opening, closing) of property on the face, in the page's unit; amounts below its least are no match."""
-    unit = numbers.unit_of(F.col("text"))
-    flat = F.regexp_replace("text", r"\s+", " ")
-    at = lambda k: numbers.token_to_rupees(F.regexp_extract(flat, f"(?i){pattern}", k), unit)
-    least = F.when(unit == "lakhs", 1e8).otherwise(5e6)
-    one = F.array(F.struct(at(1).alias("closing"), at(2).alias("opening"), least.alias("least")))  # read once, whatever is asked of it
-    rows = page_text.select("doc_id", "page_no", F.inline(F.filter(one, lambda x: (x["closing"] >= x["least"]) & (x["opening"] >= x["least"]))))
+
+    def read(x: Column) -> Column:
+        at = lambda k: numbers.token_to_rupees(F.regexp_extract(x["flat"], f"(?i){pattern}", k), x["unit"])
+        return F.struct(at(1).alias("closing"), at(2).alias("opening"), F.when(x["unit"] == "lakhs", 1e8).otherwise(5e6).alias("least"))
+
+    # a page is flattened once, and its unit is asked for only where the pattern is
+    flat = F.transform(F.array(F.regexp_replace("text", r"\s+", " ")), lambda t: F.struct(t.alias("flat"), F.rlike(t, F.lit(f"(?i){pattern}")).alias("here")))
+    one = F.transform(F.filter(flat, lambda x: x["here"]), lambda x: F.struct(x["flat"], numbers.unit_of(F.col("text")).alias("unit")))
+    rows = page_text.select("doc_id", "page_no", F.inline(F.filter(F.transform(one, read), lambda x: (x["closing"] >= x["least"]) & (x["opening"] >= x["least"]))))
     return rows.groupBy("doc_id").agg(F.min(F.struct("page_no", "opening", "closing")).alias("b")).select("doc_id", "b.opening", "b.closing")
 
 
