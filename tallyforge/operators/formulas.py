@@ -69,10 +69,11 @@ def _met(parts: DataFrame, goals: DataFrame, tol: float, sizes: range) -> DataFr
     left = side(lefts).drop("first").withColumn("cell", F.explode(F.transform(F.array(*[F.lit(d) for d in (-1, 0, 1)]), lambda d: cell(F.col("opening") - F.col("o")) + d)))
     near = lambda want, a, b: F.abs(F.col(want) - (F.col(a) + F.col(b))) <= width(F.col(want))
     both = (F.col("n") + F.col("n2")).isin(*sizes) & (F.col("n2") - F.col("n")).between(0, 1)
-    hits = left.join(right, ["doc_id", "sl_no", "cell"]).where((F.col("last") < F.col("first")) & both & near("opening", "o", "o2") & near("closing", "c", "c2"))
+    # halves are hundreds of rows for each of a small vector's bytes: by its size Spark would send them all through the driver
+    hits = left.join(right.hint("merge"), ["doc_id", "sl_no", "cell"]).where((F.col("last") < F.col("first")) & both & near("opening", "o", "o2") & near("closing", "c", "c2"))
     found = hits.select("doc_id", "sl_no", F.concat(_terms(F.col("code"), F.col("n")), _terms(F.col("code2"), F.col("n2"))).alias("t"))
     place = lambda b: F.floor((b - 1) / 2).cast("int")
     order = F.struct(F.size("t").alias("terms"), F.transform("t", place).alias("at"), F.transform("t", lambda b: ((b - 1) % 2).cast("int")).alias("plus"))
-    best = found.groupBy("doc_id", "sl_no").agg(F.min(order).alias("b")).join(parts, "doc_id")
+    best = found.groupBy("doc_id", "sl_no").agg(F.min(order).alias("b")).join(parts.hint("merge"), "doc_id")
     text = F.array_join(F.zip_with("b.at", "b.plus", lambda i, s: F.concat(F.when(s == 1, "+").otherwise("-"), F.get("parts", i)["key"])), "")
     return best.select("doc_id", "sl_no", text.alias("formula"), F.col("b.terms").alias("terms"))

@@ -160,3 +160,14 @@ def test_pages_go_on_after_a_restart(spark):
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     got = sorted(tuple(r) for r in spark.read.schema(assemble.OUT).parquet(out).collect())
     assert got == [(1, 2, 2, True, "a\nb"), (2, 3, 2, False, "x\nz"), (3, 1, 1, True, ""), (4, 2, 0, False, "")]
+
+
+def test_halves_are_never_broadcast(spark):
+    from tallyforge.operators import formulas
+
+    parts = spark.createDataFrame([(1, [("a", 1.0, 2.0), ("b", 3.0, 4.0)])], "doc_id bigint, parts array<struct<key:string,opening:double,closing:double>>")
+    goals = spark.createDataFrame([(1, 1, 4.0, 6.0)], "doc_id bigint, sl_no int, opening double, closing double")
+    found = formulas._met(parts, goals, 0.02, range(1, 4))
+    joins = [x for x in found._jdf.queryExecution().executedPlan().toString().split("\n") if "Join" in x and "cell" in x]
+    assert joins and not any("Broadcast" in x for x in joins)
+    assert [tuple(r) for r in found.collect()] == [(1, 1, "+a+b", 2)]
