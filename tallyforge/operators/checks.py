@@ -40,9 +40,9 @@ def _sum(terms) -> Column:
     return sum(terms, F.lit(0.0))
 
 
-def checks_c(rows: DataFrame) -> DataFrame:
-    """Block C: coverage, five identities of each asset row, sub-total, total, scale."""
-    df, g = wide(rows, "C"), _g
+def wanted_c() -> list[Column]:
+    """Checks of block C over one row a document (``wide``); null where one doesn't apply."""
+    g = _g
     filled = _sum(F.when((g(k, "net_closing") > 0) | (g(k, "net_opening") > 0), 1.0).otherwise(0.0) for k in range(2, 8))
     out = [_check(filled >= 3, "C_COVERAGE", "C", got=filled, expected=F.lit(3.0))]
     for k in range(2, 8):
@@ -64,13 +64,17 @@ def checks_c(rows: DataFrame) -> DataFrame:
         want = g(1, f) + g(8, f) + g(9, f)
         out.append(_check(close_financial(g(10, f), want, strict=True), "C_TOTAL_10", "C", 10, f, g(10, f), want, there10))
     out.append(_check(g(10, "net_closing") > 1_000_000, "C_TOTAL_SCALE", "C", 10, "net_closing", g(10, "net_closing"), F.lit(1e6), there10))
-    return _table(df, out)
+    return out
 
 
-def checks_d(rows: DataFrame, may_be_negative: tuple[int, ...] = (16,)) -> DataFrame:
-    """Block D: coverage, derived rows of both columns, source rows with data, and negative amounts
-    (working capital may be negative; pass ``()`` to hold it to the rule as well)."""
-    df, g = wide(rows, "D"), _g
+def checks_c(rows: DataFrame) -> DataFrame:
+    """Block C: coverage, five identities of each asset row, sub-total, total, scale."""
+    return _table(wide(rows, "C"), wanted_c())
+
+
+def wanted_d(may_be_negative: tuple[int, ...] = (16,)) -> list[Column]:
+    """Checks of block D over one row a document (``wide``); null where one doesn't apply."""
+    g = _g
     some = lambda k: (g(k, "opening_rs") > 0) | (g(k, "closing_rs") > 0)
     filled = _sum(F.when(some(k), 1.0).otherwise(0.0) for k in range(1, 18))
     out = [_check(filled >= 8, "D_COVERAGE", "D", got=filled, expected=F.lit(8.0))]
@@ -83,7 +87,13 @@ def checks_d(rows: DataFrame, may_be_negative: tuple[int, ...] = (16,)) -> DataF
         if k not in may_be_negative:
             low = F.least(g(k, "opening_rs"), g(k, "closing_rs"))
             out.append(_check(F.lit(False), "D_NON_NEGATIVE", "D", k, "", low, F.lit(0.0), low < 0))
-    return _table(df, out)
+    return out
+
+
+def checks_d(rows: DataFrame, may_be_negative: tuple[int, ...] = (16,)) -> DataFrame:
+    """Block D: coverage, derived rows of both columns, source rows with data, and negative amounts
+    (working capital may be negative; pass ``()`` to hold it to the rule as well)."""
+    return _table(wide(rows, "D"), wanted_d(may_be_negative))
 
 
 def face_checks(rows: DataFrame, face: DataFrame, tol: float = 0.03) -> DataFrame:

@@ -29,10 +29,15 @@ def choose_profile(mapped: DataFrame, order: dict[str, int]) -> DataFrame:
     return n.groupBy("doc_id").agg(F.max(F.struct("covered", (-rank).alias("o"), "profile")).alias("b")).select("doc_id", "b.profile", "b.covered")
 
 
+def best_rows(components: DataFrame, rules: DataFrame, order: dict[str, int]) -> DataFrame:
+    """(doc_id, profile, sl_no, opening, closing): the non-zero rows of each document's best profile."""
+    mapped = evaluate(components, rules)
+    return mapped.join(choose_profile(mapped, order).select("doc_id", "profile"), ["doc_id", "profile"])
+
+
 def apply_mapping(rows: DataFrame, components: DataFrame, rules: DataFrame, order: dict[str, int]) -> DataFrame:
     """Block D rows overwritten by the non-zero rows of each document's best profile; missing ones are added."""
-    mapped = evaluate(components, rules)
-    new = mapped.join(choose_profile(mapped, order).select("doc_id", "profile"), ["doc_id", "profile"]).select("doc_id", "sl_no", F.struct("opening", "closing").alias("n"))
+    new = best_rows(components, rules, order).select("doc_id", "sl_no", F.struct("opening", "closing").alias("n"))
     both = rows.join(new, ["doc_id", "sl_no"], "full_outer")
     return both.withColumns({"opening_rs": F.coalesce("n.opening", "opening_rs", F.lit(0.0)), "closing_rs": F.coalesce("n.closing", "closing_rs", F.lit(0.0))}).drop("n")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import numbers
-from ..operators import checks, derive, merges, notes, pages, schedules
+from ..operators import checks, derive, forms, merges, notes, pages, schedules
 from ..session import shared_path
 from . import schema
 
@@ -83,6 +83,18 @@ def reconcile(c_rows: DataFrame, cells_d: DataFrame, face: DataFrame | None = No
     return merges.to_rows(derive.recompute(merges.to_cells(c_rows, "C")), "C"), derive.recompute(cells_d)
 
 
+def reconcile_rows(rows: DataFrame, face: DataFrame | None = None) -> DataFrame:
+    """As ``reconcile``, on rows of both blocks (``forms.rows``), which stay where their document is."""
+    rows = derive.repair_identities(derive.cap_depreciation(forms.filled(rows, "C")))
+    if face is not None:
+        part, rest = rows.where("block = 'C' and sl_no between 1 and 7 and net_closing is not null"), rows.where("not (block = 'C' and sl_no between 1 and 7 and net_closing is not null)")
+        part = part.join(face.withColumnsRenamed({"opening": "__o", "closing": "__c"}), "doc_id", "left").withColumns({x: F.coalesce(x, F.lit(0.0)) for x in ("__o", "__c")})
+        for value, anchor in (("net_opening", "__o"), ("net_closing", "__c")):
+            part = derive.repair_identities(derive.residual_to_largest(derive.scale_to_anchor(part, value, anchor), value, anchor, "sl_no"))
+        rows = part.drop("__o", "__c").unionByName(rest)
+    return forms.recompute(derive.repair_identities(forms.recompute(rows)))
+
+
 def supervise(cells: DataFrame, candidates: DataFrame, rounds: int = 5) -> tuple[DataFrame, DataFrame, int]:
     """Cells filled from a second reading and derived anew until no pending cell changes, or the rounds are over.
 
