@@ -19,7 +19,10 @@ from .statement import reconcile_rows
 def repair(forms_: DataFrame, mapped: DataFrame | None = None, face: DataFrame | None = None) -> DataFrame:
     """Forms of both blocks reconciled, block D's rows overwritten by the best profile of components, and reconciled again.
 
-    mapped: forms of what components map to, or None for one reconciliation."""
+    mapped: forms of what components map to, or None for one reconciliation. A form costs far more than its few bytes
+    tell, so that adaptive execution would put too many into one task."""
+    tasks = int(forms_.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    forms_ = forms_.repartition(tasks, "doc_id")
     if mapped is None:
         return forms.from_rows(reconcile_rows(forms.rows(forms_), face))
     of_d = [n for n in forms.NAMES if n.startswith("D")]
