@@ -53,6 +53,28 @@ def empty(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id").distinct().selectExpr("doc_id", *[f"0D AS {n}" for n in NAMES])
 
 
+def of_all(docs: DataFrame, cells: DataFrame) -> DataFrame:
+    """The form of each document (doc_id) with these cells; what they lack is 0. One exchange of the cells there are."""
+    none = docs.select("doc_id", *[F.lit(None).cast(kind).alias(c) for c, kind in (("block", "string"), ("sl_no", "int"), ("field", "string"), ("value", "double"))])
+    return to_forms(dealt_out(cells.select(*CELL, "value").unionByName(none))).selectExpr("doc_id", *[f"coalesce({n}, 0D) AS {n}" for n in NAMES])
+
+
+def derived(forms: DataFrame) -> DataFrame:
+    """As ``derive.recompute``, on forms: nothing is dealt out. A derived cell is there if a cell that it derives from is."""
+    of = {}
+    leaf = []
+    for block, targets in schema.DERIVED.items():
+        sources = [k for k in range(1, ROWS[block] + 1) if k not in targets]
+        leaf.append(f"({' OR '.join(f'coalesce({name(block, k, f)}, 0D) != 0' for k in sources for f in schema.FIELDS[block])}) AS __live{block}")
+        for f in schema.FIELDS[block]:
+            for t in targets:
+                parts = [(name(block, k, f), w) for k, w in schema.closure(block)[t].items()]
+                there = f"coalesce({', '.join(n for n, _ in parts)}) IS NOT NULL"
+                total = "0D" + "".join(f" + {w} * coalesce({n}, 0D)" for n, w in parts)
+                of[name(block, t, f)] = f"CASE WHEN __live{block} AND {there} THEN {total} ELSE {name(block, t, f)} END AS {name(block, t, f)}"
+    return forms.selectExpr("*", *leaf).selectExpr(*[of.get(c, c) for c in forms.columns])
+
+
 def rows(forms: DataFrame, others: dict[str, str] | None = None) -> DataFrame:
     """Rows of both blocks, all 27 of each document; fields are null where there is no cell.
 
@@ -139,8 +161,16 @@ def judged(forms: DataFrame) -> DataFrame:
     return out.select(*forms.columns, F.when(any_check, F.col("__ok") / F.size("__all") * 100).alias("rate"), F.when(any_check, (F.col("__ok") == F.size("__all")) & rows_ok).alias("passed"))
 
 
-def stored(df: DataFrame, what: str) -> DataFrame:
-    """df written to the folder that executors share, and read again; columns of the form take few bytes there."""
+def dealt_out(df: DataFrame) -> DataFrame:
+    """df by document in all shuffle partitions: a form costs far more than its few bytes tell, so that adaptive
+    execution would put too many into one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id")
+
+
+def stored(df: DataFrame, what: str, most: int = 0) -> DataFrame:
+    """df written to the folder that executors share, and read again; columns of the form take few bytes there.
+
+    most: rows of a file, as one file of many small rows would be one task."""
     path = shared_path(df.sparkSession, what)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", most).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

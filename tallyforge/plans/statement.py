@@ -26,6 +26,8 @@ FACE_PATTERNS = (
     ("D", 14, 0, r"(?i)other current liabilities[^0-9]*([0-9][0-9,.]+)\s+([0-9][0-9,.]+)"),
     ("D", 17, 0, r"(?i)(?:unsecured loans?|long[\s-]term borrowings?|from others)[^0-9]*([0-9][0-9,.]+)\s+([0-9][0-9,.]+)"),
 )
+#: Pages of a file that ``run_batch`` writes; reading a page costs far more than its bytes tell Spark.
+PAGES_OF_FILE = 5_000
 #: Lines of ageing under receivables, which add up to row 9.
 AGEING = r"(?i)^\s*(?:more|less) than six months[^0-9]*([0-9][0-9,.]+)\s+([0-9][0-9,.]+)"
 
@@ -118,12 +120,13 @@ def supervise(cells: DataFrame, candidates: DataFrame, rounds: int = 5) -> tuple
 
 def run_batch(page_text: DataFrame, least_rate: float = 0.85) -> dict[str, DataFrame]:
     """All documents of page_text in one plan: cells of both blocks on the whole template, checks, scores and verification."""
-    shared_path(page_text.sparkSession, "batch")  # sets the checkpoint folder
-    # read once: what follows uses them several times, and they are few cells a document
-    found = extract_cells(page_text).unionByName(merges.to_cells(extract_assets(page_text), "C").where("value != 0")).checkpoint()
+    page_text.sparkSession.conf.set("spark.sql.maxPlanStringLength", "100000")  # the driver keeps descriptions of plans, and these would be megabytes each
+    # pages are written once: each reading below goes over them, and would carry in its plan, several times, how they are made
+    page_text = forms.stored(page_text, "pages", PAGES_OF_FILE)
+    # so are the few cells found, which what follows uses several times
+    found = forms.stored(extract_cells(page_text).unionByName(merges.to_cells(extract_assets(page_text), "C").where("value != 0")), "found")
     assets = found.where("block = 'C'")
-    form = schema.empty_cells(page_text.sparkSession, page_text)
-    cells = derive.recompute(merges.patch_cells(form, found))
+    cells = forms.cells_of(forms.rows(forms.derived(forms.of_all(page_text.select("doc_id"), found))))
     has_assets = cells.join(assets.select("doc_id").distinct(), "doc_id", "left_semi")
     table = checks.checks_d(merges.to_rows(cells, "D")).unionByName(checks.checks_c(merges.to_rows(has_assets, "C")))
     from ..operators.scores import verified_in_text

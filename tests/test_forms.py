@@ -37,3 +37,18 @@ def test_patches_keep_cells_that_are_absent_so(spark):
     fixes = cells.withColumn("value", F.when(F.col("sl_no") == 5, 0.0).otherwise(-1.0)).unionByName(cells.where("doc_id = 3").withColumn("sl_no", F.lit(17)))
     got = forms.patched(forms.to_forms(cells), forms.to_forms(fixes))
     assert _set(forms.cells_of(forms.rows(got))) == _set(merges.patch_cells(cells, fixes))
+
+
+def test_forms_of_all_documents_derived_at_once(spark):
+    docs = spark.createDataFrame([(1,), (1,), (2,), (3,)], "doc_id bigint")
+    found = spark.createDataFrame([(1, "D", 1, "closing_rs", 5.0), (1, "D", 12, "closing_rs", 7.0), (1, "C", 3, "net_closing", 2.5), (2, "D", 4, "opening_rs", 9.0), (2, "D", 99, "opening_rs", 1.0)], schema.CELLS)
+    want = derive.recompute(merges.patch_cells(schema.empty_cells(spark, docs), found))
+    got = forms.cells_of(forms.rows(forms.derived(forms.of_all(docs, found))))
+    assert _set(got) == _set(want) and got.count() == 3 * len(forms.PLACES)
+
+
+def test_documents_behind_pages_are_not_broadcast(spark):
+    from tallyforge.plans import catalog_forms
+
+    plan = catalog_forms.page(spark, "/root/testdata/sf0.01", "one line")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
