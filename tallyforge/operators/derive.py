@@ -133,12 +133,12 @@ def residual_to_largest(rows: DataFrame, value: str, anchor: str, order: str, wi
 def impute_from_subtotal(rows: DataFrame, value: str, subtotal: str, order: str, least: float = 1e8, off: float = 0.02, by: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The row that a subtotal contradicts most plainly: of rows more than ``off`` from subtotal minus the
     others, the one with the largest value (the later on ties) takes that difference; ``imputed`` marks it."""
-    sums = rows.groupBy(*by).agg(F.sum(value).alias("__sum"))
-    rows = rows.join(sums, list(by)).withColumn("__implied", F.col(subtotal) - (F.col("__sum") - F.col(value)))
+    mine = Window.partitionBy(*by)  # one exchange and one sort, which spill; joins of a group's sums and picks sorted the rows anew each time, all in one task
+    rows = rows.withColumn("__implied", F.col(subtotal) - (F.sum(value).over(mine) - F.col(value)))
     bad = (F.col(subtotal) >= least) & (F.col("__implied") > 0) & (F.abs(F.col(value) - F.col("__implied")) / F.greatest(F.abs("__implied"), F.lit(1.0)) > off)
-    pick = rows.where(bad).groupBy(*by).agg(F.max(F.struct(F.col(value).alias("v"), F.col(order).alias("o"))).alias("__pick"))
-    rows = rows.join(pick, list(by), "left").withColumn("imputed", F.coalesce(F.col("__pick.o") == F.col(order), F.lit(False)))
-    return rows.withColumn(value, F.when(F.col("imputed"), F.col("__implied")).otherwise(F.col(value))).drop("__sum", "__implied", "__pick")
+    pick = F.max(F.when(bad, F.struct(F.col(value).alias("v"), F.col(order).alias("o")))).over(mine)
+    rows = rows.withColumn("imputed", F.coalesce(pick["o"] == F.col(order), F.lit(False)))
+    return rows.withColumn(value, F.when(F.col("imputed"), F.col("__implied")).otherwise(F.col(value))).drop("__implied")
 
 
 def replace_when_off(cells: DataFrame, found: DataFrame, sl_no: int = 14, tol: float = 0.02) -> DataFrame:

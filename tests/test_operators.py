@@ -233,3 +233,10 @@ def test_golden_amounts_are_met_within_a_share_of_them(spark, tmp_path):
     spark.createDataFrame([(6000,), (6006,), (6126,)], "doc_id bigint").write.parquet(f"{tmp_path}/documents.parquet")
     got = catalog_forms.golden_from_json(spark, str(tmp_path)).where("field = 'opening_rs'")
     assert {(r.doc_id, r.got, r.ok) for r in got.collect()} == {(6000, 306000.0, True), (6006, 306006.0, False), (6126, 306126.0, False)}
+
+
+def test_imputation_sorts_rows_once(spark):
+    """Sums and picks were joined back, each with sorts of its own in the same task."""
+    rows = spark.range(10).selectExpr("id % 3 AS doc_id", "id AS sl_no", "id * 1e6 AS v", "9e8 AS sub")
+    plan = derive.impute_from_subtotal(rows, "v", "sub", "sl_no")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and plan.count("Sort ") == 1 and "Join" not in plan
