@@ -151,3 +151,11 @@ def test_pdf_text_layer():
     assert pdf.page_texts(pdf.make([["one", "two (2)"], [], ["\u00e9"]], deflate=False)) == ["one\ntwo (2)", "", "\u00e9"]
     with pytest.raises(ValueError):
         pdf.page_texts(b"%PDF-1.4 nothing")
+
+
+def test_workbooks_are_dealt_out_to_all_tasks(spark):
+    """Rows of few bytes were put into one task, and each document was a pandas group."""
+    d = spark.range(40).selectExpr("id AS doc_id", "1 AS sl_no", "'Raw' AS label", "1D AS opening_rs", "2D AS closing_rs")
+    c = d.selectExpr("doc_id", "sl_no", "'Land' AS label", *[f"0D AS {f}" for f in schema.C_FIELDS])
+    books = xlsx.statement_workbooks(c, d)
+    assert books.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) and books.select("doc_id").distinct().count() == 40
