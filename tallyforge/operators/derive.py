@@ -39,8 +39,8 @@ def recompute(cells: DataFrame, fields: dict[str, tuple[str, ...]] | None = None
     derived = ((F.col("block") == "C") & F.col("sl_no").isin(*schema.DERIVED["C"])) | ((F.col("block") == "D") & F.col("sl_no").isin(*schema.DERIVED["D"]))
     own = F.struct(F.col("sl_no").cast("int").alias("sl_no"), F.lit(True).alias("own"), F.col("value").alias("v"))
     others = F.transform(mine, lambda t: F.struct(t["sl_no"].alias("sl_no"), F.lit(False).alias("own"), (F.col("value") * t["weight"]).alias("v")))
-    rows = cells.select("doc_id", "block", "field", (~derived & (F.col("value") != 0)).alias("leaf"), F.explode(F.concat(F.array(own), others)).alias("x"))
-    rows = rows.repartition("doc_id", "block")
+    rows = cells.select(*CELL, "value").repartition("doc_id", "block")  # before parts are made, which are some four times as many rows
+    rows = rows.select("doc_id", "block", "field", (~derived & (F.col("value") != 0)).alias("leaf"), F.explode(F.concat(F.array(own), others)).alias("x"))
     sums = rows.groupBy("doc_id", "block", F.col("x.sl_no").alias("sl_no"), "field").agg(
         F.max(F.when(F.col("x.own"), F.col("x.v"))).alias("own"), F.bool_or(F.col("x.own")).alias("there"), F.sum(F.when(~F.col("x.own"), F.col("x.v"))).alias("derived"), F.count_if(~F.col("x.own")).alias("n"), F.bool_or("leaf").alias("leaf")
     )

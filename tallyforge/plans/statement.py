@@ -100,17 +100,17 @@ def reconcile_rows(rows: DataFrame, face: DataFrame | None = None) -> DataFrame:
 def supervise(cells: DataFrame, candidates: DataFrame, rounds: int = 5) -> tuple[DataFrame, DataFrame, int]:
     """Cells filled from a second reading and derived anew until no pending cell changes, or the rounds are over.
 
-    Each round is written by ``checkpoint`` to the folder that executors share; only documents with pending
-    cells are worked on again. Returns cells, pending cells and the number of rounds."""
-    shared_path(cells.sparkSession, "rounds")  # sets the checkpoint folder
+    Each round's cells and pending cells are written once to the folder that executors share (a checkpoint would make
+    them twice); only documents with pending cells are worked on again. Returns cells, pending cells and the number
+    of rounds."""
     before, done = None, 0
-    cells = cells.checkpoint()
-    pending = checks.pending_cells(cells, candidates)
+    cells = forms.stored(cells, "round")
+    pending = forms.stored(checks.pending_cells(cells, candidates), "pending")
     for done in range(1, rounds + 1):
         open_docs = pending.select("doc_id").distinct()
         part = derive.recompute(merges.fill_from(cells.join(open_docs, "doc_id", "left_semi"), candidates.join(open_docs, "doc_id", "left_semi")))
-        cells = cells.join(open_docs, "doc_id", "left_anti").select(*merges.CELL, "value").unionByName(part.select(*merges.CELL, "value")).checkpoint()
-        pending = checks.pending_cells(cells, candidates)
+        cells = forms.stored(cells.join(open_docs, "doc_id", "left_anti").select(*merges.CELL, "value").unionByName(part.select(*merges.CELL, "value")), "round")
+        pending = forms.stored(checks.pending_cells(cells, candidates), "pending")
         now = pending.count()
         if now == 0 or now == before:
             break

@@ -240,3 +240,9 @@ def test_imputation_sorts_rows_once(spark):
     rows = spark.range(10).selectExpr("id % 3 AS doc_id", "id AS sl_no", "id * 1e6 AS v", "9e8 AS sub")
     plan = derive.impute_from_subtotal(rows, "v", "sub", "sl_no")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") == 1 and plan.count("Sort ") == 1 and "Join" not in plan
+
+
+def test_derived_parts_are_made_after_cells_are_dealt_out(spark):
+    """Cells went through the exchange with their parts in derived rows, some four times as many rows."""
+    plan = derive.recompute(d_cells(spark, LEAVES))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and plan.index("Generate ") < plan.index("Exchange ")
