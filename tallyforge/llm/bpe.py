@@ -21,6 +21,7 @@ import base64
 import hashlib
 import heapq
 import json
+import string
 import zlib
 from functools import lru_cache
 
@@ -34,6 +35,9 @@ DICTIONARY = 1_000_000  # pieces that are broadcast, at most
 DICTIONARY_BYTES = 64  # of a broadcast piece, at most
 MEMO = 150_000  # words that a task remembers, at most; more where it has the memory
 LONG = 256
+PUNCTUATION = string.punctuation
+ID_BITS, PLACE_BITS = 21, 12  # of an id, and of a place in a piece
+NO_PAIR = 1 << 54  # above any pair's rank
 
 
 def vocabulary_path() -> str:
@@ -85,8 +89,8 @@ def heap_merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 @lru_cache(2)
 def pair_table(path: str) -> dict:
-    """The ranks of pairs of tokens as arrays, rows laid over each other: where ``own[base[a] + b] == a``, a and b
-    merge into ``rank[base[a] + b]``. ``byte``: the ids of single bytes; ``two``: ranks of pairs of bytes, -1 for none."""
+    """The ranks of pairs of tokens as arrays, rows laid over each other: where ``pair[base[a] + b]`` holds a above its
+    ``ID_BITS`` low bits, a and b merge into what these hold. ``byte``: the ids of single bytes; ``two``: ranks of pairs of bytes, -1 for none."""
     import numpy as np
 
     ranks = load_ranks(path)
@@ -111,13 +115,14 @@ def pair_table(path: str) -> dict:
         own[base[a] + columns], rank_of[base[a] + columns] = a, list(rows[a].values())
     byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
     two = np.array([ranks.get(bytes([i, j]), -1) for i in range(256) for j in range(256)], np.int32)
-    return {"base": base, "own": own, "rank": rank_of, "byte": byte, "two": two}
+    pair = np.where(own < 0, -1, (own.astype(np.int64) << ID_BITS) + rank_of)
+    return {"base": base, "pair": pair, "byte": byte, "two": two}
 
 
 def rank_literal(path: str) -> Column:
     """The arrays of ``pair_table`` as a literal struct."""
     text = ",".join(f'"{k}":[{",".join(map(str, v.tolist()))}]' for k, v in pair_table(path).items())
-    return F.from_json(F.lit(f"{{{text}}}"), "struct<base:array<int>,own:array<int>,rank:array<int>,byte:array<int>,two:array<int>>")
+    return F.from_json(F.lit(f"{{{text}}}"), "struct<base:array<int>,pair:array<bigint>,byte:array<int>,two:array<int>>")
 
 
 def _bind(value: Column, f) -> Column:
@@ -128,35 +133,43 @@ def _bind(value: Column, f) -> Column:
 def encode_piece(piece: Column, literal: Column) -> Column:
     """The ids of a piece of one byte at least that is no token itself, as decimal numbers joined by commas.
 
-    The piece's bytes, as ids of tokens, are an array with a mark at either end; beside it are the ranks
-    of its adjacent pairs. Each step of the fold merges the first pair of least rank; the id of a merged
+    The piece's bytes, as ids of tokens, are an array with a mark before it; each knows the rank of the
+    pair that it begins. Each step of the fold merges the first pair of least rank; the id of a merged
     token is the pair's rank."""
     return _bind(literal, lambda table: _encoded(piece, table))
 
 
 def _encoded(piece: Column, table: Column) -> Column:
-    rest = F.lit(1 << 30)
-
-    def rank(a: Column, b: Column) -> Column:
-        at = F.get(table["base"], a) + b
-        return F.when(F.get(table["own"], at) == a, F.get(table["rank"], at))
-
-    def step(acc: Column, _: Column) -> Column:
-        p, r = acc["p"], acc["r"]
-
-        def merged(t: Column, k: Column) -> Column:
-            ids = F.concat(F.slice(p, F.lit(1), k - 1), F.array(t), F.slice(p, k + 2, rest))
-            ranks = F.concat(F.slice(r, F.lit(1), k - 2), F.array(rank(F.get(p, k - 2), t), rank(t, F.get(p, k + 1))), F.slice(r, k + 2, rest))
-            return F.struct(ids.alias("p"), ranks.alias("r"))
-
-        return _bind(F.array_min(r), lambda t: F.when(t.isNull(), acc).otherwise(_bind(F.array_position(r, t).cast("int"), lambda k: merged(t, k))))
+    """A token of the fold is one number: the rank of the pair that it begins (``NO_PAIR`` for none), its place and its id,
+    so that the least number is the first pair of least rank."""
+    rest, low, ids = F.lit(1 << 30), F.lit((1 << PLACE_BITS + ID_BITS) - 1), F.lit((1 << ID_BITS) - 1)
+    none, places = F.lit(NO_PAIR), F.lit((1 << PLACE_BITS + ID_BITS) - (1 << ID_BITS))
+    id_of = lambda x: x.bitwiseAND(ids).cast("int")
+    ranked = lambda r: F.shiftleft(r.cast("bigint"), PLACE_BITS + ID_BITS)
+
+    def pair(a: Column, b: Column) -> Column:
+        both = F.get(table["pair"], F.get(table["base"], a) + b)
+        return F.when(F.shiftright(both, ID_BITS) == a, F.shiftleft(both.bitwiseAND(ids), PLACE_BITS + ID_BITS)).otherwise(none)
+
+    def merged(s: Column, m: Column, k: Column) -> Column:
+        """s with its token k, which is m, and the one after it as one token."""
+        t, before = F.shiftright(m, PLACE_BITS + ID_BITS).cast("int"), F.get(s, k - 2)
+        two = F.array(
+            pair(id_of(before), t).bitwiseOR(before.bitwiseAND(low)),
+            pair(t, id_of(F.get(s, k + 1))).bitwiseOR(m.bitwiseAND(places)).bitwiseOR(t),
+        )
+        return F.concat(F.slice(s, F.lit(1), k - 2), two, F.slice(s, k + 2, rest))
+
+    def step(s: Column, _: Column) -> Column:
+        return _bind(F.array_min(s), lambda m: F.when(m >= none, s).otherwise(_bind(F.array_position(s, m).cast("int"), lambda k: merged(s, m, k))))
 
     def fold(octets: Column) -> Column:
-        edge, none = F.array(F.lit(-1)), F.array(F.lit(None).cast("int"))
-        ids = F.concat(edge, F.transform(octets, lambda x: F.get(table["byte"], x)), edge)
-        ranks = F.concat(none, F.transform(octets, lambda x, i: F.nullif(F.get(table["two"], x * 256 + F.get(octets, i + 1)), F.lit(-1))))
-        start = F.struct(ids.alias("p"), ranks.alias("r"))
-        return F.aggregate(F.sequence(F.lit(1), F.size(octets)), start, step, lambda acc: F.array_join(F.slice(acc["p"], F.lit(2), F.size(acc["p"]) - 2).cast("array<string>"), ","))
+        def first(x: Column, i: Column) -> Column:
+            r = F.get(table["two"], x * 256 + F.get(octets, i + 1))
+            return F.when(r >= 0, ranked(r)).otherwise(none).bitwiseOR(F.shiftleft((i + 1).cast("bigint"), ID_BITS)).bitwiseOR(F.get(table["byte"], x).cast("bigint"))
+
+        start = F.concat(F.array(F.lit(NO_PAIR | (1 << ID_BITS) - 1)), F.transform(octets, first))  # a mark, then the bytes
+        return F.aggregate(F.sequence(F.lit(2), F.size(octets)), start, step, lambda s: F.array_join(F.transform(F.slice(s, F.lit(2), rest), lambda x: id_of(x).cast("string")), ","))
 
     octets = F.transform(F.split(F.decode(F.encode(piece, "UTF-8"), "ISO-8859-1"), ""), lambda c: F.ascii(c))
     return _bind(octets, fold)
@@ -167,12 +180,23 @@ class Splitter:
 
     Where no space or line feed stands beside other white space, no piece reaches over one of them but
     with the one space before it, and a line feed is a piece of its own: the pieces of a line's first
-    word, and those of `` word``, are the same in any text."""
+    word, and those of `` word``, are the same in any text. By the public pattern a word of letters is one piece with the
+    space before it, and punctuation that ends a word is a piece of its own."""
 
     def __init__(self, pat: str):
         import regex
 
         self.find, self.mixed = regex.compile(pat).findall, regex.compile(r"[ \n]\s|\s[ \n]").search
+        self.public = pat == pattern()
+
+    def pieces(self, lead: str, word: str) -> list[str]:
+        """Of a word with a space before it (``lead``), or of a line's first."""
+        return [lead + word] if self.public and word.isalpha() else self.find(lead + word)
+
+    def stem(self, word: str) -> str:
+        """The word without the punctuation that it ends in, if that is a piece of its own; else the word."""
+        stem = word.rstrip(PUNCTUATION)
+        return stem if self.public and stem[-1:].isalnum() else word
 
     def lines(self, text: str) -> list[list[str]] | None:
         """Words of the lines; all but a line's first have a space before them. None: split the text whole."""
@@ -184,22 +208,30 @@ class Splitter:
 
 
 class Dictionary:
-    """Ids of known pieces: sorted hashes, for each a checksum and where its ids lie."""
+    """Ids of known pieces: sorted hashes, for each a checksum and where its ids lie. ``first``: where the hashes with
+    the same leading bits begin, about one each."""
 
     def __init__(self, hashes: bytes, checks: bytes, at: bytes, ids: bytes):
-        self.hashes, self.checks, self.at, self.ids = memoryview(hashes).cast("Q"), memoryview(checks).cast("I"), memoryview(at).cast("i"), ids
+        import numpy as np
+
+        known = np.frombuffer(hashes, np.uint64)
+        self.n, bits = len(known), max(1, len(known).bit_length())
+        self.shift = 64 - bits
+        self.first = memoryview(np.searchsorted(known, np.arange(1 << bits, dtype=np.uint64) << np.uint64(self.shift)).astype(np.int32))
+        self.hashes = memoryview(np.append(known, np.uint64((1 << 64) - 1)))  # a search ends there
+        self.checks, self.at, self.ids = memoryview(checks).cast("I"), memoryview(at).cast("i"), ids
 
     def get(self, piece: bytes) -> str | None:
         """The piece's ids, if it is known."""
-        from bisect import bisect_left
-
         import xxhash
 
-        h = xxhash.xxh64_intdigest(piece, 42)
-        i = bisect_left(self.hashes, h)
-        if i == len(self.hashes) or self.hashes[i] != h or self.checks[i] != zlib.crc32(piece):
+        h, hashes = xxhash.xxh64_intdigest(piece, 42), self.hashes
+        i = self.first[h >> self.shift]
+        while hashes[i] < h:
+            i += 1
+        if i == self.n or hashes[i] != h or self.checks[i] != zlib.crc32(piece):
             return None
-        return self.ids[self.at[i] : self.at[i + 1]].decode()
+        return str(self.ids[self.at[i] : self.at[i + 1]], "ascii")
 
 
 def count_pieces(docs: DataFrame, pat: str, ranks, memo: int = MEMO) -> DataFrame:
@@ -212,12 +244,19 @@ def count_pieces(docs: DataFrame, pat: str, ranks, memo: int = MEMO) -> DataFram
 
         import pyarrow as pa
 
-        split, words, pieces = Splitter(pat), Counter(), Counter()
+        split, words, firsts, pieces = Splitter(pat), Counter(), Counter(), Counter()
 
         def out():
-            for n, kind in ((words, True), (pieces, False)):
-                if n:  # words have a space before them, pieces are as they are
-                    yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array([kind] * len(n)), pa.array(list(n.values()), pa.int64())], ["x", "word", "n"])
+            for n in (words, firsts):
+                for w in [w for w in n if not w.isalnum()]:
+                    stem = split.stem(w)
+                    if len(stem) != len(w):
+                        k = n.pop(w)
+                        n[stem] = n.get(stem, 0) + k
+                        firsts[w[len(stem) :]] += k
+            for lead, n in ((" ", words), ("", firsts), (None, pieces)):  # pieces are as they are
+                if n:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array([lead] * len(n), pa.string()), pa.array(list(n.values()), pa.int64())], ["x", "lead", "n"])
                     n.clear()
 
         for batch in batches:
@@ -229,10 +268,9 @@ def count_pieces(docs: DataFrame, pat: str, ranks, memo: int = MEMO) -> DataFram
                     if len(lines) > 1:
                         pieces["\n"] += len(lines) - 1
                     for line in lines:
-                        for x in split.find(line[0]):
-                            pieces[x] += 1
+                        firsts[line[0]] += 1
                         words.update(line[1:])
-                if len(words) + len(pieces) > 2 * memo:
+                if len(words) + len(firsts) + len(pieces) > 2 * memo:
                     yield from out()
         yield from out()
         release()
@@ -243,13 +281,13 @@ def count_pieces(docs: DataFrame, pat: str, ranks, memo: int = MEMO) -> DataFram
         split, known = Splitter(pat), ranks.value
         for batch in batches:
             x, n = [], []
-            for a, word, k in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = [p for p in (split.find(" " + a) if word else [a]) if p.encode() not in known]
+            for a, lead, k in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = [p for p in ([a] if lead is None else split.pieces(lead, a)) if p.encode() not in known]
                 x += found
                 n += [k] * len(found)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()), pa.array(n, pa.int64())], ["piece", "n"])
 
-    counts = docs.select(text_or_empty().alias("text")).mapInArrow(count, "x string, word boolean, n bigint").groupBy("x", "word").agg(F.sum("n").alias("n"))
+    counts = docs.select(text_or_empty().alias("text")).mapInArrow(count, "x string, lead string, n bigint").groupBy("x", "lead").agg(F.sum("n").alias("n"))
     return counts.mapInArrow(parts, "piece string, n bigint").groupBy("piece").agg(F.sum("n").alias("n"))
 
 
@@ -298,31 +336,35 @@ def looked_up(docs: DataFrame, path: str | None, pat: str | None, most: int, key
         import pyarrow as pa
 
         split, pieces, tokens = Splitter(pat), Dictionary(*known.value), ranks.value
-        memo: dict[str, str] = {}  # of words with a space before them
-        point = {c: str(tokens[c.encode()]) for c in ".," if c.encode() in tokens}
+        memos: dict[str, dict[str, str]] = {" ": {}, "": {}}  # of words with a space before them, and of lines' first words and what words end in
+        memo = memos[" "]
+
+        def piece(x: str, other: dict[str, str]) -> str:
+            raw = x.encode()
+            if (rank := tokens.get(raw)) is not None:
+                return str(rank)
+            if (got := pieces.get(raw)) is not None:
+                return got
+            return ",".join(map(str, heap_merge(raw, tokens))) if len(raw) > LONG else other.setdefault(x, f"#{len(other)}")
 
         def of(found: list[str], other: dict[str, str]) -> str:
-            ids = []
-            for x in found:
-                raw = x.encode()
-                if (rank := tokens.get(raw)) is not None:
-                    got = str(rank)
-                elif (got := pieces.get(raw)) is None:
-                    got = ",".join(map(str, heap_merge(raw, tokens))) if len(raw) > LONG else other.setdefault(x, f"#{len(other)}")
-                ids.append(got)
-            return ",".join(ids)
-
-        def word(w: str, other: dict[str, str]) -> str:
-            """Ids of a word that isn't remembered; of one that ends in a point, by the word without it."""
-            if (got := memo.get(w)) is not None:
+            return ",".join([piece(x, other) for x in found])
+
+        def word(lead: str, w: str, other: dict[str, str]) -> str:
+            """Ids of a word, by those of its stem and what it ends in."""
+            if (got := memos[lead].get(w)) is not None:
                 return got
-            if (end := point.get(w[-1:])) and w[-2:-1].isalpha():
-                return f"{word(w[:-1], other)},{end}"
-            got = of(split.find(" " + w), other)
+            if split.public and w.isalpha():
+                got = piece(lead + w, other)
+            elif len(stem := split.stem(w)) != len(w):
+                return f"{word(lead, stem, other)},{word('', w[len(stem) :], other)}"
+            else:
+                got = of(split.find(lead + w), other)
             if "#" not in got:
-                if len(memo) >= memo_size:
+                if len(memo) + len(memos[""]) >= memo_size:
                     memo.clear()
-                memo[w] = got
+                    memos[""].clear()
+                memos[lead][w] = got
             return got
 
         for batch in batches:
@@ -336,17 +378,18 @@ def looked_up(docs: DataFrame, path: str | None, pat: str | None, most: int, key
                     out = []
                     for line in lines:
                         if out:
-                            out.append(of(["\n"], other))
+                            out.append(word("", "\n", other))
                         if line[0]:
-                            out.append(of(split.find(line[0]), other))
+                            out.append(word("", line[0], other))
                         ids = list(map(memo.get, line[1:]))
                         if None in ids:
-                            ids = [word(line[i], other) if x is None else x for i, x in enumerate(ids, 1)]
+                            ids = [word(" ", line[i], other) if x is None else x for i, x in enumerate(ids, 1)]
                         out += ids
                     stream.append(",".join(out))
                 rest.append(list(other))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(stream, pa.string()), pa.array(rest, pa.list_(pa.string()))], [key, "stream", "rest"])
         memo.clear()
+        memos[""].clear()
         release()
 
     rows = docs.select(key, text_or_empty().alias("text")).mapInArrow(look_up, f"`{key}` {kind}, stream string, rest array<string>")

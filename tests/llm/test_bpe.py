@@ -59,5 +59,33 @@ def test_heap_merge_of_long_pieces(encoding):
         assert bpe.heap_merge(piece.encode(), ranks) == encoding.encode_ordinary(piece)
 
 
+def test_words_by_stem_and_ending():
+    """A word's pieces are its stem's and what it ends in; letters alone are one piece."""
+    rng, split = random.Random(7), bpe.Splitter(bpe.pattern())
+    assert split.stem("word***") == "word" and split.stem("***") == "***"
+    alphabet = ["a", "Bc", "é", "日本", "1", "½", "'", "'s", "'ll", ".", "**", "_", "\t", "🙂", "\u0301", "\u2160"]
+    for _ in range(20_000):
+        w = "".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 7)))
+        stem = split.stem(w)
+        for lead in (" ", ""):
+            assert split.pieces(lead, stem) + split.find(w[len(stem) :]) == split.find(lead + w), (lead, w)
+    whole = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    letters = "".join(c for c in whole if c.isalpha())
+    assert split.find(letters) == [letters]  # no letter of Python's is none of the pattern's
+    for c in (c for c in whole if c.isalnum()):
+        assert split.find(f"{c}.") == [c, "."]
+
+
+def test_pieces_counted_by_stem_and_ending(spark, odd, odd_rows):
+    """Counts are those of the pattern over whole texts."""
+    from collections import Counter
+
+    split, ranks = bpe.Splitter(bpe.pattern()), bpe.load_ranks(bpe.vocabulary_path())
+    texts = [r[1] or "" for r in odd_rows] + ["Stop... (or go!) it's.", "ab*** ab*** ab cd***\nab***"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = {r.piece: r.n for r in bpe.count_pieces(docs, bpe.pattern(), spark.sparkContext.broadcast(ranks), 50).collect()}
+    assert got == {p: n for p, n in Counter(p for t in texts for p in split.find(t)).items() if p.encode() not in ranks}
+
+
 def test_empty(empty):
     assert bpe.digests(bpe.encode(empty)).count() == 0
