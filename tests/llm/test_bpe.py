@@ -87,5 +87,20 @@ def test_pieces_counted_by_stem_and_ending(spark, odd, odd_rows):
     assert got == {p: n for p, n in Counter(p for t in texts for p in split.find(t)).items() if p.encode() not in ranks}
 
 
+def test_table_of_pairs():
+    """Each pair of tokens that makes a token, and no other; small, as it goes with each stage that folds and stays in the driver."""
+    table, ranks = bpe.pair_table(bpe.vocabulary_path()), bpe.load_ranks(bpe.vocabulary_path())
+    assert sum(map(len, table.values())) < 500_000
+    token, rng = {r: t for t, r in ranks.items()}, random.Random(8)
+    known = list(token)
+    pairs = [(rng.choice(known), rng.choice(known)) for _ in range(5_000)]
+    pairs += [(ranks[t[:k]], ranks[t[k:]]) for t in rng.sample(list(ranks), 3_000) for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
+    for a, b in pairs:
+        at = int(table["base"][a]) + b
+        both = int(table["pair"][at]) if 0 <= at < len(table["pair"]) else -1
+        got = both & (1 << bpe.ID_BITS) - 1 if both >> bpe.ID_BITS == a else None
+        assert got == ranks.get(token[a] + token[b]), (a, b)
+
+
 def test_empty(empty):
     assert bpe.digests(bpe.encode(empty)).count() == 0
