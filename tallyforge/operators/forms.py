@@ -48,11 +48,6 @@ def patched(forms: DataFrame, fixes: DataFrame) -> DataFrame:
     return forms.join(new, "doc_id", "left").selectExpr(*[f"CASE WHEN {c} IS NOT NULL AND __{c} != 0 THEN __{c} ELSE {c} END AS {c}" if c in known else c for c in forms.columns])
 
 
-def empty(docs: DataFrame) -> DataFrame:
-    """The form of each document (doc_id), all of its cells 0."""
-    return docs.select("doc_id").distinct().selectExpr("doc_id", *[f"0D AS {n}" for n in NAMES])
-
-
 def of_all(docs: DataFrame, cells: DataFrame) -> DataFrame:
     """The form of each document (doc_id) with these cells; what they lack is 0. One exchange of the cells there are."""
     none = docs.select("doc_id", *[F.lit(None).cast(kind).alias(c) for c, kind in (("block", "string"), ("sl_no", "int"), ("field", "string"), ("value", "double"))])

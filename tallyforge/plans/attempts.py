@@ -10,8 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ..operators import forms, merges, rules, scores
+from ..operators import forms, merges, packed, rules
 from . import schema
 from .statement import reconcile_rows
 
@@ -34,11 +35,11 @@ def repair(forms_: DataFrame, mapped: DataFrame | None = None, face: DataFrame |
     return forms.from_rows(reconcile_rows(rows, face))
 
 
-def mapped_forms(components: DataFrame, mapping: DataFrame, order: dict[str, int]) -> DataFrame:
-    """Forms of each document's rows of block D by its best profile."""
+def mapped_cells(components: DataFrame, mapping: DataFrame, order: dict[str, int]) -> DataFrame:
+    """(doc_id, cells) of each document's rows of block D by its best profile."""
     mapped = rules.best_rows(components, mapping, order)
     cells = mapped.select("doc_id", F.lit("D").alias("block"), "sl_no", F.inline(F.array(*[F.struct(F.lit(f).alias("field"), F.col(x).alias("value")) for f, x in zip(schema.D_FIELDS, ("opening", "closing"), strict=True)])))
-    return forms.to_forms(cells)
+    return packed.of_cells(cells)
 
 
 def run_attempts(cells: DataFrame, readings: Sequence[DataFrame] = (), most: int = 3, **more) -> tuple[DataFrame, DataFrame]:
@@ -48,24 +49,29 @@ def run_attempts(cells: DataFrame, readings: Sequence[DataFrame] = (), most: int
     in which they are tried, whose amounts that aren't 0 replace those of documents that failed so far. ``more`` goes
     to ``run_forms``. Of equal rates the earlier attempt is kept. Attempts end when all documents pass, after ``most``, or with the
     last reading. Null values count as 0; an empty table gives empty ones."""
-    out, log = run_forms(forms.to_forms(cells.select(*merges.CELL, F.coalesce("value", F.lit(0.0)).alias("value"))), readings, most, **more)
-    return forms.cells_of(forms.rows(out)), log
+    begun = packed.absent(packed.of_cells(cells.select(*merges.CELL, F.coalesce("value", F.lit(0.0)).alias("value"))))
+    tried = run_forms(begun, readings, most, **more)
+    return packed.cells_of(with_kept(tried).where("kept")), with_kept(tried.drop("form"))
 
 
-def run_forms(active: DataFrame, readings: Sequence[DataFrame] = (), most: int = 3, components: DataFrame | None = None, mapping: DataFrame | None = None, order: dict[str, int] | None = None, face: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """As ``run_attempts``, from forms to forms; readings are cells. Each attempt is one job."""
-    mapped = None if components is None or mapping is None else mapped_forms(components, mapping, order or {})
+def run_forms(active: DataFrame, readings: Sequence[DataFrame] = (), most: int = 3, components: DataFrame | None = None, mapping: DataFrame | None = None, order: dict[str, int] | None = None, face: DataFrame | None = None, first: DataFrame | None = None) -> DataFrame:
+    """(doc_id, attempt, rate, passed, form) of all attempts over forms (doc_id, form); readings are cells, and so is
+    ``first``, which is put into the forms before the first attempt. Each attempt is one job."""
+    mapped = None if components is None or mapping is None else forms.stored(mapped_cells(components, mapping, order or {}), "mapped")
+    fixes = None if first is None else packed.of_cells(first)
     tried = None
     for attempt in range(1, min(most, len(readings) + 1) + 1):
-        now = forms.stored(forms.judged(repair(active, mapped, face)), "attempt").where("rate is not null")
-        numbered = now.withColumn("attempt", F.lit(attempt))
+        now = forms.stored(packed.attempted(active, fixes, mapped, face), "attempt").where("rate is not null")
+        numbered = now.select("doc_id", F.lit(attempt).alias("attempt"), "rate", "passed", "form")
         tried = numbered if tried is None else tried.unionByName(numbered)
-        failed = now.where("not passed").select("doc_id", *forms.NAMES)
-        if attempt > min(most - 1, len(readings)) or failed.isEmpty():
+        active = now.where("not passed")
+        if attempt > min(most - 1, len(readings)) or active.isEmpty():
             break
-        active = forms.patched(failed, forms.to_forms(readings[attempt - 1].where("value is not null")))
-    log = tried.select("doc_id", "attempt", "rate", "passed")
-    best = scores.best_attempt(log).select("doc_id", "attempt")
-    out = tried.join(best, ["doc_id", "attempt"], "left_semi").select("doc_id", *forms.NAMES)
-    kept = best.withColumn("kept", F.lit(True))
-    return out, log.join(kept, ["doc_id", "attempt"], "left").select("doc_id", "attempt", "rate", "passed", F.coalesce("kept", F.lit(False)).alias("kept"))
+        fixes = packed.of_cells(readings[attempt - 1].where("value is not null"))
+    return tried
+
+
+def with_kept(tried: DataFrame) -> DataFrame:
+    """Attempts with ``kept``: whether it is the document's best one, the earlier on ties."""
+    best = Window.partitionBy("doc_id").orderBy(F.desc("rate"), "attempt")  # a document's attempts, of which there are few
+    return tried.withColumn("kept", F.row_number().over(best) == 1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..operators import forms, merges
+from ..operators import forms, merges, packed
 from ..session import shared_path, table
 from ..streaming import assemble, ingest
 from . import attempts, dictionaries, schema
@@ -61,16 +61,15 @@ def attempt_loop(spark, sf):
     assets = docs.where("doc_id % 3 = 0").select("doc_id", F.explode(F.sequence(F.lit(2), F.lit(7))).alias("sl"))
     c_rows = assets.select("doc_id", F.col("sl").alias("sl_no"), *[values.get(f, F.lit(0.0)).cast("double").alias(f) for f in schema.C_FIELDS])
     first = right.where(~lacks).select(*merges.CELL, "value").unionByName(merges.to_cells(c_rows, "C").select(*merges.CELL, "value"))
-    begun = forms.patched(forms.empty(docs), forms.to_forms(first))
     wrong = lambda sl: right.where((F.col("r") == 3) & (F.col("sl") == sl)).withColumn("value", -F.col("value"))
     second = right.where("r in (1, 2) and sl = 9").unionByName(wrong(10)).select(*merges.CELL, "value")
     third = right.where("r = 2 and sl = 13").unionByName(wrong(12)).select(*merges.CELL, "value")
     components = docs.where("r = 0 and doc_id % 2 = 0").select("doc_id", F.lit("face.trade_receivables").alias("key"), F.expr(_signed(9, 0)).cast("double").alias("opening"), F.expr(_signed(9, 1)).cast("double").alias("closing"))
-    done, log = attempts.run_forms(begun, [second, third], components=components, mapping=dictionaries.mapping_rules(spark), order=dictionaries.PROFILE_ORDER)
-    at = lambda *cell: F.col(forms.name(*cell))
-    sums = done.select("doc_id", at("D", 16, "opening_rs").alias("capital_opening"), at("D", 16, "closing_rs").alias("capital_closing"), F.nullif(at("C", 10, "net_closing"), F.lit(0.0)).alias("assets_closing"))
-    out = log.join(sums.withColumn("kept", F.lit(True)), ["doc_id", "kept"], "left").withColumn("rate", F.round("rate", 6))
-    return out.select("doc_id", "attempt", "rate", "passed", "kept", "capital_opening", "capital_closing", "assets_closing")
+    tried = attempts.run_forms(packed.empty(docs), [second, third], components=components, mapping=dictionaries.mapping_rules(spark), order=dictionaries.PROFILE_ORDER, first=first)
+    at = lambda *cell: F.get("form", F.lit(forms.PLACES.index(cell)))
+    sums = {"capital_opening": at("D", 16, "opening_rs"), "capital_closing": at("D", 16, "closing_rs"), "assets_closing": F.nullif(at("C", 10, "net_closing"), F.lit(0.0))}
+    out = attempts.with_kept(tried.select("doc_id", "attempt", "rate", "passed", *[x.alias(n) for n, x in sums.items()]))
+    return out.select("doc_id", "attempt", F.round("rate", 6).alias("rate"), "passed", "kept", *[F.when(F.col("kept"), F.col(n)).alias(n) for n in sums])
 
 
 # --- pages as they arrive
